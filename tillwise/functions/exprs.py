@@ -42,12 +42,15 @@ def line_total(quantity: str | Column, unit_price: str | Column) -> Column:
 
 def cents(amount: str | Column) -> Column:
     """A 2-decimal DECIMAL amount as whole cents (LONG)."""
-    return (col(amount) * F.lit(100)).cast("long")
+    return (col(amount) * F.lit(100)).cast(_INT)
+
+
+_INT = "decimal(38,0)"
 
 
 def _idiv(a: Column, b: Column) -> Column:
-    """Exact integer division of non-negative LONGs (DECIMAL, no float step)."""
-    return F.floor(a.cast("decimal(20,0)") / b.cast("decimal(20,0)")).cast("long")
+    """Exact integer division of non-negative integers (DECIMAL, no float step)."""
+    return F.floor(a.cast(_INT) / b.cast(_INT)).cast("long")
 
 
 def half_up_div(numerator_hundredths: str | Column, denominator: str | Column) -> Column:
@@ -56,16 +59,16 @@ def half_up_div(numerator_hundredths: str | Column, denominator: str | Column) -
     Exact: ``(2n + d) div 2d`` is the half-up rounded quotient in hundredths.
     NULL when d is 0 or NULL (the ``NULLIF(d, 0)`` guard).
     """
-    n = col(numerator_hundredths).cast("long")
-    d = F.nullif(col(denominator).cast("long"), F.lit(0))
+    n = col(numerator_hundredths).cast(_INT)
+    d = F.nullif(col(denominator).cast(_INT), F.lit(0).cast(_INT))
     return _idiv(n * 2 + d, d * 2).cast("double") / F.lit(100.0)
 
 
 def half_up_round_units(value_units: str | Column, units_per_cent: int) -> Column:
     """Round a non-negative integer amount given in ``1/units_per_cent`` cents
     to 2 decimals half-up: ``(2v + u) div 2u`` cents."""
-    v = col(value_units).cast("long")
-    u = F.lit(int(units_per_cent)).cast("long")
+    v = col(value_units).cast(_INT)
+    u = F.lit(int(units_per_cent)).cast(_INT)
     return _idiv(v * 2 + u, u * 2).cast("double") / F.lit(100.0)
 
 

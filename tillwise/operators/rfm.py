@@ -133,3 +133,24 @@ def rfm_segments_window(silver: DataFrame, p: SegmentParams = SegmentParams()) -
         F.coalesce(F.col("monetary") >= F.col("_whale_min"), F.lit(False)).alias("is_whale"),
     )
     return out.withColumn("business_priority", rules.priority(F.col("customer_segment")))
+
+
+def segment_summary(segments: DataFrame) -> DataFrame:
+    """Customers and revenue per segment with their shares of the total
+    (2-decimal percentages, exact half-up). The grouped frame has one row per
+    segment, so the share window runs on a handful of rows."""
+    from pyspark.sql import Window
+
+    from ..functions.exprs import cents, half_up_div
+
+    g = segments.groupBy("customer_segment", "business_priority").agg(
+        F.count(F.lit(1)).alias("customers"),
+        F.sum(F.col("monetary").cast("decimal(22,2)")).alias("_rev"))
+    everyone = Window.partitionBy()
+    return g.select(
+        "customer_segment", "business_priority",
+        F.col("customers").cast("long").alias("customers"),
+        F.col("_rev").cast("double").alias("revenue"),
+        half_up_div(F.col("customers") * 10000, F.sum("customers").over(everyone)).alias("customer_pct"),
+        half_up_div(cents("_rev") * 10000, cents(F.sum("_rev").over(everyone))).alias("revenue_pct"),
+    )
