@@ -67,15 +67,15 @@ class Inputs:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import catalog  # noqa: F401 - registers the queries
+    from . import catalog, catalog_profile  # noqa: F401 - registers the queries
     return {name: q.fn for name, q in REGISTRY.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import catalog  # noqa: F401
+    from . import catalog, catalog_profile  # noqa: F401
     return {name: q.sql for name, q in REGISTRY.items() if q.sql}
 
 
 def headline() -> list[str]:
-    from . import catalog  # noqa: F401
+    from . import catalog, catalog_profile  # noqa: F401
     return [name for name, q in REGISTRY.items() if q.headline]
