@@ -66,16 +66,21 @@ class Inputs:
         return self._get("customers", lambda: stg_customers(self.profiles))
 
 
+def _load() -> None:
+    """Import the catalogue modules (each registers its queries)."""
+    from . import catalog, catalog_model, catalog_profile, catalog_quality  # noqa: F401
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import catalog, catalog_profile  # noqa: F401 - registers the queries
+    _load()
     return {name: q.fn for name, q in REGISTRY.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import catalog, catalog_profile  # noqa: F401
+    _load()
     return {name: q.sql for name, q in REGISTRY.items() if q.sql}
 
 
 def headline() -> list[str]:
-    from . import catalog, catalog_profile  # noqa: F401
+    _load()
     return [name for name, q in REGISTRY.items() if q.headline]

@@ -36,6 +36,7 @@ def build_session(master: str | None = None, app: str = "tillwise",
         builder = builder.master(master)
     conf = dict(SESSION_DEFAULTS)
     conf["spark.ui.enabled"] = "false"
+    conf["spark.ui.showConsoleProgress"] = "false"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
