@@ -33,12 +33,11 @@ def _order_key(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def global_index(df: DataFrame, order: Sequence[str | Column], index_col: str = "_idx",
-                 count_col: str = "_n", partitions: int | None = None,
-                 checkpoint: bool = True) -> DataFrame:
-    """Add the exact 0-based position of each row under ``order`` and the
-    total row count. ``order`` must be a total order (end with a unique key)
-    for the index to be reproducible."""
+def range_tag(df: DataFrame, order: Sequence[str | Column], partitions: int | None = None,
+              checkpoint: bool = True) -> DataFrame:
+    """Range-partition and sort on ``order``; add ``_pid`` (partition) and
+    ``_local`` (position inside it). Checkpointed so every later job sees the
+    same assignment."""
     spark = df.sparkSession
     nparts = partitions or default_parallelism(spark)
     keys = [_order_key(c) for c in order]
@@ -48,8 +47,16 @@ def global_index(df: DataFrame, order: Sequence[str | Column], index_col: str =
     tagged = (tagged.withColumn("_pid", F.shiftright(F.col("_mid"), _LOCAL_BITS))
                     .withColumn("_local", F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)))
                     .drop("_mid"))
-    if checkpoint:
-        tagged = cut_lineage(tagged)
+    return cut_lineage(tagged) if checkpoint else tagged
+
+
+def global_index(df: DataFrame, order: Sequence[str | Column], index_col: str = "_idx",
+                 count_col: str = "_n", partitions: int | None = None,
+                 checkpoint: bool = True) -> DataFrame:
+    """Add the exact 0-based position of each row under ``order`` and the
+    total row count. ``order`` must be a total order (end with a unique key)
+    for the index to be reproducible."""
+    tagged = range_tag(df, order, partitions, checkpoint)
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"))
     # At most one row per partition: the running sum runs on a bounded frame.
     offsets = counts.select(
@@ -62,6 +69,28 @@ def global_index(df: DataFrame, order: Sequence[str | Column], index_col: str =
                   .drop("_pid", "_local", "_off"))
 
 
+def prefix_sums(df: DataFrame, order: Sequence[str | Column], value_cols: Sequence[str],
+                prefix: str = "cum_", partitions: int | None = None) -> DataFrame:
+    """Inclusive running sums of ``value_cols`` under ``order`` (a total
+    order), plus grand totals ``total_<col>``. Local running sums are taken
+    per range partition (rows stay with their partition), partition totals
+    become offsets on a frame of one row per partition."""
+    cols = list(value_cols)
+    tagged = range_tag(df, order, partitions)
+    w = Window.partitionBy("_pid").orderBy("_local").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = tagged.select("*", *[F.sum(c).over(w).alias(f"_l_{c}") for c in cols])
+    totals = tagged.groupBy("_pid").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
+    before = Window.orderBy("_pid")
+    offsets = totals.select(
+        "_pid",
+        *[(F.sum(f"_t_{c}").over(before) - F.col(f"_t_{c}")).alias(f"_o_{c}") for c in cols],
+        *[F.sum(f"_t_{c}").over(Window.partitionBy()).alias(f"total_{c}") for c in cols])
+    out = local.join(F.broadcast(offsets), "_pid")
+    for c in cols:
+        out = out.withColumn(f"{prefix}{c}", F.col(f"_l_{c}") + F.col(f"_o_{c}"))
+    return out.drop("_pid", "_local", *[f"_l_{c}" for c in cols], *[f"_o_{c}" for c in cols])
+
+
 def ntile_from_index(idx: str, n: str, buckets: int) -> Column:
     """Standard NTILE bucket of a 0-based index: the first ``n mod b`` buckets
     hold ``n div b + 1`` rows, the rest ``n div b`` (if n < b, bucket = i+1)."""

@@ -1 +1,388 @@
-"""Query catalogue: clustering and churn models."""
+"""Query catalogue: clustering and churn models.
+
+Deterministic steps (feature scaling, assignment to given centroids, cluster
+profiling on that assignment, imputation, split, weights, metrics of a fixed
+scorer) have SQL twins. Outputs of trained models (K-Means, logistic
+regression, random forest) depend on solver state and get the rows-only check.
+"""
+
+from __future__ import annotations
+
+from fractions import Fraction
+
+from pyspark.sql import functions as F
+
+from ..operators import churn, clustering as C, evaluation as E, modeling as M, rfm
+from ..params import ModelParams, SegmentParams
+from . import oracle as O
+from .registry import Inputs, register
+
+P = ModelParams()
+
+# ---------------------------------------------------------------- clustering
+
+SEG_CHAIN = (O.BRONZE, O.SILVER, O.CUSTOMER_METRICS, O.segments_cte(True))
+FEAT = """
+feat_base AS (
+  SELECT CustomerID, recency_days, frequency, monetary, business_priority, customer_segment, rfm_score,
+    ln(1 + CAST(recency_days AS DOUBLE)) AS recency_log, ln(1 + CAST(frequency AS DOUBLE)) AS frequency_log,
+    ln(1 + CAST(monetary AS DOUBLE)) AS monetary_log
+  FROM segments WHERE recency_days IS NOT NULL AND frequency IS NOT NULL AND monetary IS NOT NULL
+),
+feat_stats AS (
+  SELECT avg(recency_log) AS mr, stddev_pop(recency_log) AS sr, avg(frequency_log) AS mf,
+    stddev_pop(frequency_log) AS sf, avg(monetary_log) AS mm, stddev_pop(monetary_log) AS sm FROM feat_base
+),
+feat AS (
+  SELECT b.*,
+    CASE WHEN sr = 0 THEN 0.0 ELSE (recency_log - mr) / sr END AS recency_log_z,
+    CASE WHEN sf = 0 THEN 0.0 ELSE (frequency_log - mf) / sf END AS frequency_log_z,
+    CASE WHEN sm = 0 THEN 0.0 ELSE (monetary_log - mm) / sm END AS monetary_log_z
+  FROM feat_base b CROSS JOIN feat_stats
+),
+cents AS (
+  SELECT business_priority, avg(recency_log_z) AS c0, avg(frequency_log_z) AS c1, avg(monetary_log_z) AS c2,
+    CAST(ROW_NUMBER() OVER (ORDER BY business_priority) - 1 AS INTEGER) AS cluster
+  FROM feat GROUP BY business_priority
+),
+assigned AS (
+  SELECT CustomerID, cluster FROM (
+    SELECT f.CustomerID, c.cluster,
+      ROW_NUMBER() OVER (PARTITION BY f.CustomerID ORDER BY
+        (f.recency_log_z - c.c0) * (f.recency_log_z - c.c0) + (f.frequency_log_z - c.c1) * (f.frequency_log_z - c.c1)
+        + (f.monetary_log_z - c.c2) * (f.monetary_log_z - c.c2), c.cluster) AS rn
+    FROM feat f CROSS JOIN cents c) WHERE rn = 1
+),
+clustered AS (SELECT s.*, a.cluster FROM segments s JOIN assigned a USING (CustomerID))"""
+FEAT_SQL = O.with_ctes(*SEG_CHAIN, FEAT)
+
+
+def _segments(i: Inputs):
+    return rfm.rfm_segments(i.silver, SegmentParams(best_is_high=True))
+
+
+def _features(i: Inputs, segments=None):
+    return C.rfm_scaled(segments if segments is not None else _segments(i))
+
+
+def _fixed_clusters(i: Inputs):
+    seg = _segments(i)
+    feats = _features(i, seg).join(seg.select("CustomerID", "business_priority"), "CustomerID")
+    assigned = C.assign_to_centroids(feats, C.centroids_by_group(feats, "business_priority"))
+    return seg, seg.join(assigned.select("CustomerID", "cluster"), "CustomerID")
+
+
+def _kmeans_clusters(i: Inputs):
+    seg = _segments(i)
+    assigned = C.kmeans_assign(_features(i, seg))
+    return seg, seg.join(assigned.select("CustomerID", "cluster"), "CustomerID")
+
+
+@register("rfm_scaled", FEAT_SQL + """
+  SELECT CustomerID, recency_days, frequency, monetary,
+    ROUND(recency_log, 6) AS recency_log, ROUND(frequency_log, 6) AS frequency_log, ROUND(monetary_log, 6) AS monetary_log,
+    ROUND(recency_log_z, 6) AS recency_log_z, ROUND(frequency_log_z, 6) AS frequency_log_z,
+    ROUND(monetary_log_z, 6) AS monetary_log_z
+  FROM feat""")
+def q_rfm_scaled(spark, sf_dir):
+    return C.rounded_features(_features(Inputs(spark, sf_dir)))
+
+
+@register("kmeans_assign_fixed", FEAT_SQL + " SELECT CustomerID, cluster FROM assigned")
+def q_kmeans_assign_fixed(spark, sf_dir):
+    return _fixed_clusters(Inputs(spark, sf_dir))[1].select("CustomerID", "cluster")
+
+
+_PROFILE_SQL = """
+  , base AS (SELECT cluster, CAST(COUNT(*) AS BIGINT) AS customers,
+      ROUND(AVG(recency_days), 6) AS recency_days_mean, ROUND(AVG(frequency), 6) AS frequency_mean,
+      ROUND(AVG(monetary), 6) AS monetary_mean, ROUND(AVG(rfm_score), 6) AS rfm_score_mean,
+      ROUND(quantile_cont(recency_days, 0.5), 6) AS recency_days_median,
+      ROUND(quantile_cont(frequency, 0.5), 6) AS frequency_median,
+      ROUND(quantile_cont(monetary, 0.5), 6) AS monetary_median,
+      ROUND(quantile_cont(rfm_score, 0.5), 6) AS rfm_score_median
+    FROM clustered GROUP BY cluster),
+  modes AS (SELECT cluster, customer_segment AS segment_mode FROM (
+      SELECT cluster, customer_segment, ROW_NUMBER() OVER (PARTITION BY cluster ORDER BY COUNT(*) DESC, customer_segment) AS rn
+      FROM clustered GROUP BY cluster, customer_segment) WHERE rn = 1)
+  SELECT * FROM base JOIN modes USING (cluster)"""
+
+
+@register("cluster_profile_fixed", FEAT_SQL + _PROFILE_SQL)
+def q_cluster_profile_fixed(spark, sf_dir):
+    return C.cluster_profile(_fixed_clusters(Inputs(spark, sf_dir))[1])
+
+
+_MAPPING_SQL = """
+  , means AS (SELECT cluster, AVG(recency_days) AS r, AVG(frequency) AS f, AVG(monetary) AS m FROM clustered GROUP BY cluster),
+  mapping AS (SELECT CAST(cluster AS BIGINT) AS cluster_id,
+      CASE WHEN r < 30 AND f > 10 AND m > 2000 THEN 'Champions'
+           WHEN r < 60 AND f > 5 AND m > 1000 THEN 'Loyal Customers'
+           WHEN r > 90 AND f > 5 AND m > 1000 THEN 'At Risk'
+           WHEN r > 120 AND f <= 3 THEN 'Lost / Dormant'
+           ELSE 'Average' END AS cluster_name FROM means)"""
+
+
+@register("cluster_mapping_fixed", FEAT_SQL + _MAPPING_SQL + " SELECT * FROM mapping")
+def q_cluster_mapping_fixed(spark, sf_dir):
+    return C.cluster_mapping(_fixed_clusters(Inputs(spark, sf_dir))[1])
+
+
+@register("cluster_shares_fixed", FEAT_SQL + _MAPPING_SQL + f""",
+  enriched AS (SELECT c.*, m.cluster_name AS cluster_business_name FROM clustered c
+               LEFT JOIN mapping m ON CAST(c.cluster AS BIGINT) = m.cluster_id)
+  SELECT cluster, cluster_business_name, CAST(COUNT(*) AS BIGINT) AS customers,
+    {O.half_up('COUNT(*) * 10000', 'SUM(COUNT(*)) OVER ()')} AS customer_pct,
+    CAST(SUM(CAST(monetary AS DECIMAL(22,2))) AS DOUBLE) AS revenue,
+    {O.half_up(O.cents('SUM(CAST(monetary AS DECIMAL(22,2)))') + ' * 10000',
+               O.cents('SUM(SUM(CAST(monetary AS DECIMAL(22,2)))) OVER ()'))} AS revenue_pct,
+    ROUND(AVG(monetary), 2) AS avg_monetary, ROUND(AVG(recency_days), 2) AS avg_recency,
+    ROUND(AVG(frequency), 2) AS avg_frequency
+  FROM enriched GROUP BY cluster, cluster_business_name""")
+def q_cluster_shares_fixed(spark, sf_dir):
+    seg, clustered = _fixed_clusters(Inputs(spark, sf_dir))
+    enriched = C.enrich_segments(seg, clustered, C.cluster_mapping(clustered))
+    return C.cluster_shares(enriched)
+
+
+@register("kmeans_sweep")
+def q_kmeans_sweep(spark, sf_dir):
+    return C.kmeans_sweep(C.prepare_vectors(_features(Inputs(spark, sf_dir))))
+
+
+@register("kmeans_segments")
+def q_kmeans_segments(spark, sf_dir):
+    seg, clustered = _kmeans_clusters(Inputs(spark, sf_dir))
+    return C.enrich_segments(seg, clustered, C.cluster_mapping(clustered))
+
+
+@register("cluster_profile")
+def q_cluster_profile(spark, sf_dir):
+    return C.cluster_profile(_kmeans_clusters(Inputs(spark, sf_dir))[1])
+
+
+@register("cluster_mapping")
+def q_cluster_mapping(spark, sf_dir):
+    return C.cluster_mapping(_kmeans_clusters(Inputs(spark, sf_dir))[1])
+
+
+@register("cluster_shares")
+def q_cluster_shares(spark, sf_dir):
+    seg, clustered = _kmeans_clusters(Inputs(spark, sf_dir))
+    return C.cluster_shares(C.enrich_segments(seg, clustered, C.cluster_mapping(clustered)))
+
+
+# ---------------------------------------------------------------- churn models
+
+FEATS = M.FEATURES
+_TEST = Fraction(1) - Fraction(str(P.train_fraction))
+CHURN_CHAIN = (O.BRONZE, O.SILVER, O.PROFILES, O.CHURN)
+MODEL_INPUT = f"""
+ts_base AS (SELECT CustomerID, CAST(churn_label AS INTEGER) AS churn_label,
+    {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in FEATS)} FROM churn),
+ts_med AS (SELECT {", ".join(f"quantile_cont({c}, 0.5) AS med_{c}" for c in FEATS)} FROM ts_base),
+training_set AS (SELECT CustomerID, churn_label, {", ".join(f"COALESCE({c}, med_{c}) AS {c}" for c in FEATS)}
+    FROM ts_base CROSS JOIN ts_med),
+ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY churn_label ORDER BY md5(CustomerID || '|{P.seed}'), CustomerID) - 1 AS pos,
+    COUNT(*) OVER (PARTITION BY churn_label) AS nc FROM training_set),
+split AS (SELECT * EXCLUDE (pos, nc), pos < nc - (nc * {_TEST.numerator} + {_TEST.denominator - 1}) // {_TEST.denominator} AS is_train,
+    CASE WHEN pos < nc - (nc * {_TEST.numerator} + {_TEST.denominator - 1}) // {_TEST.denominator}
+         THEN CAST(pos % {P.folds} AS INTEGER) END AS fold FROM ranked),
+weights AS (SELECT churn_label, CAST(COUNT(*) AS BIGINT) AS class_count,
+    CAST(SUM(COUNT(*)) OVER () AS DOUBLE) / (2 * CAST(COUNT(*) AS DOUBLE)) AS weight
+    FROM split WHERE is_train GROUP BY churn_label),
+zstats AS (SELECT {", ".join(f"avg({c}) AS mean_{c}, stddev_pop({c}) AS std_{c}" for c in FEATS)} FROM split WHERE is_train),
+prepared AS (SELECT s.*, w.weight,
+    {", ".join(f"CASE WHEN std_{c} = 0 THEN 0.0 ELSE ({c} - mean_{c}) / std_{c} END AS {c}_z" for c in FEATS)}
+    FROM split s JOIN weights w USING (churn_label) CROSS JOIN zstats),
+baseline AS (SELECT CustomerID, churn_label AS label, is_train,
+    ROUND(1.0 / (1.0 + exp(engagement_score_z)), 9) AS score FROM prepared),
+test_scores AS (SELECT label, score FROM baseline WHERE NOT is_train)"""
+MODEL_SQL = O.with_ctes(*CHURN_CHAIN, MODEL_INPUT)
+
+
+def _mart(i: Inputs):
+    return churn.churn_features(i.silver, i.customers)
+
+
+def _prepared(i: Inputs):
+    return M.prepared(_mart(i), P)
+
+
+def _baseline_test(i: Inputs):
+    return M.baseline_scores(_prepared(i)).where(~F.col("is_train")).select("label", "score")
+
+
+@register("churn_training_set", MODEL_SQL + " SELECT * FROM training_set")
+def q_churn_training_set(spark, sf_dir):
+    return M.training_set(_mart(Inputs(spark, sf_dir)))
+
+
+@register("stratified_split", MODEL_SQL + " SELECT CustomerID, churn_label, is_train, fold FROM split")
+def q_stratified_split(spark, sf_dir):
+    ts = M.training_set(_mart(Inputs(spark, sf_dir)))
+    return E.stratified_split(ts, M.LABEL, M.KEY, P.seed, P.train_fraction, P.folds).select(
+        "CustomerID", "churn_label", "is_train", "fold")
+
+
+@register("class_weights", MODEL_SQL + " SELECT * FROM weights")
+def q_class_weights(spark, sf_dir):
+    ts = M.training_set(_mart(Inputs(spark, sf_dir)))
+    split = E.stratified_split(ts, M.LABEL, M.KEY, P.seed, P.train_fraction, P.folds)
+    return E.class_weight_table(split.where("is_train"), M.LABEL)
+
+
+@register("churn_model_input", MODEL_SQL + f"""
+  SELECT CustomerID, churn_label, is_train, fold, weight, {", ".join(f"ROUND({c}_z, 6) AS {c}_z" for c in FEATS)}
+  FROM prepared""")
+def q_churn_model_input(spark, sf_dir):
+    prep = _prepared(Inputs(spark, sf_dir))
+    return prep.select("CustomerID", "churn_label", "is_train", "fold", "weight",
+                       *[F.round(f"{c}_z", 6).alias(f"{c}_z") for c in FEATS])
+
+
+@register("baseline_scores", MODEL_SQL + " SELECT * FROM baseline")
+def q_baseline_scores(spark, sf_dir):
+    return M.baseline_scores(_prepared(Inputs(spark, sf_dir)))
+
+
+@register("confusion_metrics", MODEL_SQL + """
+  , c AS (SELECT COUNT(*) FILTER (WHERE label = 1 AND score > 0.5) AS tp, COUNT(*) FILTER (WHERE label <> 1 AND score > 0.5) AS fp,
+                 COUNT(*) FILTER (WHERE label <> 1 AND NOT score > 0.5) AS tn, COUNT(*) FILTER (WHERE label = 1 AND NOT score > 0.5) AS fn
+          FROM test_scores)
+  SELECT CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, CAST(tn AS BIGINT) AS tn, CAST(fn AS BIGINT) AS fn,
+    ROUND(CAST(tp + tn AS DOUBLE) / CAST(tp + fp + tn + fn AS DOUBLE), 6) AS accuracy,
+    ROUND(CASE WHEN tp + fp = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / CAST(tp + fp AS DOUBLE) END, 6) AS precision,
+    ROUND(CASE WHEN tp + fn = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / CAST(tp + fn AS DOUBLE) END, 6) AS recall,
+    ROUND(CASE WHEN tp = 0 THEN 0.0 ELSE 2 * CAST(tp AS DOUBLE) / CAST(2 * tp + fp + fn AS DOUBLE) END, 6) AS f1
+  FROM c""")
+def q_confusion_metrics(spark, sf_dir):
+    return E.confusion_metrics(_baseline_test(Inputs(spark, sf_dir)), "label", "score", P.threshold)
+
+
+@register("classification_report", MODEL_SQL + """
+  , c AS (SELECT CAST(COUNT(*) FILTER (WHERE label = 1 AND score > 0.5) AS DOUBLE) AS tp,
+                 CAST(COUNT(*) FILTER (WHERE label <> 1 AND score > 0.5) AS DOUBLE) AS fp,
+                 CAST(COUNT(*) FILTER (WHERE label <> 1 AND NOT score > 0.5) AS DOUBLE) AS tn,
+                 CAST(COUNT(*) FILTER (WHERE label = 1 AND NOT score > 0.5) AS DOUBLE) AS fn FROM test_scores),
+  b AS (SELECT 0 AS cls, 'Active' AS class_name, tn AS t, fn AS f_p, fp AS f_n FROM c
+        UNION ALL SELECT 1, 'Churned', tp, fp, fn FROM c)
+  SELECT CAST(cls AS INTEGER) AS class, class_name,
+    ROUND(CASE WHEN t + f_p = 0 THEN 0.0 ELSE t / (t + f_p) END, 6) AS precision,
+    ROUND(CASE WHEN t + f_n = 0 THEN 0.0 ELSE t / (t + f_n) END, 6) AS recall,
+    ROUND(CASE WHEN t = 0 THEN 0.0 ELSE 2 * t / (2 * t + f_p + f_n) END, 6) AS f1,
+    CAST(t + f_n AS BIGINT) AS support
+  FROM b""")
+def q_classification_report(spark, sf_dir):
+    return E.classification_report(_baseline_test(Inputs(spark, sf_dir)), "label", "score", P.threshold)
+
+
+@register("auc_rank", MODEL_SQL + """
+  , g AS (SELECT score, SUM(label) AS pos, SUM(1 - label) AS neg, COUNT(*) AS c FROM test_scores GROUP BY score),
+  r AS (SELECT *, SUM(c) OVER (ORDER BY score ROWS UNBOUNDED PRECEDING) AS cum FROM g)
+  SELECT ROUND((SUM(pos * (cum - CAST(c - 1 AS DOUBLE) / 2)) - CAST(SUM(pos) AS DOUBLE) * (CAST(SUM(pos) AS DOUBLE) + 1) / 2)
+               / (CAST(SUM(pos) AS DOUBLE) * CAST(SUM(neg) AS DOUBLE)), 9) AS auc,
+    CAST(SUM(pos) AS BIGINT) AS positives, CAST(SUM(neg) AS BIGINT) AS negatives
+  FROM r""")
+def q_auc_rank(spark, sf_dir):
+    return E.auc_rank(_baseline_test(Inputs(spark, sf_dir)))
+
+
+@register("roc_pr_points", MODEL_SQL + """
+  , g AS (SELECT score, SUM(label) AS pos, SUM(1 - label) AS neg FROM test_scores GROUP BY score),
+  r AS (SELECT score, SUM(pos) OVER w AS tps, SUM(neg) OVER w AS fps, SUM(pos) OVER () AS P, SUM(neg) OVER () AS N
+        FROM g WINDOW w AS (ORDER BY score DESC ROWS UNBOUNDED PRECEDING))
+  SELECT score AS threshold, CAST(tps AS BIGINT) AS tps, CAST(fps AS BIGINT) AS fps,
+    ROUND(CASE WHEN N = 0 THEN 0.0 ELSE CAST(fps AS DOUBLE) / CAST(N AS DOUBLE) END, 9) AS fpr,
+    ROUND(CASE WHEN P = 0 THEN 0.0 ELSE CAST(tps AS DOUBLE) / CAST(P AS DOUBLE) END, 9) AS tpr,
+    ROUND(CAST(tps AS DOUBLE) / CAST(tps + fps AS DOUBLE), 9) AS precision,
+    ROUND(CASE WHEN P = 0 THEN 0.0 ELSE CAST(tps AS DOUBLE) / CAST(P AS DOUBLE) END, 9) AS recall
+  FROM r
+  UNION ALL SELECT CAST('inf' AS DOUBLE), 0, 0, 0.0, 0.0, 1.0, 0.0""")
+def q_roc_pr_points(spark, sf_dir):
+    return E.curve_points(_baseline_test(Inputs(spark, sf_dir)))
+
+
+_BASE_RISK = """
+  , scored AS (SELECT c.*, b.score AS churn_risk_score,
+      CASE WHEN b.score >= 0.8 THEN 'Critical Risk (80%+)' WHEN b.score >= 0.6 THEN 'High Risk (60-80%)'
+           WHEN b.score >= 0.4 THEN 'Medium Risk (40-60%)' WHEN b.score >= 0.2 THEN 'Low Risk (20-40%)'
+           ELSE 'Safe (<20%)' END AS risk_tier
+    FROM churn c LEFT JOIN baseline b USING (CustomerID))"""
+
+
+def _baseline_scored(i: Inputs):
+    mart = _mart(i)
+    s = M.baseline_scores(M.prepared(mart, P)).select("CustomerID", F.col("score").alias("churn_risk_score"))
+    from ..functions import rules
+    return mart.join(s, "CustomerID", "left").withColumn("risk_tier", rules.risk_tier(F.col("churn_risk_score")))
+
+
+@register("risk_summary_baseline", MODEL_SQL + _BASE_RISK + """
+  SELECT risk_tier, CAST(COUNT(*) AS BIGINT) AS customers,
+    CAST(SUM(CAST(total_spend AS DECIMAL(22,2))) AS DOUBLE) AS total_spend,
+    ROUND(AVG(churn_risk_score), 6) AS churn_risk_score_mean,
+    CAST(SUM(CAST(monthly_fee AS DECIMAL(22,2))) AS DOUBLE) AS monthly_fee
+  FROM scored GROUP BY risk_tier""")
+def q_risk_summary_baseline(spark, sf_dir):
+    return M.risk_summary(_baseline_scored(Inputs(spark, sf_dir)))
+
+
+@register("at_risk_exposure_baseline", MODEL_SQL + _BASE_RISK + """
+  , per AS (SELECT risk_tier, COUNT(*) AS customers, SUM(CAST(total_spend AS DECIMAL(22,2))) AS spend,
+              SUM(CAST(monthly_fee AS DECIMAL(22,2))) AS fee
+            FROM scored WHERE risk_tier IN ('Critical Risk (80%+)', 'High Risk (60-80%)') GROUP BY risk_tier),
+  allr AS (SELECT * FROM per UNION ALL SELECT 'Critical + High', SUM(customers), SUM(spend), SUM(fee) FROM per)
+  SELECT risk_tier, CAST(COALESCE(customers, 0) AS BIGINT) AS customers,
+    ROUND(CAST(customers AS DOUBLE) / CAST((SELECT COUNT(*) FROM scored) AS DOUBLE) * 100, 1) AS customer_pct,
+    CAST(COALESCE(spend, 0) AS DOUBLE) AS total_spend, CAST(COALESCE(fee, 0) AS DOUBLE) AS monthly_fee,
+    CAST(COALESCE(fee, 0) * 12 AS DOUBLE) AS annual_fee_at_risk
+  FROM allr""")
+def q_at_risk_exposure_baseline(spark, sf_dir):
+    return M.at_risk_exposure(_baseline_scored(Inputs(spark, sf_dir)))
+
+
+@register("lr_scores")
+def q_lr_scores(spark, sf_dir):
+    return M.test_scores(_prepared(Inputs(spark, sf_dir)), "lr", P)
+
+
+@register("rf_scores")
+def q_rf_scores(spark, sf_dir):
+    return M.test_scores(_prepared(Inputs(spark, sf_dir)), "rf", P)
+
+
+@register("cv_auc")
+def q_cv_auc(spark, sf_dir):
+    prep = _prepared(Inputs(spark, sf_dir))
+    return M.cv_auc(prep, "lr", P).unionByName(M.cv_auc(prep, "rf", P))
+
+
+@register("model_comparison")
+def q_model_comparison(spark, sf_dir):
+    return M.model_comparison(_prepared(Inputs(spark, sf_dir)), P)
+
+
+@register("feature_drivers")
+def q_feature_drivers(spark, sf_dir):
+    return M.feature_drivers(_prepared(Inputs(spark, sf_dir)), P)
+
+
+def _lr_scored(i: Inputs):
+    mart = _mart(i)
+    return M.risk_scored(mart, M.prepared(mart, P), P)
+
+
+@register("risk_tiers")
+def q_risk_tiers(spark, sf_dir):
+    return _lr_scored(Inputs(spark, sf_dir))
+
+
+@register("risk_summary")
+def q_risk_summary(spark, sf_dir):
+    return M.risk_summary(_lr_scored(Inputs(spark, sf_dir)))
+
+
+@register("at_risk_exposure")
+def q_at_risk_exposure(spark, sf_dir):
+    return M.at_risk_exposure(_lr_scored(Inputs(spark, sf_dir)))

@@ -71,7 +71,7 @@ def q_duplicate_example(spark, sf_dir):
   lv AS (SELECT 'Quantity' AS column_name, CAST(Quantity AS DOUBLE) AS value FROM bronze
          UNION ALL SELECT 'UnitPrice', CAST(UnitPrice AS DOUBLE) FROM bronze)
   SELECT column_name, ROUND(MIN(value), 2) AS "min", ROUND(MAX(value), 2) AS "max", ROUND(AVG(value), 2) AS "avg",
-    ROUND(quantile_cont(value, 0.5), 2) AS median, ROUND(stddev_samp(value), 2) AS std
+    ROUND(quantile_cont(value, 0.5), 6) AS median, ROUND(stddev_samp(value), 2) AS std
   FROM lv GROUP BY column_name""")
 def q_numeric_summary(spark, sf_dir):
     return P.numeric_summary(Inputs(spark, sf_dir).bronze)
