@@ -48,15 +48,29 @@ def prepare_vectors(features: DataFrame) -> DataFrame:
     return cut_lineage(_vectors(features).select("CustomerID", "features")).persist()
 
 
+def _fit_one(vectors: DataFrame, k: int, seed: int, p: ClusterParams):
+    return KMeans(k=k, seed=seed, maxIter=p.max_iter, featuresCol="features",
+                  predictionCol="cluster").fit(vectors)
+
+
+def _fit_many(vectors: DataFrame, jobs: list[tuple[int, int]], p: ClusterParams) -> dict:
+    """Fit (k, seed) pairs as concurrent Spark jobs (like CrossValidator's
+    ``parallelism``); returns the lowest-cost model per k."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=max(1, p.parallelism)) as pool:
+        models = list(pool.map(lambda js: (js[0], _fit_one(vectors, js[0], js[1], p)), jobs))
+    best: dict = {}
+    for k, m in models:  # jobs are in seed order: ties keep the first seed
+        if k not in best or m.summary.trainingCost < best[k].summary.trainingCost:
+            best[k] = m
+    return best
+
+
 def fit_kmeans(vectors: DataFrame, k: int, p: ClusterParams = ClusterParams()):
     """Best of ``p.restarts`` K-Means runs (seeds seed, seed+1, ...) by cost."""
-    best = None
-    for r in range(max(1, p.restarts)):
-        model = KMeans(k=k, seed=p.seed + r, maxIter=p.max_iter, featuresCol="features",
-                       predictionCol="cluster").fit(vectors)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    return best
+    jobs = [(k, p.seed + r) for r in range(max(1, p.restarts))]
+    return _fit_many(vectors, jobs, p)[k]
 
 
 def kmeans_sweep(vectors: DataFrame, p: ClusterParams = ClusterParams()) -> DataFrame:
@@ -64,15 +78,18 @@ def kmeans_sweep(vectors: DataFrame, p: ClusterParams = ClusterParams()) -> Data
     the best K (highest silhouette) flagged. One small row per K."""
     ev = ClusteringEvaluator(featuresCol="features", predictionCol="cluster",
                              distanceMeasure="squaredEuclidean")
+    ks = list(range(p.k_min, p.k_max + 1))
+    jobs = [(k, p.seed + r) for k in ks for r in range(max(1, p.restarts))]
+    best = _fit_many(vectors, jobs, p)
     rows = []
-    for k in range(p.k_min, p.k_max + 1):
-        model = fit_kmeans(vectors, k, p)
+    for k in ks:
+        model = best[k]
         sil = ev.evaluate(model.transform(vectors))
         rows.append((k, float(model.summary.trainingCost), float(sil)))
     spark = vectors.sparkSession
     df = spark.createDataFrame(rows, "k int, inertia double, silhouette double")
-    best = F.max("silhouette").over(Window.partitionBy())  # one row per K
-    return df.withColumn("is_best", F.col("silhouette") == best)
+    top = F.max("silhouette").over(Window.partitionBy())  # one row per K
+    return df.withColumn("is_best", F.col("silhouette") == top)
 
 
 def kmeans_assign(features: DataFrame, p: ClusterParams = ClusterParams()) -> DataFrame:

@@ -168,3 +168,36 @@ def qcut(df: DataFrame, value: str, q: int, out: str, check_unique: bool = True,
     return (df.crossJoin(F.broadcast(edges.select(inner.alias("_edges"))))
               .withColumn(out, (F.lit(1) + F.size(F.filter("_edges", lambda e: F.col(value) > e))).cast("int"))
               .drop("_edges"))
+
+
+def metric_positions(df: DataFrame, key: str, metrics: Sequence[tuple[str, str, bool]],
+                     partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Positions of every row under several orderings in ONE range sort.
+
+    ``metrics`` = (name, column, ascending); ties break on ``key`` ascending.
+    The metric columns are stacked into a narrow (metric, value, key) frame,
+    globally indexed once, and each metric's block is re-based to 0.
+    Returns (wide, long): ``wide`` has ``key``, ``<name>_pos`` per metric and
+    ``_n``; ``long`` keeps (_metric, _v, _pos, _n) for order statistics.
+    """
+    parts = []
+    for name, c, asc in metrics:
+        v = F.col(c).cast("double")
+        parts.append(df.select(F.lit(name).alias("_metric"),
+                               (v if asc else F.lit(None).cast("double")).alias("_asc"),
+                               (F.lit(None).cast("double") if asc else v).alias("_desc"),
+                               F.col(key).alias("_key")))
+    stacked = parts[0]
+    for p in parts[1:]:
+        stacked = stacked.unionByName(p)
+    order = [F.col("_metric").asc(), F.col("_asc").asc_nulls_first(),
+             F.col("_desc").desc_nulls_first(), F.col("_key").asc()]
+    ranked = global_index(stacked, order, "_g", "_gn", partitions)
+    starts = ranked.groupBy("_metric").agg(F.min("_g").alias("_start"), F.count(F.lit(1)).alias("_n"))
+    long = (ranked.join(F.broadcast(starts), "_metric")  # one row per metric
+                  .select("_metric", "_key", F.coalesce("_asc", "_desc").alias("_v"),
+                          (F.col("_g") - F.col("_start")).alias("_pos"), "_n"))
+    wide = long.groupBy("_key").agg(
+        *[F.max(F.when(F.col("_metric") == name, F.col("_pos"))).alias(f"{name}_pos") for name, _, _ in metrics],
+        F.max("_n").alias("_n")).withColumnRenamed("_key", key)
+    return wide, long

@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import rules
 from ..functions.exprs import cents, days_between, half_up_div
 from ..params import SegmentParams
-from ..session import cut_lineage
-from .ranking import global_index, ntile_from_index
+from .ranking import metric_positions, ntile_from_index
 from .silver import observation_end
 
 SEGMENT_COLUMNS = [
@@ -70,29 +69,28 @@ def rfm_segments(silver: DataFrame, p: SegmentParams = SegmentParams(),
     spending customers 5 (documented intent); ``False`` reproduces the coded
     ordering where they score 1. CustomerID breaks ties.
     """
-    metrics = cut_lineage(customer_metrics(silver, p.anchor))
+    metrics = customer_metrics(silver, p.anchor)
     hi = p.best_is_high
-    tie = F.col("CustomerID").asc()
-    scored = metrics
-    for value, score, best_low in (("recency_days", "r_score", True),
-                                   ("frequency", "f_score", False),
-                                   ("monetary", "m_score", False)):
-        ascending = (not best_low) if hi else best_low
-        ranked = global_index(scored, [_direction(value, ascending), tie], "_idx", "_n", partitions)
-        scored = ranked.withColumn(score, ntile_from_index("_idx", "_n", p.buckets))
-        if value == "monetary":
-            # Percentile of monetary from the same sorted pass: ascending
-            # position of each row, then the two neighbours of p * (n - 1).
-            asc_pos = F.col("_idx") if ascending else F.col("_n") - 1 - F.col("_idx")
-            pos = F.lit(float(p.whale_percentile)) * (F.col("_n") - 1).cast("double")
-            picked = scored.select(asc_pos.alias("_pos"), pos.alias("_p"), "monetary").where(
-                (F.col("_pos") == F.floor("_p")) | (F.col("_pos") == F.ceil("_p")))
-            v_lo = F.max(F.when(F.col("_pos") == F.floor("_p"), F.col("monetary")))
-            v_hi = F.max(F.when(F.col("_pos") == F.ceil("_p"), F.col("monetary")))
-            frac = F.first(F.col("_p") - F.floor("_p"))
-            threshold = picked.agg((v_lo + (v_hi - v_lo) * frac).alias("_whale_min"))
-            scored = scored.crossJoin(F.broadcast(threshold))
-        scored = scored.drop("_idx", "_n")
+    # (score, value, ascending): best_is_high puts the most recent / most
+    # frequent / highest spending customers in the last bucket.
+    specs = [("r_score", "recency_days", not hi), ("f_score", "frequency", hi), ("m_score", "monetary", hi)]
+    wide, long = metric_positions(metrics, "CustomerID", specs, partitions)
+
+    # Exact PERCENTILE_CONT of monetary from the same sorted pass: ascending
+    # position p * (n - 1), interpolated between its two neighbours.
+    m_asc = hi
+    asc_pos = F.col("_pos") if m_asc else F.col("_n") - 1 - F.col("_pos")
+    at = F.lit(float(p.whale_percentile)) * (F.col("_n") - 1).cast("double")
+    picked = (long.where(F.col("_metric") == "m_score")
+                  .select(asc_pos.alias("_ap"), at.alias("_at"), "_v")
+                  .where((F.col("_ap") == F.floor("_at")) | (F.col("_ap") == F.ceil("_at"))))
+    v_lo = F.max(F.when(F.col("_ap") == F.floor("_at"), F.col("_v")))
+    v_hi = F.max(F.when(F.col("_ap") == F.ceil("_at"), F.col("_v")))
+    threshold = picked.agg((v_lo + (v_hi - v_lo) * F.first(F.col("_at") - F.floor("_at"))).alias("_whale_min"))
+
+    scored = metrics.join(wide, "CustomerID").crossJoin(F.broadcast(threshold))
+    for name, _, _ in specs:
+        scored = scored.withColumn(name, ntile_from_index(f"{name}_pos", "_n", p.buckets))
 
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
     seg = rules.segment(r, f, m)

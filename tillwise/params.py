@@ -84,7 +84,7 @@ class ClusterParams:
     restarts: int = 10
     seed: int = 42
     max_iter: int = 300
-    silhouette_sample: int = 2000
+    parallelism: int = 4             # concurrent fits (restarts, K sweep)
 
 
 @dataclass(frozen=True)
