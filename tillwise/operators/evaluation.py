@@ -15,6 +15,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .ranking import exact_quantiles, global_index, prefix_sums
 
 
@@ -22,6 +23,7 @@ def impute_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace NULLs by the exact median of each column (all rows). The
     columns are unpivoted so one range sort serves all medians."""
     cols = list(columns)
+    df = cut_lineage(df)  # read by the median sort and by the fill
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "_feature", "_value")
     med = exact_quantiles(long, "_value", {"_median": 0.5}, ["_feature"])
     wide = med.groupBy().pivot("_feature", cols).agg(F.first("_median"))

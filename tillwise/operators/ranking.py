@@ -157,7 +157,9 @@ def qcut(df: DataFrame, value: str, q: int, out: str, check_unique: bool = True,
          partitions: int | None = None) -> DataFrame:
     """``pd.qcut(x, q, labels=False) + 1``: right-closed equal-frequency bins,
     the lowest edge included. Duplicate edges raise like pandas does (the q+1
-    edges are the only values brought to the driver)."""
+    edges are the only values brought to the driver). The input is read by
+    the edge sort and by the labelling, so it is materialised once."""
+    df = cut_lineage(df)
     edges = quantile_edges(df, value, q, partitions)
     if check_unique:
         row = edges.collect()[0]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import rules
 from ..functions.exprs import cents, days_between, half_up_div
 from ..params import SegmentParams
+from ..session import cut_lineage
 from .ranking import metric_positions, ntile_from_index
 from .silver import observation_end
 
@@ -69,7 +70,9 @@ def rfm_segments(silver: DataFrame, p: SegmentParams = SegmentParams(),
     spending customers 5 (documented intent); ``False`` reproduces the coded
     ordering where they score 1. CustomerID breaks ties.
     """
-    metrics = customer_metrics(silver, p.anchor)
+    # The metrics are read three times (ranking, percentile, final join):
+    # materialise them once.
+    metrics = cut_lineage(customer_metrics(silver, p.anchor))
     hi = p.best_is_high
     # (score, value, ascending): best_is_high puts the most recent / most
     # frequent / highest spending customers in the last bucket.

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -78,10 +79,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (never a local one): the result survives lost
-    executors and later jobs see exactly the same rows."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as parquet in the session's shared checkpoint folder
+    and read it back (never a local checkpoint).
+
+    One computation of the plan (``Dataset.checkpoint`` runs it twice unless
+    cached); the result survives lost executors, every later job sees exactly
+    the same rows, and the read-back frame carries file statistics AQE uses
+    for join planning.
+    """
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark)
+    path = f"{root.rstrip('/')}/tillwise-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def default_parallelism(spark: SparkSession) -> int:
