@@ -86,8 +86,12 @@ def valid_inputs(inputs: DataFrame) -> DataFrame:
 
 
 def clv_heuristic(inputs: DataFrame, p: ClvParams = ClvParams(),
-                  repair_non_finite: bool = True) -> DataFrame:
-    """12-month CLV, 6-month purchases, probability alive and CLV tier."""
+                  repair_non_finite: bool = False) -> DataFrame:
+    """12-month CLV, 6-month purchases, probability alive and CLV tier.
+
+    Validated inputs (monetary value > 0, months active >= 1) cannot yield a
+    non-finite CLV, so the median repair is opt-in; ``non_finite_count`` is
+    the check."""
     v = valid_inputs(inputs)
     months = F.greatest(F.col("T").cast("double") / F.lit(p.days_per_month), F.lit(p.min_months))
     fpm = F.least(F.col("frequency").cast("double") / F.col("months_active"),
