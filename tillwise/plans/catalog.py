@@ -156,3 +156,18 @@ def q_clv_top10(spark, sf_dir):
 def q_clv_non_finite(spark, sf_dir):
     return clv.non_finite_count(clv.clv_heuristic(clv.clv_inputs(Inputs(spark, sf_dir).silver),
                                                   repair_non_finite=False))
+
+
+@register("bronze_csv_ingest")
+def q_bronze_csv_ingest(spark, sf_dir):
+    """CSV ingest path: the raw lines are landed as ISO-8859-1 CSV in the
+    session's checkpoint folder, then read back with the explicit schema."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    from ..sources.bronze import read_invoice_csv
+
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/landing-{uuid.uuid4().hex}"
+    (Inputs(spark, sf_dir).bronze.write.mode("overwrite").option("header", True)
+     .option("encoding", "ISO-8859-1").csv(path))
+    return read_invoice_csv(spark, path)
