@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..functions.exprs import cents, half_up_div
-from ..params import ClusterParams
+from ..params import ClusterParams  # noqa: F401 (re-exported)
 from ..session import cut_lineage
 from . import evaluation as E
 from .ranking import exact_quantiles

@@ -190,3 +190,15 @@ def baseline_scores(prep: DataFrame) -> DataFrame:
     z = F.col("engagement_score_z")
     return prep.select(KEY, F.col(LABEL).alias("label"), "is_train",
                        F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(z)), 9).alias("score"))
+
+
+def label_distribution(churn_mart: DataFrame) -> DataFrame:
+    """Customers per churn label and the overall churn rate (one row per
+    label; the total comes from a window over those two rows)."""
+    from pyspark.sql import Window
+
+    g = churn_mart.groupBy(F.col(LABEL).cast("long").alias(LABEL)).agg(F.count(F.lit(1)).alias("customers"))
+    everyone = Window.partitionBy()
+    rate = F.sum(F.col(LABEL) * F.col("customers")).over(everyone) / F.sum("customers").over(everyone)
+    return g.select(LABEL, F.col("customers").cast("long").alias("customers"),
+                    F.round(rate.cast("double"), 6).alias("churn_rate"))

@@ -251,3 +251,9 @@ def scorecard(bronze: DataFrame, p: CleaningParams = CleaningParams(),
         row("Date Range Span (days)", F.col("span_days"), none, F.lit("INFO")),
     )
     return one.select(F.inline(rows))
+
+
+def sample_rows(df: DataFrame, fraction: float = 0.1, seed: int = 42) -> DataFrame:
+    """Bernoulli row sample (each partition samples its own rows; the
+    fraction is the feature, used for quick looks only)."""
+    return df.sample(withReplacement=False, fraction=fraction, seed=seed)

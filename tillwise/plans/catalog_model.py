@@ -386,3 +386,28 @@ def q_risk_summary(spark, sf_dir):
 @register("at_risk_exposure")
 def q_at_risk_exposure(spark, sf_dir):
     return M.at_risk_exposure(_lr_scored(Inputs(spark, sf_dir)))
+
+
+@register("churn_label_rate", MODEL_SQL + """
+  , g AS (SELECT CAST(churn_label AS BIGINT) AS churn_label, COUNT(*) AS customers FROM churn GROUP BY 1)
+  SELECT churn_label, CAST(customers AS BIGINT) AS customers,
+    ROUND(CAST(SUM(churn_label * customers) OVER () AS DOUBLE) / CAST(SUM(customers) OVER () AS DOUBLE), 6) AS churn_rate
+  FROM g""")
+def q_churn_label_rate(spark, sf_dir):
+    return M.label_distribution(_mart(Inputs(spark, sf_dir)))
+
+
+@register("cluster_silhouette")
+def q_cluster_silhouette(spark, sf_dir):
+    """Squared-Euclidean silhouette (closed form per point and cluster, no
+    pairs) of the K-Means assignment and of the fixed-centroid assignment."""
+    i = Inputs(spark, sf_dir)
+    seg = _segments(i)
+    feats = _features(i, seg)
+    vectors = C.prepare_vectors(feats)
+    km = C.fit_kmeans(vectors, C.ClusterParams().k)
+    kmeans_sil = C.silhouette(km.transform(vectors))
+    fixed = _fixed_clusters(i)[1].select("CustomerID", "cluster")
+    fixed_sil = C.silhouette(vectors.join(fixed, "CustomerID"))
+    return spark.createDataFrame([("kmeans", float(kmeans_sil)), ("fixed_centroids", float(fixed_sil))],
+                                 "assignment string, silhouette double")

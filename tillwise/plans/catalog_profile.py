@@ -216,3 +216,8 @@ def q_histograms(spark, sf_dir):
   UNION ALL SELECT 'Date Range Span (days)', span, NULL, 'INFO' FROM v""")
 def q_scorecard(spark, sf_dir):
     return P.scorecard(Inputs(spark, sf_dir).bronze)
+
+
+@register("sample_rows")
+def q_sample_rows(spark, sf_dir):
+    return P.sample_rows(Inputs(spark, sf_dir).bronze)

@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The analysed pipeline runs batch only (manual full refreshes); it has no
+stream source, watermark, windowed aggregate or state, so there is no
+streaming operator to provide.
+"""
