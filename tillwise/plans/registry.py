@@ -53,12 +53,18 @@ class Inputs:
 
     @property
     def silver(self) -> DataFrame:
+        """Clean lines, materialised once: every mart reads them at least
+        twice (observation end plus its aggregate), and a lazy chain would
+        redo the joins and the dedup shuffle for each read."""
         from ..operators.silver import stg_transactions
-        return self._get("silver", lambda: stg_transactions(self.bronze))
+        from ..session import cut_lineage
+        return self._get("silver", lambda: cut_lineage(stg_transactions(self.bronze)))
 
     @property
     def profiles(self) -> DataFrame:
-        return self._get("profiles", lambda: profiles(self.spark, self.sf_dir, self.bronze))
+        from ..operators.silver import observation_end
+        return self._get("profiles", lambda: profiles(self.spark, self.sf_dir, self.bronze,
+                                                      observation_end(self.silver)))
 
     @property
     def customers(self) -> DataFrame:
