@@ -253,3 +253,11 @@ def test_rfm_distributed_equals_window_form(spark, hi):
     a = rfm_segments(silver, SegmentParams(best_is_high=hi))
     b = rfm_segments_window(silver, SegmentParams(best_is_high=hi))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_exact_quantiles_with_a_hot_value(spark):
+    import numpy as np
+    xs = [1.0] * 3000 + [float(i) for i in range(6000)]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    got = ranking.exact_quantiles(df, "x", {"a": 0.1, "b": 0.5, "c": 0.99}, partitions=8).first()
+    assert (got.a, got.b, got.c) == pytest.approx(tuple(np.percentile(xs, [10, 50, 99])), rel=1e-12)

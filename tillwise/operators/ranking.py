@@ -116,25 +116,32 @@ def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float],
     ``quantile_cont``, numpy ``linear``) of ``value`` per group.
 
     Position ``p * (n - 1)`` inside the group's sorted values; NULLs ignored.
-    One range sort of (group, value); only the two neighbours of every
-    requested position reach the final aggregate.
+    Rows are first counted per distinct (group, value) - a value held by a
+    third of all rows collapses to one row map-side - then running counts
+    over the distinct values locate each requested position; only the
+    distinct values around those positions reach the final aggregate.
     """
     group_cols = list(group_cols)
     base = df.select(*group_cols, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    ranked = global_index(base, [*group_cols, "_v"], "_idx", "_n", partitions)
+    counts = base.groupBy(*group_cols, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    cum = prefix_sums(counts, [*group_cols, "_v"], ["_c"], "_cum", partitions)  # -> _cum_c (inclusive)
     if group_cols:
-        stats = ranked.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_ng"), F.min("_idx").alias("_start"))
-        joined = ranked.join(stats, group_cols)
+        stats = cum.groupBy(*group_cols).agg(F.sum("_c").alias("_ng"),
+                                             F.min(F.col("_cum_c") - F.col("_c")).alias("_start"))
+        joined = cum.join(stats, group_cols)
     else:
-        joined = ranked.withColumn("_ng", F.col("_n")).withColumn("_start", F.lit(0).cast("long"))
-    joined = joined.withColumn("_pos", F.col("_idx") - F.col("_start"))
+        joined = cum.withColumn("_ng", F.col("total__c")).withColumn("_start", F.lit(0).cast("long"))
+    # 0-based positions covered by this distinct value: [_first, _last]
+    joined = (joined.withColumn("_last", F.col("_cum_c") - F.col("_start") - 1)
+                    .withColumn("_first", F.col("_last") - F.col("_c") + 1))
+    covers = lambda k: (F.col("_first") <= k) & (k <= F.col("_last"))
     conds, aggs = [], []
     for name, p in probs.items():
         pos = F.lit(float(p)) * (F.col("_ng") - 1).cast("double")
         lo, hi = F.floor(pos), F.ceil(pos)
-        conds += [F.col("_pos") == lo, F.col("_pos") == hi]
-        v_lo = F.max(F.when(F.col("_pos") == lo, F.col("_v")))
-        v_hi = F.max(F.when(F.col("_pos") == hi, F.col("_v")))
+        conds += [covers(lo), covers(hi)]
+        v_lo = F.max(F.when(covers(lo), F.col("_v")))
+        v_hi = F.max(F.when(covers(hi), F.col("_v")))
         frac = F.first(pos - lo)
         aggs.append((v_lo + (v_hi - v_lo) * frac).alias(name))
     keep = conds[0]

@@ -411,3 +411,30 @@ def q_cluster_silhouette(spark, sf_dir):
     fixed_sil = C.silhouette(vectors.join(fixed, "CustomerID"))
     return spark.createDataFrame([("kmeans", float(kmeans_sil)), ("fixed_centroids", float(fixed_sil))],
                                  "assignment string, silhouette double")
+
+
+_RFM_DESC = ["recency_days", "frequency", "monetary", "recency_log", "frequency_log", "monetary_log"]
+_rfm_union = " UNION ALL ".join(f"SELECT '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM feat" for m in _RFM_DESC)
+_DESC_COLS = """metric, CAST(COUNT(value) AS BIGINT) AS count, ROUND(AVG(value), 6) AS mean,
+    ROUND(stddev_samp(value), 6) AS std, ROUND(MIN(value), 6) AS "min", ROUND(quantile_cont(value, 0.25), 6) AS p25,
+    ROUND(quantile_cont(value, 0.5), 6) AS p50, ROUND(quantile_cont(value, 0.75), 6) AS p75, ROUND(MAX(value), 6) AS "max"
+"""
+
+
+@register("describe_rfm", FEAT_SQL + f", dl AS ({_rfm_union}) SELECT {_DESC_COLS} FROM dl GROUP BY metric")
+def q_describe_rfm(spark, sf_dir):
+    from ..operators import profiling
+    return profiling.describe(_features(Inputs(spark, sf_dir)), _RFM_DESC)
+
+
+_CLV_DESC = ["frequency", "recency", "T", "monetary_value", "clv_12m", "predicted_purchases_6m", "probability_alive"]
+_clv_union = " UNION ALL ".join(f"SELECT '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM clv_tiered" for m in _CLV_DESC)
+
+
+@register("describe_clv", O.with_ctes(O.BRONZE, O.SILVER, O.CLV_INPUTS, O.CLV_SCORED)
+          + f", dl AS ({_clv_union}) SELECT {_DESC_COLS} FROM dl GROUP BY metric")
+def q_describe_clv(spark, sf_dir):
+    from ..operators import clv as clv_ops
+    from ..operators import profiling
+    scored = clv_ops.clv_heuristic(clv_ops.clv_inputs(Inputs(spark, sf_dir).silver))
+    return profiling.describe(scored, _CLV_DESC)
