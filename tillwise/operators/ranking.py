@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, default_parallelism
+from ..session import cut_lineage
 
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition id << 33 | position
 
@@ -38,11 +38,12 @@ def range_tag(df: DataFrame, order: Sequence[str | Column], partitions: int | No
     """Range-partition and sort on ``order``; add ``_pid`` (partition) and
     ``_local`` (position inside it). Checkpointed so every later job sees the
     same assignment."""
-    spark = df.sparkSession
-    nparts = partitions or default_parallelism(spark)
     keys = [_order_key(c) for c in order]
-    tagged = (df.repartitionByRange(nparts, *keys)
-                .sortWithinPartitions(*keys)
+    # Without an explicit count AQE may merge adjacent ranges into fewer,
+    # larger partitions; the order survives because the tags are computed
+    # after the (merged) shuffle read, in the same job that materialises them.
+    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+    tagged = (ranged.sortWithinPartitions(*keys)
                 .withColumn("_mid", F.monotonically_increasing_id()))
     tagged = (tagged.withColumn("_pid", F.shiftright(F.col("_mid"), _LOCAL_BITS))
                     .withColumn("_local", F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)))
