@@ -19,6 +19,7 @@ def spark():
     scratch = tempfile.mkdtemp(prefix="tillwise-tests-")
     s = build_session("local[4]", app="tillwise-tests", shuffle_partitions=4,
                       extra={"spark.checkpoint.dir": os.path.join(scratch, "ckpt"),
+                             "spark.sql.warehouse.dir": os.path.join(scratch, "warehouse"),
                              "spark.driver.memory": "4g"})
     s.sparkContext.setLogLevel("ERROR")
     yield s

@@ -38,3 +38,14 @@ def test_csv_ingest_roundtrip(spark):
     a = q["bronze_csv_ingest"](spark, SMALL)
     b = q["bronze_invoice_lines"](spark, SMALL)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_bucketed_catalog_table(spark):
+    from tillwise.sources.catalog import save_table
+    seg = queries()["customer_metrics"](spark, SMALL)
+    name = save_table(seg, "mart_customer_segments", bucket_by=(4, "CustomerID"))
+    assert name == "gold.mart_customer_segments"
+    t = spark.table(name)
+    assert t.count() == seg.count()
+    plan = t.groupBy("CustomerID").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan  # bucketed on the key: no shuffle for a per-key aggregate

@@ -21,7 +21,8 @@ def q_bronze(spark, sf_dir):
           O.with_ctes(*BRONZE_SILVER) + " SELECT * REPLACE (CAST(line_total AS DOUBLE) AS line_total) FROM silver",
           headline=True)
 def q_stg_transactions(spark, sf_dir):
-    return silver.output(Inputs(spark, sf_dir).silver)
+    # the table itself is the only consumer here: no materialisation needed
+    return silver.output(silver.stg_transactions(Inputs(spark, sf_dir).bronze))
 
 
 @register("customer_profile", O.with_ctes(*BRONZE_SILVER, O.PROFILES) + " SELECT * FROM profiles")
