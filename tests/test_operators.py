@@ -261,3 +261,33 @@ def test_exact_quantiles_with_a_hot_value(spark):
     df = spark.createDataFrame([(x,) for x in xs], "x double")
     got = ranking.exact_quantiles(df, "x", {"a": 0.1, "b": 0.5, "c": 0.99}, partitions=8).first()
     assert (got.a, got.b, got.c) == pytest.approx(tuple(np.percentile(xs, [10, 50, 99])), rel=1e-12)
+
+
+def test_clv_invoice_unit_counts_invoices(spark):
+    from tillwise.params import ClvParams
+    rows = [("1", "A1", "d", 1, "01-12-2010 08:00", 2.0, "C1", "United Kingdom"),
+            ("1", "A2", "d", 1, "01-12-2010 08:00", 3.0, "C1", "United Kingdom"),
+            ("2", "A1", "d", 2, "05-12-2010 09:00", 4.0, "C1", "United Kingdom")]
+    silver = _silver_rows(spark, rows)
+    by_line = clv_inputs(silver).first()
+    by_invoice = clv_inputs(silver, ClvParams(unit="invoice")).first()
+    assert (by_line.frequency, by_line.monetary_value) == (2, 5.5)   # lines 3.0 and 8.0 after the first
+    assert (by_invoice.frequency, by_invoice.monetary_value) == (1, 8.0)  # second invoice only
+
+
+def test_recency_anchor_parameter(spark):
+    from tillwise.operators.rfm import customer_metrics
+    silver = _silver_rows(spark, [ROW])
+    at_end = customer_metrics(silver).first().recency_days
+    fixed = customer_metrics(silver, "2010-12-11 08:26:00").first().recency_days
+    assert (at_end, fixed) == (0, 10)
+
+
+def test_probability_alive_variants(spark):
+    from tillwise.operators.clv import clv_heuristic
+    from tillwise.params import ClvParams
+    df = spark.createDataFrame([("a", 3, 30, 120, 10.0)], "CustomerID string, frequency long, recency long, T long, monetary_value double")
+    coded = clv_heuristic(df).first()
+    corrected = clv_heuristic(df, ClvParams(corrected_alive=True)).first()
+    assert coded.probability_alive == 0.75 and corrected.probability_alive == 0.25
+    assert coded.months_active == 4.0 and coded.freq_per_month == 0.75 and coded.clv_12m == 90.0
