@@ -32,7 +32,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     scratch = tempfile.mkdtemp(prefix="tillwise-bench-")
     spark = build_session(
-        f"local[{cpus}]", app="tillwise-bench", shuffle_partitions=int(cpus) * 2,
+        f"local[{cpus}]", app="tillwise-bench", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", int(cpus) * 2)),
         extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
                "spark.checkpoint.dir": os.path.join(scratch, "ckpt"),
                "spark.local.dir": os.path.join(scratch, "local")})

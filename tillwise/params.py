@@ -74,6 +74,7 @@ class ModelParams:
     rf_min_leaf: int = 10
     threshold: float = 0.5
     score_model: str = "lr"
+    parallelism: int = 5             # concurrent fold fits
 
 
 @dataclass(frozen=True)
@@ -84,7 +85,7 @@ class ClusterParams:
     restarts: int = 10
     seed: int = 42
     max_iter: int = 300
-    parallelism: int = 4             # concurrent fits (restarts, K sweep)
+    parallelism: int = 8             # concurrent fits (restarts, K sweep)
 
 
 @dataclass(frozen=True)
