@@ -156,8 +156,12 @@ def profiles(spark: SparkSession, sf_dir: str, bronze: DataFrame | None = None,
         F.sum(F.when(positive, line_total("Quantity", "UnitPrice"))).alias("_spend"),
         F.sum(F.when(positive, F.col("Quantity"))).alias("total_items"),
         F.count_distinct("StockCode").alias("unique_products"),
-        F.min("Country").alias("country"),
     )
+    # A string MIN buffer would force sort-based aggregation of every line;
+    # the country comes from the (few) distinct customer/country pairs instead.
+    country = (lines.select("CustomerID", "Country").distinct()
+               .groupBy("CustomerID").agg(F.min("Country").alias("country")))
+    agg = agg.join(country, "CustomerID")
     tier_map = F.create_map(*[F.lit(x) for kv in SEGMENT_TIER.items() for x in kv])
     fee_map = F.create_map(*[F.lit(x) for kv in TIER_FEE.items() for x in kv])
     cust = read_table(spark, sf_dir, "customer").select(
