@@ -167,4 +167,4 @@ def curve_points(df: DataFrame, label: str = "label", score: str = "score") -> D
     origin = spark.createDataFrame(
         [(float("inf"), 0, 0, 0.0, 0.0, 1.0)],
         "threshold double, tps long, fps long, fpr double, tpr double, precision double")
-    return pts.unionByName(origin).withColumnRenamed("tpr", "tpr").withColumn("recall", F.col("tpr"))
+    return pts.unionByName(origin).withColumn("recall", F.col("tpr"))

@@ -103,7 +103,6 @@ def _row_failure(check: Check):
 def run_checks(df: DataFrame, table: str, checks: list[Check]) -> DataFrame:
     """One row per check: table_name, column_name, test_name, test_args,
     failures, passed."""
-    spark = df.sparkSession
     row_checks = [c for c in checks if c.kind != "unique"]
     parts = []
     if row_checks:
@@ -125,7 +124,6 @@ def run_checks(df: DataFrame, table: str, checks: list[Check]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    del spark
     return out.withColumn("passed", F.col("failures") == 0)
 
 

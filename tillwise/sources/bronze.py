@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.exprs import cents, days_between, line_total
+from ..functions.exprs import days_between, line_total
 from ..params import CleaningParams
 
 # Raw schema of the invoice-line table (all nullable, InvoiceDate is text).
@@ -187,4 +187,4 @@ def profiles(spark: SparkSession, sf_dir: str, bronze: DataFrame | None = None,
 
 
 __all__ = ["invoice_lines", "profiles", "read_invoice_csv", "read_table", "DirtSpec",
-           "INVOICE_COLUMNS", "INVOICE_DDL", "cents"]
+           "INVOICE_COLUMNS", "INVOICE_DDL"]
