@@ -203,10 +203,13 @@ def metric_positions(df: DataFrame, key: str, metrics: Sequence[tuple[str, str,
     order = [F.col("_metric").asc(), F.col("_asc").asc_nulls_first(),
              F.col("_desc").desc_nulls_first(), F.col("_key").asc()]
     ranked = global_index(stacked, order, "_g", "_gn", partitions)
-    starts = ranked.groupBy("_metric").agg(F.min("_g").alias("_start"), F.count(F.lit(1)).alias("_n"))
-    long = (ranked.join(F.broadcast(starts), "_metric")  # one row per metric
-                  .select("_metric", "_key", F.coalesce("_asc", "_desc").alias("_v"),
-                          (F.col("_g") - F.col("_start")).alias("_pos"), "_n"))
+    # Every metric contributes exactly n rows and blocks are sorted by metric
+    # name, so block i starts at i * n: no per-metric aggregate is needed.
+    names = sorted(name for name, _, _ in metrics)
+    block = F.create_map(*[x for i, nm in enumerate(names) for x in (F.lit(nm), F.lit(i))])
+    n = (F.col("_gn") / F.lit(len(names))).cast("long")
+    long = ranked.select("_metric", "_key", F.coalesce("_asc", "_desc").alias("_v"),
+                         (F.col("_g") - block[F.col("_metric")] * n).alias("_pos"), n.alias("_n"))
     wide = long.groupBy("_key").agg(
         *[F.max(F.when(F.col("_metric") == name, F.col("_pos"))).alias(f"{name}_pos") for name, _, _ in metrics],
         F.max("_n").alias("_n")).withColumnRenamed("_key", key)
