@@ -226,12 +226,22 @@ def distribution_histograms(bronze: DataFrame, customers: DataFrame, bins: int =
 
 def scorecard(bronze: DataFrame, p: CleaningParams = CleaningParams(),
               high_null_share: float = 0.2) -> DataFrame:
-    """Eight data quality metrics with value, share and severity."""
-    v = rule_violations(bronze, p)
-    dup = duplicate_profile(bronze).select("duplicate_rows")
-    cust = customer_metrics(bronze, p).agg(F.count(F.lit(1)).cast("long").alias("valid_customers"))
-    span = date_span(bronze, p).select("span_days")
-    one = v.crossJoin(dup).crossJoin(cust).crossJoin(span)
+    """Eight data quality metrics with value, share and severity, from two
+    passes over the table: one aggregate (counts, date span, customers with
+    a valid line) and the duplicate grouping."""
+    q, price = F.col("Quantity"), F.col("UnitPrice")
+    ts = F.try_to_timestamp(F.col("InvoiceDate"), F.lit(p.timestamp_format))
+    valid = F.col("CustomerID").isNotNull() & (q > 0) & (price > 0)
+    stats = bronze.agg(
+        F.count(F.lit(1)).alias("total_rows"),
+        F.count_if(F.col("CustomerID").isNull()).alias("null_customer"),
+        F.count_if(F.col("Description").isNull()).alias("null_description"),
+        F.count_if(F.col("InvoiceNo").startswith(p.cancel_prefix)).alias("cancelled"),
+        F.count_if(price <= 0).alias("price_not_positive"),
+        F.count_distinct(F.when(valid, F.col("CustomerID"))).alias("valid_customers"),
+        days_between(F.min(ts), F.max(ts)).alias("span_days"),
+    )
+    one = stats.crossJoin(duplicate_profile(bronze).select("duplicate_rows"))
     t = F.col("total_rows")
 
     def row(metric, value, pct, severity):
