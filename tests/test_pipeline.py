@@ -49,3 +49,12 @@ def test_bucketed_catalog_table(spark):
     assert t.count() == seg.count()
     plan = t.groupBy("CustomerID").count()._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan  # bucketed on the key: no shuffle for a per-key aggregate
+
+
+def test_cut_lineage_uses_the_session_checkpoint_folder(spark):
+    from tillwise.session import cut_lineage, ensure_checkpoint_dir
+    root = ensure_checkpoint_dir(spark)
+    df = cut_lineage(spark.range(10))
+    files = df.inputFiles()
+    assert files and all(f.startswith(root) or f.startswith("file:" + root) or root in f for f in files)
+    assert df.count() == 10
