@@ -438,3 +438,26 @@ def q_describe_clv(spark, sf_dir):
     from ..operators import profiling
     scored = clv_ops.clv_heuristic(clv_ops.clv_inputs(Inputs(spark, sf_dir).silver))
     return profiling.describe(scored, _CLV_DESC)
+
+
+_CURVE_SQL = """
+  , g AS (SELECT score, SUM(label) AS pos, SUM(1 - label) AS neg FROM test_scores GROUP BY score),
+  r AS (SELECT score, SUM(pos) OVER w AS tps, SUM(neg) OVER w AS fps, SUM(pos) OVER () AS P, SUM(neg) OVER () AS N
+        FROM g WINDOW w AS (ORDER BY score DESC ROWS UNBOUNDED PRECEDING)),
+  pts AS (
+    SELECT score AS threshold,
+      ROUND(CASE WHEN N = 0 THEN 0.0 ELSE CAST(fps AS DOUBLE) / CAST(N AS DOUBLE) END, 9) AS fpr,
+      ROUND(CASE WHEN P = 0 THEN 0.0 ELSE CAST(tps AS DOUBLE) / CAST(P AS DOUBLE) END, 9) AS tpr,
+      ROUND(CAST(tps AS DOUBLE) / CAST(tps + fps AS DOUBLE), 9) AS precision
+    FROM r
+    UNION ALL SELECT CAST('inf' AS DOUBLE), 0.0, 0.0, 1.0)"""
+
+
+@register("roc_points", MODEL_SQL + _CURVE_SQL + " SELECT threshold, fpr, tpr FROM pts")
+def q_roc_points(spark, sf_dir):
+    return E.curve_points(_baseline_test(Inputs(spark, sf_dir))).select("threshold", "fpr", "tpr")
+
+
+@register("pr_points", MODEL_SQL + _CURVE_SQL + " SELECT threshold, precision, tpr AS recall FROM pts")
+def q_pr_points(spark, sf_dir):
+    return E.curve_points(_baseline_test(Inputs(spark, sf_dir))).select("threshold", "precision", "recall")
