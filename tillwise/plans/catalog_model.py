@@ -12,8 +12,8 @@ from fractions import Fraction
 
 from pyspark.sql import functions as F
 
-from ..operators import churn, clustering as C, evaluation as E, modeling as M, rfm
-from ..params import ModelParams, SegmentParams
+from ..operators import churn, clustering as C, evaluation as E, modeling as M
+from ..params import ModelParams
 from . import oracle as O
 from .registry import Inputs, register
 
@@ -58,7 +58,7 @@ FEAT_SQL = O.with_ctes(*SEG_CHAIN, FEAT)
 
 
 def _segments(i: Inputs):
-    return rfm.rfm_segments(i.silver, SegmentParams(best_is_high=True))
+    return i.segments
 
 
 def _features(i: Inputs, segments=None):

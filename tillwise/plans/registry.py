@@ -66,6 +66,13 @@ class Inputs:
         return self._get("profiles", lambda: profiles(self.spark, self.sf_dir, self.bronze,
                                                       observation_end(self.silver)))
 
+    @property
+    def segments(self) -> DataFrame:
+        """RFM segments (documented score direction), built once per run."""
+        from ..operators.rfm import rfm_segments
+        from ..params import SegmentParams
+        return self._get("segments", lambda: rfm_segments(self.silver, SegmentParams(best_is_high=True)))
+
     @property
     def customers(self) -> DataFrame:
         from ..operators.silver import stg_customers
