@@ -9,12 +9,15 @@ the bottleneck, so the operators here compute an exact global 0-based index:
    third of all rows still spreads over many tasks;
 2. sort within each partition and tag every row with its partition id and
    local position (``monotonically_increasing_id`` packs both);
-3. reliable checkpoint, so the row-to-partition assignment never changes
-   between the jobs that read it;
+3. materialise the tagged rows in the session's checkpoint folder, so the
+   row-to-partition assignment never changes between the jobs that read it;
 4. per-partition counts (one row per partition) -> running offsets -> a
    broadcast join whose size is bounded by the partition count.
 
-NTILE buckets, exact percentiles and quantile bins follow from (index, n).
+NTILE buckets follow from (index, n); running sums (``prefix_sums``) use the
+same partition offsets; exact quantiles and quantile bins run on running
+counts of distinct values; ``metric_positions`` ranks several orderings of
+the same rows in one sort.
 """
 
 from __future__ import annotations
