@@ -159,7 +159,7 @@ def q_clv_non_finite(spark, sf_dir):
                                                   repair_non_finite=False))
 
 
-@register("bronze_csv_ingest")
+@register("bronze_csv_ingest", O.with_ctes(O.BRONZE) + " SELECT * FROM bronze")
 def q_bronze_csv_ingest(spark, sf_dir):
     """CSV ingest path: the raw lines are landed as ISO-8859-1 CSV in the
     session's checkpoint folder, then read back with the explicit schema."""
