@@ -71,11 +71,29 @@ def q_segment_summary(spark, sf_dir):
     return rfm.segment_summary(seg)
 
 
+# Behaviour counts are NULL for profiles without clean lines (left join).
+# The query reports them as DOUBLE on both engines: a NULL-bearing integer
+# column otherwise reaches pandas as float64 from Spark but as nullable Int64
+# from DuckDB, and the two would not compare equal value by value.
+NULLABLE_BEHAVIOUR = ["total_transactions", "total_items", "unique_products", "recency_days",
+                      "customer_lifespan_days", "active_months", "has_high_value_order",
+                      "has_bulk_purchase"]
+
+
+def as_double(df, cols):
+    return df.select(*[F.col(c).cast("double").alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+def sql_as_double(cols) -> str:
+    return "* REPLACE (" + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in cols) + ")"
+
+
 @register("churn_features",
-          O.with_ctes(*BRONZE_SILVER, O.PROFILES, O.CHURN) + " SELECT * FROM churn", headline=True)
+          O.with_ctes(*BRONZE_SILVER, O.PROFILES, O.CHURN) + f" SELECT {sql_as_double(NULLABLE_BEHAVIOUR)} FROM churn",
+          headline=True)
 def q_churn_features(spark, sf_dir):
     i = Inputs(spark, sf_dir)
-    return churn.churn_features(i.silver, i.customers)
+    return as_double(churn.churn_features(i.silver, i.customers), NULLABLE_BEHAVIOUR)
 
 
 @register("clv_inputs", O.with_ctes(*BRONZE_SILVER, O.CLV_INPUTS) + " SELECT * FROM clv_inputs",

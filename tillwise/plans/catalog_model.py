@@ -218,11 +218,13 @@ def q_churn_training_set(spark, sf_dir):
     return M.training_set(_mart(Inputs(spark, sf_dir)))
 
 
-@register("stratified_split", MODEL_SQL + " SELECT CustomerID, churn_label, is_train, fold FROM split")
+# ``fold`` is NULL for test rows: reported as DOUBLE on both engines (see
+# catalog.NULLABLE_BEHAVIOUR for why).
+@register("stratified_split", MODEL_SQL + " SELECT CustomerID, churn_label, is_train, CAST(fold AS DOUBLE) AS fold FROM split")
 def q_stratified_split(spark, sf_dir):
     ts = M.training_set(_mart(Inputs(spark, sf_dir)))
     return E.stratified_split(ts, M.LABEL, M.KEY, P.seed, P.train_fraction, P.folds).select(
-        "CustomerID", "churn_label", "is_train", "fold")
+        "CustomerID", "churn_label", "is_train", F.col("fold").cast("double").alias("fold"))
 
 
 @register("class_weights", MODEL_SQL + " SELECT * FROM weights")
@@ -233,11 +235,12 @@ def q_class_weights(spark, sf_dir):
 
 
 @register("churn_model_input", MODEL_SQL + f"""
-  SELECT CustomerID, churn_label, is_train, fold, weight, {", ".join(f"ROUND({c}_z, 6) AS {c}_z" for c in FEATS)}
+  SELECT CustomerID, churn_label, is_train, CAST(fold AS DOUBLE) AS fold, weight,
+    {", ".join(f"ROUND({c}_z, 6) AS {c}_z" for c in FEATS)}
   FROM prepared""")
 def q_churn_model_input(spark, sf_dir):
     prep = _prepared(Inputs(spark, sf_dir))
-    return prep.select("CustomerID", "churn_label", "is_train", "fold", "weight",
+    return prep.select("CustomerID", "churn_label", "is_train", F.col("fold").cast("double").alias("fold"), "weight",
                        *[F.round(f"{c}_z", 6).alias(f"{c}_z") for c in FEATS])
 
 
