@@ -168,3 +168,10 @@ def curve_points(df: DataFrame, label: str = "label", score: str = "score") -> D
         [(float("inf"), 0, 0, 0.0, 0.0, 1.0)],
         "threshold double, tps long, fps long, fpr double, tpr double, precision double")
     return pts.unionByName(origin).withColumn("recall", F.col("tpr"))
+
+
+def split_summary(split: DataFrame, label: str) -> DataFrame:
+    """Rows and positive-label rate of the train and test parts."""
+    return split.groupBy(F.when(F.col("is_train"), "train").otherwise("test").alias("part")).agg(
+        F.count(F.lit(1)).cast("long").alias("customers"),
+        F.round(F.avg(F.col(label).cast("double")), 6).alias("churn_rate"))

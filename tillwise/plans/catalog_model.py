@@ -464,3 +464,12 @@ def q_roc_points(spark, sf_dir):
 @register("pr_points", MODEL_SQL + _CURVE_SQL + " SELECT threshold, precision, tpr AS recall FROM pts")
 def q_pr_points(spark, sf_dir):
     return E.curve_points(_baseline_test(Inputs(spark, sf_dir))).select("threshold", "precision", "recall")
+
+
+@register("split_summary", MODEL_SQL + """
+  SELECT CASE WHEN is_train THEN 'train' ELSE 'test' END AS part, CAST(COUNT(*) AS BIGINT) AS customers,
+    ROUND(AVG(CAST(churn_label AS DOUBLE)), 6) AS churn_rate
+  FROM split GROUP BY 1""")
+def q_split_summary(spark, sf_dir):
+    ts = M.training_set(_mart(Inputs(spark, sf_dir)))
+    return E.split_summary(E.stratified_split(ts, M.LABEL, M.KEY, P.seed, P.train_fraction, P.folds), M.LABEL)
