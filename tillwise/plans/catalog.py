@@ -102,6 +102,14 @@ def q_clv_inputs(spark, sf_dir):
     return clv.clv_inputs(Inputs(spark, sf_dir).silver)
 
 
+@register("clv_inputs_invoice",
+          O.with_ctes(*BRONZE_SILVER, O.CLV_INPUTS_INVOICE) + " SELECT * FROM clv_inputs_invoice")
+def q_clv_inputs_invoice(spark, sf_dir):
+    """Repeat purchases counted per invoice instead of per line."""
+    from ..params import ClvParams
+    return clv.clv_inputs(Inputs(spark, sf_dir).silver, ClvParams(unit="invoice"))
+
+
 @register("clv_preconditions", O.with_ctes(*BRONZE_SILVER, O.CLV_INPUTS) + """
   SELECT CAST(COUNT(*) AS BIGINT) AS "rows",
     CAST(COUNT(*) FILTER (WHERE frequency = 0) AS BIGINT) AS frequency_zero,
