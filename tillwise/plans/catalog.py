@@ -58,6 +58,13 @@ def q_rfm_segments_inverted(spark, sf_dir):
     return rfm.rfm_segments(Inputs(spark, sf_dir).silver, SegmentParams(best_is_high=False))
 
 
+@register("rfm_segments_as_coded",
+          O.with_ctes(*BRONZE_SILVER, O.CUSTOMER_METRICS_TODAY, O.segments_cte(False)) + " SELECT * FROM segments")
+def q_rfm_segments_as_coded(spark, sf_dir):
+    """The literal original: recency against today's date, bucket 1 = best."""
+    return rfm.rfm_segments(Inputs(spark, sf_dir).silver, SegmentParams(best_is_high=False, anchor="current_date"))
+
+
 @register("segment_summary",
           O.with_ctes(*BRONZE_SILVER, O.CUSTOMER_METRICS, O.segments_cte(True)) + f"""
   SELECT customer_segment, business_priority, CAST(COUNT(*) AS BIGINT) AS customers,
