@@ -205,3 +205,43 @@ def q_bronze_csv_ingest(spark, sf_dir):
     (Inputs(spark, sf_dir).bronze.write.mode("overwrite").option("header", True)
      .option("encoding", "ISO-8859-1").csv(path))
     return read_invoice_csv(spark, path)
+
+
+_MEDALLION_TABLES = [
+    ("online_retail", "bronze", "bronze"), ("stg_transactions", "silver", "silver"),
+    ("customers_simulated", "bronze", "profiles"), ("stg_customers", "silver", "stg_customers"),
+    ("mart_customer_segments", "gold", "segments"), ("mart_clv_projections", "gold", "clv_inputs"),
+    ("mart_churn_risk", "gold", "churn"),
+]
+
+
+def _medallion_sql() -> str:
+    from ..operators import quality
+    parts = [f"SELECT '{t}' AS table_name, '{schema}' AS schema_name, CAST(COUNT(*) AS BIGINT) AS row_count FROM {cte}"
+             for t, schema, cte in _MEDALLION_TABLES]
+    parts.append("SELECT 'dq_report', 'default', CAST(COUNT(*) AS BIGINT) FROM (" + O.dq_sql(quality.SPECS) + ")")
+    return O.with_ctes(*BRONZE_SILVER, O.PROFILES, O.CUSTOMER_METRICS, O.segments_cte(True), O.CLV_INPUTS,
+                       O.CHURN) + " " + " UNION ALL ".join(parts)
+
+
+@register("medallion_row_counts", _medallion_sql())
+def q_medallion_row_counts(spark, sf_dir):
+    """Full refresh of bronze, silver, gold and the quality report into a new
+    folder under the checkpoint folder; each written table is read back and
+    counted (writers, schema routing and upstream reads end to end)."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    from ..sources.catalog import schema_for, LAYERS
+    from .medallion import run
+
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/medallion-{uuid.uuid4().hex}"
+    paths = run(spark, sf_dir, root, models=False)
+    frames = [spark.read.parquet(path).agg(F.count(F.lit(1)).cast("long").alias("row_count"))
+              .select(F.lit(name).alias("table_name"), F.lit(schema_for(LAYERS.get(name), "default")).alias("schema_name"),
+                      "row_count")
+              for name, path in paths.items()]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
