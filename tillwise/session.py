@@ -59,8 +59,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder of the session.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; that setting
-    is used as is. Only when it is unset (local tests) a fresh private folder
-    is created.
+    is used as is. Only in local mode (tests) is a fresh private folder
+    created when it is unset; a cluster without it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -73,7 +73,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key
             configured = None
     if not configured:
-        configured = tempfile.mkdtemp(prefix="tillwise-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a shared, "
+                               "durable folder (lineage cuts are written there)")
+        configured = tempfile.mkdtemp(prefix="tillwise-ckpt-")  # local mode (tests) only
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
