@@ -63,3 +63,12 @@ def test_monthly_volume_keeps_unparsed_dates(spark):
     vol = {r.YearMonth: r["count"] for r in P.monthly_volume(lines(spark, rows)).collect()}
     assert vol == {"2010-12": 1, "2011-01": 1, None: 1}
     assert P.sample_rows(lines(spark, rows * 50), 0.5, 1).where(F.col("Quantity") > 0).count() > 0
+
+
+def test_numeric_summary_exact_and_approx(spark):
+    rows = [ROW[:3] + (q,) + ROW[4:] for q in [1, 2, 3, 4]]
+    df = lines(spark, rows)
+    exact = {r.column_name: r.median for r in P.numeric_summary(df).collect()}
+    approx = {r.column_name: r.median for r in P.numeric_summary(df, approx=True).collect()}
+    assert exact["Quantity"] == 2.5          # interpolated
+    assert approx["Quantity"] in (2.0, 3.0)  # a data value
