@@ -37,9 +37,12 @@ def register(name: str, sql: str | None = None, headline: bool = False):
 class Inputs:
     """Lazily built shared inputs of one query run (bronze, silver, profiles)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, share_bronze: bool = False):
+        """``share_bronze``: the run reads the raw lines twice (silver and the
+        customer profiles), so they are derived once and materialised."""
         self.spark = prepare(spark)
         self.sf_dir = sf_dir
+        self.share_bronze = share_bronze
         self._cache: dict[str, DataFrame] = {}
 
     def _get(self, key, build):
@@ -49,7 +52,12 @@ class Inputs:
 
     @property
     def bronze(self) -> DataFrame:
-        return self._get("bronze", lambda: invoice_lines(self.spark, self.sf_dir))
+        from ..session import cut_lineage
+
+        def build():
+            lines = invoice_lines(self.spark, self.sf_dir)
+            return cut_lineage(lines) if self.share_bronze else lines
+        return self._get("bronze", build)
 
     @property
     def silver(self) -> DataFrame:
