@@ -44,8 +44,9 @@ def _vectors(features: DataFrame) -> DataFrame:
 
 
 def prepare_vectors(features: DataFrame) -> DataFrame:
-    """Assembled vectors, lineage cut and cached for the iterative fits."""
-    return cut_lineage(_vectors(features).select("CustomerID", "features")).persist()
+    """Assembled vectors, materialised once (fits and transforms re-read the
+    stored rows; they are cached only while fits iterate over them)."""
+    return cut_lineage(_vectors(features).select("CustomerID", "features"))
 
 
 def _fit_one(vectors: DataFrame, k: int, seed: int, p: ClusterParams):
@@ -58,8 +59,12 @@ def _fit_many(vectors: DataFrame, jobs: list[tuple[int, int]], p: ClusterParams)
     ``parallelism``); returns the lowest-cost model per k."""
     from concurrent.futures import ThreadPoolExecutor
 
-    with ThreadPoolExecutor(max_workers=max(1, p.parallelism)) as pool:
-        models = list(pool.map(lambda js: (js[0], _fit_one(vectors, js[0], js[1], p)), jobs))
+    vectors.persist()
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, p.parallelism)) as pool:
+            models = list(pool.map(lambda js: (js[0], _fit_one(vectors, js[0], js[1], p)), jobs))
+    finally:
+        vectors.unpersist()
     best: dict = {}
     for k, m in models:  # jobs are in seed order: ties keep the first seed
         if k not in best or m.summary.trainingCost < best[k].summary.trainingCost:
