@@ -37,7 +37,7 @@ def q_stg_customers(spark, sf_dir):
 
 @register("observation_end", O.with_ctes(*BRONZE_SILVER) + " SELECT end_date FROM obs")
 def q_observation_end(spark, sf_dir):
-    return silver.observation_end(Inputs(spark, sf_dir).silver)
+    return silver.observation_end(silver.stg_transactions(Inputs(spark, sf_dir).bronze))
 
 
 @register("customer_metrics", O.with_ctes(*BRONZE_SILVER, O.CUSTOMER_METRICS) + " SELECT * FROM cm")
