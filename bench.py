@@ -51,7 +51,11 @@ def main() -> None:
     run(rfm_segments_window(Inputs(spark, sf_dir).silver))
     times["rfm_segments_plain_window"] = round(time.perf_counter() - t0, 3)
     total = round(sum(v for k, v in times.items() if k in names), 3)
-    sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    sf_name = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        sf: float | str = float(sf_name)
+    except ValueError:
+        sf = sf_name
     print(json.dumps({"metric": "headline_queries_total", "value": total, "unit": "sec",
                       "queries": times, "sf": sf, "cpus": int(cpus)}))
     spark.stop()
