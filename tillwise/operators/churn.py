@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import rules
 from ..functions.exprs import cents, days_between, flag, half_up_div, int_flag
 from ..params import ChurnParams
-from .silver import observation_end
+from .silver import observation_end_value
 
 CHURN_COLUMNS = [
     "CustomerID", "first_purchase_date", "last_purchase_date", "tenure_days",
@@ -32,7 +32,7 @@ def transaction_features(silver: DataFrame, p: ChurnParams = ChurnParams()) -> D
     deduplicated map-side and shuffled on the pair, so a customer with a third
     of all lines is still spread over many tasks before its final count.
     """
-    end = observation_end(silver).select(F.col("end_date").alias("_end"))
+    end = observation_end_value(silver)
     ts = F.col("invoice_timestamp")
     agg = silver.groupBy("CustomerID").agg(
         F.count_distinct("InvoiceNo").alias("total_transactions"),
@@ -46,7 +46,7 @@ def transaction_features(silver: DataFrame, p: ChurnParams = ChurnParams()) -> D
         F.max(int_flag(F.col("line_total") > p.high_value_line)).alias("has_high_value_order"),
         F.max(int_flag(F.col("Quantity") > p.bulk_quantity)).alias("has_bulk_purchase"),
     )
-    return agg.crossJoin(F.broadcast(end)).select(
+    return agg.select(
         "CustomerID",
         F.col("total_transactions").cast("long").alias("total_transactions"),
         "_spend",
@@ -54,7 +54,7 @@ def transaction_features(silver: DataFrame, p: ChurnParams = ChurnParams()) -> D
         F.col("unique_products").cast("long").alias("unique_products"),
         half_up_div(cents("_spend"), "_lines").alias("avg_line_value"),
         half_up_div(cents("_spend"), "total_transactions").alias("avg_order_value"),
-        days_between("_last", "_end").cast("long").alias("recency_days"),
+        days_between(F.col("_last"), end).cast("long").alias("recency_days"),
         days_between("_first", "_last").cast("long").alias("customer_lifespan_days"),
         F.col("active_months").cast("long").alias("active_months"),
         half_up_div(F.col("_lines") * 100, "total_transactions").alias("avg_items_per_order"),

@@ -113,10 +113,9 @@ def centroids_by_group(features: DataFrame, group: str) -> DataFrame:
 
 def assign_to_centroids(features: DataFrame, centroids: DataFrame) -> DataFrame:
     """Nearest centroid (squared Euclidean, ties to the lower id): the K
-    centroids travel as one broadcast array row; the distance scan is a
+    centroids arrive as one array (a scalar subquery); the distance scan is a
     narrow expression, no shuffle."""
-    packed = centroids.agg(F.collect_list(F.struct("cluster", *Z)).alias("_cents"))
-    j = features.crossJoin(F.broadcast(packed))
+    cents = centroids.agg(F.collect_list(F.struct("cluster", *Z))).scalar()  # K rows -> one array
 
     def dist(c):
         terms = [(F.col(z) - c[z]) * (F.col(z) - c[z]) for z in Z]
@@ -125,8 +124,8 @@ def assign_to_centroids(features: DataFrame, centroids: DataFrame) -> DataFrame:
             out = out + t
         return F.struct(out.alias("d"), c["cluster"].alias("k"))
 
-    best = F.array_min(F.transform("_cents", dist))
-    return j.withColumn("cluster", best["k"].cast("int")).drop("_cents")
+    best = F.array_min(F.transform("_cents", dist))  # a subquery may not sit inside a lambda
+    return features.withColumn("_cents", cents).withColumn("cluster", best["k"].cast("int")).drop("_cents")
 
 
 def cluster_profile(clustered: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from ..functions import rules
 from ..functions.exprs import cents, clamp, days_between, half_up_div
 from ..params import ClvParams
 from .ranking import exact_quantiles, global_index, qcut
-from .silver import observation_end
+from .silver import observation_end_value
 
 CLV_INPUT_COLUMNS = [
     "CustomerID", "frequency", "recency", "T", "monetary_value", "first_purchase",
@@ -51,13 +51,13 @@ def purchase_history(silver: DataFrame, unit: str = "line") -> DataFrame:
 def clv_inputs(silver: DataFrame, p: ClvParams = ClvParams()) -> DataFrame:
     """Repeat-purchase inputs (frequency, recency, T, monetary value) for
     customers with at least one repeat purchase, plus business tiers."""
-    end = observation_end(silver).select(F.col("end_date").alias("observation_end_date"))
-    h = purchase_history(silver, p.unit).crossJoin(F.broadcast(end))
+    end = observation_end_value(silver)
+    h = purchase_history(silver, p.unit)
     out = h.select(
         "CustomerID", "frequency",
         days_between("first_purchase", "last_purchase").cast("long").alias("recency"),
-        days_between("first_purchase", "observation_end_date").cast("long").alias("T"),
-        "monetary_value", "first_purchase", "last_purchase", "observation_end_date",
+        days_between(F.col("first_purchase"), end).cast("long").alias("T"),
+        "monetary_value", "first_purchase", "last_purchase", end.alias("observation_end_date"),
         rules.frequency_tier(F.col("frequency")).alias("purchase_frequency_tier"),
         rules.value_tier(F.col("monetary_value")).alias("value_tier"),
     )
@@ -124,10 +124,8 @@ def repair_with_median(df: DataFrame, c: str) -> DataFrame:
     if not bad:
         return df
     finite = df.where(~_non_finite(c))
-    med = exact_quantiles(finite, c, {"_median": 0.5})
-    return (df.crossJoin(F.broadcast(med))
-              .withColumn(c, F.when(_non_finite(c), F.col("_median")).otherwise(F.col(c)))
-              .drop("_median"))
+    med = exact_quantiles(finite, c, {"_median": 0.5}).select("_median").scalar()
+    return df.withColumn(c, F.when(_non_finite(c), med).otherwise(F.col(c)))
 
 
 def non_finite_count(df: DataFrame, c: str = "clv_12m") -> DataFrame:

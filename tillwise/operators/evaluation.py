@@ -27,11 +27,11 @@ def impute_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "_feature", "_value")
     med = exact_quantiles(long, "_value", {"_median": 0.5}, ["_feature"])
     wide = med.groupBy().pivot("_feature", cols).agg(F.first("_median"))
-    wide = wide.select(*[F.col(c).alias(f"_med_{c}") for c in cols])
-    out = df.crossJoin(F.broadcast(wide))
+    medians = wide.select(F.struct(*[F.col(c) for c in cols])).scalar()  # one row: scalar subquery
+    out = df
     for c in cols:
-        out = out.withColumn(c, F.coalesce(F.col(c).cast("double"), F.col(f"_med_{c}")))
-    return out.drop(*[f"_med_{c}" for c in cols])
+        out = out.withColumn(c, F.coalesce(F.col(c).cast("double"), medians[c]))
+    return out
 
 
 def stratified_split(df: DataFrame, label: str, key: str, seed: int = 42,
@@ -57,10 +57,10 @@ def stratified_split(df: DataFrame, label: str, key: str, seed: int = 42,
 def class_weight_table(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """One row per class: balanced weight n / (2 * n_class)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    total = counts.agg(F.sum("_nc").alias("_n"))
-    return counts.crossJoin(total).select(
+    total = counts.agg(F.sum("_nc")).scalar()
+    return counts.select(
         label, F.col("_nc").cast("long").alias("class_count"),
-        (F.col("_n").cast("double") / (F.lit(2.0) * F.col("_nc"))).alias(out))
+        (total.cast("double") / (F.lit(2.0) * F.col("_nc"))).alias(out))
 
 
 def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
@@ -79,12 +79,13 @@ def fit_standardizer(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def apply_standardizer(df: DataFrame, stats: DataFrame, columns: Sequence[str],
                        suffix: str = "_z") -> DataFrame:
     """(x - mean) / std with population std; a constant column scales to 0."""
-    out = df.crossJoin(F.broadcast(stats))
+    s = stats.select(F.struct(*stats.columns)).scalar()  # one row: scalar subquery
+    out = df
     for c in columns:
-        std = F.col(f"_std_{c}")
-        z = F.when(std == 0, F.lit(0.0)).otherwise((F.col(c) - F.col(f"_mean_{c}")) / std)
+        std = s[f"_std_{c}"]
+        z = F.when(std == 0, F.lit(0.0)).otherwise((F.col(c) - s[f"_mean_{c}"]) / std)
         out = out.withColumn(f"{c}{suffix}", z)
-    return out.drop(*[x for c in columns for x in (f"_mean_{c}", f"_std_{c}")])
+    return out
 
 
 def standardize(df: DataFrame, columns: Sequence[str], suffix: str = "_z") -> DataFrame:

@@ -127,8 +127,9 @@ def model_comparison(prep: DataFrame, p: ModelParams = ModelParams()) -> DataFra
     out = None
     for kind, name in (("lr", "Logistic Regression"), ("rf", "Random Forest")):
         s = test_scores(prep, kind, p)
-        m = E.confusion_metrics(s, "label", "score", p.threshold).crossJoin(E.auc_rank(s).select("auc"))
-        m = m.select(F.lit(name).alias("model"), "accuracy", "precision", "recall", "f1", "auc")
+        auc = E.auc_rank(s).select("auc").scalar()
+        m = E.confusion_metrics(s, "label", "score", p.threshold).select(
+            F.lit(name).alias("model"), "accuracy", "precision", "recall", "f1", auc.alias("auc"))
         out = m if out is None else out.unionByName(m)
     from pyspark.sql import Window
     best = F.max("auc").over(Window.partitionBy())  # two rows
@@ -172,7 +173,7 @@ def risk_summary(scored: DataFrame) -> DataFrame:
 
 def at_risk_exposure(scored: DataFrame, tiers=("Critical Risk (80%+)", "High Risk (60-80%)")) -> DataFrame:
     """Customers, spend and fees of the top risk tiers (per tier and combined)."""
-    total = scored.agg(F.count(F.lit(1)).alias("_all"))
+    total = scored.agg(F.count(F.lit(1))).scalar()
     at = scored.where(F.col("risk_tier").isin(*tiers))
     per = at.groupBy("risk_tier").agg(
         F.count(F.lit(1)).alias("customers"),
@@ -180,7 +181,7 @@ def at_risk_exposure(scored: DataFrame, tiers=("Critical Risk (80%+)", "High Ris
         F.sum(F.col("monthly_fee").cast("decimal(22,2)")).alias("_fee"))
     both = per.agg(F.lit("Critical + High").alias("risk_tier"), F.sum("customers").alias("customers"),
                    F.sum("_spend").alias("_spend"), F.sum("_fee").alias("_fee"))
-    out = per.unionByName(both).crossJoin(total)
+    out = per.unionByName(both).withColumn("_all", total)
     return out.select(
         "risk_tier", F.coalesce(F.col("customers"), F.lit(0)).cast("long").alias("customers"),
         F.round(F.col("customers") / F.col("_all") * 100, 1).alias("customer_pct"),

@@ -195,23 +195,23 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def histogram(df: DataFrame, value: str, bins: int = 50, metric: str | None = None) -> DataFrame:
     """Equal-width histogram over [min, max], last bin closed (numpy style).
-    ``min``/``max`` come from one aggregate; binning is a narrow expression
-    followed by a partial-aggregated count."""
+    ``min``/``max`` come from one aggregate (a scalar subquery); binning is a
+    narrow expression followed by a partial-aggregated count."""
     metric = metric or value
     x = F.col(value).cast("double")
     base = df.select(x.alias("_x")).where(F.col("_x").isNotNull())
-    rng = base.agg(F.min("_x").alias("_mn"), F.max("_x").alias("_mx"))
-    j = base.crossJoin(F.broadcast(rng))
-    width = F.col("_mx") - F.col("_mn")
+    rng = base.agg(F.struct(F.min("_x").alias("mn"), F.max("_x").alias("mx"))).scalar()
+    mn, mx = rng["mn"], rng["mx"]
+    width = mx - mn
     b = F.when(width == 0, F.lit(0)).otherwise(
-        F.least(F.floor((F.col("_x") - F.col("_mn")) / width * F.lit(float(bins))), F.lit(bins - 1)))
-    counted = j.groupBy(b.cast("int").alias("bin")).agg(
-        F.count(F.lit(1)).cast("long").alias("count"), F.first("_mn").alias("_mn"), F.first("_mx").alias("_mx"))
-    w = (F.col("_mx") - F.col("_mn")) / F.lit(float(bins))
+        F.least(F.floor((F.col("_x") - mn) / width * F.lit(float(bins))), F.lit(bins - 1)))
+    counted = base.withColumn("bin", b.cast("int")).groupBy("bin").agg(
+        F.count(F.lit(1)).cast("long").alias("count"))
+    w = width / F.lit(float(bins))
     return counted.select(
         F.lit(metric).alias("metric"), "bin",
-        F.round(F.col("_mn") + F.col("bin") * w, 6).alias("lower"),
-        F.round(F.col("_mn") + (F.col("bin") + 1) * w, 6).alias("upper"),
+        F.round(mn + F.col("bin") * w, 6).alias("lower"),
+        F.round(mn + (F.col("bin") + 1) * w, 6).alias("upper"),
         "count")
 
 
@@ -245,7 +245,7 @@ def scorecard(bronze: DataFrame, p: CleaningParams = CleaningParams(),
         F.count_distinct(F.when(valid, F.col("CustomerID"))).alias("valid_customers"),
         days_between(F.min(ts), F.max(ts)).alias("span_days"),
     )
-    one = stats.crossJoin(duplicate_profile(bronze).select("duplicate_rows"))
+    one = stats.withColumn("duplicate_rows", duplicate_profile(bronze).select("duplicate_rows").scalar())
     t = F.col("total_rows")
 
     def row(metric, value, pct, severity):

@@ -177,8 +177,9 @@ def qcut(df: DataFrame, value: str, q: int, out: str, check_unique: bool = True,
         vals = [row[f"e{i}"] for i in range(q + 1)]
         if len(set(vals)) != len(vals):
             raise ValueError(f"Bin edges must be unique: {vals}")
-    inner = F.array(*[F.col(f"e{i}") for i in range(1, q)])
-    return (df.crossJoin(F.broadcast(edges.select(inner.alias("_edges"))))
+    inner = edges.select(F.array(*[F.col(f"e{i}") for i in range(1, q)])).scalar()
+    # the edges are attached as a column first: a subquery may not sit inside a lambda
+    return (df.withColumn("_edges", inner)
               .withColumn(out, (F.lit(1) + F.size(F.filter("_edges", lambda e: F.col(value) > e))).cast("int"))
               .drop("_edges"))
 

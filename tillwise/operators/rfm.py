@@ -10,7 +10,7 @@ from ..functions.exprs import cents, days_between, half_up_div
 from ..params import SegmentParams
 from ..session import cut_lineage
 from .ranking import metric_positions, ntile_from_index
-from .silver import observation_end
+from .silver import observation_end_value
 
 SEGMENT_COLUMNS = [
     "CustomerID", "recency_days", "frequency", "monetary", "total_line_items",
@@ -20,15 +20,15 @@ SEGMENT_COLUMNS = [
 ]
 
 
-def anchor_frame(silver: DataFrame, anchor: str | None) -> DataFrame:
-    """One-row frame ``_anchor``: observation end (default), the current date
-    (``"current_date"``, the reference's literal choice) or a fixed timestamp."""
+def anchor_value(silver: DataFrame, anchor: str | None) -> Column:
+    """Recency anchor: observation end (default, a scalar subquery), the
+    current date (``"current_date"``, the original choice) or a fixed
+    timestamp."""
     if anchor is None:
-        return observation_end(silver).select(F.col("end_date").alias("_anchor"))
-    spark = silver.sparkSession
+        return observation_end_value(silver)
     if anchor == "current_date":
-        return spark.range(1).select(F.current_date().cast("timestamp").alias("_anchor"))
-    return spark.range(1).select(F.lit(anchor).cast("timestamp").alias("_anchor"))
+        return F.current_date().cast("timestamp")
+    return F.lit(anchor).cast("timestamp")
 
 
 def customer_metrics(silver: DataFrame, anchor: str | None = None) -> DataFrame:
@@ -44,10 +44,11 @@ def customer_metrics(silver: DataFrame, anchor: str | None = None) -> DataFrame:
         F.sum("line_total").alias("_spend"),
         F.count(F.lit(1)).alias("total_line_items"),
     )
-    return (agg.crossJoin(F.broadcast(anchor_frame(silver, anchor)))
+    at = anchor_value(silver, anchor)
+    return (agg
             .select(
                 "CustomerID",
-                days_between("last_purchase_date", "_anchor").cast("long").alias("recency_days"),
+                days_between(F.col("last_purchase_date"), at).cast("long").alias("recency_days"),
                 F.col("frequency").cast("long").alias("frequency"),
                 F.col("_spend").cast("double").alias("monetary"),
                 F.col("total_line_items").cast("long").alias("total_line_items"),
@@ -89,9 +90,9 @@ def rfm_segments(silver: DataFrame, p: SegmentParams = SegmentParams(),
                   .where((F.col("_ap") == F.floor("_at")) | (F.col("_ap") == F.ceil("_at"))))
     v_lo = F.max(F.when(F.col("_ap") == F.floor("_at"), F.col("_v")))
     v_hi = F.max(F.when(F.col("_ap") == F.ceil("_at"), F.col("_v")))
-    threshold = picked.agg((v_lo + (v_hi - v_lo) * F.first(F.col("_at") - F.floor("_at"))).alias("_whale_min"))
+    whale_min = picked.agg(v_lo + (v_hi - v_lo) * F.first(F.col("_at") - F.floor("_at"))).scalar()
 
-    scored = metrics.join(wide, "CustomerID").crossJoin(F.broadcast(threshold))
+    scored = metrics.join(wide, "CustomerID").withColumn("_whale_min", whale_min)
     for name, _, _ in specs:
         scored = scored.withColumn(name, ntile_from_index(f"{name}_pos", "_n", p.buckets))
 
@@ -121,8 +122,7 @@ def rfm_segments_window(silver: DataFrame, p: SegmentParams = SegmentParams()) -
     f = F.ntile(p.buckets).over(Window.orderBy(_direction("frequency", hi), tie))
     m = F.ntile(p.buckets).over(Window.orderBy(_direction("monetary", hi), tie))
     scored = metrics.select("*", r.alias("r_score"), f.alias("f_score"), m.alias("m_score"))
-    whale = metrics.agg(F.percentile("monetary", p.whale_percentile).alias("_whale_min"))
-    scored = scored.crossJoin(F.broadcast(whale))
+    scored = scored.withColumn("_whale_min", metrics.agg(F.percentile("monetary", p.whale_percentile)).scalar())
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
     out = scored.select(
         "CustomerID", "recency_days", "frequency", "monetary", "total_line_items",

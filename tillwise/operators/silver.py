@@ -57,6 +57,12 @@ def observation_end(silver: DataFrame) -> DataFrame:
     return silver.agg(F.max("invoice_timestamp").alias("end_date"))
 
 
+def observation_end_value(silver: DataFrame):
+    """Latest clean invoice timestamp as a scalar subquery column (computed
+    once per query, attached to every row without a join)."""
+    return silver.agg(F.max("invoice_timestamp")).scalar()
+
+
 def output(silver: DataFrame) -> DataFrame:
     """Silver lines with money as DOUBLE (the published column types)."""
     return silver.withColumn("line_total", F.col("line_total").cast("double"))

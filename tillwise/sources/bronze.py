@@ -166,11 +166,10 @@ def profiles(spark: SparkSession, sf_dir: str, bronze: DataFrame | None = None,
     fee_map = F.create_map(*[F.lit(x) for kv in TIER_FEE.items() for x in kv])
     cust = read_table(spark, sf_dir, "customer").select(
         F.col("c_custkey").cast("string").alias("_ck"), "c_mktsegment")
-    end = observation_end.select(F.col("end_date").alias("_end"))
-    recency = days_between("last_purchase_date", "_end")
+    end = observation_end.select("end_date").scalar()
+    recency = days_between(F.col("last_purchase_date"), end)
     tier = F.coalesce(tier_map[F.col("c_mktsegment")], F.lit(DEFAULT_TIER))
     return (agg.join(cust, agg.CustomerID == cust._ck, "left")
-            .crossJoin(F.broadcast(end))
             .select(
                 "CustomerID", "first_purchase_date", "last_purchase_date",
                 F.col("transaction_count").cast("long").alias("transaction_count"),
@@ -179,7 +178,7 @@ def profiles(spark: SparkSession, sf_dir: str, bronze: DataFrame | None = None,
                 F.col("unique_products").cast("long").alias("unique_products"),
                 "country",
                 recency.cast("long").alias("recency_days"),
-                days_between("first_purchase_date", "_end").cast("long").alias("tenure_days"),
+                days_between(F.col("first_purchase_date"), end).cast("long").alias("tenure_days"),
                 tier.alias("subscription_tier"),
                 fee_map[tier].cast("decimal(6,2)").cast("double").alias("monthly_fee"),
                 F.when(recency > churn_after_days, F.lit(1)).otherwise(F.lit(0)).cast("long").alias("churn_label"),
