@@ -43,3 +43,12 @@ def test_profile_check_values(spark):
     assert tiers == {"Basic": 646, "Standard": 302, "Premium": 298, "Enterprise": 303}
     clv = q["clv_inputs"](spark, MEDIUM)
     assert clv.count() == 1511 and clv.agg(F.sum("frequency")).first()[0] == 42257
+
+
+def test_no_pair_producing_joins_in_plans(spark):
+    from tillwise.plans.explain import plan_text
+    q = queries()
+    for name in ["rfm_segments", "churn_features", "clv_enriched", "scorecard", "histograms",
+                 "kmeans_assign_fixed", "churn_model_input", "at_risk_exposure_baseline"]:
+        text = plan_text(q[name](spark, SMALL))
+        assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
