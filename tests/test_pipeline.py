@@ -59,3 +59,51 @@ def test_cut_lineage_uses_the_session_checkpoint_folder(spark):
     files = [urlparse(f).path for f in df.inputFiles()]
     assert files and all(f.startswith(urlparse(root).path) for f in files)
     assert df.count() == 10
+
+
+class _FakeConf:
+    def __init__(self, values):
+        self.values = values
+
+    def get(self, key, default=None):
+        if key in self.values:
+            return self.values[key]
+        if default is None and not isinstance(self, _FakeSparkConf):
+            raise KeyError(key)
+        return default
+
+
+class _FakeSparkConf(_FakeConf):
+    pass
+
+
+class _FakeContext:
+    def __init__(self, master, conf):
+        self.master, self._conf, self.dir = master, _FakeSparkConf(conf), None
+
+    def getCheckpointDir(self):
+        return self.dir
+
+    def getConf(self):
+        return self._conf
+
+    def setCheckpointDir(self, d):
+        self.dir = d
+
+
+class _FakeSession:
+    def __init__(self, master, conf=None):
+        self.sparkContext = _FakeContext(master, conf or {})
+        self.conf = _FakeConf({})
+
+
+def test_checkpoint_folder_rules():
+    import pytest as _pytest
+
+    from tillwise.session import ensure_checkpoint_dir
+    with _pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(_FakeSession("yarn"))
+    shared = _FakeSession("yarn", {"spark.checkpoint.dir": "hdfs:///shared/ckpt"})
+    assert ensure_checkpoint_dir(shared) == "hdfs:///shared/ckpt"
+    local = _FakeSession("local[4]")
+    assert ensure_checkpoint_dir(local).startswith("/")
