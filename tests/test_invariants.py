@@ -52,3 +52,12 @@ def test_no_pair_producing_joins_in_plans(spark):
                  "kmeans_assign_fixed", "churn_model_input", "at_risk_exposure_baseline"]:
         text = plan_text(q[name](spark, SMALL))
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
+
+
+def test_rows_only_queries_are_the_model_and_sampling_ones():
+    from tillwise.plans.registry import oracle_sql
+    rows_only = set(queries()) - set(oracle_sql())
+    assert rows_only == {
+        "kmeans_sweep", "kmeans_segments", "cluster_profile", "cluster_mapping", "cluster_shares",
+        "cluster_silhouette", "lr_scores", "rf_scores", "cv_auc", "model_comparison", "feature_drivers",
+        "risk_tiers", "risk_summary", "at_risk_exposure", "sample_rows"}
