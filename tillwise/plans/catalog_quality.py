@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 
-from ..operators import churn, clv, quality, rfm
-from ..params import SegmentParams
+from ..operators import churn, clv, quality
 from . import oracle as O
 from .registry import Inputs, register
 
@@ -19,7 +18,7 @@ def model_tables(i: Inputs, materialise: bool = False) -> dict:
     tables = {
         "stg_transactions": i.silver,
         "stg_customers": i.customers,
-        "mart_customer_segments": rfm.rfm_segments(i.silver, SegmentParams(best_is_high=True)),
+        "mart_customer_segments": i.segments,
         "mart_clv_projections": clv.clv_inputs(i.silver),
         "mart_churn_risk": churn.churn_features(i.silver, i.customers),
     }
