@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import language_id, packing, quality_model, secrets, simhash, textio, toxicity
+from . import chat, language_id, mixing, oracle, packing, quality_model, quality_rules, secret_scan, simhash, textio, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -30,6 +30,16 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query("op1_prefix_target_chat")
+def op1(spark, sf_dir):
+    """All conversations and one of control strings, formatted and read back."""
+    text = "</s>[INST] ok [/INST]"
+    turns = textio.read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(text).alias("text"))
+    return chat.digests(chat.examples(turns.unionByName(extra)))
+
+
 @query("op2_minimum_slack_packing")
 def op2(spark, sf_dir):
     """All documents, tokenised and packed into sequences of 1024 ids."""
@@ -39,7 +49,13 @@ def op2(spark, sf_dir):
 @query("op3_entropy_secrets")
 def op3(spark, sf_dir):
     """Secrets of every document: base counts and digest, all spans."""
-    return secrets.scan_documents(textio.read_table(spark, sf_dir, "documents"))
+    return secret_scan.scan_documents(textio.read_table(spark, sf_dir, "documents"))
+
+
+@query("op4_risk_controlled_rules")
+def op4(spark, sf_dir):
+    """Measures and verdict of every document."""
+    return quality_rules.judge(textio.read_table(spark, sf_dir, "documents"), textio.read_table(spark, sf_dir, "labels"))
 
 
 @query("op5_subword_quality")
@@ -67,6 +83,13 @@ def op8(spark, sf_dir):
     return found.select("doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
 
 
+@query("op9_curriculum_mixing")
+def op9(spark, sf_dir):
+    """The mix of all documents, sorted by training position."""
+    mixed = mixing.in_training_order(mixing.mix(textio.read_table(spark, sf_dir, "documents")))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", F.size("copies").alias("n_copies"), "position")
+
+
 @query("op10_naive_bayes_language")
 def op10(spark, sf_dir):
     """Language of every document; remainder 1 is held out."""
@@ -74,3 +97,7 @@ def op10(spark, sf_dir):
     held_out = F.coalesce(textio.id_crc_mod("doc_id", 3) == 1, F.lit(False))
     model = language_id.fit(docs.filter(~held_out).filter("doc_id IS NOT NULL"))
     return language_id.predict(docs.select("doc_id", "text", held_out.alias("held_out")), model, ("doc_id", "held_out"))
+
+
+ORACLE_SQL |= {"op1_prefix_target_chat": oracle.OP1, "op4_risk_controlled_rules": oracle.op4(),
+               "op9_curriculum_mixing": oracle.op9()}
