@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import chat, language_id, mixing, oracle, packing, quality_model, quality_rules, secret_scan, simhash, textio, toxicity
+from . import ann, chat, language_id, mixing, oracle, packing, quality_model, quality_rules, secret_scan, simhash, textio, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -76,6 +76,13 @@ def op6(spark, sf_dir):
     return toxicity.predict(docs, chain)
 
 
+@query("op7_kmeans_tree_search")
+def op7(spark, sf_dir):
+    """Nearest neighbours of every hundredth vector among all vectors."""
+    rows = textio.read_table(spark, sf_dir, "embeddings")
+    return ann.search(rows, rows.filter(F.col("vec_id") % 100 == 0))
+
+
 @query("op8_segment_popcount_simhash")
 def op8(spark, sf_dir):
     """Near duplicates of all documents: fingerprint and component."""

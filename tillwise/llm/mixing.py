@@ -147,12 +147,12 @@ def take(docs: DataFrame, params: Params = Params()) -> DataFrame:
     last pass ends, so texts are not moved to be matched with their counts."""
     mixed = mix(docs, params)
     whole = F.size(F.filter("copies", lambda w: w * 2 >= F.col("size")))
-    cut = (mixed.withColumn("_n", whole).withColumn("_passes", F.expr("CASE WHEN source_size > 0 THEN _aim div source_size ELSE 0 END"))
-                .groupBy(_source_key("source").alias("_src"))
-                .agg(F.max("_passes").alias("_passes"), F.max(F.when(F.col("_n") > F.col("_passes"), F.col("_key"))).alias("_cut")))
+    cut = (mixed.withColumn("_n", whole).withColumn("__mix_passes", F.expr("CASE WHEN source_size > 0 THEN _aim div source_size ELSE 0 END"))
+                .groupBy(_source_key("source").alias("__mix_src"))
+                .agg(F.max("__mix_passes").alias("__mix_passes"), F.max(F.when(F.col("_n") > F.col("__mix_passes"), F.col("_key"))).alias("__mix_cut")))
     cut = cut_lineage(cut)
     if cut.count() <= params.max_broadcast:
         cut = F.broadcast(cut)
-    times = F.when(word_count("text") > 0, F.col("_passes") + F.when(order_key() <= F.col("_cut"), 1).otherwise(0)).otherwise(0)
-    return (docs.withColumn("_src", _source_key("source")).join(cut, "_src").withColumn("_times", times.cast("int"))
-                .filter("_times > 0").withColumn("_copy", F.explode(F.expr("sequence(1, _times)"))).select(*docs.columns))
+    times = F.when(word_count("text") > 0, F.col("__mix_passes") + F.when(order_key() <= F.col("__mix_cut"), 1).otherwise(0)).otherwise(0)
+    return (docs.withColumn("__mix_src", _source_key("source")).join(cut, "__mix_src").withColumn("__mix_times", times.cast("int"))
+                .filter("__mix_times > 0").withColumn("__mix_copy", F.explode(F.expr("sequence(1, __mix_times)"))).select(*docs.columns))

@@ -64,7 +64,8 @@ class Params:
 
 
 def measure(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), params: Params = Params(), text_col: str = "text") -> DataFrame:
-    """``keep`` columns and the five measures of every row."""
+    """``keep`` columns and the five measures of every row. Write the result
+    before filtering on a measure: a pushed-down filter computes it again."""
     k = params.window
     d = docs.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias("_t"))
     bare = F.regexp_replace("_t", WHITE, "")

@@ -35,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..session import cut_lineage
 from . import graph, textio
@@ -230,15 +231,32 @@ def links(distinct: DataFrame, params: Params = Params()) -> DataFrame:
     return grid.repartition("t", "key", "block").sortWithinPartitions("t", "key", "block").mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col``, ``fp`` and ``component_id`` (smallest id reachable) per row."""
-    fps = cut_lineage(fingerprints(docs, params, id_col, text_col))
+def tagged(docs: DataFrame, name: str, params: Params = Params(), text_col: str = "text") -> DataFrame:
+    """``docs`` with the fingerprint as one more column."""
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        for b in batches:
+            fp = np.array([fingerprint(t.as_py() or b"", params.shingle) for t in b.column(at).cast(pa.binary())], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fp.view(np.int64))], names=[*b.schema.names, name])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, LongType())]))
+
+
+def classes(fps: DataFrame, params: Params = Params(), id_col: str = "doc_id") -> DataFrame:
+    """``fps``: id and fp per row. Per fingerprint the smallest one reachable
+    (root) and the smallest id of any document reachable (component_id)."""
     distinct = cut_lineage(fps.groupBy("fp").agg(F.min(id_col).alias("low")))
     comp = graph.components(links(distinct, params))
     named = distinct.join(comp, distinct.fp == comp.node, "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     linked = named.join(comp.select("root").distinct(), "root", "left_semi").groupBy("root").agg(F.min("low").alias("component_id"))
-    of = named.join(linked, "root", "left").select("fp", F.coalesce("component_id", "low").alias("component_id"))
-    return fps.join(of, "fp").select(id_col, "fp", "component_id")
+    return named.join(linked, "root", "left").select("fp", "root", F.coalesce("component_id", "low").alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id_col``, ``fp`` and ``component_id`` (smallest id reachable) per row."""
+    fps = cut_lineage(fingerprints(docs, params, id_col, text_col))
+    return fps.join(classes(fps, params, id_col), "fp").select(id_col, "fp", "component_id")
 
 
 def hex_fingerprint(fp: str) -> F.Column:

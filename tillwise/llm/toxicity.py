@@ -242,3 +242,16 @@ def predict(docs: DataFrame, chain: Chain, keep: tuple[str, ...] = ("doc_id",),
     src = docs.select(*keep, F.col(text_col).alias("_text"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema if f.name != "_text")
     return src.mapInArrow(run, f"{kinds}, p_toxic double, categories map<string,double>, toxic boolean")
+
+
+def keep_clean(docs: DataFrame, chain: Chain, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the chain doesn't reject, all columns."""
+
+    def run(batches):
+        for b in textio.text_pieces(batches, text_col):
+            if chain.links:
+                bad = predict_texts(chain, textio.texts_of(b, text_col))[:, -1] >= chain.threshold
+                b = b.filter(pa.array(~bad))
+            yield b
+
+    return docs.mapInArrow(run, docs.schema)
