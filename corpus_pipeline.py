@@ -33,6 +33,7 @@ def _sized(ids: DataFrame) -> DataFrame:
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    textio.bounded_batches(prepare(spark))
     chain = toxicity.fit(docs, textio.read_table(spark, sf_dir, "labels"))
     return toxicity.keep_clean(docs, chain)
 
@@ -68,7 +69,7 @@ ORACLE_SQL = None  # classifier, SimHash graph and packing are beyond SQL; the t
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prepare(spark)
+    textio.bounded_batches(prepare(spark))
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     docs = textio.read_table(spark, sf_dir, "documents")
     for i, (name, stage) in enumerate(STAGES):

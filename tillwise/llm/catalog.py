@@ -18,7 +18,7 @@ ORACLE_SQL: dict[str, str] = {}
 def query(name: str):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(prepare(spark), sf_dir)
+            return fn(textio.bounded_batches(prepare(spark)), sf_dir)
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
         return run

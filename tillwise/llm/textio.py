@@ -25,6 +25,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded_batches(spark: SparkSession, rows: int = 1000, size: int = 16 << 20) -> SparkSession:
+    """Lowers the session's limits of an Arrow batch, so that a batch of long
+    texts fits beside the executor's heap."""
+    for name, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
+        key = f"spark.sql.execution.arrow.{name}"
+        now = int("".join(ch for ch in spark.conf.get(key) if ch.isdigit() or ch == "-"))
+        if now <= 0 or now > most:
+            spark.conf.set(key, most)
+    return spark
+
+
 def id_crc_mod(column: str, modulus: int) -> Column:
     """crc32 of the id written as text, modulo ``modulus`` (NULL id: NULL)."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(modulus)
