@@ -23,15 +23,12 @@ sequences. Other columns of ``docs`` are ignored unless named in ``keep``.
 
 from __future__ import annotations
 
-import base64
 import json
 import zlib
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,7 +37,6 @@ from . import textio
 
 # the pre-tokenizer's pattern that belongs to the vocabulary file (fixed value)
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-SPACES = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
 @dataclass(frozen=True)
@@ -48,73 +44,38 @@ class Params:
     capacity: int = 1024
     end_id: int = 2
     rows_per_group: int = 500_000  # aimed at in a (length, salt) group, were all rows of one length
-    cached_words: int = 300_000    # per Python worker
 
 
 class Encoder:
     """Token ids of a byte-level BPE vocabulary (a tokenizers JSON file)."""
 
-    def __init__(self, path: str, cached_words: int = 0):
+    def __init__(self, path: str):
         import tiktoken
 
         spec = json.load(open(path, encoding="utf-8"))
         vocab = spec["model"]["vocab"]
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         # byte-level vocabularies write bytes as printable characters: the printable ones stand for themselves
         own = [*range(33, 127), *range(161, 173), *range(174, 256)]
         of = {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(x for x in range(256) if x not in set(own))}
-        ranks = {bytes(of[c] for c in token): i for token, i in vocab.items() if token not in self.special}
-        self.bpe = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=self.special)
-        self.cache: dict[str, list[int]] = {}
-        self.cached_words = cached_words
-
-    def encode(self, text: str) -> list[int]:
-        return self.bpe.encode(text, allowed_special="all")
-
-    def _word(self, word: str) -> list[int]:
-        ids = self.encode(word)
-        if len(self.cache) < self.cached_words:
-            self.cache[word] = ids
-        return ids
-
-    def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts end to end, and the n + 1 offsets. A single space
-        between two other characters always begins a new pre-token, so texts
-        are cut there and each distinct word of the batch is encoded once;
-        texts with a space beside white space are encoded whole."""
-        texts = pc.fill_null(texts, "")
-        odd = np.asarray(pc.match_substring_regex(texts, f"{SPACES} | {SPACES}"))
-        words = pc.split_pattern(pc.if_else(pa.array(odd), "", texts), " ")
-        cuts = np.asarray(words.offsets, dtype=np.int64) - words.offsets[0].as_py()
-        coded = words.flatten().dictionary_encode()
-        codes = np.asarray(coded.indices, dtype=np.int64)
-        distinct = coded.dictionary.to_pylist()
-        first = np.zeros(len(codes), dtype=bool)
-        first[cuts[:-1]] = True
-        heads, get = {}, self.cache.get
-        lists = [get(w) or self._word(w) for w in (" " + d for d in distinct)]
-        for row, at in enumerate(cuts[:-1]):  # a text's first word has no space before it
-            head = texts[row].as_py() if odd[row] else distinct[codes[at]]
-            if head not in heads:
-                heads[head] = len(lists)
-                lists.append(self.encode(head) if head else [])
-            codes[at] = heads[head]
-        size = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
-        flat = np.fromiter(chain.from_iterable(lists), dtype=np.uint32, count=int(size.sum()))
-        begin = np.cumsum(size) - size
-        n = size[codes]
-        ends = np.cumsum(n)
-        ids = flat[np.repeat(begin[codes] - (ends - n), n) + np.arange(int(n.sum()))]
-        return ids, np.concatenate([[0], ends])[cuts]
-
-
-def _encoder(path: str, cached_words: int) -> Encoder:
+        ranks = {bytes(of[c] for c in token): i for token, i in vocab.items() if token not in special}
+        self.bpe = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
+
+    def batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, and the n + 1 offsets."""
+        ids = [self.bpe.encode_to_numpy(t, allowed_special="all") for t in texts]
+        offsets = np.zeros(len(ids) + 1, dtype=np.int64)
+        np.cumsum([len(x) for x in ids], out=offsets[1:])
+        return np.concatenate([*ids, np.zeros(0, np.uint32)]), offsets
+
+
+def _encoder(path: str) -> Encoder:
     """One per Python worker process, kept beside the library it uses."""
     import tiktoken
 
     kept = vars(tiktoken).setdefault("_encoders", {})
     if path not in kept:
-        kept[path] = Encoder(path, cached_words)
+        kept[path] = Encoder(path)
     return kept[path]
 
 
@@ -126,9 +87,9 @@ def tokenize(docs: DataFrame, tokenizer: str, params: Params = Params(), keep: t
     cap = params.capacity
 
     def run(batches):
-        enc = _encoder(tokenizer, params.cached_words)
+        enc = _encoder(tokenizer)
         for b in textio.text_pieces(batches, "_text", 8 << 20):
-            ids, offsets = enc.batch(b.column(b.schema.get_field_index("_text")))
+            ids, offsets = enc.batch(textio.texts_of(b, "_text"))
             at = np.arange(1, len(b) + 1)
             ids = np.insert(ids, offsets[1:], np.uint32(params.end_id)).astype("<u4")
             first, last = offsets[:-1] + at - 1, offsets[1:] + at

@@ -126,11 +126,12 @@ def select_cutoffs(labelled: DataFrame, params: Params = Params()) -> DataFrame:
     counted = cut_lineage(labelled.select("stratum", "quality", F.explode(F.array(*hits)).alias("x"))
                                   .groupBy("stratum", F.col("x.rule").alias("rule"), F.col("x.level").alias("level"))
                                   .agg(F.count_if(F.col("quality") == 1).alias("good"), F.count_if(F.col("quality") == 0).alias("bad")))
-    # a row that exceeds ``level`` cutoffs is rejected by each of the loosest ``level`` ones
+    # a row that exceeds ``level`` cutoffs is rejected by the strictest ``level`` ones, which come last
     sizes = counted.groupBy("stratum", "rule").agg(F.sum("good").alias("n_good"), F.sum("bad").alias("n_bad"))
     tests = sizes.count() // max(1, len(params.rules)) * sum(len(r.cutoffs) for r in params.rules)
     cutoffs = F.create_map(*[x for r in params.rules for x in (F.lit(r.name), F.array(*[F.lit(c) for c in r.cutoffs]))])
-    per = (counted.filter("level > 0").withColumn("j", F.explode(F.expr("sequence(1, level)")))
+    n = F.size(F.element_at(cutoffs, F.col("rule")))
+    per = (counted.filter("level > 0").withColumn("j", F.explode(F.sequence(n - F.col("level") + 1, n)))
                   .groupBy("stratum", "rule", "j").agg(F.sum("good").alias("k_good"), F.sum("bad").alias("k_bad"))
                   .join(sizes, ["stratum", "rule"]))
     error = params.error / max(1, tests)

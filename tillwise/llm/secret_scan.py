@@ -82,14 +82,14 @@ def window_hits(run: str, width: int, bits: float) -> list[bool]:
     limit = (math.log2(width) - bits) * width + 1e-9
     out = []
     for i, x in enumerate(run):
-        c = count.get(x, 0)
-        count[x] = c + 1
-        total += cost[c + 1] - cost[c]
         if i >= width:
             y = run[i - width]
             c = count[y]
             count[y] = c - 1
             total += cost[c - 1] - cost[c]
+        c = count.get(x, 0)
+        count[x] = c + 1
+        total += cost[c + 1] - cost[c]
         if i >= width - 1:
             out.append(total <= limit)
     return out
