@@ -185,7 +185,7 @@ def train(ids: list[np.ndarray], key: np.ndarray, labels: dict[str, tuple[np.nda
     if y.any():
         best = int(f1.argmax())
         below = prob[order[best + 1]] if best + 1 < rows.n else 0.0
-        chain.threshold = float(np.clip((prob[order[best]] + below) / 2, 0.2, 0.8))
+        chain.threshold = float(np.clip((prob[order[best]] + below) / 2, 0.05, 0.8))
     return chain
 
 
