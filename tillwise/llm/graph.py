@@ -12,12 +12,17 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 
 
-def _stars(e: DataFrame) -> DataFrame:
+MAX_BROADCAST = 400_000  # edges; the minima of more nodes are joined by shuffle
+
+
+def _stars(e: DataFrame, n: int) -> DataFrame:
+    """``n``: number of edges. A hub's edges then stay where they are."""
+    near = F.broadcast if n <= MAX_BROADCAST else lambda df: df
     both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
     low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    large = both.filter("v > u").join(near(low), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
     low = large.groupBy("u").agg(F.min("v").alias("m"))
-    small = large.join(low, "u").select(F.explode(F.array(
+    small = large.join(near(low), "u").select(F.explode(F.array(
         F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x"))
     return small.select("x.u", "x.v").filter("u <> v").distinct()
 
@@ -29,7 +34,7 @@ def components(edges: DataFrame) -> DataFrame:
     mark = lambda df: tuple(df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
     state = mark(e)
     while state[0]:
-        nxt = cut_lineage(_stars(e))
+        nxt = cut_lineage(_stars(e, state[0]))
         after = mark(nxt)
         e = nxt
         if after == state:

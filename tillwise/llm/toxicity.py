@@ -97,13 +97,17 @@ def features(rows: DataFrame, p: Params, keep: list[str]) -> DataFrame:
     return src.mapInArrow(run, f"{kinds}, ids array<int>")
 
 
-class _Rows:
-    """Presence features of the sample: bucket ids end to end with row numbers."""
+@dataclass
+class Rows:
+    """Presence features: bucket ids end to end, each with its row number."""
+    n: int
+    row: np.ndarray
+    ids: np.ndarray
 
-    def __init__(self, ids: list[np.ndarray], bits: int):
-        self.n, self.bits = len(ids), bits
-        self.ids = np.concatenate(ids) if ids else np.zeros(0, np.int64)
-        self.row = np.repeat(np.arange(self.n), [len(x) for x in ids])
+    @classmethod
+    def of(cls, ids: list, bits: int) -> Rows:
+        flat = np.concatenate([np.asarray(x, dtype=np.int32) for x in ids]) if ids else np.zeros(0, np.int32)
+        return cls(len(ids), np.repeat(np.arange(len(ids), dtype=np.int32), [len(x) for x in ids]), flat)
 
     def chosen(self, features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, feature number) of the presences of ``features``."""
@@ -112,15 +116,13 @@ class _Rows:
         return self.row[hit], at[hit]
 
 
-def _g2(rows: _Rows, y: np.ndarray, use: np.ndarray, p: Params) -> np.ndarray:
+def _g2(rows: Rows, y: np.ndarray, use: np.ndarray, p: Params) -> np.ndarray:
     """Buckets whose presence depends on ``y`` among the rows ``use``."""
-    width = 1 << p.bits
-    sel = use[rows.row]
-    a = np.bincount(rows.ids[sel & y[rows.row]], minlength=width).astype(float)
-    b = np.bincount(rows.ids[sel & ~y[rows.row]], minlength=width).astype(float)
+    a = np.bincount(rows.ids[(use & y)[rows.row]], minlength=1 << p.bits)
+    b = np.bincount(rows.ids[(use & ~y)[rows.row]], minlength=1 << p.bits)
     n1, n0 = float((use & y).sum()), float((use & ~y).sum())
     seen = np.flatnonzero(a + b)
-    a, b = a[seen], b[seen]
+    a, b = a[seen].astype(float), b[seen].astype(float)
     share = (a + b) / (n1 + n0)
     part = lambda o, e: np.where(o > 0, o * np.log(np.maximum(o, 1e-9) / np.maximum(e, 1e-9)), 0.0)
     g = 2 * (part(a, n1 * share) + part(n1 - a, n1 * (1 - share)) + part(b, n0 * share) + part(n0 - b, n0 * (1 - share)))
@@ -129,7 +131,7 @@ def _g2(rows: _Rows, y: np.ndarray, use: np.ndarray, p: Params) -> np.ndarray:
     return np.sort(seen[good])
 
 
-def _fit_link(name: str, rows: _Rows, earlier: np.ndarray, y: np.ndarray, use: np.ndarray, p: Params) -> Link:
+def _fit_link(name: str, rows: Rows, earlier: np.ndarray, y: np.ndarray, use: np.ndarray, p: Params) -> Link:
     """L2 logistic regression (full-batch Adam) on the rows ``use``."""
     n1, n = float((use & y).sum()), float(use.sum())
     prior = float(np.log((n1 + 0.5) / (n - n1 + 0.5)))
@@ -155,16 +157,16 @@ def _fit_link(name: str, rows: _Rows, earlier: np.ndarray, y: np.ndarray, use: n
     return Link(name, feats, w[:k], w[k:-1], float(w[-1]))
 
 
-def _logit(link: Link, rows: _Rows, earlier: np.ndarray) -> np.ndarray:
+def _logit(link: Link, rows: Rows, earlier: np.ndarray) -> np.ndarray:
     r, c = rows.chosen(link.features)
     return np.bincount(r, weights=link.weights[c], minlength=rows.n) + earlier @ link.earlier + link.bias
 
 
-def train(ids: list[np.ndarray], key: np.ndarray, labels: dict[str, tuple[np.ndarray, np.ndarray]],
+def train(rows: Rows, key: np.ndarray, labels: dict[str, tuple[np.ndarray, np.ndarray]],
           p: Params = Params()) -> Chain:
     """``labels``: category -> (0/1 per row, rows to learn from), in chain
     order; the last decides. ``key`` assigns a row to its fold."""
-    chain, rows = Chain(p), _Rows(ids, p.bits)
+    chain = Chain(p)
     if not rows.n:
         return chain
     fold = (np.asarray(key, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(p.folds)
@@ -198,8 +200,7 @@ def predict_texts(chain: Chain, texts: list[str]) -> np.ndarray:
     ids, docs = _buckets(texts, p)
     hit = flag[ids]
     pair = np.unique((docs[hit].astype(np.int64) << p.bits) | ids[hit])
-    rows = _Rows([], p.bits)
-    rows.n, rows.row, rows.ids = len(texts), pair >> p.bits, pair & ((1 << p.bits) - 1)
+    rows = Rows(len(texts), pair >> p.bits, pair & ((1 << p.bits) - 1))
     earlier = np.zeros((len(texts), 0))
     for link in chain.links:
         earlier = np.column_stack([earlier, textio.sigmoid(_logit(link, rows, earlier))])
@@ -220,8 +221,10 @@ def fit(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Chain:
     lang = np.array(got.column("lang").to_pylist(), dtype=object)
     by = sorted(((-int((toxic & (lang == x)).sum()), x) for x in set(lang) - {None}))[:params.max_languages]
     categories = {f"{TARGET}_{x}": (toxic, lang == x) for n, x in by if n}
-    return train([np.asarray(x.values, dtype=np.int64) for x in got.column("ids")],
-                 np.asarray(got.column("doc_id")), categories | {TARGET: (toxic, np.ones(len(toxic), dtype=bool))}, params)
+    ids = got.column("ids").combine_chunks()
+    size = np.diff(np.asarray(ids.offsets))
+    rows = Rows(len(ids), np.repeat(np.arange(len(ids), dtype=np.int32), size), np.asarray(ids.flatten()))
+    return train(rows, np.asarray(got.column("doc_id")), categories | {TARGET: (toxic, np.ones(len(toxic), dtype=bool))}, params)
 
 
 def predict(docs: DataFrame, chain: Chain, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
