@@ -209,7 +209,7 @@ def test_search_recall_and_exact_scores(spark):
     x[1000:2000] = x[1000]                       # a third of all rows are copies
     x[2100:2160] = x[2100]
     ids = np.arange(3000)
-    got = run_search(spark, [(int(i), x[i].tolist(), "l") for i in ids], ann.Params(leaf_rows=60, block_rows=40, block_queries=7))
+    got = run_search(spark, [(int(i), x[i].tolist(), "l") for i in ids], ann.Params(leaf_rows=60, shard_rows=40, block_queries=7))
     assert set(got) == set(range(0, 3000, 20))
     hits = 0
     x = x.astype(np.float64)

@@ -10,9 +10,11 @@ searched in the sample exactly, and the visits are widened until the share of
 their true neighbours that lie in visited leaves reaches ``recall``; a query
 also goes on until its leaves hold enough rows.
 
-Rows and queries meet per leaf. Large leaves, and leaves that many queries
-visit, are cut into blocks by hash, so no task's work depends on how crowded
-one leaf is. Of identical vectors only the ``k`` + 1 smallest ids are searched:
+Rows and queries meet per shard, a stretch of neighbouring leaves; a query
+brings the list of leaves it visits there and takes its k best rows along once
+per shard. Leaves larger than a shard, and shards that many queries visit, are
+cut into blocks by hash, so no task's work depends on how crowded one leaf is.
+Of identical vectors only the ``k`` + 1 smallest ids are searched:
 no other copy can be among the k nearest, ties going to smaller ids.
 
 Distances are Euclidean, in double precision, on the original vectors.
@@ -46,7 +48,7 @@ class Params:
     rounds: int = 8              # of k-means per split
     recall: float = 0.97         # calibrated share of true neighbours in visited leaves
     calibration: int = 200       # held-back queries
-    block_rows: int = 20_000
+    shard_rows: int = 8_000
     block_queries: int = 2_000
     seed: int = 11
 
@@ -190,59 +192,87 @@ def search(rows: DataFrame, queries: DataFrame, params: Params = Params()) -> Da
     placed = cut_lineage(kept.mapInArrow(place, "leaf long, vec_id long, vec array<double>"))
     held = {r["leaf"]: r["count"] for r in placed.groupBy("leaf").count().collect()}   # at most one number per leaf of the tree
 
+    # leaves in tree order fill one shard after another; a leaf above the shard size gets shards of its own
+    shards: dict[int, list[int]] = {}
+    last, room = -1, 0
+    for leaf in range(tree.leaves):
+        rows_ = held.get(leaf, 0)
+        if rows_ > params.shard_rows:
+            shards[leaf] = [last + 1 + i for i in range(-(-rows_ // params.shard_rows))]
+            last, room = shards[leaf][-1], 0
+            continue
+        if rows_ > room:
+            last, room = last + 1, params.shard_rows
+        shards[leaf] = [max(last, 0)]
+        room -= rows_
+
     def route(batches):
         for b in batches:
-            vec, leaves, row = _matrix(b.column("vec")), [], []
+            vec = _matrix(b.column("vec"))
+            row, shard, leaves = [], [], []
             for i in range(len(b)):
-                seen, have = 0, 0
+                seen, have, mine = 0, 0, {}
                 for leaf in best_bin_first(tree, vec[i]):
                     seen += 1
                     have += held.get(leaf, 0)
-                    leaves.append(leaf)
-                    row.append(i)
+                    for s in shards[leaf]:
+                        mine.setdefault(s, []).append(leaf)
                     if seen >= tree.visits and have >= 4 * (k + 1):
                         break
+                row += [i] * len(mine)
+                shard += mine
+                leaves += mine.values()
             at = pa.array(row, pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(leaves, pa.int64()), b.column("vec_id").take(at), b.column("vec").take(at)],
-                                             names=["leaf", "query_id", "vec"])
+            yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int64()), b.column("vec_id").take(at), b.column("vec").take(at),
+                                              pa.array(leaves, pa.list_(pa.int64()))], names=["shard", "query_id", "vec", "leaves"])
 
     asked = (queries.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vec"))
                     .filter(F.col("vec_id").isNotNull() & usable("vec") & (F.size("vec") == dim)).dropDuplicates(["vec_id"]))
-    routed = cut_lineage(asked.mapInArrow(route, "leaf long, query_id long, vec array<double>"))
-    wanted = {r["leaf"]: r["count"] for r in routed.groupBy("leaf").count().collect()}
-    parts = {leaf: (-(-held[leaf] // params.block_rows), -(-wanted.get(leaf, 0) // params.block_queries)) for leaf in held}
-
-    def blocks(side: int, key: str):
-        """Deals rows (side 0) or queries (side 1) of a leaf to its blocks: a row has one row block and meets all query blocks."""
-        def run(batches):
-            for b in batches:
-                leaf = np.asarray(b.column("leaf"))
-                own = np.asarray(b.column(key)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)
-                out, block = [], []
-                for i, (x, h) in enumerate(zip(leaf.tolist(), own.tolist())):
-                    size = parts.get(x, (0, 0))
-                    mine, other = h % max(size[side], 1), size[1 - side]
-                    for o in range(other):
-                        out.append(i)
-                        block.append(mine * size[1] + o if side == 0 else o * size[1] + mine)
-                at = pa.array(out, pa.int64())
-                yield pa.RecordBatch.from_arrays([b.column("leaf").take(at), pa.array(block, pa.int64()), b.column(key).take(at),
-                                                  b.column("vec").take(at)], names=["leaf", "block", key, "vec"])
-        return run
-
-    left = placed.mapInArrow(blocks(0, "vec_id"), "leaf long, block long, vec_id long, vec array<double>")
-    right = routed.mapInArrow(blocks(1, "query_id"), "leaf long, block long, query_id long, vec array<double>")
+    routed = cut_lineage(asked.mapInArrow(route, "shard long, query_id long, vec array<double>, leaves array<long>"))
+    blocks = {r["shard"]: -(-r["count"] // params.block_queries) for r in routed.groupBy("shard").count().collect()}
+
+    def spread(ids) -> np.ndarray:
+        return np.asarray(ids).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)
+
+    def deal_rows(batches):
+        """A row has one shard and meets all its blocks of queries."""
+        for b in batches:
+            out, shard, block = [], [], []
+            for i, (leaf, h) in enumerate(zip(b.column("leaf").to_pylist(), spread(b.column("vec_id")).tolist())):
+                s = shards[leaf][h % len(shards[leaf])]
+                for o in range(blocks.get(s, 0)):
+                    out.append(i)
+                    shard.append(s)
+                    block.append(o)
+            at = pa.array(out, pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int64()), pa.array(block, pa.int64()), b.column("leaf").take(at),
+                                              b.column("vec_id").take(at), b.column("vec").take(at)],
+                                             names=["shard", "block", "leaf", "vec_id", "vec"])
+
+    def deal_queries(batches):
+        for b in batches:
+            block = [h % blocks[s] for s, h in zip(b.column("shard").to_pylist(), spread(b.column("query_id")).tolist())]
+            yield pa.RecordBatch.from_arrays([b.column("shard"), pa.array(block, pa.int64()), b.column("query_id"), b.column("vec"),
+                                              b.column("leaves")], names=["shard", "block", "query_id", "vec", "leaves"])
+
+    left = placed.mapInArrow(deal_rows, "shard long, block long, leaf long, vec_id long, vec array<double>")
+    right = routed.mapInArrow(deal_queries, "shard long, block long, query_id long, vec array<double>, leaves array<long>")
 
     def meet(rows, queries):
-        ids, x = np.asarray(rows.column("vec_id")), _matrix(rows.column("vec"))
+        rows = rows.sort_by("leaf")
+        leaf, ids, x = np.asarray(rows.column("leaf")), np.asarray(rows.column("vec_id")), _matrix(rows.column("vec"))
         asked, q = np.asarray(queries.column("query_id")), _matrix(queries.column("vec"))
-        found = [nearest(ids, x, asked[i], q[i], k) for i in range(len(asked))] if len(ids) else []
-        size = [len(f[0]) for f in found]
-        return pa.table({"query_id": pa.array(np.repeat(asked[:len(found)], size), pa.int64()),
-                         "vec_id": pa.array(np.concatenate([f[0] for f in found]) if found else [], pa.int64()),
-                         "score": pa.array(np.concatenate([f[1] for f in found]) if found else [], pa.float64())})
-
-    near = (left.groupBy("leaf", "block").cogroup(right.groupBy("leaf", "block"))
+        out = []
+        for i, visits in enumerate(queries.column("leaves").to_pylist() if len(ids) else []):
+            lo, hi = np.searchsorted(leaf, visits), np.searchsorted(leaf, visits, side="right")
+            at = np.concatenate([np.arange(a, b) for a, b in zip(lo, hi)])
+            out.append(nearest(ids[at], x[at], asked[i], q[i], k))
+        size = [len(f[0]) for f in out]
+        return pa.table({"query_id": pa.array(np.repeat(asked[:len(out)], size), pa.int64()),
+                         "vec_id": pa.array(np.concatenate([f[0] for f in out]) if out else [], pa.int64()),
+                         "score": pa.array(np.concatenate([f[1] for f in out]) if out else [], pa.float64())})
+
+    near = (left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block"))
                 .applyInArrow(meet, "query_id long, vec_id long, score double"))
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return (near.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
