@@ -48,7 +48,7 @@ class Params:
     rounds: int = 8              # of k-means per split
     recall: float = 0.97         # calibrated share of true neighbours in visited leaves
     calibration: int = 200       # held-back queries
-    shard_rows: int = 8_000
+    shard_rows: int = 2_000
     block_queries: int = 2_000
     seed: int = 11
 
