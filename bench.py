@@ -18,9 +18,9 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tillwise.plans.registry import Inputs, headline, queries  # noqa: E402
-from tillwise.session import build_session  # noqa: E402
+from tillwise.session import build_session, scratch  # noqa: E402
 
-EXTRA = ["dq_report", "scorecard", "segment_summary", "clv_deciles", "auc_rank"]
+EXTRA = ["dq_report", "scorecard", "segment_summary", "clv_deciles", "auc_rank", "histograms", "at_risk_exposure_baseline"]
 
 
 def run(df) -> None:
@@ -44,7 +44,8 @@ def main() -> None:
     times: dict[str, float] = {}
     for name in names:
         t0 = time.perf_counter()
-        run(q[name](spark, sf_dir))
+        with scratch(spark):  # intermediate tables go with the query
+            run(q[name](spark, sf_dir))
         times[name] = round(time.perf_counter() - t0, 3)
     from tillwise.operators.rfm import rfm_segments_window
     t0 = time.perf_counter()

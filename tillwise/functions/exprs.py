@@ -11,6 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(22,2)"
+PRICE = "decimal(24,10)"
 
 
 def col(c: str | Column) -> Column:
@@ -33,11 +34,16 @@ def days_between(start: str | Column, end: str | Column) -> Column:
     return F.timestamp_diff("DAY", col(start), col(end))
 
 
+def exact_amount(quantity: str | Column, unit_price: str | Column) -> Column:
+    """``Quantity * UnitPrice`` as a DECIMAL with ten decimals; NULL (not an
+    aborted job) for a price of 1e14 or more."""
+    return col(quantity).cast("decimal(10,0)") * col(unit_price).try_cast(PRICE)
+
+
 def line_total(quantity: str | Column, unit_price: str | Column) -> Column:
-    """``ROUND(Quantity * UnitPrice, 2)`` computed in DECIMAL (half-up)."""
-    q = col(quantity).cast("decimal(10,0)")
-    p = col(unit_price).cast("decimal(12,4)")
-    return F.round(q * p, 2)
+    """``ROUND(Quantity * UnitPrice, 2)`` computed in DECIMAL (half-up). An
+    amount beyond MONEY is NULL, which the not_null data test counts."""
+    return F.round(exact_amount(quantity, unit_price), 2).try_cast(MONEY)
 
 
 def cents(amount: str | Column) -> Column:
@@ -49,8 +55,9 @@ _INT = "decimal(38,0)"
 
 
 def _idiv(a: Column, b: Column) -> Column:
-    """Exact integer division of non-negative integers (DECIMAL, no float step)."""
-    return F.floor(a.cast(_INT) / b.cast(_INT)).cast("long")
+    """Exact integer division of non-negative integers (a DECIMAL quotient
+    would be cut to six decimals before its floor)."""
+    return F.call_function("div", a.cast(_INT), b.cast(_INT))
 
 
 def half_up_div(numerator_hundredths: str | Column, denominator: str | Column) -> Column:
@@ -64,18 +71,6 @@ def half_up_div(numerator_hundredths: str | Column, denominator: str | Column) -
     return _idiv(n * 2 + d, d * 2).cast("double") / F.lit(100.0)
 
 
-def half_up_round_units(value_units: str | Column, units_per_cent: int) -> Column:
-    """Round a non-negative integer amount given in ``1/units_per_cent`` cents
-    to 2 decimals half-up: ``(2v + u) div 2u`` cents."""
-    v = col(value_units).cast(_INT)
-    u = F.lit(int(units_per_cent)).cast(_INT)
-    return _idiv(v * 2 + u, u * 2).cast("double") / F.lit(100.0)
-
-
-def to_double(c: str | Column) -> Column:
-    return col(c).cast("double")
-
-
 def clamp(c: Column, lo: float | None = None, hi: float | None = None) -> Column:
     """``clip``: least/greatest around a column."""
     out = c
@@ -84,8 +79,3 @@ def clamp(c: Column, lo: float | None = None, hi: float | None = None) -> Column
     if hi is not None:
         out = F.least(out, F.lit(float(hi)))
     return out
-
-
-def round6(c: Column) -> Column:
-    """Six-decimal rounding for irrational statistics (log, std, corr)."""
-    return F.round(c, 6)

@@ -21,8 +21,6 @@ PRIORITIES = {
     "P4 - Win-back Campaign": ["Lost"],
 }
 DEFAULT_PRIORITY = "P5 - Monitor"
-FREQUENCY_TIERS = ["One-time Buyer", "Occasional", "Regular", "Frequent"]
-VALUE_TIERS = ["No Repeat Purchases", "Low Value", "Medium Value", "High Value", "Premium Value"]
 CLV_TIERS = [(2000, "VIP (High CLV)"), (1000, "High Value"), (500, "Medium Value"),
              (200, "Low Value")]
 CLV_TIER_FLOOR = "Minimal Value"
@@ -30,7 +28,6 @@ RISK_TIERS = [(0.8, "Critical Risk (80%+)"), (0.6, "High Risk (60-80%)"),
               (0.4, "Medium Risk (40-60%)"), (0.2, "Low Risk (20-40%)")]
 RISK_TIER_FLOOR = "Safe (<20%)"
 SUBSCRIPTION_TIERS = ["Basic", "Standard", "Premium", "Enterprise"]
-CLUSTER_NAMES = ["Champions", "Loyal Customers", "At Risk", "Lost / Dormant", "Average"]
 # -----------------------------------------------------------------------------
 
 

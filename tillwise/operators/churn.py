@@ -25,27 +25,38 @@ CHURN_COLUMNS = [
 
 
 def transaction_features(silver: DataFrame, p: ChurnParams = ChurnParams()) -> DataFrame:
-    """Behaviour per customer in one aggregate.
+    """Behaviour per customer.
 
-    The three distinct counts (invoices, products, months) are planned by
-    Catalyst as one Expand + two-level aggregate: (customer, value) pairs are
-    deduplicated map-side and shuffled on the pair, so a customer with a third
-    of all lines is still spread over many tasks before its final count.
+    Lines are first aggregated per (customer, invoice, month) and, for the
+    product count, deduplicated to (customer, product) pairs; both combine
+    map-side and shuffle on the pair, so a customer with a third of all lines
+    is spread over many tasks, and no line is expanded for a distinct count.
     """
     end = observation_end_value(silver)
     ts = F.col("invoice_timestamp")
-    agg = silver.groupBy("CustomerID").agg(
-        F.count_distinct("InvoiceNo").alias("total_transactions"),
+    invoices = silver.groupBy("CustomerID", "InvoiceNo", F.date_trunc("month", ts).alias("_month")).agg(
         F.sum("line_total").alias("_spend"),
         F.sum("Quantity").alias("_items"),
-        F.count_distinct("StockCode").alias("unique_products"),
         F.count(F.lit(1)).alias("_lines"),
         F.max(ts).alias("_last"),
         F.min(ts).alias("_first"),
-        F.count_distinct(F.date_trunc("month", ts)).alias("active_months"),
-        F.max(int_flag(F.col("line_total") > p.high_value_line)).alias("has_high_value_order"),
-        F.max(int_flag(F.col("Quantity") > p.bulk_quantity)).alias("has_bulk_purchase"),
+        F.max(int_flag(F.col("line_total") > p.high_value_line)).alias("_high"),
+        F.max(int_flag(F.col("Quantity") > p.bulk_quantity)).alias("_bulk"),
+    )
+    agg = invoices.groupBy("CustomerID").agg(
+        F.count_distinct("InvoiceNo").alias("total_transactions"),
+        F.sum("_spend").alias("_spend"),
+        F.sum("_items").alias("_items"),
+        F.sum("_lines").alias("_lines"),
+        F.max("_last").alias("_last"),
+        F.min("_first").alias("_first"),
+        F.count_distinct("_month").alias("active_months"),
+        F.max("_high").alias("has_high_value_order"),
+        F.max("_bulk").alias("has_bulk_purchase"),
     )
+    products = (silver.select("CustomerID", "StockCode").distinct()
+                .groupBy("CustomerID").agg(F.count("StockCode").alias("unique_products")))
+    agg = agg.join(products, "CustomerID")
     return agg.select(
         "CustomerID",
         F.col("total_transactions").cast("long").alias("total_transactions"),

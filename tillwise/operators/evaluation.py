@@ -63,11 +63,6 @@ def class_weight_table(df: DataFrame, label: str, out: str = "weight") -> DataFr
         (total.cast("double") / (F.lit(2.0) * F.col("_nc"))).alias(out))
 
 
-def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """Attach balanced class weights (the weight table has one row per class)."""
-    return df.join(F.broadcast(class_weight_table(df, label, out).drop("class_count")), label)
-
-
 def fit_standardizer(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One-row frame of means and population standard deviations."""
     aggs = []

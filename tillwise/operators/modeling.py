@@ -132,13 +132,13 @@ def model_comparison(prep: DataFrame, p: ModelParams = ModelParams()) -> DataFra
             F.lit(name).alias("model"), "accuracy", "precision", "recall", "f1", auc.alias("auc"))
         out = m if out is None else out.unionByName(m)
     from pyspark.sql import Window
-    best = F.max("auc").over(Window.partitionBy())  # two rows
-    return out.withColumn("is_best", F.col("auc") == best)
+    first = F.row_number().over(Window.orderBy(F.col("auc").desc(), "model"))  # two rows; logistic regression wins a tie
+    return out.withColumn("is_best", first == 1)
 
 
-def feature_drivers(prep: DataFrame, p: ModelParams = ModelParams(), top: int = 10) -> DataFrame:
-    """LR coefficients (sign -> direction) and RF importances per feature,
-    ranked by absolute value."""
+def feature_drivers(prep: DataFrame, p: ModelParams = ModelParams(), top: int | None = None) -> DataFrame:
+    """LR coefficients (sign -> direction) and RF importances of all features,
+    ranked by absolute value; ``top`` keeps the strongest of each model."""
     spark = prep.sparkSession
     train = prep.where("is_train")
     lr = fit(train, "lr", p).model
@@ -149,7 +149,8 @@ def feature_drivers(prep: DataFrame, p: ModelParams = ModelParams(), top: int =
     from pyspark.sql import Window
     df = spark.createDataFrame(rows, "model string, feature string, value double, abs_value double, direction string")
     w = Window.partitionBy("model").orderBy(F.col("abs_value").desc(), F.col("feature"))  # 14 rows per model
-    return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
+    ranked = df.withColumn("rank", F.row_number().over(w))
+    return ranked.where(F.col("rank") <= top) if top else ranked
 
 
 def risk_scored(churn_mart: DataFrame, prep: DataFrame, p: ModelParams = ModelParams(),

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import days_between, half_up_div
+from ..functions.exprs import days_between, exact_amount, half_up_div
 from ..params import CleaningParams
 from .ranking import exact_quantiles
 
@@ -154,10 +154,9 @@ def customer_metrics(df: DataFrame, p: CleaningParams = CleaningParams()) -> Dat
     min/max would compare day-first strings)."""
     clean = with_parsed_date(df, p).where(
         F.col("CustomerID").isNotNull() & (F.col("Quantity") > 0) & (F.col("UnitPrice") > 0))
-    exact_line = F.col("Quantity").cast("decimal(10,0)") * F.col("UnitPrice").cast("decimal(12,4)")
     return clean.groupBy("CustomerID").agg(
         F.count_distinct("InvoiceNo").cast("long").alias("transaction_count"),
-        F.sum(exact_line).cast("double").alias("total_spend"),
+        F.sum(exact_amount("Quantity", "UnitPrice")).cast("double").alias("total_spend"),
         F.sum("Quantity").cast("long").alias("total_items"),
         F.min("InvoiceDateParsed").alias("first_purchase"),
         F.max("InvoiceDateParsed").alias("last_purchase"),
@@ -197,21 +196,28 @@ def histogram(df: DataFrame, value: str, bins: int = 50, metric: str | None = No
     """Equal-width histogram over [min, max], last bin closed (numpy style).
     ``min``/``max`` come from one aggregate (a scalar subquery); binning is a
     narrow expression followed by a partial-aggregated count."""
-    metric = metric or value
-    x = F.col(value).cast("double")
-    base = df.select(x.alias("_x")).where(F.col("_x").isNotNull())
-    rng = base.agg(F.struct(F.min("_x").alias("mn"), F.max("_x").alias("mx"))).scalar()
-    mn, mx = rng["mn"], rng["mx"]
-    width = mx - mn
+    return histograms(df, [(metric or value, F.col(value), F.lit(True))], bins)
+
+
+def histograms(df: DataFrame, metrics: Sequence[tuple], bins: int = 50) -> DataFrame:
+    """Several histograms of one table from two passes: one aggregate for all
+    ranges, one unpivoted binning pass. ``metrics``: (name, value, condition)."""
+    names = [m[0] for m in metrics]
+    wide = df.select(*[F.when(keep, v.cast("double")).alias(n) for n, v, keep in metrics])
+    ranges = wide.agg(F.struct(*[F.struct(F.min(n).alias("mn"), F.max(n).alias("mx")).alias(n) for n in names])).scalar()
+    long = wide.select(F.inline(F.array(*[
+        F.struct(F.lit(n).alias("metric"), F.col(n).alias("_x"), ranges[n]["mn"].alias("_mn"), ranges[n]["mx"].alias("_mx"))
+        for n in names]))).where(F.col("_x").isNotNull())
+    width = F.col("_mx") - F.col("_mn")
     b = F.when(width == 0, F.lit(0)).otherwise(
-        F.least(F.floor((F.col("_x") - mn) / width * F.lit(float(bins))), F.lit(bins - 1)))
-    counted = base.withColumn("bin", b.cast("int")).groupBy("bin").agg(
-        F.count(F.lit(1)).cast("long").alias("count"))
+        F.least(F.floor((F.col("_x") - F.col("_mn")) / width * F.lit(float(bins))), F.lit(bins - 1)))
+    counted = (long.groupBy("metric", b.cast("int").alias("bin"), "_mn", "_mx")
+                   .agg(F.count(F.lit(1)).cast("long").alias("count")))
     w = width / F.lit(float(bins))
     return counted.select(
-        F.lit(metric).alias("metric"), "bin",
-        F.round(mn + F.col("bin") * w, 6).alias("lower"),
-        F.round(mn + (F.col("bin") + 1) * w, 6).alias("upper"),
+        "metric", "bin",
+        F.round(F.col("_mn") + F.col("bin") * w, 6).alias("lower"),
+        F.round(F.col("_mn") + (F.col("bin") + 1) * w, 6).alias("upper"),
         "count")
 
 
@@ -219,13 +225,12 @@ def distribution_histograms(bronze: DataFrame, customers: DataFrame, bins: int =
     """Data behind the distribution charts, on all rows: quantity and unit
     price in the plotted range (0 < Quantity < 1000, 0 < UnitPrice < 100),
     log10 customer spend (spend > 0) and transactions per customer."""
-    ranged = bronze.where((F.col("Quantity") > 0) & (F.col("Quantity") < 1000)
-                          & (F.col("UnitPrice") > 0) & (F.col("UnitPrice") < 100))
-    spend = customers.where(F.col("total_spend") > 0).select(F.log10("total_spend").alias("log10_spend"))
-    return (histogram(ranged, "Quantity", bins)
-            .unionByName(histogram(ranged, "UnitPrice", bins))
-            .unionByName(histogram(spend, "log10_spend", bins))
-            .unionByName(histogram(customers, "transaction_count", bins)))
+    quantity, price, spend = F.col("Quantity"), F.col("UnitPrice"), F.col("total_spend")
+    plotted = (quantity > 0) & (quantity < 1000) & (price > 0) & (price < 100)
+    lines = histograms(bronze, [("Quantity", quantity, plotted), ("UnitPrice", price, plotted)], bins)
+    return lines.unionByName(histograms(customers, [
+        ("log10_spend", F.log10(F.when(spend > 0, spend)), F.lit(True)),
+        ("transaction_count", F.col("transaction_count"), F.lit(True))], bins))
 
 
 def scorecard(bronze: DataFrame, p: CleaningParams = CleaningParams(),

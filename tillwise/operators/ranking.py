@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
+MAX_GROUPS = 10_000  # groups whose statistics are broadcast; more are joined by shuffle
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition id << 33 | position
 
 
@@ -79,8 +80,11 @@ def prefix_sums(df: DataFrame, order: Sequence[str | Column], value_cols: Sequen
     order), plus grand totals ``total_<col>``. Local running sums are taken
     per range partition (rows stay with their partition), partition totals
     become offsets on a frame of one row per partition."""
+    return _prefix(range_tag(df, order, partitions), value_cols, prefix)
+
+
+def _prefix(tagged: DataFrame, value_cols: Sequence[str], prefix: str) -> DataFrame:
     cols = list(value_cols)
-    tagged = range_tag(df, order, partitions)
     w = Window.partitionBy("_pid").orderBy("_local").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = tagged.select("*", *[F.sum(c).over(w).alias(f"_l_{c}") for c in cols])
     totals = tagged.groupBy("_pid").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
@@ -128,10 +132,17 @@ def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float],
     group_cols = list(group_cols)
     base = df.select(*group_cols, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     counts = base.groupBy(*group_cols, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    cum = prefix_sums(counts, [*group_cols, "_v"], ["_c"], "_cum", partitions)  # -> _cum_c (inclusive)
+    tagged = range_tag(counts, [*group_cols, "_v"], partitions)
+    cum = _prefix(tagged, ["_c"], "_cum")  # -> _cum_c (inclusive)
     if group_cols:
-        stats = cum.groupBy(*group_cols).agg(F.sum("_c").alias("_ng"),
-                                             F.min(F.col("_cum_c") - F.col("_c")).alias("_start"))
+        # One row per group, from the tagged rows (no second running count).
+        stats = cut_lineage(tagged.groupBy(*group_cols).agg(F.sum("_c").alias("_ng")))
+        if stats.count() <= MAX_GROUPS:
+            before = Window.orderBy(*group_cols)  # the order of the range sort
+            stats = F.broadcast(stats.withColumn("_start", F.sum("_ng").over(before) - F.col("_ng")))
+        else:
+            starts = cum.groupBy(*group_cols).agg(F.min(F.col("_cum_c") - F.col("_c")).alias("_start"))
+            stats = stats.join(starts, group_cols)
         joined = cum.join(stats, group_cols)
     else:
         joined = cum.withColumn("_ng", F.col("total__c")).withColumn("_start", F.lit(0).cast("long"))

@@ -27,12 +27,12 @@ def q_stg_transactions(spark, sf_dir):
 
 @register("customer_profile", O.with_ctes(*BRONZE_SILVER, O.PROFILES) + " SELECT * FROM profiles")
 def q_customer_profile(spark, sf_dir):
-    return Inputs(spark, sf_dir).profiles
+    return Inputs(spark, sf_dir, share_bronze=True).profiles
 
 
 @register("stg_customers", O.with_ctes(*BRONZE_SILVER, O.PROFILES) + " SELECT * FROM stg_customers")
 def q_stg_customers(spark, sf_dir):
-    return Inputs(spark, sf_dir).customers
+    return Inputs(spark, sf_dir, share_bronze=True).customers
 
 
 @register("observation_end", O.with_ctes(*BRONZE_SILVER) + " SELECT end_date FROM obs")
@@ -99,7 +99,7 @@ def sql_as_double(cols) -> str:
           O.with_ctes(*BRONZE_SILVER, O.PROFILES, O.CHURN) + f" SELECT {sql_as_double(NULLABLE_BEHAVIOUR)} FROM churn",
           headline=True)
 def q_churn_features(spark, sf_dir):
-    i = Inputs(spark, sf_dir)
+    i = Inputs(spark, sf_dir, share_bronze=True)
     return as_double(churn.churn_features(i.silver, i.customers), NULLABLE_BEHAVIOUR)
 
 
@@ -192,18 +192,28 @@ def q_clv_non_finite(spark, sf_dir):
                                                   repair_non_finite=False))
 
 
+@register("clv_rate_repaired", O.with_ctes(*CLV_CHAIN) + """,
+  rate AS (SELECT CustomerID, CASE WHEN recency <> 0 THEN monetary_value / recency END AS v FROM clv_inputs)
+  SELECT CustomerID, ROUND(COALESCE(v, (SELECT quantile_cont(v, 0.5) FROM rate WHERE v IS NOT NULL)), 6) AS daily_value FROM rate""")
+def q_clv_rate_repaired(spark, sf_dir):
+    """Repeat value per day of activity; customers active on a single day have
+    an infinite rate, which the median of the finite ones replaces."""
+    rate = clv.clv_inputs(Inputs(spark, sf_dir).silver).select("CustomerID", F.when(
+        F.col("recency") == 0, F.lit(float("inf"))).otherwise(F.try_divide("monetary_value", "recency")).alias("daily_value"))
+    return clv.repair_with_median(rate, "daily_value").withColumn("daily_value", F.round("daily_value", 6))
+
+
 @register("bronze_csv_ingest", O.with_ctes(O.BRONZE) + " SELECT * FROM bronze")
 def q_bronze_csv_ingest(spark, sf_dir):
     """CSV ingest path: the raw lines are landed as ISO-8859-1 CSV in the
     session's checkpoint folder, then read back with the explicit schema."""
-    import uuid
-
-    from ..session import ensure_checkpoint_dir
+    from ..session import forget_at_exit, new_folder
     from ..sources.bronze import read_invoice_csv
 
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/landing-{uuid.uuid4().hex}"
+    path = new_folder(spark, "landing")
     (Inputs(spark, sf_dir).bronze.write.mode("overwrite").option("header", True)
-     .option("encoding", "ISO-8859-1").csv(path))
+     .option("encoding", "ISO-8859-1").option("escape", '"').csv(path))
+    forget_at_exit(spark, path)
     return read_invoice_csv(spark, path)
 
 
@@ -229,14 +239,13 @@ def q_medallion_row_counts(spark, sf_dir):
     """Full refresh of bronze, silver, gold and the quality report into a new
     folder under the checkpoint folder; each written table is read back and
     counted (writers, schema routing and upstream reads end to end)."""
-    import uuid
-
-    from ..session import ensure_checkpoint_dir
+    from ..session import forget_at_exit, new_folder
     from ..sources.catalog import schema_for, LAYERS
     from .medallion import run
 
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/medallion-{uuid.uuid4().hex}"
+    root = new_folder(spark, "medallion")
     paths = run(spark, sf_dir, root, models=False)
+    forget_at_exit(spark, root)
     frames = [spark.read.parquet(path).agg(F.count(F.lit(1)).cast("long").alias("row_count"))
               .select(F.lit(name).alias("table_name"), F.lit(schema_for(LAYERS.get(name), "default")).alias("schema_name"),
                       "row_count")

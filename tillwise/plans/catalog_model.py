@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 from ..operators import churn, clustering as C, evaluation as E, modeling as M
 from ..params import ModelParams
+from ..session import cut_lineage, forget_at_exit, new_folder
+from ..sources.catalog import read_table, save_table
 from . import oracle as O
-from .registry import Inputs, register
+from .registry import REGISTRY, Inputs, register
 
 P = ModelParams()
 
@@ -128,6 +130,18 @@ def q_cluster_mapping_fixed(spark, sf_dir):
     return C.cluster_mapping(_fixed_clusters(Inputs(spark, sf_dir))[1])
 
 
+@register("mapping_schema_replaced", REGISTRY["cluster_mapping_fixed"].sql)
+def q_mapping_schema_replaced(spark, sf_dir):
+    """The cluster mapping saved twice: a first version with fewer columns is
+    replaced, schema included, by the full one, which is read back."""
+    root = new_folder(spark, "mapping")
+    mapping = cut_lineage(C.cluster_mapping(_fixed_clusters(Inputs(spark, sf_dir))[1]))
+    save_table(mapping.select(mapping.columns[0]), "cluster_mapping", root=root)
+    save_table(mapping, "cluster_mapping", root=root)
+    forget_at_exit(spark, root)
+    return read_table(spark, "cluster_mapping", root=root)
+
+
 @register("cluster_shares_fixed", FEAT_SQL + _MAPPING_SQL + f""",
   enriched AS (SELECT c.*, m.cluster_name AS cluster_business_name FROM clustered c
                LEFT JOIN mapping m ON CAST(c.cluster AS BIGINT) = m.cluster_id)
@@ -202,7 +216,7 @@ MODEL_SQL = O.with_ctes(*CHURN_CHAIN, MODEL_INPUT)
 
 
 def _mart(i: Inputs):
-    return churn.churn_features(i.silver, i.customers)
+    return cut_lineage(churn.churn_features(i.silver, i.customers))  # read more than once by the models
 
 
 def _prepared(i: Inputs):
@@ -215,21 +229,21 @@ def _baseline_test(i: Inputs):
 
 @register("churn_training_set", MODEL_SQL + " SELECT * FROM training_set")
 def q_churn_training_set(spark, sf_dir):
-    return M.training_set(_mart(Inputs(spark, sf_dir)))
+    return M.training_set(_mart(Inputs(spark, sf_dir, share_bronze=True)))
 
 
 # ``fold`` is NULL for test rows: reported as DOUBLE on both engines (see
 # catalog.NULLABLE_BEHAVIOUR for why).
 @register("stratified_split", MODEL_SQL + " SELECT CustomerID, churn_label, is_train, CAST(fold AS DOUBLE) AS fold FROM split")
 def q_stratified_split(spark, sf_dir):
-    ts = M.training_set(_mart(Inputs(spark, sf_dir)))
+    ts = M.training_set(_mart(Inputs(spark, sf_dir, share_bronze=True)))
     return E.stratified_split(ts, M.LABEL, M.KEY, P.seed, P.train_fraction, P.folds).select(
         "CustomerID", "churn_label", "is_train", F.col("fold").cast("double").alias("fold"))
 
 
 @register("class_weights", MODEL_SQL + " SELECT * FROM weights")
 def q_class_weights(spark, sf_dir):
-    ts = M.training_set(_mart(Inputs(spark, sf_dir)))
+    ts = M.training_set(_mart(Inputs(spark, sf_dir, share_bronze=True)))
     split = E.stratified_split(ts, M.LABEL, M.KEY, P.seed, P.train_fraction, P.folds)
     return E.class_weight_table(split.where("is_train"), M.LABEL)
 
@@ -239,14 +253,14 @@ def q_class_weights(spark, sf_dir):
     {", ".join(f"ROUND({c}_z, 6) AS {c}_z" for c in FEATS)}
   FROM prepared""")
 def q_churn_model_input(spark, sf_dir):
-    prep = _prepared(Inputs(spark, sf_dir))
+    prep = _prepared(Inputs(spark, sf_dir, share_bronze=True))
     return prep.select("CustomerID", "churn_label", "is_train", F.col("fold").cast("double").alias("fold"), "weight",
                        *[F.round(f"{c}_z", 6).alias(f"{c}_z") for c in FEATS])
 
 
 @register("baseline_scores", MODEL_SQL + " SELECT * FROM baseline")
 def q_baseline_scores(spark, sf_dir):
-    return M.baseline_scores(_prepared(Inputs(spark, sf_dir)))
+    return M.baseline_scores(_prepared(Inputs(spark, sf_dir, share_bronze=True)))
 
 
 @register("confusion_metrics", MODEL_SQL + """
@@ -260,7 +274,7 @@ def q_baseline_scores(spark, sf_dir):
     ROUND(CASE WHEN tp = 0 THEN 0.0 ELSE 2 * CAST(tp AS DOUBLE) / CAST(2 * tp + fp + fn AS DOUBLE) END, 6) AS f1
   FROM c""")
 def q_confusion_metrics(spark, sf_dir):
-    return E.confusion_metrics(_baseline_test(Inputs(spark, sf_dir)), "label", "score", P.threshold)
+    return E.confusion_metrics(_baseline_test(Inputs(spark, sf_dir, share_bronze=True)), "label", "score", P.threshold)
 
 
 @register("classification_report", MODEL_SQL + """
@@ -277,7 +291,7 @@ def q_confusion_metrics(spark, sf_dir):
     CAST(t + f_n AS BIGINT) AS support
   FROM b""")
 def q_classification_report(spark, sf_dir):
-    return E.classification_report(_baseline_test(Inputs(spark, sf_dir)), "label", "score", P.threshold)
+    return E.classification_report(_baseline_test(Inputs(spark, sf_dir, share_bronze=True)), "label", "score", P.threshold)
 
 
 @register("auc_rank", MODEL_SQL + """
@@ -288,7 +302,7 @@ def q_classification_report(spark, sf_dir):
     CAST(SUM(pos) AS BIGINT) AS positives, CAST(SUM(neg) AS BIGINT) AS negatives
   FROM r""")
 def q_auc_rank(spark, sf_dir):
-    return E.auc_rank(_baseline_test(Inputs(spark, sf_dir)))
+    return E.auc_rank(_baseline_test(Inputs(spark, sf_dir, share_bronze=True)))
 
 
 @register("roc_pr_points", MODEL_SQL + """
@@ -303,7 +317,7 @@ def q_auc_rank(spark, sf_dir):
   FROM r
   UNION ALL SELECT CAST('inf' AS DOUBLE), 0, 0, 0.0, 0.0, 1.0, 0.0""")
 def q_roc_pr_points(spark, sf_dir):
-    return E.curve_points(_baseline_test(Inputs(spark, sf_dir)))
+    return E.curve_points(_baseline_test(Inputs(spark, sf_dir, share_bronze=True)))
 
 
 _BASE_RISK = """
@@ -328,7 +342,7 @@ def _baseline_scored(i: Inputs):
     CAST(SUM(CAST(monthly_fee AS DECIMAL(22,2))) AS DOUBLE) AS monthly_fee
   FROM scored GROUP BY risk_tier""")
 def q_risk_summary_baseline(spark, sf_dir):
-    return M.risk_summary(_baseline_scored(Inputs(spark, sf_dir)))
+    return M.risk_summary(_baseline_scored(Inputs(spark, sf_dir, share_bronze=True)))
 
 
 @register("at_risk_exposure_baseline", MODEL_SQL + _BASE_RISK + """
@@ -342,33 +356,33 @@ def q_risk_summary_baseline(spark, sf_dir):
     CAST(COALESCE(fee, 0) * 12 AS DOUBLE) AS annual_fee_at_risk
   FROM allr""")
 def q_at_risk_exposure_baseline(spark, sf_dir):
-    return M.at_risk_exposure(_baseline_scored(Inputs(spark, sf_dir)))
+    return M.at_risk_exposure(_baseline_scored(Inputs(spark, sf_dir, share_bronze=True)))
 
 
 @register("lr_scores")
 def q_lr_scores(spark, sf_dir):
-    return M.test_scores(_prepared(Inputs(spark, sf_dir)), "lr", P)
+    return M.test_scores(_prepared(Inputs(spark, sf_dir, share_bronze=True)), "lr", P)
 
 
 @register("rf_scores")
 def q_rf_scores(spark, sf_dir):
-    return M.test_scores(_prepared(Inputs(spark, sf_dir)), "rf", P)
+    return M.test_scores(_prepared(Inputs(spark, sf_dir, share_bronze=True)), "rf", P)
 
 
 @register("cv_auc")
 def q_cv_auc(spark, sf_dir):
-    prep = _prepared(Inputs(spark, sf_dir))
+    prep = _prepared(Inputs(spark, sf_dir, share_bronze=True))
     return M.cv_auc(prep, "lr", P).unionByName(M.cv_auc(prep, "rf", P))
 
 
 @register("model_comparison")
 def q_model_comparison(spark, sf_dir):
-    return M.model_comparison(_prepared(Inputs(spark, sf_dir)), P)
+    return M.model_comparison(_prepared(Inputs(spark, sf_dir, share_bronze=True)), P)
 
 
 @register("feature_drivers")
 def q_feature_drivers(spark, sf_dir):
-    return M.feature_drivers(_prepared(Inputs(spark, sf_dir)), P)
+    return M.feature_drivers(_prepared(Inputs(spark, sf_dir, share_bronze=True)), P)
 
 
 def _lr_scored(i: Inputs):
@@ -378,17 +392,17 @@ def _lr_scored(i: Inputs):
 
 @register("risk_tiers")
 def q_risk_tiers(spark, sf_dir):
-    return _lr_scored(Inputs(spark, sf_dir))
+    return _lr_scored(Inputs(spark, sf_dir, share_bronze=True))
 
 
 @register("risk_summary")
 def q_risk_summary(spark, sf_dir):
-    return M.risk_summary(_lr_scored(Inputs(spark, sf_dir)))
+    return M.risk_summary(_lr_scored(Inputs(spark, sf_dir, share_bronze=True)))
 
 
 @register("at_risk_exposure")
 def q_at_risk_exposure(spark, sf_dir):
-    return M.at_risk_exposure(_lr_scored(Inputs(spark, sf_dir)))
+    return M.at_risk_exposure(_lr_scored(Inputs(spark, sf_dir, share_bronze=True)))
 
 
 @register("churn_label_rate", MODEL_SQL + """
@@ -397,7 +411,7 @@ def q_at_risk_exposure(spark, sf_dir):
     ROUND(CAST(SUM(churn_label * customers) OVER () AS DOUBLE) / CAST(SUM(customers) OVER () AS DOUBLE), 6) AS churn_rate
   FROM g""")
 def q_churn_label_rate(spark, sf_dir):
-    return M.label_distribution(_mart(Inputs(spark, sf_dir)))
+    return M.label_distribution(_mart(Inputs(spark, sf_dir, share_bronze=True)))
 
 
 @register("cluster_silhouette")
@@ -458,12 +472,12 @@ _CURVE_SQL = """
 
 @register("roc_points", MODEL_SQL + _CURVE_SQL + " SELECT threshold, fpr, tpr FROM pts")
 def q_roc_points(spark, sf_dir):
-    return E.curve_points(_baseline_test(Inputs(spark, sf_dir))).select("threshold", "fpr", "tpr")
+    return E.curve_points(_baseline_test(Inputs(spark, sf_dir, share_bronze=True))).select("threshold", "fpr", "tpr")
 
 
 @register("pr_points", MODEL_SQL + _CURVE_SQL + " SELECT threshold, precision, tpr AS recall FROM pts")
 def q_pr_points(spark, sf_dir):
-    return E.curve_points(_baseline_test(Inputs(spark, sf_dir))).select("threshold", "precision", "recall")
+    return E.curve_points(_baseline_test(Inputs(spark, sf_dir, share_bronze=True))).select("threshold", "precision", "recall")
 
 
 @register("split_summary", MODEL_SQL + """
@@ -471,5 +485,5 @@ def q_pr_points(spark, sf_dir):
     ROUND(AVG(CAST(churn_label AS DOUBLE)), 6) AS churn_rate
   FROM split GROUP BY 1""")
 def q_split_summary(spark, sf_dir):
-    ts = M.training_set(_mart(Inputs(spark, sf_dir)))
+    ts = M.training_set(_mart(Inputs(spark, sf_dir, share_bronze=True)))
     return E.split_summary(E.stratified_split(ts, M.LABEL, M.KEY, P.seed, P.train_fraction, P.folds), M.LABEL)

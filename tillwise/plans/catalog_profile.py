@@ -13,7 +13,7 @@ parsed AS (SELECT *, try_strptime(InvoiceDate, '%d-%m-%Y %H:%M') AS InvoiceDateP
 PROFILE_CUSTOMERS = """
 pcm AS (
   SELECT CustomerID, CAST(COUNT(DISTINCT InvoiceNo) AS BIGINT) AS transaction_count,
-    CAST(SUM(CAST(Quantity AS DECIMAL(10,0)) * CAST(UnitPrice AS DECIMAL(12,4))) AS DOUBLE) AS total_spend,
+    CAST(SUM(CAST(Quantity AS DECIMAL(10,0)) * CAST(UnitPrice AS DECIMAL(24,10))) AS DOUBLE) AS total_spend,
     CAST(SUM(Quantity) AS BIGINT) AS total_items,
     MIN(InvoiceDateParsed) AS first_purchase, MAX(InvoiceDateParsed) AS last_purchase
   FROM parsed WHERE CustomerID IS NOT NULL AND Quantity > 0 AND UnitPrice > 0
@@ -193,7 +193,7 @@ _RANGE = "Quantity > 0 AND Quantity < 1000 AND UnitPrice > 0 AND UnitPrice < 100
     _hist_sql("transaction_count", "pcm", "transaction_count"),
 ]))
 def q_histograms(spark, sf_dir):
-    bronze = Inputs(spark, sf_dir).bronze
+    bronze = Inputs(spark, sf_dir, share_bronze=True).bronze
     return P.distribution_histograms(bronze, P.customer_metrics(bronze))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 
 from ..operators import churn, clv, quality
+from ..session import cut_lineage
 from . import oracle as O
 from .registry import Inputs, register
 
@@ -11,26 +12,22 @@ ALL_MODELS = O.with_ctes(O.BRONZE, O.SILVER, O.PROFILES, O.CUSTOMER_METRICS, O.s
                          O.CLV_INPUTS, O.CHURN)
 
 
-def model_tables(i: Inputs, materialise: bool = False) -> dict:
-    """The five tested models. With ``materialise`` each is written once, so
-    its row checks and its unique check read the same stored rows instead of
-    recomputing the model per branch of the report."""
-    tables = {
+def model_tables(i: Inputs) -> dict:
+    """The five tested models, each written once: its row checks and its
+    unique check read stored rows instead of recomputing the model."""
+    customers = cut_lineage(i.customers)
+    return {
         "stg_transactions": i.silver,
-        "stg_customers": i.customers,
-        "mart_customer_segments": i.segments,
-        "mart_clv_projections": clv.clv_inputs(i.silver),
-        "mart_churn_risk": churn.churn_features(i.silver, i.customers),
+        "stg_customers": customers,
+        "mart_customer_segments": cut_lineage(i.segments),
+        "mart_clv_projections": cut_lineage(clv.clv_inputs(i.silver)),
+        "mart_churn_risk": cut_lineage(churn.churn_features(i.silver, customers)),
     }
-    if materialise:
-        from ..session import cut_lineage
-        tables = {k: (v if k == "stg_transactions" else cut_lineage(v)) for k, v in tables.items()}
-    return tables
 
 
 @register("dq_report", ALL_MODELS + " " + O.dq_sql(quality.SPECS))
 def q_dq_report(spark, sf_dir):
-    return quality.dq_report(model_tables(Inputs(spark, sf_dir)))
+    return quality.dq_report(model_tables(Inputs(spark, sf_dir, share_bronze=True)))
 
 
 @register("referential_integrity", ALL_MODELS + """
@@ -47,11 +44,11 @@ def q_dq_report(spark, sf_dir):
          CAST(COUNT(*) AS BIGINT), COUNT(*) = 0
   FROM stg_customers c WHERE c.CustomerID IS NOT NULL AND NOT EXISTS (SELECT 1 FROM silver t WHERE t.CustomerID = c.CustomerID)""")
 def q_referential_integrity(spark, sf_dir):
-    i = Inputs(spark, sf_dir)
+    i = Inputs(spark, sf_dir, share_bronze=True)
     t = model_tables(i)
     return (quality.relationships(t["mart_customer_segments"], i.silver, "CustomerID",
                                   child_name="mart_customer_segments", parent_name="stg_transactions")
-            .unionByName(quality.relationships(t["mart_churn_risk"], i.customers, "CustomerID",
+            .unionByName(quality.relationships(t["mart_churn_risk"], t["stg_customers"], "CustomerID",
                                                child_name="mart_churn_risk", parent_name="stg_customers"))
-            .unionByName(quality.relationships(i.customers, i.silver, "CustomerID",
+            .unionByName(quality.relationships(t["stg_customers"], i.silver, "CustomerID",
                                                child_name="stg_customers", parent_name="stg_transactions")))

@@ -7,29 +7,40 @@ if executors or the driver are lost.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import churn, clustering as C, clv, modeling as M, quality, rfm, silver
 from ..params import Params
-from ..session import prepare
+from ..session import prepare, scratch
 from ..sources import bronze as B
 from ..sources.catalog import read_table, save_table
 
 
-def run(spark: SparkSession, sf_dir: str, root: str, params: Params = Params(),
-        models: bool = True) -> dict[str, str]:
-    """Write all tables under ``root``; returns table -> path."""
+def run(spark: SparkSession, sf_dir: str | None, root: str, params: Params = Params(),
+        models: bool = True, lines: DataFrame | None = None, profiles: DataFrame | None = None) -> dict[str, str]:
+    """Write all tables under ``root``; returns table -> path.
+
+    ``lines`` (raw invoice lines) and ``profiles`` (customer profiles) are the
+    two source tables; where they are not given they are derived from the
+    star-schema tables in ``sf_dir``. Intermediate tables are deleted at the
+    end."""
     prepare(spark)
+    with scratch(spark):
+        return _run(spark, sf_dir, root, params, models, lines, profiles)
+
+
+def _run(spark, sf_dir, root, params, models, lines, profiles) -> dict[str, str]:
     out: dict[str, str] = {}
 
     def save(df, name, **kw):
         out[name] = save_table(df, name, root=root, **kw)
         return read_table(spark, name, root=root)
 
-    raw = save(B.invoice_lines(spark, sf_dir), "online_retail")
+    raw = save(B.invoice_lines(spark, sf_dir) if lines is None else lines, "online_retail")
     lines = save(silver.stg_transactions(raw, params.cleaning), "stg_transactions")
-    profiles = save(B.profiles(spark, sf_dir, raw, silver.observation_end(lines), params.cleaning),
-                    "customers_simulated")
+    if profiles is None:
+        profiles = B.profiles(spark, sf_dir, raw, silver.observation_end(lines), params.cleaning)
+    profiles = save(profiles, "customers_simulated")
     customers = save(silver.stg_customers(profiles, params.cleaning), "stg_customers")
     segments = save(rfm.rfm_segments(lines, params.segments), "mart_customer_segments")
     clv_in = save(clv.clv_inputs(lines, params.clv), "mart_clv_projections")

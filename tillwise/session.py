@@ -6,9 +6,10 @@ session is configured and where reliable checkpoints go.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,12 +56,13 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession, folder: str | None = None) -> str:
     """Return the reliable checkpoint folder of the session.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; that setting
-    is used as is. Only in local mode (tests) is a fresh private folder
-    created when it is unset; a cluster without it is an error.
+    is used as is. Where it is unset, ``folder`` is used. Only a single-process
+    session (master ``local`` or ``local[n]``) without either gets a private
+    folder; a cluster (``local-cluster`` too) without it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -71,16 +73,53 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         try:
             configured = spark.conf.get("spark.checkpoint.dir")
         except Exception:  # noqa: BLE001 - unset key
-            configured = None
+            configured = folder
     if not configured:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
             raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a shared, "
                                "durable folder (lineage cuts are written there)")
-        configured = tempfile.mkdtemp(prefix="tillwise-ckpt-")  # local mode (tests) only
+        configured = tempfile.mkdtemp(prefix="tillwise-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+_SCOPES: list[list[str]] = []  # open scratch() blocks, innermost last
+
+
+def new_folder(spark: SparkSession, kind: str) -> str:
+    """An unused path in the checkpoint folder. ``scratch`` deletes it at the
+    end of its block, ``forget_at_exit`` when the application ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tillwise-{kind}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def forget_at_exit(spark: SparkSession, path: str) -> None:
+    fs, where = _file_system(spark, path)
+    fs.deleteOnExit(where)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Deletes the intermediate tables written inside the block when it ends;
+    results must have been written or collected by then."""
+    mine: list[str] = []
+    _SCOPES.append(mine)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(mine)
+        for path in mine:
+            fs, where = _file_system(spark, path)
+            fs.delete(where, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` as parquet in the session's shared checkpoint folder
     and read it back (never a local checkpoint).
@@ -88,23 +127,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     One computation of the plan (``Dataset.checkpoint`` runs it twice unless
     cached); the result survives lost executors, every later job sees exactly
     the same rows, and the read-back frame carries file statistics AQE uses
-    for join planning.
+    for join planning. The folder goes with the enclosing ``scratch`` block,
+    or else when the application ends.
     """
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark)
-    path = f"{root.rstrip('/')}/tillwise-{uuid.uuid4().hex}"
+    path = new_folder(spark, "cut")
     df.write.mode("overwrite").parquet(path)
+    forget_at_exit(spark, path)
     return spark.read.parquet(path)
-
-
-def default_parallelism(spark: SparkSession) -> int:
-    """Partition count used for explicit range repartitions."""
-    try:
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    except Exception:  # noqa: BLE001
-        n = 200
-    return max(1, n)
-
-
-def env_sf_dir(default: str = "/root/testdata/sf0.1") -> str:
-    return os.environ.get("BENCH_SF_DIR", default)

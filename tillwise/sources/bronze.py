@@ -61,9 +61,8 @@ def invoice_lines(spark: SparkSession, sf_dir: str, dirt: DirtSpec = DirtSpec(),
 
     Join order keeps the widest input (lineitem) to two shuffles: orders is
     first enriched with the customer's nation (orders-sized join), then joined
-    to lineitem on the order key, then to part on the part key. ``nation`` is
-    the fixed 25-row dimension and is broadcast; AQE decides the rest from
-    runtime sizes.
+    to lineitem on the order key, then to part on the part key. AQE decides
+    from runtime sizes which sides are broadcast.
     """
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice")
@@ -72,7 +71,7 @@ def invoice_lines(spark: SparkSession, sf_dir: str, dirt: DirtSpec = DirtSpec(),
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
 
-    cust_nation = cust.join(F.broadcast(nation), cust.c_nationkey == nation.n_nationkey)
+    cust_nation = cust.join(nation, cust.c_nationkey == nation.n_nationkey)
     orders_c = orders.join(cust_nation, orders.o_custkey == cust_nation.c_custkey)
     base = (li.join(orders_c, li.l_orderkey == orders_c.o_orderkey)
               .join(part, li.l_partkey == part.p_partkey))
@@ -115,10 +114,25 @@ def invoice_lines(spark: SparkSession, sf_dir: str, dirt: DirtSpec = DirtSpec(),
                .select(*INVOICE_COLUMNS))
 
 
-def read_invoice_csv(spark: SparkSession, path: str, encoding: str = "ISO-8859-1") -> DataFrame:
-    """CSV ingest of the raw invoice file with an explicit schema (no inference)."""
-    return (spark.read.schema(INVOICE_DDL).option("header", True)
-            .option("encoding", encoding).option("mode", "PERMISSIVE").csv(path))
+def read_invoice_csv(spark: SparkSession, path: str, encoding: str = "ISO-8859-1",
+                     mode: str = "PERMISSIVE", corrupt_column: str | None = None,
+                     multi_line: bool = False) -> DataFrame:
+    """CSV ingest of the raw invoice file with an explicit schema (no inference).
+
+    Quotes inside quoted fields are doubled. ``multi_line`` lets quoted fields
+    span lines, at the price that a file can't be split among tasks. With
+    ``corrupt_column`` (PERMISSIVE mode) a row whose fields don't fit the
+    schema keeps its text there instead of losing it silently."""
+    reader = (spark.read.option("header", True).option("encoding", encoding).option("mode", mode)
+              .option("multiLine", multi_line).option("escape", '"'))
+    if corrupt_column:
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
+    return reader.schema(INVOICE_DDL + (f", {corrupt_column} STRING" if corrupt_column else "")).csv(path)
+
+
+def rejected_rows(lines: DataFrame, corrupt_column: str) -> DataFrame:
+    """Row counts of an ingest with a corrupt-record column."""
+    return lines.agg(F.count(F.lit(1)).alias("rows"), F.count(corrupt_column).alias("rejected"))
 
 
 # Fixed values of the subscription stand-in (our constants; the reference
@@ -149,19 +163,25 @@ def profiles(spark: SparkSession, sf_dir: str, bronze: DataFrame | None = None,
     lines = (bronze.where(F.col("CustomerID").isNotNull())
              .withColumn("ts", ts).where(F.col("ts").isNotNull()))
     positive = F.col("Quantity") > 0
-    agg = lines.groupBy("CustomerID").agg(
-        F.min("ts").alias("first_purchase_date"),
-        F.max("ts").alias("last_purchase_date"),
-        F.count_distinct("InvoiceNo").alias("transaction_count"),
+    # Lines become one row per invoice first; distinct counts as aggregates of
+    # all lines would expand every line once per count.
+    invoices = lines.groupBy("CustomerID", "InvoiceNo").agg(
+        F.min("ts").alias("_first"), F.max("ts").alias("_last"),
         F.sum(F.when(positive, line_total("Quantity", "UnitPrice"))).alias("_spend"),
-        F.sum(F.when(positive, F.col("Quantity"))).alias("total_items"),
-        F.count_distinct("StockCode").alias("unique_products"),
-    )
+        F.sum(F.when(positive, F.col("Quantity"))).alias("_items"))
+    agg = invoices.groupBy("CustomerID").agg(
+        F.min("_first").alias("first_purchase_date"),
+        F.max("_last").alias("last_purchase_date"),
+        F.count("InvoiceNo").alias("transaction_count"),
+        F.sum("_spend").alias("_spend"),
+        F.sum("_items").alias("total_items"))
+    products = (lines.select("CustomerID", "StockCode").distinct()
+                .groupBy("CustomerID").agg(F.count("StockCode").alias("unique_products")))
     # A string MIN buffer would force sort-based aggregation of every line;
     # the country comes from the (few) distinct customer/country pairs instead.
     country = (lines.select("CustomerID", "Country").distinct()
                .groupBy("CustomerID").agg(F.min("Country").alias("country")))
-    agg = agg.join(country, "CustomerID")
+    agg = agg.join(products, "CustomerID").join(country, "CustomerID")
     tier_map = F.create_map(*[F.lit(x) for kv in SEGMENT_TIER.items() for x in kv])
     fee_map = F.create_map(*[F.lit(x) for kv in TIER_FEE.items() for x in kv])
     cust = read_table(spark, sf_dir, "customer").select(

@@ -64,8 +64,3 @@ def read_table(spark: SparkSession, name: str, root: str | None = None, target_s
     if root is not None:
         return spark.read.format(fmt).load(table_path(root, name, target_schema))
     return spark.table(f"{schema_for(LAYERS.get(name), target_schema)}.{name}")
-
-
-def mapping_table(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:
-    """A small literal table (e.g. cluster id -> name)."""
-    return spark.createDataFrame(list(rows), ddl)
