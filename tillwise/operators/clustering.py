@@ -128,6 +128,17 @@ def assign_to_centroids(features: DataFrame, centroids: DataFrame) -> DataFrame:
     return features.withColumn("_cents", cents).withColumn("cluster", best["k"].cast("int")).drop("_cents")
 
 
+def lloyd_step(assigned: DataFrame, centroids: DataFrame) -> DataFrame:
+    """One K-Means update from a given assignment: per cluster the customers,
+    their cost (squared distance to the given centroid) and the new centroid."""
+    old = centroids.select("cluster", *[F.col(z).alias(f"_old_{z}") for z in Z])
+    j = assigned.join(old, "cluster")
+    cost = sum((F.col(z) - F.col(f"_old_{z}")) * (F.col(z) - F.col(f"_old_{z}")) for z in Z)
+    return j.groupBy("cluster").agg(
+        F.count(F.lit(1)).cast("long").alias("customers"), F.round(F.sum(cost), 6).alias("cost"),
+        *[F.round(F.avg(z), 6).alias(f"{z}_new") for z in Z])
+
+
 def cluster_profile(clustered: DataFrame) -> DataFrame:
     """Per cluster: customers, mean and exact median of recency, frequency,
     monetary and RFM score (6 decimals: an interpolated median of cents can

@@ -146,13 +146,39 @@ def feature_drivers(prep: DataFrame, p: ModelParams = ModelParams(), top: int |
     rows = [("lr", f, float(c), abs(float(c)), "risk" if c > 0 else "retention")
             for f, c in zip(FEATURES, lr.coefficients.toArray())]
     rows += [("rf", f, float(v), abs(float(v)), None) for f, v in zip(FEATURES, rf.featureImportances.toArray())]
-    from pyspark.sql import Window
     df = spark.createDataFrame(rows, "model string, feature string, value double, abs_value double, direction string")
+    return rank_drivers(df, top)
+
+
+def rank_drivers(values: DataFrame, top: int | None = None) -> DataFrame:
+    """Features of each model by falling ``abs_value`` (ties by name)."""
+    from pyspark.sql import Window
     w = Window.partitionBy("model").orderBy(F.col("abs_value").desc(), F.col("feature"))  # 14 rows per model
-    ranked = df.withColumn("rank", F.row_number().over(w))
+    ranked = values.withColumn("rank", F.row_number().over(w))
     return ranked.where(F.col("rank") <= top) if top else ranked
 
 
+def class_gaps(prep: DataFrame) -> DataFrame:
+    """Per feature the gap between the classes' training means (standardised),
+    in the form that ``rank_drivers`` takes."""
+    long = prep.where("is_train").select(LABEL, *[F.col(f"{c}_z").alias(c) for c in FEATURES]).unpivot(
+        [LABEL], FEATURES, "feature", "_z")
+    gap = F.round(F.avg(F.when(F.col(LABEL) == 1, F.col("_z"))) - F.avg(F.when(F.col(LABEL) == 0, F.col("_z"))), 6)
+    g = long.groupBy("feature").agg(gap.alias("value"))
+    return g.select(F.lit("gap").alias("model"), "feature", "value", F.abs("value").alias("abs_value"),
+                    F.when(F.col("value") > 0, "risk").otherwise("retention").alias("direction"))
+
+
+def linear_scores(prep: DataFrame, coefficients, intercept: float) -> DataFrame:
+    """Scores of a logistic model with given coefficients on the standardised
+    features, rounded to 9 decimals."""
+    z = F.lit(float(intercept))
+    for c, w in zip(SCALED, coefficients):
+        z = z + F.lit(float(w)) * F.col(c)
+    return prep.select(KEY, F.col(LABEL).alias("label"), "is_train",
+                       F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(-z)), 9).alias("score"))
+
+
 def risk_scored(churn_mart: DataFrame, prep: DataFrame, p: ModelParams = ModelParams(),
                 kind: str | None = None) -> DataFrame:
     """Score every customer of the mart and attach the risk tier."""

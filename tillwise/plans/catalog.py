@@ -226,10 +226,9 @@ _MEDALLION_TABLES = [
 
 
 def _medallion_sql() -> str:
-    from ..operators import quality
     parts = [f"SELECT '{t}' AS table_name, '{schema}' AS schema_name, CAST(COUNT(*) AS BIGINT) AS row_count FROM {cte}"
              for t, schema, cte in _MEDALLION_TABLES]
-    parts.append("SELECT 'dq_report', 'default', CAST(COUNT(*) AS BIGINT) FROM (" + O.dq_sql(quality.SPECS) + ")")
+    parts.append("SELECT 'dq_report', 'default', CAST(COUNT(*) AS BIGINT) FROM (" + O.dq_sql() + ")")
     return O.with_ctes(*BRONZE_SILVER, O.PROFILES, O.CUSTOMER_METRICS, O.segments_cte(True), O.CLV_INPUTS,
                        O.CHURN) + " " + " UNION ALL ".join(parts)
 

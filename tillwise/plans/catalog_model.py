@@ -159,6 +159,30 @@ def q_cluster_shares_fixed(spark, sf_dir):
     return C.cluster_shares(enriched)
 
 
+@register("enriched_segments_fixed", FEAT_SQL + _MAPPING_SQL + """
+  SELECT c.*, concat('Cluster ', CAST(c.cluster AS VARCHAR)) AS cluster_label, m.cluster_name AS cluster_business_name
+  FROM clustered c LEFT JOIN mapping m ON CAST(c.cluster AS BIGINT) = m.cluster_id""")
+def q_enriched_segments_fixed(spark, sf_dir):
+    """The enriched segments table, on the assignment to fixed centroids."""
+    seg, clustered = _fixed_clusters(Inputs(spark, sf_dir))
+    return C.enrich_segments(seg, clustered, C.cluster_mapping(clustered))
+
+
+@register("kmeans_step_fixed", FEAT_SQL + """
+  SELECT a.cluster, CAST(COUNT(*) AS BIGINT) AS customers,
+    ROUND(SUM((f.recency_log_z - c.c0) ** 2 + (f.frequency_log_z - c.c1) ** 2 + (f.monetary_log_z - c.c2) ** 2), 6) AS cost,
+    ROUND(AVG(f.recency_log_z), 6) AS recency_log_z_new, ROUND(AVG(f.frequency_log_z), 6) AS frequency_log_z_new,
+    ROUND(AVG(f.monetary_log_z), 6) AS monetary_log_z_new
+  FROM assigned a JOIN feat f USING (CustomerID) JOIN cents c ON c.cluster = a.cluster GROUP BY a.cluster""")
+def q_kmeans_step_fixed(spark, sf_dir):
+    """One K-Means update and its cost from fixed centroids."""
+    i = Inputs(spark, sf_dir)
+    seg = _segments(i)
+    feats = _features(i, seg).join(seg.select("CustomerID", "business_priority"), "CustomerID")
+    cents = cut_lineage(C.centroids_by_group(feats, "business_priority"))
+    return C.lloyd_step(C.assign_to_centroids(feats, cents), cents)
+
+
 @register("kmeans_sweep")
 def q_kmeans_sweep(spark, sf_dir):
     return C.kmeans_sweep(C.prepare_vectors(_features(Inputs(spark, sf_dir))))
@@ -359,6 +383,39 @@ def q_at_risk_exposure_baseline(spark, sf_dir):
     return M.at_risk_exposure(_baseline_scored(Inputs(spark, sf_dir, share_bronze=True)))
 
 
+# A fixed logistic model (our constants): the scoring path without a solver.
+FIXED_COEFFICIENTS = (-0.9, -0.2, 0.15, 0.1, -1.1, 0.05, -0.1, 0.2, 0.3, -0.25, 0.12, -0.4, 0.08, -0.35)
+FIXED_INTERCEPT = 0.25
+_FIXED_RISK = """
+  , fixed AS (SELECT CustomerID, ROUND(1.0 / (1.0 + exp(-(""" + f"CAST({FIXED_INTERCEPT} AS DOUBLE)" + "".join(
+    f" + CAST({w} AS DOUBLE) * {c}_z" for c, w in zip(FEATS, FIXED_COEFFICIENTS)) + """))), 9) AS churn_risk_score FROM prepared),
+  fixed_scored AS (SELECT c.CustomerID, c.total_spend, c.monthly_fee, f.churn_risk_score,
+      (['Safe (<20%)', 'Low Risk (20-40%)', 'Medium Risk (40-60%)', 'High Risk (60-80%)', 'Critical Risk (80%+)'])[
+        1 + len(list_filter([0.2, 0.4, 0.6, 0.8], lambda e: f.churn_risk_score >= e))] AS risk_tier
+    FROM churn c JOIN fixed f USING (CustomerID))"""
+
+
+@register("risk_scored_fixed", MODEL_SQL + _FIXED_RISK + " SELECT * FROM fixed_scored")
+def q_risk_scored_fixed(spark, sf_dir):
+    """Scored customers and risk tiers under the fixed logistic model."""
+    from ..functions import rules
+    mart = _mart(Inputs(spark, sf_dir, share_bronze=True))
+    s = M.linear_scores(M.prepared(mart, P), FIXED_COEFFICIENTS, FIXED_INTERCEPT)
+    return (mart.select("CustomerID", "total_spend", "monthly_fee")
+                .join(s.select("CustomerID", F.col("score").alias("churn_risk_score")), "CustomerID")
+                .withColumn("risk_tier", rules.risk_tier(F.col("churn_risk_score"))))
+
+
+@register("driver_ranking_fixed", MODEL_SQL + ", gaps AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, ROUND(AVG({c}_z) FILTER (churn_label = 1) - AVG({c}_z) FILTER (churn_label = 0), 6) AS value "
+    "FROM prepared WHERE is_train" for c in FEATS) + """)
+  SELECT 'gap' AS model, feature, value, abs(value) AS abs_value, CASE WHEN value > 0 THEN 'risk' ELSE 'retention' END AS direction,
+    CAST(ROW_NUMBER() OVER (ORDER BY abs(value) DESC, feature) AS INTEGER) AS rank FROM gaps""")
+def q_driver_ranking_fixed(spark, sf_dir):
+    """All features ranked as drivers, by the gap between class means."""
+    return M.rank_drivers(M.class_gaps(_prepared(Inputs(spark, sf_dir, share_bronze=True))))
+
+
 @register("lr_scores")
 def q_lr_scores(spark, sf_dir):
     return M.test_scores(_prepared(Inputs(spark, sf_dir, share_bronze=True)), "lr", P)

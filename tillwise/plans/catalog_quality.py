@@ -25,7 +25,7 @@ def model_tables(i: Inputs) -> dict:
     }
 
 
-@register("dq_report", ALL_MODELS + " " + O.dq_sql(quality.SPECS))
+@register("dq_report", ALL_MODELS + " " + O.dq_sql())
 def q_dq_report(spark, sf_dir):
     return quality.dq_report(model_tables(Inputs(spark, sf_dir, share_bronze=True)))
 
