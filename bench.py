@@ -30,12 +30,12 @@ def run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    scratch = tempfile.mkdtemp(prefix="tillwise-bench-")
+    work = tempfile.mkdtemp(prefix="tillwise-bench-")
     spark = build_session(
         f"local[{cpus}]", app="tillwise-bench", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", int(cpus) * 2)),
         extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
-               "spark.checkpoint.dir": os.path.join(scratch, "ckpt"),
-               "spark.local.dir": os.path.join(scratch, "local")})
+               "spark.checkpoint.dir": os.path.join(work, "ckpt"),
+               "spark.local.dir": os.path.join(work, "local")})
     spark.sparkContext.setLogLevel("ERROR")
     q = queries()
     names = headline() + [n for n in EXTRA if n in q]
