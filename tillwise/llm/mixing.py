@@ -31,7 +31,6 @@ from pyspark.sql import functions as F
 
 from ..operators.ranking import global_index
 from ..session import cut_lineage
-from . import textio
 
 WHITE = r"[\x20\x09-\x0D]+"
 

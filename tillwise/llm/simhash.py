@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ..session import cut_lineage
-from . import graph, textio
+from . import graph
 
 SEED = 42
 SEGMENTS = 32
