@@ -53,6 +53,15 @@ def test_scratch_removes_what_it_wrote(spark):
     assert count() == before
 
 
+def test_scratch_leaves_other_threads_tables(spark):
+    from concurrent.futures import ThreadPoolExecutor
+    from tillwise.session import cut_lineage, scratch
+    with ThreadPoolExecutor(1) as pool:
+        with scratch(spark):
+            other = pool.submit(lambda: cut_lineage(spark.range(5))).result()
+        assert other.count() == 5
+
+
 def test_a_refresh_leaves_only_its_tables(spark, tmp_path):
     from tillwise.plans.medallion import run
     from tillwise.session import ensure_checkpoint_dir

@@ -10,6 +10,7 @@ import re
 import tempfile
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -83,15 +84,17 @@ def ensure_checkpoint_dir(spark: SparkSession, folder: str | None = None) -> str
     return sc.getCheckpointDir() or configured
 
 
-_SCOPES: list[list[str]] = []  # open scratch() blocks, innermost last
+# the innermost open scratch() block of this thread; other threads' queries aren't part of it
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
 
 
 def new_folder(spark: SparkSession, kind: str) -> str:
     """An unused path in the checkpoint folder. ``scratch`` deletes it at the
     end of its block, ``forget_at_exit`` when the application ends."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tillwise-{kind}-{uuid.uuid4().hex}"
-    if _SCOPES:
-        _SCOPES[-1].append(path)
+    scope = _SCOPE.get()
+    if scope is not None:
+        scope.append(path)
     return path
 
 
@@ -108,13 +111,14 @@ def forget_at_exit(spark: SparkSession, path: str) -> None:
 @contextmanager
 def scratch(spark: SparkSession):
     """Deletes the intermediate tables written inside the block when it ends;
-    results must have been written or collected by then."""
+    results must have been written or collected by then. Queries that run in
+    other threads keep their tables."""
     mine: list[str] = []
-    _SCOPES.append(mine)
+    token = _SCOPE.set(mine)
     try:
         yield
     finally:
-        _SCOPES.remove(mine)
+        _SCOPE.reset(token)
         for path in mine:
             fs, where = _file_system(spark, path)
             fs.delete(where, True)
