@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -170,6 +171,16 @@ def test_entropy_adds_and_allow_list_suppresses(spark):
     assert key_.startswith(text[s:e][:20]) and e - s >= 20
 
 
+def test_one_long_run_costs_its_length():
+    rng = random.Random(4)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    text = "".join(rng.choice(letters) if i // 100 % 2 else "a" for i in range(150_000))
+    begun = time.monotonic()
+    base, spans = secret_scan.scan(text)
+    assert time.monotonic() - begun < 10 and len(spans) > 700
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]) if a[2] == b[2])
+
+
 def test_secret_query_and_redaction(odd, empty, spark):
     rows = {(r.doc_id, r.spans): r for r in secret_scan.scan_documents(odd).collect()}
     for r in odd.collect():

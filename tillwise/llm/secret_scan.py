@@ -21,7 +21,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from dataclasses import dataclass
+from itertools import accumulate, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -95,6 +97,15 @@ def window_hits(run: str, width: int, bits: float) -> list[bool]:
     return out
 
 
+def _allowed(text: str, start: int, end: int, allow: list[re.Pattern]) -> bool:
+    """Whether the candidate ``text[start:end]``, seen with up to 80 characters
+    before and 32 after it in its line, is on the allow-list."""
+    near = max(0, start - 64)
+    lo = max(near, text.rfind(" ", near, start) + 1, text.rfind("\n", near, start) + 1)
+    around = text[max(0, lo - 16):start].rpartition("\n")[2] + text[start:end + 32].split("\n")[0]
+    return any(a.search(around) for a in allow)
+
+
 def entropy_spans(text: str, p: Params) -> list[tuple[int, int, str]]:
     out = []
     allow = [re.compile(a) for a in p.allow]
@@ -115,14 +126,9 @@ def entropy_spans(text: str, p: Params) -> list[tuple[int, int, str]]:
                     end = i + c.window
             if end >= 0:
                 found.append((start, end))
-            for s, e in found:
-                if not all(n.search(run, s, e) for n in needs):
-                    continue
-                lo, hi = max(text.rfind(" ", 0, m.start()), text.rfind("\n", 0, m.start())) + 1, m.end()
-                lo = max(lo, m.start() - 64)
-                around = text[max(0, lo - 16):m.start()].rpartition("\n")[2] + text[m.start():hi + 32].split("\n")[0]
-                if not any(a.search(around) for a in allow):
-                    out.append((m.start() + s, m.start() + e, c.kind))
+            found = [x for x in found if all(n.search(run, *x) for n in needs)]
+            if found and not _allowed(text, m.start(), m.end(), allow):
+                out += [(m.start() + s, m.start() + e, c.kind) for s, e in found]
     return out
 
 
@@ -132,10 +138,17 @@ def scan(text: str, p: Params = Params()) -> tuple[list[tuple[int, int, str]], l
     base = sorted(base_spans(text), key=lambda s: (s[0], order[s[2]]))
     covered = [(s, e) for s, e, _ in base]
     more: list[tuple[int, int, str]] = []
-    for s, e, k in entropy_spans(text, p):  # a class listed later adds nothing inside an earlier one's span
-        if not any(a <= s and e <= b for a, b in covered):
-            more.append((s, e, k))
-            covered.append((s, e))
+    for kind, spans in groupby(entropy_spans(text, p), key=lambda x: x[2]):  # one class after another
+        covered.sort()
+        starts = [s for s, _ in covered]
+        reach = list(accumulate((e for _, e in covered), max))   # furthest end of the spans up to here
+        new = []
+        for s, e, _ in spans:  # a class listed later adds nothing inside an earlier one's span
+            i = bisect_right(starts, s)
+            if not i or reach[i - 1] < e:
+                new.append((s, e))
+        more += [(s, e, kind) for s, e in new]
+        covered += new
     return base, sorted(base + more, key=lambda s: (s[0], order[s[2]]))
 
 
