@@ -12,6 +12,12 @@ SMALL = "/root/testdata/sf0.001"
 MEDIUM = "/root/testdata/sf0.01"
 
 
+def _folder(*parts):
+    path = os.path.join(*parts)
+    os.makedirs(path, exist_ok=True)
+    return path
+
+
 @pytest.fixture(scope="session")
 def spark():
     from tillwise.session import build_session
@@ -20,7 +26,12 @@ def spark():
     s = build_session("local[4]", app="tillwise-tests", shuffle_partitions=4,
                       extra={"spark.checkpoint.dir": os.path.join(scratch, "ckpt"),
                              "spark.sql.warehouse.dir": os.path.join(scratch, "warehouse"),
-                             "spark.driver.memory": "4g"})
+                             "spark.driver.memory": "4g",
+                             # read by tests that count what a query scans
+                             "spark.eventLog.enabled": "true",
+                             "spark.eventLog.dir": _folder(scratch, "events"),
+                             "spark.eventLog.compress": "false",
+                             "spark.eventLog.rolling.enabled": "false"})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import MEDIUM, SMALL
+from scans import rows_read
 from tillwise.plans.registry import queries
 
 
@@ -54,6 +56,15 @@ def test_no_pair_producing_joins_in_plans(spark):
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
 
 
+@pytest.mark.parametrize("name", ["customer_profile", "churn_features", "referential_integrity", "dq_report",
+                                  "at_risk_exposure_baseline", "histograms", "describe_metrics", "numeric_summary", "duplicate_example"])
+def test_raw_lines_are_read_once(spark, name):
+    table = spark.read.parquet(f"{SMALL}/lineitem.parquet").count()
+    with rows_read(spark, "lineitem") as got:
+        queries()[name](spark, SMALL).collect()
+    assert 0 < got[0] <= table
+
+
 def test_rows_only_queries_are_the_model_and_sampling_ones():
     from tillwise.plans.registry import oracle_sql
     rows_only = set(queries()) - set(oracle_sql())

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import days_between, exact_amount, half_up_div
 from ..params import CleaningParams
+from ..session import cut_lineage
 from .ranking import exact_quantiles
 
 INVOICE_KEYS = ["InvoiceNo", "StockCode", "CustomerID"]
@@ -76,15 +77,15 @@ def numeric_summary(df: DataFrame, columns: Sequence[str] = ("Quantity", "UnitPr
                     approx: bool = False, accuracy: int = 10000) -> DataFrame:
     """min, max, mean and sample std (2 dp) and exact median (6 dp: an
     interpolated median of cents can end in a half cent) per column."""
-    long = _long(df, columns)
-    basic = long.groupBy("column_name").agg(
-        F.min("value").alias("min"), F.max("value").alias("max"),
-        F.avg("value").alias("avg"), F.stddev_samp("value").alias("std"))
+    basic = [F.min("value").alias("min"), F.max("value").alias("max"),
+             F.avg("value").alias("avg"), F.stddev_samp("value").alias("std")]
     if approx:  # one-pass mergeable sketch (a data value, rank error <= n / accuracy)
-        med = long.groupBy("column_name").agg(F.percentile_approx("value", 0.5, accuracy).alias("median"))
-    else:
+        out = _long(df, columns).groupBy("column_name").agg(
+            *basic, F.percentile_approx("value", 0.5, accuracy).alias("median"))
+    else:  # the columns are written once: moments and quantiles read them separately
+        long = _long(cut_lineage(df.select(*columns)), columns)
         med = exact_quantiles(long, "value", {"median": 0.5}, ["column_name"])
-    out = basic.join(med, "column_name", "left")
+        out = long.groupBy("column_name").agg(*basic).join(med, "column_name", "left")
     return out.select("column_name", *[F.round(c, 2).alias(c) for c in ["min", "max", "avg"]],
                       F.round("median", 6).alias("median"), F.round("std", 2).alias("std"))
 
@@ -170,8 +171,9 @@ def top_customers(metrics: DataFrame, n: int = 10) -> DataFrame:
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``describe()``: count, mean, std (n-1), min, exact 25/50/75 %, max per
-    column, long format, 6 decimals."""
-    long = _long(df, columns, "metric", "value")
+    column, long format, 6 decimals. The columns are written once: moments and
+    quantiles read them separately."""
+    long = _long(cut_lineage(df.select(*columns)), columns, "metric", "value")
     basic = long.groupBy("metric").agg(
         F.count("value").cast("long").alias("count"), F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))

@@ -64,7 +64,7 @@ def q_duplicate_keys(spark, sf_dir):
     ON b.InvoiceNo IS NOT DISTINCT FROM t.InvoiceNo AND b.StockCode IS NOT DISTINCT FROM t.StockCode
    AND b.CustomerID IS NOT DISTINCT FROM t.CustomerID""")
 def q_duplicate_example(spark, sf_dir):
-    return P.worst_duplicate_lines(Inputs(spark, sf_dir).bronze)
+    return P.worst_duplicate_lines(Inputs(spark, sf_dir, share_bronze=True).bronze)
 
 
 @register("numeric_summary", B + """,
