@@ -18,7 +18,7 @@ from tillwise.operators import evaluation as E
 from tillwise.operators import quality, ranking
 from tillwise.operators.churn import churn_features
 from tillwise.operators.clv import clv_inputs, purchase_history
-from tillwise.operators.rfm import rfm_segments, rfm_segments_window
+from tillwise.operators.rfm import rfm_segments
 from tillwise.operators.silver import stg_customers, stg_transactions
 from tillwise.params import SegmentParams
 from tillwise.sources.bronze import INVOICE_DDL
@@ -248,6 +248,7 @@ def test_stratified_split_sizes(spark):
 
 @pytest.mark.parametrize("hi", [True, False])
 def test_rfm_distributed_equals_window_form(spark, hi):
+    from bench import rfm_segments_window
     from tillwise.plans.registry import Inputs
     silver = Inputs(spark, "/root/testdata/sf0.001").silver
     a = rfm_segments(silver, SegmentParams(best_is_high=hi))

@@ -110,32 +110,6 @@ def rfm_segments(silver: DataFrame, p: SegmentParams = SegmentParams(),
     return out.withColumn("business_priority", rules.priority(F.col("customer_segment")))
 
 
-def rfm_segments_window(silver: DataFrame, p: SegmentParams = SegmentParams()) -> DataFrame:
-    """Plain form with global windows and ``percentile`` (single-task NTILE);
-    kept as the comparison baseline for the distributed form."""
-    from pyspark.sql import Window
-
-    metrics = customer_metrics(silver, p.anchor)
-    hi = p.best_is_high
-    tie = F.col("CustomerID").asc()
-    r = F.ntile(p.buckets).over(Window.orderBy(_direction("recency_days", not hi), tie))
-    f = F.ntile(p.buckets).over(Window.orderBy(_direction("frequency", hi), tie))
-    m = F.ntile(p.buckets).over(Window.orderBy(_direction("monetary", hi), tie))
-    scored = metrics.select("*", r.alias("r_score"), f.alias("f_score"), m.alias("m_score"))
-    scored = scored.withColumn("_whale_min", metrics.agg(F.percentile("monetary", p.whale_percentile)).scalar())
-    r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
-    out = scored.select(
-        "CustomerID", "recency_days", "frequency", "monetary", "total_line_items",
-        "avg_line_value", "last_purchase_date", "first_purchase_date", "customer_lifespan_days",
-        r.cast("long").alias("r_score"), f.cast("long").alias("f_score"), m.cast("long").alias("m_score"),
-        (r + f + m).cast("long").alias("rfm_score"),
-        F.concat(r.cast("string"), f.cast("string"), m.cast("string")).alias("rfm_segment_code"),
-        rules.segment(r, f, m).alias("customer_segment"),
-        F.coalesce(F.col("monetary") >= F.col("_whale_min"), F.lit(False)).alias("is_whale"),
-    )
-    return out.withColumn("business_priority", rules.priority(F.col("customer_segment")))
-
-
 def segment_summary(segments: DataFrame) -> DataFrame:
     """Customers and revenue per segment with their shares of the total
     (2-decimal percentages, exact half-up). The grouped frame has one row per
