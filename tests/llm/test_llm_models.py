@@ -285,6 +285,36 @@ def test_mixing_targets_and_counts(spark, odd, empty):  # noqa: F811
     assert mixing.mix(empty).count() == 0 and mixing.take(empty).count() == 0
 
 
+def test_mixing_takes_repeated_and_missing_ids_exactly(spark):
+    rng = random.Random(4)
+    text = lambda: " ".join(rng.choice("abcdefgh") for _ in range(rng.randint(0, 30)))
+    rows = [(i, text(), s) for s in "abc" for i in range(150)]                  # the targets: 1 : 2 : 3
+    rows += [(None, text(), s) for s in "abc" for _ in range(300)]              # missing ids, different texts
+    rows += [(7, "one and the same text", s) for s in "abc" for _ in range(500)]   # equal rows
+    rows += [(None, "again the same", "a")] * 900 + [(None, "", "b")] * 40
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    got = mixing.mix(docs).collect()
+    target = {r.source: r.target for r in got}
+    longest = {s: max(len(t.split()) for _, t, x in rows if x == s) for s in "abc"}
+    for given in (docs, docs.repartition(3)):
+        taken = mixing.take(given).collect()
+        words, times = Counter(), Counter((r.source, r.doc_id, r.text) for r in taken)
+        for r in taken:
+            words[r.source] += len(r.text.split())
+        for s in "abc":  # whole rows: off by half of the last one
+            assert abs(words[s] - target[s]) <= longest[s] / 2 + 0.5
+        size, passes = Counter((s, i, t) for i, t, s in rows), {s: int(round(target[s]) // sum(len(t.split()) for _, t, x in rows if x == s)) for s in "abc"}
+        for (s, i, t), n in size.items():
+            assert not t and not times[s, i, t] or t and n * passes[s] <= times[s, i, t] <= n * (passes[s] + 1)
+        want = Counter()
+        for r in got:
+            want[r.source, r.doc_id, r.size] += sum(2 * w >= r.size for w in r.copies)
+        sized = Counter()
+        for (s, i, t), n in times.items():
+            sized[s, i, len(t.split())] += n
+        assert +sized == +want
+
+
 def test_positions_invert_the_integral(spark):
     knots = ((0.0, 2.0), (0.25, 1.0), (1.0, 0.5))
     xs = [i / 50 for i in range(51)]

@@ -7,8 +7,10 @@
 2. Taking. A source's documents form a stream in hash order, repeated as often
    as the target asks; a document gives the part of its copies that lies
    before the target, so a source's taken words sum to its rounded target.
-   Running sums are taken per (source, hash bucket) plus the buckets before,
-   so a source with a third of all rows spreads over ``buckets`` groups.
+   The order is total: hash of the id, size, hash of the row, row number.
+   Running sums are taken per (source, range of that order) plus the ranges
+   before, so neither a source nor an id that holds a third of all rows meets
+   in one group.
 3. Positions. A source's weight schedule is a piecewise linear function of
    training time 0..1. Its integral, scaled to the target, is the cumulative
    demand; the middle of each copy is put where that demand is reached, by
@@ -16,9 +18,9 @@
    by the position of their first copy.
 
 Edge cases: NULL or empty texts have size 0 and are never taken; a NULL
-source is a source of its own, the last; equal rows share their order key and
-are interchangeable; a NULL doc_id is ordered as an empty id. An empty table
-gives an empty result.
+source is a source of its own, the last; rows may share their doc_id, and a
+NULL doc_id is ordered just after an empty id. An empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.ranking import global_index
+from ..operators.ranking import global_index, range_tag
 from ..session import cut_lineage
 
 WHITE = r"[\x20\x09-\x0D]+"
@@ -45,7 +47,6 @@ class Params:
         ((0.0, 0.5), (0.5, 1.0), (1.0, 1.5)),
         ((0.0, 2.0), (0.25, 1.0), (1.0, 0.5)),
     )
-    bucket_digits: int = 3                     # 16 ** 3 hash buckets per source
     max_broadcast: int = 10_000                # sources; above, cutoffs are joined by shuffle
 
 
@@ -64,7 +65,13 @@ def _source_key(column: str) -> Column:
 
 
 def order_key(column: str = "doc_id") -> Column:
-    return F.md5(F.coalesce(F.col(column).cast("string"), F.lit("")))
+    hashed = F.md5(F.coalesce(F.col(column).cast("string"), F.lit("")))
+    return F.concat(hashed, F.when(F.col(column).isNull(), F.lit("n")).otherwise(F.lit("")))
+
+
+def row_hash(docs: DataFrame) -> Column:
+    """Tells rows apart that share their doc_id (maps can't be hashed)."""
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()])
 
 
 def targets(sources: DataFrame, params: Params = Params()) -> DataFrame:
@@ -110,19 +117,22 @@ def position(share: Column, source_no: str, params: Params) -> Column:
 
 
 def mix(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id", text_col: str = "text",
-        source_col: str = "source") -> DataFrame:
+        source_col: str = "source", tie: Column | None = None) -> DataFrame:
     """Per row of ``docs``: id, source, size, source_size, source_no, target,
     taken, ``copies`` (words taken of each copy) and ``position`` of the first
-    copy (NULL if none), not sorted."""
-    sized = cut_lineage(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(text_col).alias("size")))
-    sized = (sized.withColumn("_src", _source_key("source")).withColumn("_key", order_key("id"))
-                  .withColumn("_bucket", F.substring("_key", 1, params.bucket_digits)))
-    buckets = cut_lineage(sized.groupBy("_src", "_bucket").agg(F.sum("size").alias("_sum"), F.min("source").alias("source")))
-    aims = targets(buckets.groupBy("_src").agg(F.min("source").alias("source"), F.sum("_sum").alias("source_size")), params)
-    before = buckets.select("_src", "_bucket", (F.sum("_sum").over(Window.partitionBy("_src").orderBy("_bucket")) - F.col("_sum")).alias("_before"))
-    before = before.join(aims.drop("source"), "_src")     # at most ``buckets`` rows per source
-    run = Window.partitionBy("_src", "_bucket").orderBy("_key", "id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = (sized.withColumn("_at", F.sum("size").over(run) - F.col("size")).join(before, ["_src", "_bucket"])
+    copy (NULL if none), not sorted. Rows with equal id and size are ordered
+    by ``tie``."""
+    sized = cut_lineage(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(text_col).alias("size"),
+                                    (F.lit(0) if tie is None else tie).cast("long").alias("_tie"),
+                                    F.monotonically_increasing_id().alias("_no")))
+    sized = sized.withColumn("_src", _source_key("source")).withColumn("_key", order_key("id"))
+    tagged = range_tag(sized, ["_src", "_key", "size", "_tie", "_no"])
+    ranges = cut_lineage(tagged.groupBy("_src", "_pid").agg(F.sum("size").alias("_sum"), F.min("source").alias("source")))
+    aims = targets(ranges.groupBy("_src").agg(F.min("source").alias("source"), F.sum("_sum").alias("source_size")), params)
+    before = ranges.select("_src", "_pid", (F.sum("_sum").over(Window.partitionBy("_src").orderBy("_pid")) - F.col("_sum")).alias("_before"))
+    before = before.join(aims.drop("source"), "_src")     # at most one row per source and partition
+    run = Window.partitionBy("_src", "_pid").orderBy("_local").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = (tagged.withColumn("_at", F.sum("size").over(run) - F.col("size")).join(before, ["_src", "_pid"])
                  .withColumn("_at", F.col("_at") + F.col("_before"))
                  .withColumn("_aim", F.round("target").cast("long")))
     part = lambda p: F.greatest(F.lit(0), F.least(F.col("size"), F.col("_aim") - F.col("_at") - F.col("source_size") * p))
@@ -130,7 +140,7 @@ def mix(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id", text
     rows = rows.withColumn("copies", copies)
     first = (F.col("_at") + F.get("copies", F.lit(0)) / 2) / F.col("_aim")
     return rows.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "source_no", "target",
-                       F.aggregate("copies", F.lit(0).cast("long"), lambda a, w: a + w).alias("taken"), "copies", "_key", "_aim",
+                       F.aggregate("copies", F.lit(0).cast("long"), lambda a, w: a + w).alias("taken"), "copies", "_key", "_tie", "_aim",
                        F.when(F.size("copies") > 0, position(first, "source_no", params)).alias("position"))
 
 
@@ -142,16 +152,49 @@ def in_training_order(mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
 def take(docs: DataFrame, params: Params = Params()) -> DataFrame:
     """``docs`` with every row repeated as often as it is taken (a copy cut by
     the target counts if at least half of it is taken). Rows of a source
-    follow from two numbers, its whole passes and the order key at which the
-    last pass ends, so texts are not moved to be matched with their counts."""
-    mixed = mix(docs, params)
-    whole = F.size(F.filter("copies", lambda w: w * 2 >= F.col("size")))
-    cut = (mixed.withColumn("_n", whole).withColumn("__mix_passes", F.expr("CASE WHEN source_size > 0 THEN _aim div source_size ELSE 0 END"))
-                .groupBy(_source_key("source").alias("__mix_src"))
-                .agg(F.max("__mix_passes").alias("__mix_passes"), F.max(F.when(F.col("_n") > F.col("__mix_passes"), F.col("_key"))).alias("__mix_cut")))
-    cut = cut_lineage(cut)
-    if cut.count() <= params.max_broadcast:
-        cut = F.broadcast(cut)
-    times = F.when(word_count("text") > 0, F.col("__mix_passes") + F.when(order_key() <= F.col("__mix_cut"), 1).otherwise(0)).otherwise(0)
-    return (docs.withColumn("__mix_src", _source_key("source")).join(cut, "__mix_src").withColumn("__mix_times", times.cast("int"))
-                .filter("__mix_times > 0").withColumn("__mix_copy", F.explode(F.expr("sequence(1, __mix_times)"))).select(*docs.columns))
+    follow from its whole passes and the place in the order (id, size, row)
+    at which the last pass ends, so texts are not moved to be matched with
+    their counts. Where the pass ends between equal rows, the right number of
+    them is picked by row number."""
+    mixed = (mix(docs, params, tie=row_hash(docs)).withColumn("__mix_src", _source_key("source"))
+             .withColumn("__mix_passes", F.expr("CASE WHEN source_size > 0 THEN _aim div source_size ELSE 0 END"))
+             .withColumn("_more", F.size(F.filter("copies", lambda w: w * 2 >= F.col("size"))) > F.col("__mix_passes"))
+             .withColumn("_place", F.struct("_key", "size", "_tie")).filter("size > 0"))
+    cut = (mixed.groupBy("__mix_src").agg(F.max("__mix_passes").alias("__mix_passes"), F.max(F.when(F.col("_more"), F.col("_place"))).alias("__mix_cut"),
+                                          F.min(F.when(~F.col("_more"), F.col("_place"))).alias("_next"))
+                .withColumn("__mix_split", F.coalesce(F.col("__mix_cut") == F.col("_next"), F.lit(False))).drop("_next"))
+    cut, few = _sized(cut, params)
+    docs_at = docs.withColumn("__mix_src", _source_key("source")).filter(word_count("text") > 0).join(few(cut), "__mix_src")
+    order, size, tie = order_key(), word_count("text"), row_hash(docs)
+    key, long, last = (F.col(f"__mix_cut.{c}") for c in ("_key", "size", "_tie"))
+    same = (order == key) & (size == long)
+    more = (order < key) | (order == key) & (size < long) | same & (tie < last) | same & (tie == last) & ~F.col("__mix_split")
+    times = (F.col("__mix_passes") + F.when(more, 1).otherwise(0)).cast("int")
+    out = (docs_at.withColumn("__mix_times", times).filter("__mix_times > 0")
+                  .withColumn("__mix_copy", F.explode(F.expr("sequence(1, __mix_times)"))).select(*docs.columns))
+    split = cut.filter("__mix_split")
+    if split.isEmpty():
+        return out
+    wanted = (mixed.filter("_more").join(few(split.select("__mix_src", "__mix_cut")), "__mix_src").filter(F.col("_place") == F.col("__mix_cut"))
+                   .groupBy("__mix_src").agg(F.count(F.lit(1)).alias("_wanted")))
+    ties = cut_lineage(docs_at.filter(F.col("__mix_split") & same & (tie == last)).select(*docs.columns, "__mix_src")
+                              .withColumn("__mix_no", F.monotonically_increasing_id()))
+    return out.unionByName(_first_rows(ties, *_sized(wanted, params)).select(*docs.columns))
+
+
+def _sized(table: DataFrame, params: Params):
+    """``table`` (a row per source) written once, and the broadcast hint it gets."""
+    table = cut_lineage(table)
+    return table, F.broadcast if table.count() <= params.max_broadcast else lambda df: df
+
+
+def _first_rows(ties: DataFrame, wanted: DataFrame, few) -> DataFrame:
+    """Per source the first ``_wanted`` rows by ``__mix_no``, whose high bits
+    are the partition: counts per partition, then a rank inside one."""
+    at = ties.select("__mix_src", "__mix_no", F.shiftright("__mix_no", 33).alias("_pid"))
+    count = at.groupBy("__mix_src", "_pid").agg(F.count(F.lit(1)).alias("_n")).join(few(wanted), "__mix_src")
+    count = count.withColumn("_before", F.sum("_n").over(Window.partitionBy("__mix_src").orderBy("_pid")) - F.col("_n"))
+    inside = Window.partitionBy("__mix_src", "_pid").orderBy("__mix_no")
+    end = (at.join(count.filter("_before < _wanted AND _wanted <= _before + _n"), ["__mix_src", "_pid"])
+             .withColumn("_rank", F.row_number().over(inside)).filter("_before + _rank = _wanted").select("__mix_src", F.col("__mix_no").alias("_end")))
+    return ties.join(few(end), "__mix_src").filter("__mix_no <= _end")
