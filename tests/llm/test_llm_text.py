@@ -171,6 +171,21 @@ def test_entropy_adds_and_allow_list_suppresses(spark):
     assert key_.startswith(text[s:e][:20]) and e - s >= 20
 
 
+def test_allow_list_judges_the_span_itself():
+    key_, low = "Zk3x9QpL7vB2nT8wYr5MdJ1sH6gF4cXq0KeUaRiP", "k3z9q7vb2nt8wyr5mdj1sh6gf4cxq0ke"
+    for text, secret in ((f"For example: {key_} end", key_), (f"user@example.com:{key_}", key_), (f"example={key_}", key_),
+                         (f"https://hooks.site.net/services/T0/{key_}", key_), (f"https://user:{key_}@host.net/a/b", key_),
+                         (f"https://{key_}@host.net/a", key_), (f"key {low} end", low)):
+        found = [text[s:e] for s, e, _ in secret_scan.scan(text)[1]]
+        assert any(len(x) >= 20 and x in secret for x in found), (text, found)
+    for text in ("https://Some.site/News2024/Long/Way/To/Go7/Index", f"key EXAMPLE{key_[:30]} end", "key xxxxxxxxxxxxxxxxxxxxxxxxxxxx end"):
+        assert not secret_scan.scan(text)[1], text
+    rng = random.Random(2)
+    run = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(3000))
+    run = f"{run[:1500]}xXxX{run[1500:]}"
+    assert sum(e - s for s, e, k in secret_scan.scan(run)[1] if k == "entropy_base64") > 2900
+
+
 def test_one_long_run_costs_its_length():
     rng = random.Random(4)
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"

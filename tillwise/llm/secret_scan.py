@@ -6,8 +6,9 @@ entropy of the window is kept up to date from incremental character counts
 (one character leaves, one enters), and windows at or above the class's limit
 make up a span. An allow-list suppresses entropy spans: well-known harmless
 shapes (UUIDs, checksums named as such, placeholders, alphabets and counting
-runs, long words). Base spans are never suppressed, and an entropy span lying
-inside a base span adds nothing and is left out.
+runs, long words). Placeholder words count only inside the span itself, and in
+a URL each path segment is judged alone. Base spans are never suppressed, and
+an entropy span lying inside a base span adds nothing and is left out.
 
 Texts are read whole. A fast pattern test per batch picks the texts that can
 hold a span at all; only those are walked in Python.
@@ -58,14 +59,18 @@ class Params:
     classes: tuple[CharClass, ...] = (
         CharClass("entropy_hex", r"[0-9A-Fa-f]", 24, 3.0, (r"[0-9]", r"[A-Fa-f]")),
         CharClass("entropy_base64", r"[A-Za-z0-9+/_=-]", 20, 3.9, (r"[0-9]", r"[a-z]", r"[A-Z]")),
+        CharClass("entropy_lower", r"[a-z0-9]", 20, 3.7, (r"[0-9]", r"[a-z]")),
     )
     # allowed: the span with what surrounds it in its line of non-space characters
     allow: tuple[str, ...] = (
         r"(?i)\b[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\b",
         r"(?i)(sha(1|224|256|384|512)|md5|crc|digest|checksum|etag|integrity|commit)[-:=\"'(/ ]",
-        r"(?i)example|placeholder|dummy|xxxx|0123456789|abcdefgh|changeme",
-        r"(?i)^\W*(https?|ftp|s3|gs|file)://[^?=]*$",
     )
+    # allowed: a span that holds one of these words itself (in a longer span they occur by chance)
+    words: str = r"(?i)example|placeholder|dummy|xxxx|0123456789|abcdefgh|changeme"
+    longest_words: int = 128
+    # where this is found at the candidate, its path segments are judged one by one
+    url: str = r"(?i)^\W*(https?|ftp|s3|gs|file)://[^?=]*$"
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -97,38 +102,50 @@ def window_hits(run: str, width: int, bits: float) -> list[bool]:
     return out
 
 
-def _allowed(text: str, start: int, end: int, allow: list[re.Pattern]) -> bool:
-    """Whether the candidate ``text[start:end]``, seen with up to 80 characters
-    before and 32 after it in its line, is on the allow-list."""
+def _around(text: str, start: int, end: int) -> str:
+    """The candidate ``text[start:end]`` with up to 80 characters before and 32
+    after it in its line."""
     near = max(0, start - 64)
     lo = max(near, text.rfind(" ", near, start) + 1, text.rfind("\n", near, start) + 1)
-    around = text[max(0, lo - 16):start].rpartition("\n")[2] + text[start:end + 32].split("\n")[0]
-    return any(a.search(around) for a in allow)
+    return text[max(0, lo - 16):start].rpartition("\n")[2] + text[start:end + 32].split("\n")[0]
+
+
+def _found(run: str, at: int, c: CharClass, needs: list[re.Pattern]) -> list[tuple[int, int]]:
+    """Spans of a run that stands at ``at``."""
+    start = end = -1
+    found = []
+    for i, hit in enumerate(window_hits(run, c.window, c.bits)):
+        if hit and i > end:
+            if end >= 0:
+                found.append((start, end))
+            start, end = i, i + c.window
+        elif hit:
+            end = i + c.window
+    if end >= 0:
+        found.append((start, end))
+    return [(at + s, at + e) for s, e in found if all(n.search(run, s, e) for n in needs)]
 
 
 def entropy_spans(text: str, p: Params) -> list[tuple[int, int, str]]:
     out = []
     allow = [re.compile(a) for a in p.allow]
+    words, url = re.compile(p.words), re.compile(p.url)
     for c in p.classes:
         needs = [re.compile(n) for n in c.needs]
         for m in re.finditer(f"{c.alphabet}{{{c.window},}}", text):
-            run = m[0]
-            if not all(n.search(run) for n in needs):
+            if not all(n.search(m[0]) for n in needs):
                 continue
-            start = end = -1
-            found = []
-            for i, hit in enumerate(window_hits(run, c.window, c.bits)):
-                if hit and i > end:
-                    if end >= 0:
-                        found.append((start, end))
-                    start, end = i, i + c.window
-                elif hit:
-                    end = i + c.window
-            if end >= 0:
-                found.append((start, end))
-            found = [x for x in found if all(n.search(run, *x) for n in needs)]
-            if found and not _allowed(text, m.start(), m.end(), allow):
-                out += [(m.start() + s, m.start() + e, c.kind) for s, e in found]
+            found = _found(m[0], m.start(), c, needs)
+            around = _around(text, *m.span()) if found else ""
+            if any(a.search(around) for a in allow):
+                continue
+            if found and url.search(around):
+                found = [x for g in re.finditer("[^/]+", m[0]) for x in _found(g[0], m.start() + g.start(), c, needs)]
+            for s, e in found:
+                if e - s > p.longest_words or not words.search(text, s, e):
+                    out.append((s, e, c.kind))
+                else:  # a name before "=" is not part of the value
+                    out += [(*x, c.kind) for g in re.finditer("[^=]+=*", text[s:e]) if not words.search(g[0]) for x in _found(g[0], s + g.start(), c, needs)]
     return out
 
 
