@@ -145,6 +145,17 @@ def test_language_held_out_and_undetermined(spark):
     assert np.mean(held) > 0.97 and all(0 <= r.score <= 1 for r in rows)
 
 
+def test_rare_and_many_languages_are_learned(spark):
+    many = [(i, f"{chr(0x4E00 + 2 * i) * 12} {chr(0x4E01 + 2 * i) * 12}", f"l{i:03}") for i in range(300)]
+    rows = many + [(7, "the common text", "common")] * 24_000
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    m = language_id.fit(docs, language_id.Params(orders=(1, 2), bits=12))
+    assert m.languages == sorted({x for _, _, x in rows})
+    assert np.exp(m.log_prior[m.languages.index("common")]) == pytest.approx(24_000 / 24_300)
+    best, _ = language_id.score_texts(m, [t for _, t, _ in many])
+    assert np.mean([m.languages[i] == x for i, (_, _, x) in zip(best, many)]) > 0.95
+
+
 def test_naive_bayes_equals_brute_force(spark):
     p = language_id.Params(orders=(1, 2), bits=8)
     train = [(0, "abab cab", "x"), (1, "zzy yz", "y"), (2, "abba", "x"), (3, "q", None), (4, None, "y")]

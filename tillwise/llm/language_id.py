@@ -1,9 +1,10 @@
 """Language identification: multinomial naive Bayes over hashed character
 n-grams (operator 10).
 
-Counts of n-gram buckets per language are summed on the executors over a
-bounded sample of labelled documents; the log-probability matrix (languages x
-buckets, a fixed size) is broadcast, and documents are scored batch by batch
+Counts of n-gram buckets per language are summed on the executors over all
+labelled documents, and every label is learned; the log-probability matrix
+(languages x buckets, 0.4 MB a language) is broadcast, and documents are scored
+batch by batch
 in numpy: each text is a sparse row of n-gram occurrences whose columns of the
 matrix are gathered and summed.
 
@@ -33,8 +34,7 @@ class Params:
     orders: tuple[int, ...] = (1, 2, 3)
     bits: int = 15
     smoothing: float = 0.5
-    max_docs: int = 20_000     # bound of the labelled sample
-    max_languages: int = 256   # the most frequent labels are learned
+    held_languages: int = 64   # whose counts a task holds at a time
 
 
 @dataclass
@@ -53,17 +53,19 @@ def _grams(texts: list[str], p: Params):
         yield ids.astype(np.int64) + (i << p.bits), s, e
 
 
-def fit(train: DataFrame, params: Params = Params(), id_col: str = "doc_id", text_col: str = "text",
-        lang_col: str = "lang") -> Model:
+def fit(train: DataFrame, params: Params = Params(), text_col: str = "text", lang_col: str = "lang") -> Model:
     """``train``: labelled documents; rows with a NULL language don't count."""
-    rows = train.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"),
-                        F.coalesce(F.col(text_col), F.lit("")).alias("text")).filter("lang IS NOT NULL")
-    rows = textio.bounded_sample(rows, "id", params.max_docs)
-    top = (rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(params.max_languages).collect())
-    top = sorted(top, key=lambda r: r["lang"])
-    languages = [r["lang"] for r in top]
+    rows = train.select(F.col(lang_col).cast("string").alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).filter("lang IS NOT NULL")
+    seen = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}   # one number per label
+    languages = sorted(seen)
     width = len(params.orders) << params.bits
-    counts = np.zeros((width, len(languages)))
+
+    def emit(acc):
+        for lang, v in acc.items():
+            at = np.flatnonzero(v)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(v[at], pa.int64())],
+                names=["lang", "col", "n"])
 
     def tally(batches):
         acc: dict[str, np.ndarray] = {}
@@ -77,23 +79,22 @@ def fit(train: DataFrame, params: Params = Params(), id_col: str = "doc_id", tex
                     np.add.at(inside, s, 1)
                     np.add.at(inside, np.minimum(e, len(ids)), -1)
                     v += np.bincount(ids[np.cumsum(inside[:-1]) > 0], minlength=width)
-        for lang, v in acc.items():
-            at = np.flatnonzero(v)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(v[at], pa.int64())],
-                names=["lang", "col", "n"])
-
-    if languages:
-        where = {x: i for i, x in enumerate(languages)}
-        got = (rows.filter(F.col("lang").isin(languages)).select("lang", "text")
-                   .mapInArrow(tally, "lang string, col long, n long")
-                   .groupBy("lang", "col").agg(F.sum("n").alias("n")).toArrow())
-        lang = np.array([where[x] for x in got.column("lang").to_pylist()], dtype=np.int64)
-        counts[np.asarray(got.column("col")), lang] = np.asarray(got.column("n"))
-    total = counts.sum(axis=0) + params.smoothing * width
-    n_docs = np.array([r["count"] for r in top], dtype=np.float64)
-    return Model(languages, np.log(n_docs / max(n_docs.sum(), 1)) if languages else n_docs,
-                 (np.log(counts + params.smoothing) - np.log(total)).astype(np.float32), params)
+                if len(acc) >= params.held_languages:
+                    yield from emit(acc)
+                    acc = {}
+        yield from emit(acc)
+
+    n_docs = np.array([seen[x] for x in languages], dtype=np.float64)
+    if not languages:
+        return Model(languages, n_docs, np.zeros((width, 0), dtype=np.float32), params)
+    codes = F.broadcast(train.sparkSession.createDataFrame(list(enumerate(languages)), "code int, lang string"))
+    got = (rows.mapInArrow(tally, "lang string, col int, n long").groupBy("lang", "col").agg(F.sum("n").alias("n"))
+               .join(codes, "lang").select("code", "col", "n").toArrow())
+    lang, col, n = (np.asarray(got.column(c)) for c in ("code", "col", "n"))
+    total = np.log(np.bincount(lang, weights=n, minlength=len(languages)) + params.smoothing * width)
+    log_prob = np.tile((np.log(params.smoothing) - total).astype(np.float32), (width, 1))   # n-grams never seen
+    log_prob[col, lang] = np.log(n + params.smoothing) - total[lang]
+    return Model(languages, np.log(n_docs / n_docs.sum()), log_prob, params)
 
 
 def score_texts(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
