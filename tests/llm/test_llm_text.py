@@ -123,6 +123,21 @@ def test_salted_ranks_spread_one_length(spark):
     assert len(got) == 5000 and check_places(got, 1024) == -(-5000 // 3)
 
 
+def test_equal_rows_spread_over_tasks(spark):
+    rows = spark.range(6000).select(F.when(F.col("id") < 4000, 7).otherwise(F.col("id")).alias("doc_id"), F.lit(300).cast("long").alias("length"))
+    was = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 32)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got = packing.pack(rows, packing.Params(rows_per_group=100)).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert Counter(r.doc_id for r in got) == Counter(r.doc_id for r in rows.collect())
+    assert check_places(got, 1024) == -(-6000 // 3)
+    assert max(Counter(r.task for r in got).values()) < 1500
+
+
 # --- secrets -------------------------------------------------------------
 
 def base_brute(text):

@@ -14,6 +14,8 @@ Pieces then find their place by their rank among the pieces of the same
 length. Ranks are taken inside (length, salt) groups whose size is bounded by
 choosing the number of salts from the row count, plus the sum of the groups
 before, so a length shared by a third of all rows never meets in one task.
+Equal rows share their salt; a row that repeats beyond the size of a group
+gets groups of its own, dealt by row number.
 
 Edge cases: a NULL or empty text is one piece holding the end id only.
 Repeated rows are packed each. Pieces of equal length are interchangeable;
@@ -170,6 +172,24 @@ def _places(plan: list[tuple[int, list[tuple[int, int]]]]) -> dict[int, np.ndarr
     return {n: np.array(x, dtype=np.int64) for n, x in rows.items()}
 
 
+def _salted(pieces: DataFrame, cols: list, length_col: str, salts: int, params: Params) -> DataFrame:
+    """``pieces`` with their group: _salt, and for a row that repeats more than
+    ``rows_per_group`` times its hash (_row) and a number (_part), else 0."""
+    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64(*cols), F.lit(salts)).cast("int"))
+    large = salted.groupBy(length_col, "_salt").count().filter(F.col("count") > params.rows_per_group)
+    plain = salted.withColumn("_row", F.lit(0).cast("long")).withColumn("_part", F.lit(0).cast("long"))
+    if large.isEmpty():
+        return plain
+    of = F.xxhash64(*cols)
+    hot = cut_lineage(salted.join(F.broadcast(large.drop("count")), [length_col, "_salt"]).groupBy(of.alias("_hot")).count()
+                            .filter(F.col("count") > params.rows_per_group))   # at most rows / rows_per_group
+    parts = F.ceil(F.col("count") / params.rows_per_group)
+    return cut_lineage(salted.withColumn("_no", F.monotonically_increasing_id()).join(F.broadcast(hot), of == F.col("_hot"), "left")
+                             .withColumn("_row", F.coalesce("_hot", F.lit(0).cast("long")))
+                             .withColumn("_part", F.coalesce(F.pmod(F.xxhash64("_no"), parts), F.lit(0).cast("long")))
+                             .select(*salted.columns, "_row", "_part"))
+
+
 def pack(pieces: DataFrame, params: Params = Params(), length_col: str = "length") -> DataFrame:
     """Every row of ``pieces`` with ``sequence_id`` and ``offset``. Lengths
     are 1 to ``capacity``; ``pieces`` is read three times, so pass a written
@@ -177,13 +197,14 @@ def pack(pieces: DataFrame, params: Params = Params(), length_col: str = "length
     cols = [F.col(c) for c in pieces.columns if c not in ("ids",)]
     totals = {r[0]: r[1] for r in pieces.groupBy(length_col).count().collect()}  # at most ``capacity`` rows
     salts = max(16, -(-sum(totals.values()) // params.rows_per_group))
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64(*cols), F.lit(salts)).cast("int"))
-    before = (salted.groupBy(length_col, "_salt").agg(F.count(F.lit(1)).alias("_n"))
-                    .withColumn("_before", F.sum("_n").over(Window.partitionBy(length_col).orderBy("_salt")) - F.col("_n"))
+    salted = _salted(pieces, cols, length_col, salts, params)
+    group = [length_col, "_salt", "_row", "_part"]
+    before = (salted.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+                    .withColumn("_before", F.sum("_n").over(Window.partitionBy(length_col).orderBy(*group[1:])) - F.col("_n"))
                     .drop("_n"))
-    ranked = (salted.withColumn("_rank", F.row_number().over(Window.partitionBy(length_col, "_salt").orderBy(*cols)) - 1)
-                    .join(before, [length_col, "_salt"])
-                    .withColumn("_rank", F.col("_rank") + F.col("_before")).drop("_before", "_salt"))
+    ranked = (salted.withColumn("_rank", F.row_number().over(Window.partitionBy(*group).orderBy(*cols)) - 1)
+                    .join(before, group)
+                    .withColumn("_rank", F.col("_rank") + F.col("_before")).drop("_before", *group[1:]))
     places = _places(fillings(totals, params.capacity))  # its size follows the number of lengths, not of rows
     names = pieces.columns
 
