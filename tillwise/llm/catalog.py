@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import ann, chat, language_id, mixing, oracle, packing, quality_model, quality_rules, secret_scan, simhash, textio, toxicity
+from . import align, ann, chat, language_id, merges, mixing, oracle, packing, quality_model, quality_rules, runs, secret_scan, simhash, textio, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -25,9 +25,9 @@ def query(name: str):
     return deco
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 @query("op1_prefix_target_chat")
@@ -106,5 +106,25 @@ def op10(spark, sf_dir):
     return language_id.predict(docs.select("doc_id", "text", held_out.alias("held_out")), model, ("doc_id", "held_out"))
 
 
+@query("op11_merge_backtracking")
+def op11(spark, sf_dir):
+    """All documents encoded with the piece vocabulary, an end id behind, and decoded."""
+    model = tokenizer_path("piece_bpe_32k.model")
+    return merges.digests(merges.encode(textio.read_table(spark, sf_dir, "documents"), model, end_id=2), model)
+
+
+@query("op12_tokenizer_spans")
+def op12(spark, sf_dir):
+    """Tokens of both vocabularies of all documents, grouped and linked by bytes."""
+    docs = textio.read_table(spark, sf_dir, "documents")
+    return align.digests(align.align_and_score(docs, tokenizer_path(), tokenizer_path("piece_bpe_32k.model"), hash_groups=True))
+
+
+@query("op13_periodic_runs")
+def op13(spark, sf_dir):
+    """Runs in the words of all documents, of every tenth with a repeated tail."""
+    return runs.digests(runs.runs(runs.with_repeated_tails(textio.read_table(spark, sf_dir, "documents"))))
+
+
 ORACLE_SQL |= {"op1_prefix_target_chat": oracle.OP1, "op4_risk_controlled_rules": oracle.op4(),
                "op9_curriculum_mixing": oracle.op9()}
