@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -21,6 +23,7 @@ from ..functions.exprs import cents, half_up_div
 from ..params import ClusterParams  # noqa: F401 (re-exported)
 from ..session import cut_lineage
 from . import evaluation as E
+from . import lloyd
 from .ranking import exact_quantiles
 
 RAW = ["recency_days", "frequency", "monetary"]
@@ -105,6 +108,64 @@ def kmeans_assign(features: DataFrame, p: ClusterParams = ClusterParams()) -> Da
     return features.join(assigned, "CustomerID")
 
 
+def lloyd_sweep(features: DataFrame, p: ClusterParams = ClusterParams()) -> DataFrame:
+    """Inertia and silhouette (squared Euclidean) of the best run for each K
+    from k_min to k_max, all runs advanced together (see ``lloyd``); the K of
+    the highest silhouette is flagged, the smaller one of equals."""
+    points = lloyd.uniforms(features, "CustomerID", Z)
+    best = lloyd.fit(points, Z, list(range(p.k_min, p.k_max + 1)), p)
+    sil = {k: round(v, 6) for k, v in lloyd.silhouettes(points, Z, best).items()}
+    top = min((-v, k) for k, v in sil.items())[1] if sil else None
+    rows = [(k, round(run.cost, 6), sil[k], k == top) for k, run in sorted(best.items())]
+    return features.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double, is_best boolean")  # a row per K
+
+
+def lloyd_assign(features: DataFrame, p: ClusterParams = ClusterParams()) -> DataFrame:
+    """``features`` with the cluster of the best of ``p.restarts`` runs; the
+    numbers follow the centroids' coordinates."""
+    points = lloyd.uniforms(features, "CustomerID", Z)
+    best = lloyd.fit(points, Z, [p.k], p)
+    cluster = lloyd.nearest(Z, best[p.k]) if p.k in best else F.lit(None)
+    return features.withColumn("cluster", cluster.cast("int"))
+
+
+def silhouette_exact(clustered: DataFrame, sample: int = 4000, seed: int = 42, block: int = 512) -> DataFrame:
+    """Euclidean silhouette from all pairs of a sample: the ``sample`` rows of
+    the smallest md5 of the key (all rows, if there are fewer). One row:
+    rows, sampled rows, mean silhouette. ``sample`` x 4 numbers travel with
+    the tasks; a task takes its rows in blocks against the sample."""
+    order = F.md5(F.concat(F.col("CustomerID").cast("string"), F.lit(f"|{seed}")))
+    rows = cut_lineage(clustered.select("CustomerID", "cluster", *Z))
+    drawn = rows.withColumn("_h", order).orderBy("_h", "CustomerID").limit(sample)
+    table = drawn.select("cluster", *Z).toArrow()                  # at most ``sample`` rows
+    cols = {c: table.column(c).to_numpy() for c in ("cluster", *Z)}
+    own, points = cols["cluster"], np.stack([cols[z] for z in Z], axis=1)
+    kinds, number = np.unique(own, return_inverse=True)
+    size = np.bincount(number, minlength=len(kinds)).astype(np.float64)
+
+    def values(batches):
+        for b in batches:
+            at = b.column("id").to_numpy()
+            for i in range(0, len(at), block):
+                mine = at[i:i + block]
+                d = np.sqrt(lloyd.squares(points[mine], points))
+                per = np.stack([d[:, number == c].sum(axis=1) for c in range(len(kinds))], axis=1)
+                n, rows_ = size[number[mine]], np.arange(len(mine))
+                a = per[rows_, number[mine]] / np.maximum(n - 1, 1)
+                mean = per / size
+                mean[rows_, number[mine]] = np.inf
+                c = mean.min(axis=1)
+                top = np.maximum(a, c)
+                good = (n > 1) & np.isfinite(c) & (top > 0)
+                yield pa.RecordBatch.from_arrays([pa.array(np.where(good, (c - a) / np.where(good, top, 1), 0.0))], names=["s"])
+
+    spark = clustered.sparkSession
+    tasks = max(1, min(spark.sparkContext.defaultParallelism, -(-len(own) // block)))
+    s = spark.range(0, len(own), numPartitions=tasks).mapInArrow(values, "s double")
+    return s.agg(F.count(F.lit(1)).alias("sampled"), F.round(F.avg("s"), 6).alias("silhouette")).select(
+        rows.agg(F.count(F.lit(1))).scalar().alias("customers"), "sampled", "silhouette")
+
+
 def centroids_by_group(features: DataFrame, group: str) -> DataFrame:
     """Centroids = mean z-scores per group value; ids 0.. in group order."""
     g = features.groupBy(group).agg(*[F.avg(c).alias(c) for c in Z])

@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from fractions import Fraction
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -144,6 +144,20 @@ def auc_rank(df: DataFrame, label: str = "label", score: str = "score") -> DataF
                       F.col("_q").cast("long").alias("negatives"))
 
 
+def auc_by_group(df: DataFrame, group: str, label: str = "label", score: str = "score") -> DataFrame:
+    """Exact ROC AUC per value of ``group`` for scores rounded to a few
+    decimals: a group has at most 10^decimals + 1 distinct scores, so after
+    the partial aggregation the running counts of a group are a bounded window.
+    NULL where a group holds one class only."""
+    y = F.col(label).cast("long")
+    g = df.groupBy(group, F.col(score).alias("_s")).agg(F.sum(y).alias("_p"), F.count(F.lit(1)).alias("_c"))
+    cum = g.withColumn("_cum", F.sum("_c").over(Window.partitionBy(group).orderBy("_s").rowsBetween(Window.unboundedPreceding, 0)))
+    rank = F.col("_cum") - (F.col("_c") - 1).cast("double") / 2        # the mean rank of a tie
+    agg = cum.groupBy(group).agg(F.sum(F.col("_p") * rank).alias("_r"), F.sum("_p").cast("double").alias("_p"), F.sum("_c").cast("double").alias("_n"))
+    p, n = F.col("_p"), F.col("_n")
+    return agg.select(group, F.when((p > 0) & (p < n), (F.col("_r") - p * (p + 1) / 2) / (p * (n - p))).alias("auc"))
+
+
 def curve_points(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """ROC and precision-recall points at every distinct score threshold
     (predict positive when score >= threshold), highest threshold first,

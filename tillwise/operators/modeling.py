@@ -21,6 +21,7 @@ from ..functions import rules
 from ..params import ModelParams
 from ..session import cut_lineage
 from . import evaluation as E
+from . import newton
 
 # The model features (leakage columns recency_days and
 # customer_lifespan_days are left out).
@@ -121,6 +122,51 @@ def cv_auc(prep: DataFrame, kind: str, p: ModelParams = ModelParams()) -> DataFr
     return spark.createDataFrame(data, "model string, fold string, auc double")
 
 
+DIGITS = 6    # decimals of the scores of the Newton models
+
+
+def newton_fit(prep: DataFrame, p: ModelParams = ModelParams(), folds: bool = False) -> dict:
+    """The logistic model of the training rows and, on request, one model per
+    fold that leaves it out, all in the same jobs."""
+    return newton.fit(prep.where("is_train"), SCALED, LABEL, "weight", p.lr_c, "fold", range(p.folds) if folds else ())
+
+
+def newton_scores(prep: DataFrame, p: ModelParams = ModelParams()) -> DataFrame:
+    """Every row of ``prep`` with its probability of churn (6 decimals) under
+    the logistic model of the training rows."""
+    beta = newton_fit(prep, p)[newton.FULL]
+    return prep.withColumn("score", F.round(newton.probability(SCALED, beta), DIGITS))
+
+
+def cv_auc_newton(prep: DataFrame, p: ModelParams = ModelParams()) -> DataFrame:
+    """Cross-validated AUC of the logistic model: per fold the exact AUC of the
+    rows left out, the mean, and twice the population deviation."""
+    betas = newton_fit(prep, p, folds=True)
+    score = F.lit(None).cast("double")
+    for f in range(p.folds):
+        score = F.when(F.col("fold") == f, F.round(newton.probability(SCALED, betas[f]), DIGITS)).otherwise(score)
+    per = E.auc_by_group(prep.where("is_train").select("fold", F.col(LABEL).alias("label"), score.alias("score")), "fold")
+    both = per.agg(F.avg("auc").alias("mean"), (2 * F.stddev_pop("auc")).alias("plus_minus"))
+    return per.select(F.lit("lr").alias("model"), F.col("fold").cast("string").alias("fold"), F.round("auc", 9).alias("auc")).unionByName(
+        both.select(F.lit("lr").alias("model"), F.expr("stack(2, 'mean', mean, 'plus_minus', plus_minus) AS (fold, auc)")).withColumn("auc", F.round("auc", 9)))
+
+
+def newton_drivers(prep: DataFrame, p: ModelParams = ModelParams()) -> DataFrame:
+    """The logistic model's coefficients, ranked by size."""
+    beta = newton_fit(prep, p)[newton.FULL]
+    rows = [("lr", f, round(float(c), 6)) for f, c in zip(FEATURES, beta[1:])]
+    df = prep.sparkSession.createDataFrame(rows, "model string, feature string, value double")   # a row per feature
+    return rank_drivers(df.select("model", "feature", "value", F.abs("value").alias("abs_value"),
+                                  F.when(F.col("value") > 0, "risk").otherwise("retention").alias("direction")))
+
+
+def newton_metrics(prep: DataFrame, p: ModelParams = ModelParams()) -> DataFrame:
+    """Test-set accuracy, precision, recall, F1 and AUC of the logistic model."""
+    s = cut_lineage(newton_scores(prep, p).where(~F.col("is_train")).select(F.col(LABEL).alias("label"), "score"))
+    auc = E.auc_by_group(s.withColumn("all", F.lit(0)), "all").select(F.round("auc", 9).alias("auc")).scalar()
+    return E.confusion_metrics(s, "label", "score", p.threshold).withColumn("auc", auc)
+
+
 def model_comparison(prep: DataFrame, p: ModelParams = ModelParams()) -> DataFrame:
     """Test-set accuracy, precision, recall, F1 and AUC of both models; the
     best model by AUC is flagged."""
@@ -183,8 +229,11 @@ def risk_scored(churn_mart: DataFrame, prep: DataFrame, p: ModelParams = ModelPa
                 kind: str | None = None) -> DataFrame:
     """Score every customer of the mart and attach the risk tier."""
     kind = kind or p.score_model
-    fitted = fit(prep.where("is_train"), kind, p)
-    scores = score(fitted, prep).select(KEY, F.col("score").alias("churn_risk_score"))
+    if kind == "lr":
+        scores = newton_scores(prep, p)
+    else:
+        scores = score(fit(prep.where("is_train"), kind, p), prep)
+    scores = scores.select(KEY, F.col("score").alias("churn_risk_score"))
     return (churn_mart.join(scores, KEY, "left")
             .withColumn("risk_tier", rules.risk_tier(F.col("churn_risk_score"))))
 

@@ -2,8 +2,10 @@
 
 Deterministic steps (feature scaling, assignment to given centroids, cluster
 profiling on that assignment, imputation, split, weights, metrics of a fixed
-scorer) have SQL twins. Outputs of trained models (K-Means, logistic
-regression, random forest) depend on solver state and get the rows-only check.
+scorer) have SQL twins, and so have K-Means (seeded by hashes, see ``lloyd``)
+and logistic regression (Newton's method, see ``newton``), whose twins run the
+same iterations as recursive SQL. The random forest and Spark ML's solvers get
+the rows-only check.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from ..params import ModelParams
 from ..session import cut_lineage, forget_at_exit, new_folder
 from ..sources.catalog import read_table, save_table
 from . import oracle as O
+from .catalog import NULLABLE_BEHAVIOUR, as_double, sql_as_double
 from .registry import REGISTRY, Inputs, register
 
 P = ModelParams()
@@ -76,7 +79,7 @@ def _fixed_clusters(i: Inputs):
 
 def _kmeans_clusters(i: Inputs):
     seg = _segments(i)
-    assigned = C.kmeans_assign(_features(i, seg))
+    assigned = cut_lineage(C.lloyd_assign(_features(i, seg)))
     return seg, seg.join(assigned.select("CustomerID", "cluster"), "CustomerID")
 
 
@@ -183,33 +186,122 @@ def q_kmeans_step_fixed(spark, sf_dir):
     return C.lloyd_step(C.assign_to_centroids(feats, cents), cents)
 
 
-@register("kmeans_sweep")
+KP = C.ClusterParams()
+
+
+def _distance(p: str, c: str) -> str:
+    return " + ".join(f"({p}.x{j} - {c}.x{j}) * ({p}.x{j} - {c}.x{j})" for j in range(3))
+
+
+def kmeans_sql(ks: str) -> str:
+    """All restarts of K-Means for the K in ``ks``: k-means++ by a race of
+    hashed numbers, Lloyd's steps as a recursion, the best run per K with its
+    clusters numbered by centroid."""
+    return FEAT_SQL.replace("WITH ", "WITH RECURSIVE ", 1) + f"""
+  , pts AS (SELECT CustomerID AS key, recency_log_z AS x0, frequency_log_z AS x1, monetary_log_z AS x2 FROM feat),
+  restarts AS (SELECT CAST(r AS INTEGER) AS r FROM range({KP.restarts}) t(r)),
+  firsts AS (SELECT r, [arg_min({{'x0': x0, 'x1': x1, 'x2': x2}}, {{'h': h, 'key': key}})] AS cs FROM (
+      SELECT r, p.*, CAST('0x' || substr(md5(key || '|' || ({KP.seed} + r) || '|0'), 1, 8) AS BIGINT) AS h FROM pts p CROSS JOIN restarts) GROUP BY r),
+  sequence AS (
+    SELECT r, 1 AS t, cs FROM firsts
+    UNION ALL
+    SELECT r, t + 1, list_append(cs, arg_min({{'x0': x0, 'x1': x1, 'x2': x2}}, {{'race': -ln((h + 0.5) / 4294967296.0) / d, 'key': key}})) FROM (
+      SELECT s.r, s.t, s.cs, p.*, CAST('0x' || substr(md5(key || '|' || ({KP.seed} + s.r) || '|' || s.t), 1, 8) AS BIGINT) AS h,
+        list_min(list_transform(s.cs, lambda c: {_distance('p', 'c')})) AS d
+      FROM sequence s CROSS JOIN pts p WHERE s.t < {KP.k_max})
+    WHERE d > 0 GROUP BY r, t, cs),
+  starts AS (SELECT CAST(k AS INTEGER) AS k, r, cs[:k] AS cs FROM (SELECT unnest({ks}) AS k) CROSS JOIN sequence WHERE t = {KP.k_max}),
+  steps AS (
+    SELECT k, r, 0 AS it, TRUE AS live, cs FROM starts
+    UNION ALL
+    SELECT k, r, it + 1, moved > 1e-9 AND it < {KP.max_iter}, CASE WHEN moved > 1e-9 THEN fresh ELSE cs END FROM (
+      SELECT *, list_max(list_transform(list_zip(cs, fresh), lambda z: greatest(abs(z[1].x0 - z[2].x0), abs(z[1].x1 - z[2].x1), abs(z[1].x2 - z[2].x2)))) AS moved
+      FROM (SELECT k, r, it, cs, list_transform(range(1, k + 1), lambda i: coalesce(list_filter(found, lambda f: f.c = i)[1].x, cs[i])) AS fresh
+        FROM (SELECT k, r, it, cs, list({{'c': c, 'x': {{'x0': m0, 'x1': m1, 'x2': m2}}}}) AS found
+          FROM (SELECT k, r, it, cs, c, avg(x0) AS m0, avg(x1) AS m1, avg(x2) AS m2
+            FROM (SELECT k, r, it, cs, x0, x1, x2, list_position(ds, list_min(ds)) AS c
+              FROM (SELECT s.k, s.r, s.it, s.cs, p.x0, p.x1, p.x2, list_transform(s.cs, lambda c: {_distance('p', 'c')}) AS ds
+                    FROM steps s CROSS JOIN pts p WHERE s.live))
+            GROUP BY k, r, it, cs, c)
+          GROUP BY k, r, it, cs)))),
+  ended AS (SELECT k, r, list_sort(cs) AS cs FROM steps WHERE NOT live),
+  members AS (SELECT k, r, key, x0, x1, x2, list_position(ds, list_min(ds)) - 1 AS cluster, list_min(ds) AS d2, ds
+    FROM (SELECT e.k, e.r, p.*, list_transform(e.cs, lambda c: {_distance('p', 'c')}) AS ds FROM ended e CROSS JOIN pts p)),
+  best AS (SELECT k, r, inertia FROM (
+      SELECT *, ROW_NUMBER() OVER (PARTITION BY k ORDER BY ROUND(inertia, 9), r) AS rn
+      FROM (SELECT k, r, SUM(d2) AS inertia FROM members GROUP BY k, r)) WHERE rn = 1),
+  won AS (SELECT m.* FROM members m JOIN best USING (k, r))"""
+
+
+@register("kmeans_sweep", kmeans_sql(f"range({KP.k_min}, {KP.k_max + 1})") + """,
+  size AS (SELECT k, list({'n': n, 'v': v} ORDER BY cluster) AS st FROM (
+      SELECT k, cluster, COUNT(*) AS n, AVG(d2) AS v FROM won GROUP BY k, cluster) GROUP BY k),
+  sil AS (SELECT k, AVG(CASE WHEN n = 1 OR greatest(a, b) = 0 THEN 0.0 ELSE (b - a) / greatest(a, b) END) AS silhouette FROM (
+      SELECT w.k, st[cluster + 1].n AS n, (d2 + st[cluster + 1].v) * st[cluster + 1].n / (st[cluster + 1].n - 1.0) AS a,
+        list_min(list_transform(list_filter(range(1, w.k + 1), lambda i: i <> cluster + 1), lambda i: ds[i] + st[i].v)) AS b
+      FROM won w JOIN size USING (k)) GROUP BY k)
+  SELECT k, ROUND(inertia, 6) AS inertia, ROUND(silhouette, 6) AS silhouette,
+    ROW_NUMBER() OVER (ORDER BY ROUND(silhouette, 6) DESC, k) = 1 AS is_best
+  FROM best JOIN sil USING (k)""")
 def q_kmeans_sweep(spark, sf_dir):
-    return C.kmeans_sweep(C.prepare_vectors(_features(Inputs(spark, sf_dir))))
+    """Inertia and silhouette for every K, ten restarts each, one job a step."""
+    return C.lloyd_sweep(_features(Inputs(spark, sf_dir)), KP)
 
 
-@register("kmeans_segments")
+KMEANS_SQL = (kmeans_sql(f"[{KP.k}]")
+              + ", kmeans_clusters AS (SELECT s.*, CAST(w.cluster AS INTEGER) AS cluster FROM segments s JOIN won w ON w.key = s.CustomerID)")
+
+
+def _on_kmeans(sql: str) -> str:
+    """The statement of a query on fixed centroids, on the K-Means clusters."""
+    return KMEANS_SQL + sql.replace("FROM clustered", "FROM kmeans_clusters")
+
+
+@register("kmeans_segments", _on_kmeans(_MAPPING_SQL + """
+  SELECT c.*, concat('Cluster ', CAST(c.cluster AS VARCHAR)) AS cluster_label, m.cluster_name AS cluster_business_name
+  FROM clustered c LEFT JOIN mapping m ON CAST(c.cluster AS BIGINT) = m.cluster_id"""))
 def q_kmeans_segments(spark, sf_dir):
     seg, clustered = _kmeans_clusters(Inputs(spark, sf_dir))
     return C.enrich_segments(seg, clustered, C.cluster_mapping(clustered))
 
 
-@register("cluster_profile")
+@register("cluster_profile", _on_kmeans(_PROFILE_SQL))
 def q_cluster_profile(spark, sf_dir):
     return C.cluster_profile(_kmeans_clusters(Inputs(spark, sf_dir))[1])
 
 
-@register("cluster_mapping")
+@register("cluster_mapping", _on_kmeans(_MAPPING_SQL + " SELECT * FROM mapping"))
 def q_cluster_mapping(spark, sf_dir):
     return C.cluster_mapping(_kmeans_clusters(Inputs(spark, sf_dir))[1])
 
 
-@register("cluster_shares")
+@register("cluster_shares", _on_kmeans(REGISTRY["cluster_shares_fixed"].sql.removeprefix(FEAT_SQL)))
 def q_cluster_shares(spark, sf_dir):
     seg, clustered = _kmeans_clusters(Inputs(spark, sf_dir))
     return C.cluster_shares(C.enrich_segments(seg, clustered, C.cluster_mapping(clustered)))
 
 
+SILHOUETTE_SAMPLE = 4000
+
+
+@register("silhouette_exact", FEAT_SQL + f"""
+  , drawn AS (SELECT a.cluster, f.recency_log_z AS x0, f.frequency_log_z AS x1, f.monetary_log_z AS x2, f.CustomerID AS key
+      FROM feat f JOIN assigned a USING (CustomerID) ORDER BY md5(f.CustomerID || '|42'), f.CustomerID LIMIT {SILHOUETTE_SAMPLE}),
+  size AS (SELECT cluster, COUNT(*) AS n FROM drawn GROUP BY cluster),
+  per AS (SELECT a.key, a.cluster AS own, b.cluster, SUM(sqrt((a.x0 - b.x0) ** 2 + (a.x1 - b.x1) ** 2 + (a.x2 - b.x2) ** 2)) AS d
+      FROM drawn a CROSS JOIN drawn b GROUP BY a.key, a.cluster, b.cluster),
+  ab AS (SELECT key, any_value(o.n) AS n, SUM(d) FILTER (p.cluster = own) / greatest(any_value(o.n) - 1, 1) AS a, MIN(d / s.n) FILTER (p.cluster <> own) AS b
+      FROM per p JOIN size s ON s.cluster = p.cluster JOIN size o ON o.cluster = p.own GROUP BY key)
+  SELECT (SELECT COUNT(*) FROM feat) AS customers, COUNT(*) AS sampled,
+    ROUND(AVG(CASE WHEN n = 1 OR b IS NULL OR greatest(a, b) = 0 THEN 0.0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM ab""")
+def q_silhouette_exact(spark, sf_dir):
+    """Euclidean silhouette of the assignment to fixed centroids, from all
+    pairs of at most 4,000 hashed customers."""
+    i = Inputs(spark, sf_dir)
+    feats = _features(i).join(_segments(i).select("CustomerID", "business_priority"), "CustomerID")
+    return C.silhouette_exact(C.assign_to_centroids(feats, C.centroids_by_group(feats, "business_priority")), SILHOUETTE_SAMPLE)
+
+
 # ---------------------------------------------------------------- churn models
 
 FEATS = M.FEATURES
@@ -416,9 +508,80 @@ def q_driver_ranking_fixed(spark, sf_dir):
     return M.rank_drivers(M.class_gaps(_prepared(Inputs(spark, sf_dir, share_bronze=True))))
 
 
-@register("lr_scores")
+_SIZE = len(FEATS) + 1
+NEWTON_SQL = MODEL_SQL.replace("WITH ", "WITH RECURSIVE ", 1) + f"""
+  , lr_rows AS (SELECT CAST(churn_label AS DOUBLE) AS y, weight AS w, fold, [CAST(1.0 AS DOUBLE), {", ".join(f"{c}_z" for c in FEATS)}] AS x
+      FROM prepared WHERE is_train),
+  models AS (SELECT CAST(m AS INTEGER) AS m FROM range(-1, {P.folds}) t(m)),
+  newton AS (
+    SELECT m, 0 AS it, list_transform(range({_SIZE}), lambda i: CAST(0 AS DOUBLE)) AS beta FROM models
+    UNION ALL
+    SELECT m, it + 1, list_transform(beta, lambda b, i: b - list_reduce(
+        list_prepend({{'p': CAST(0 AS BIGINT), 'm': a}}, list_transform(range(1, {_SIZE + 1}), lambda p: {{'p': p, 'm': CAST([] AS DOUBLE[][])}})),
+        lambda s, n: {{'p': n.p, 'm': list_transform(s.m, lambda v, k: CASE WHEN k = n.p THEN list_transform(v, lambda e: e / s.m[n.p][n.p])
+          ELSE list_transform(v, lambda e, j: e - v[n.p] * s.m[n.p][j] / s.m[n.p][n.p]) END)}}).m[i][{_SIZE + 1}])
+    FROM (SELECT m, it, beta, list(v ORDER BY i) AS a
+      FROM (SELECT m, it, beta, i, list(v ORDER BY j) AS v
+        FROM (SELECT m, it, beta, i, j, {P.lr_c} * SUM(CASE WHEN j <= {_SIZE} THEN w * p * (1 - p) * x[i] * x[j] ELSE w * (p - y) * x[i] END)
+                + CASE WHEN i = 1 THEN 0 WHEN j = i THEN 1 WHEN j > {_SIZE} THEN beta[i] ELSE 0 END AS v
+          FROM (SELECT n.m, n.it, n.beta, r.x, r.w, r.y, 1 / (1 + exp(-list_dot_product(n.beta, r.x))) AS p
+                FROM newton n JOIN lr_rows r ON n.m = -1 OR r.fold <> n.m WHERE n.it < 14)
+          CROSS JOIN range(1, {_SIZE + 1}) ti(i) CROSS JOIN range(1, {_SIZE + 2}) tj(j) GROUP BY m, it, beta, i, j)
+        GROUP BY m, it, beta, i)
+      GROUP BY m, it, beta)),
+  betas AS (SELECT m, beta FROM newton WHERE it = 14),
+  lr_scored AS (SELECT p.CustomerID, p.churn_label AS label, p.is_train,
+      ROUND(1 / (1 + exp(-list_dot_product(b.beta, [CAST(1.0 AS DOUBLE), {", ".join(f"p.{c}_z" for c in FEATS)}]))), 6) AS score
+    FROM prepared p CROSS JOIN betas b WHERE b.m = -1)"""
+_AUC = """SUM(pos * (cum - CAST(c - 1 AS DOUBLE) / 2)) - CAST(SUM(pos) AS DOUBLE) * (CAST(SUM(pos) AS DOUBLE) + 1) / 2)
+      / (CAST(SUM(pos) AS DOUBLE) * CAST(SUM(c) - SUM(pos) AS DOUBLE)"""
+
+
+@register("lr_scores", NEWTON_SQL + " SELECT CustomerID, label, score FROM lr_scored WHERE NOT is_train")
 def q_lr_scores(spark, sf_dir):
-    return M.test_scores(_prepared(Inputs(spark, sf_dir, share_bronze=True)), "lr", P)
+    """Test rows scored by the logistic model (Newton's method)."""
+    scored = M.newton_scores(_prepared(Inputs(spark, sf_dir, share_bronze=True)), P)
+    return scored.where(~F.col("is_train")).select("CustomerID", F.col("churn_label").alias("label"), "score")
+
+
+@register("cv_auc_lr", NEWTON_SQL + f"""
+  , held AS (SELECT p.fold, p.churn_label AS label,
+      ROUND(1 / (1 + exp(-list_dot_product(b.beta, [CAST(1.0 AS DOUBLE), {", ".join(f"p.{c}_z" for c in FEATS)}]))), 6) AS score
+    FROM prepared p JOIN betas b ON b.m = p.fold WHERE p.is_train),
+  g AS (SELECT fold, score, SUM(label) AS pos, COUNT(*) AS c FROM held GROUP BY fold, score),
+  r AS (SELECT *, SUM(c) OVER (PARTITION BY fold ORDER BY score ROWS UNBOUNDED PRECEDING) AS cum FROM g),
+  per AS (SELECT fold, ({_AUC}) AS auc FROM r GROUP BY fold)
+  SELECT 'lr' AS model, CAST(fold AS VARCHAR) AS fold, ROUND(auc, 9) AS auc FROM per
+  UNION ALL SELECT 'lr', 'mean', ROUND(AVG(auc), 9) FROM per UNION ALL SELECT 'lr', 'plus_minus', ROUND(2 * stddev_pop(auc), 9) FROM per""")
+def q_cv_auc_lr(spark, sf_dir):
+    """Cross-validated AUC of the logistic model, all folds fitted together."""
+    return M.cv_auc_newton(_prepared(Inputs(spark, sf_dir, share_bronze=True)), P)
+
+
+@register("feature_drivers_lr", NEWTON_SQL + f""", co AS (
+    SELECT unnest({FEATS!r}) AS feature, unnest(list_transform(beta[2:], lambda b: ROUND(b, 6))) AS value FROM betas WHERE m = -1)
+  SELECT 'lr' AS model, feature, value, abs(value) AS abs_value, CASE WHEN value > 0 THEN 'risk' ELSE 'retention' END AS direction,
+    CAST(ROW_NUMBER() OVER (ORDER BY abs(value) DESC, feature) AS INTEGER) AS rank FROM co""")
+def q_feature_drivers_lr(spark, sf_dir):
+    return M.newton_drivers(_prepared(Inputs(spark, sf_dir, share_bronze=True)), P)
+
+
+@register("model_metrics_lr", NEWTON_SQL + f"""
+  , c AS (SELECT COUNT(*) FILTER (WHERE label = 1 AND score > 0.5) AS tp, COUNT(*) FILTER (WHERE label <> 1 AND score > 0.5) AS fp,
+        COUNT(*) FILTER (WHERE label <> 1 AND NOT score > 0.5) AS tn, COUNT(*) FILTER (WHERE label = 1 AND NOT score > 0.5) AS fn
+      FROM lr_scored WHERE NOT is_train),
+  g AS (SELECT score, SUM(label) AS pos, COUNT(*) AS c FROM lr_scored WHERE NOT is_train GROUP BY score),
+  r AS (SELECT *, SUM(c) OVER (ORDER BY score ROWS UNBOUNDED PRECEDING) AS cum FROM g)
+  SELECT CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, CAST(tn AS BIGINT) AS tn, CAST(fn AS BIGINT) AS fn,
+    ROUND(CAST(tp + tn AS DOUBLE) / CAST(tp + fp + tn + fn AS DOUBLE), 6) AS accuracy,
+    ROUND(CASE WHEN tp + fp = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / CAST(tp + fp AS DOUBLE) END, 6) AS precision,
+    ROUND(CASE WHEN tp + fn = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / CAST(tp + fn AS DOUBLE) END, 6) AS recall,
+    ROUND(CASE WHEN tp = 0 THEN 0.0 ELSE 2 * CAST(tp AS DOUBLE) / CAST(2 * tp + fp + fn AS DOUBLE) END, 6) AS f1,
+    (SELECT ROUND(({_AUC}), 9) FROM r) AS auc
+  FROM c""")
+def q_model_metrics_lr(spark, sf_dir):
+    """Test metrics of the logistic model."""
+    return M.newton_metrics(_prepared(Inputs(spark, sf_dir, share_bronze=True)), P)
 
 
 @register("rf_scores")
@@ -447,17 +610,20 @@ def _lr_scored(i: Inputs):
     return M.risk_scored(mart, M.prepared(mart, P), P)
 
 
-@register("risk_tiers")
+LR_RISK = NEWTON_SQL + _BASE_RISK.replace("JOIN baseline b", "JOIN lr_scored b")
+
+
+@register("risk_tiers", LR_RISK + f" SELECT {sql_as_double(NULLABLE_BEHAVIOUR)} FROM scored")
 def q_risk_tiers(spark, sf_dir):
-    return _lr_scored(Inputs(spark, sf_dir, share_bronze=True))
+    return as_double(_lr_scored(Inputs(spark, sf_dir, share_bronze=True)), NULLABLE_BEHAVIOUR)
 
 
-@register("risk_summary")
+@register("risk_summary", LR_RISK + REGISTRY["risk_summary_baseline"].sql.removeprefix(MODEL_SQL + _BASE_RISK))
 def q_risk_summary(spark, sf_dir):
     return M.risk_summary(_lr_scored(Inputs(spark, sf_dir, share_bronze=True)))
 
 
-@register("at_risk_exposure")
+@register("at_risk_exposure", LR_RISK + REGISTRY["at_risk_exposure_baseline"].sql.removeprefix(MODEL_SQL + _BASE_RISK))
 def q_at_risk_exposure(spark, sf_dir):
     return M.at_risk_exposure(_lr_scored(Inputs(spark, sf_dir, share_bronze=True)))
 
