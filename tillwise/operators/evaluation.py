@@ -15,22 +15,16 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
-from .ranking import exact_quantiles, global_index, prefix_sums
+from . import selection
+from .ranking import global_index, prefix_sums, range_tag, with_prefix_sums
 
 
 def impute_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Replace NULLs by the exact median of each column (all rows). The
-    columns are unpivoted so one range sort serves all medians."""
-    cols = list(columns)
-    df = cut_lineage(df)  # read by the median sort and by the fill
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "_feature", "_value")
-    med = exact_quantiles(long, "_value", {"_median": 0.5}, ["_feature"])
-    wide = med.groupBy().pivot("_feature", cols).agg(F.first("_median"))
-    medians = wide.select(F.struct(*[F.col(c) for c in cols])).scalar()  # one row: scalar subquery
+    """Replace NULLs by the exact median of each column (all rows). ``df`` is
+    read by the medians and by the fill: pass a written table."""
     out = df
-    for c in cols:
-        out = out.withColumn(c, F.coalesce(F.col(c).cast("double"), medians[c]))
+    for c, m in selection.quantiles(df, list(columns)).items():
+        out = out.withColumn(c, F.coalesce(F.col(c).cast("double"), F.lit(m).cast("double")))
     return out
 
 
@@ -180,6 +174,31 @@ def curve_points(df: DataFrame, label: str = "label", score: str = "score") -> D
     return pts.unionByName(origin).withColumn("recall", F.col("tpr"))
 
 
+def reduced_roc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    """ROC points without those that lie between two others in a straight step:
+    a point stays if it is the first or the last, or if the next threshold adds
+    other numbers of positives or negatives than its own did. The next row of
+    the last row of a range partition is the first row of the next partition
+    that has one (one small row per partition), so no window spans them."""
+    base = df.select(F.col(score).alias("_s"), F.col(label).cast("long").alias("_y"))
+    tagged = range_tag(score_groups(base, "_y", "_s"), [F.col("score").desc()])
+    cum = with_prefix_sums(tagged, ["pos", "neg"], "cum_", keep_tags=True)
+    step = F.struct("pos", "neg")
+    heads = tagged.where(F.col("_local") == 0).select("_pid", step.alias("_head"))
+    heads = heads.withColumn("_after", F.lead("_head").over(Window.orderBy("_pid"))).drop("_head")       # one row per partition
+    rows = Window.partitionBy("_pid").orderBy("_local")
+    near = (cum.withColumn("_step", step).withColumn("_next", F.lead("_step").over(rows))
+               .join(F.broadcast(heads), "_pid", "left").withColumn("_next", F.coalesce("_next", "_after")))
+    first = (F.col("cum_pos") == F.col("pos")) & (F.col("cum_neg") == F.col("neg"))
+    kept = near.where(first | F.col("_next").isNull() | (F.col("_next") != F.col("_step")))
+    tps, fps = F.col("cum_pos").cast("double"), F.col("cum_neg").cast("double")
+    P, N = F.col("total_pos").cast("double"), F.col("total_neg").cast("double")
+    points = kept.select(F.col("score").alias("threshold"), F.round(F.when(N == 0, 0.0).otherwise(fps / N), 9).alias("fpr"),
+                         F.round(F.when(P == 0, 0.0).otherwise(tps / P), 9).alias("tpr"))
+    origin = df.sparkSession.createDataFrame([(float("inf"), 0.0, 0.0)], points.schema)
+    return points.unionByName(origin)
+
+
 def split_summary(split: DataFrame, label: str) -> DataFrame:
     """Rows and positive-label rate of the train and test parts."""
     return split.groupBy(F.when(F.col("is_train"), "train").otherwise("test").alias("part")).agg(

@@ -16,8 +16,8 @@ the bottleneck, so the operators here compute an exact global 0-based index:
 
 NTILE buckets follow from (index, n); running sums (``prefix_sums``) use the
 same partition offsets; exact quantiles and quantile bins run on running
-counts of distinct values; ``metric_positions`` ranks several orderings of
-the same rows in one sort.
+counts of distinct values. Where only the rows at a few ranks are needed,
+``selection`` finds them without a sort.
 """
 
 from __future__ import annotations
@@ -80,10 +80,11 @@ def prefix_sums(df: DataFrame, order: Sequence[str | Column], value_cols: Sequen
     order), plus grand totals ``total_<col>``. Local running sums are taken
     per range partition (rows stay with their partition), partition totals
     become offsets on a frame of one row per partition."""
-    return _prefix(range_tag(df, order, partitions), value_cols, prefix)
+    return with_prefix_sums(range_tag(df, order, partitions), value_cols, prefix)
 
 
-def _prefix(tagged: DataFrame, value_cols: Sequence[str], prefix: str) -> DataFrame:
+def with_prefix_sums(tagged: DataFrame, value_cols: Sequence[str], prefix: str, keep_tags: bool = False) -> DataFrame:
+    """``prefix_sums`` of rows that ``range_tag`` has sorted and tagged."""
     cols = list(value_cols)
     w = Window.partitionBy("_pid").orderBy("_local").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = tagged.select("*", *[F.sum(c).over(w).alias(f"_l_{c}") for c in cols])
@@ -96,7 +97,7 @@ def _prefix(tagged: DataFrame, value_cols: Sequence[str], prefix: str) -> DataFr
     out = local.join(F.broadcast(offsets), "_pid")
     for c in cols:
         out = out.withColumn(f"{prefix}{c}", F.col(f"_l_{c}") + F.col(f"_o_{c}"))
-    return out.drop("_pid", "_local", *[f"_l_{c}" for c in cols], *[f"_o_{c}" for c in cols])
+    return out.drop(*[] if keep_tags else ["_pid", "_local"], *[f"_l_{c}" for c in cols], *[f"_o_{c}" for c in cols])
 
 
 def ntile_from_index(idx: str, n: str, buckets: int) -> Column:
@@ -133,7 +134,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float],
     base = df.select(*group_cols, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     counts = base.groupBy(*group_cols, "_v").agg(F.count(F.lit(1)).alias("_c"))
     tagged = range_tag(counts, [*group_cols, "_v"], partitions)
-    cum = _prefix(tagged, ["_c"], "_cum")  # -> _cum_c (inclusive)
+    cum = with_prefix_sums(tagged, ["_c"], "_cum")  # -> _cum_c (inclusive)
     if group_cols:
         # One row per group, from the tagged rows (no second running count).
         stats = cut_lineage(tagged.groupBy(*group_cols).agg(F.sum("_c").alias("_ng")))
@@ -193,39 +194,3 @@ def qcut(df: DataFrame, value: str, q: int, out: str, check_unique: bool = True,
     return (df.withColumn("_edges", inner)
               .withColumn(out, (F.lit(1) + F.size(F.filter("_edges", lambda e: F.col(value) > e))).cast("int"))
               .drop("_edges"))
-
-
-def metric_positions(df: DataFrame, key: str, metrics: Sequence[tuple[str, str, bool]],
-                     partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Positions of every row under several orderings in ONE range sort.
-
-    ``metrics`` = (name, column, ascending); ties break on ``key`` ascending.
-    The metric columns are stacked into a narrow (metric, value, key) frame,
-    globally indexed once, and each metric's block is re-based to 0.
-    Returns (wide, long): ``wide`` has ``key``, ``<name>_pos`` per metric and
-    ``_n``; ``long`` keeps (_metric, _v, _pos, _n) for order statistics.
-    """
-    parts = []
-    for name, c, asc in metrics:
-        v = F.col(c).cast("double")
-        parts.append(df.select(F.lit(name).alias("_metric"),
-                               (v if asc else F.lit(None).cast("double")).alias("_asc"),
-                               (F.lit(None).cast("double") if asc else v).alias("_desc"),
-                               F.col(key).alias("_key")))
-    stacked = parts[0]
-    for p in parts[1:]:
-        stacked = stacked.unionByName(p)
-    order = [F.col("_metric").asc(), F.col("_asc").asc_nulls_first(),
-             F.col("_desc").desc_nulls_first(), F.col("_key").asc()]
-    ranked = global_index(stacked, order, "_g", "_gn", partitions)
-    # Every metric contributes exactly n rows and blocks are sorted by metric
-    # name, so block i starts at i * n: no per-metric aggregate is needed.
-    names = sorted(name for name, _, _ in metrics)
-    block = F.create_map(*[x for i, nm in enumerate(names) for x in (F.lit(nm), F.lit(i))])
-    n = (F.col("_gn") / F.lit(len(names))).cast("long")
-    long = ranked.select("_metric", "_key", F.coalesce("_asc", "_desc").alias("_v"),
-                         (F.col("_g") - block[F.col("_metric")] * n).alias("_pos"), n.alias("_n"))
-    wide = long.groupBy("_key").agg(
-        *[F.max(F.when(F.col("_metric") == name, F.col("_pos"))).alias(f"{name}_pos") for name, _, _ in metrics],
-        F.max("_n").alias("_n")).withColumnRenamed("_key", key)
-    return wide, long

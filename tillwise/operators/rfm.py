@@ -9,7 +9,7 @@ from ..functions import rules
 from ..functions.exprs import cents, days_between, half_up_div
 from ..params import SegmentParams
 from ..session import cut_lineage
-from .ranking import metric_positions, ntile_from_index
+from . import selection
 from .silver import observation_end_value
 
 SEGMENT_COLUMNS = [
@@ -64,37 +64,36 @@ def _direction(c: str, ascending: bool) -> Column:
 
 
 def rfm_segments(silver: DataFrame, p: SegmentParams = SegmentParams(),
-                 partitions: int | None = None) -> DataFrame:
+                 max_band: int = selection.MAX_BAND) -> DataFrame:
     """RFM scores (NTILE into ``p.buckets``), segment, priority and whale flag.
 
     ``best_is_high=True`` scores the most recent / most frequent / highest
     spending customers 5 (documented intent); ``False`` reproduces the coded
-    ordering where they score 1. CustomerID breaks ties.
+    ordering where they score 1. CustomerID breaks ties. Scores follow from the
+    rows at which the buckets start (see ``selection``): the customers are
+    neither sorted nor shuffled again.
     """
-    # The metrics are read three times (ranking, percentile, final join):
-    # materialise them once.
+    # read by the selection of the cut rows and by the scoring: written once
     metrics = cut_lineage(customer_metrics(silver, p.anchor))
     hi = p.best_is_high
     # (score, value, ascending): best_is_high puts the most recent / most
     # frequent / highest spending customers in the last bucket.
     specs = [("r_score", "recency_days", not hi), ("f_score", "frequency", hi), ("m_score", "monetary", hi)]
-    wide, long = metric_positions(metrics, "CustomerID", specs, partitions)
-
-    # Exact PERCENTILE_CONT of monetary from the same sorted pass: ascending
-    # position p * (n - 1), interpolated between its two neighbours.
-    m_asc = hi
-    asc_pos = F.col("_pos") if m_asc else F.col("_n") - 1 - F.col("_pos")
-    at = F.lit(float(p.whale_percentile)) * (F.col("_n") - 1).cast("double")
-    picked = (long.where(F.col("_metric") == "m_score")
-                  .select(asc_pos.alias("_ap"), at.alias("_at"), "_v")
-                  .where((F.col("_ap") == F.floor("_at")) | (F.col("_ap") == F.ceil("_at"))))
-    v_lo = F.max(F.when(F.col("_ap") == F.floor("_at"), F.col("_v")))
-    v_hi = F.max(F.when(F.col("_ap") == F.ceil("_at"), F.col("_v")))
-    whale_min = picked.agg(v_lo + (v_hi - v_lo) * F.first(F.col("_at") - F.floor("_at"))).scalar()
-
-    scored = metrics.join(wide, "CustomerID").withColumn("_whale_min", whale_min)
+    # ascending values, those without a value first in either direction
+    value = {name: F.coalesce(F.col(c).cast("double") if asc else -F.col(c).cast("double"), F.lit(float("-inf"))) for name, c, asc in specs}
+
+    def ranks(name: str, n: int) -> list[int]:
+        at = selection.around(n, p.whale_percentile) if n and name == "m_score" else []
+        return [*selection.ntile_starts(n, p.buckets), *(at if hi else [n - 1 - r for r in at])]
+
+    found = selection.at_ranks(metrics, value, ranks, "CustomerID", max_band)
+    scored = metrics
     for name, _, _ in specs:
-        scored = scored.withColumn(name, ntile_from_index(f"{name}_pos", "_n", p.buckets))
+        n, rows = found[name]
+        scored = scored.withColumn(name, selection.bucket(value[name], "CustomerID", [rows[r] for r in selection.ntile_starts(n, p.buckets) if r < n]))
+    n, rows = found["m_score"]
+    ascending = rows if hi else {n - 1 - r: (-v, k) for r, (v, k) in rows.items()}
+    scored = scored.withColumn("_whale_min", F.lit(selection.interpolated(ascending, n, p.whale_percentile)).cast("double"))
 
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
     seg = rules.segment(r, f, m)

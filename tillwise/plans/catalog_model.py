@@ -698,6 +698,20 @@ def q_roc_points(spark, sf_dir):
     return E.curve_points(_baseline_test(Inputs(spark, sf_dir, share_bronze=True))).select("threshold", "fpr", "tpr")
 
 
+@register("roc_points_reduced", MODEL_SQL + """
+  , g AS (SELECT score, SUM(label) AS pos, SUM(1 - label) AS neg FROM test_scores GROUP BY score),
+  r AS (SELECT score, SUM(pos) OVER w AS tps, SUM(neg) OVER w AS fps, SUM(pos) OVER () AS P, SUM(neg) OVER () AS N,
+          ROW_NUMBER() OVER w AS rn, COUNT(*) OVER () AS points FROM g WINDOW w AS (ORDER BY score DESC ROWS UNBOUNDED PRECEDING)),
+  bent AS (SELECT *, rn = 1 OR rn = points OR lead(tps) OVER o - 2 * tps + lag(tps) OVER o <> 0 OR lead(fps) OVER o - 2 * fps + lag(fps) OVER o <> 0 AS kept
+        FROM r WINDOW o AS (ORDER BY score DESC))
+  SELECT score AS threshold, ROUND(CASE WHEN N = 0 THEN 0.0 ELSE CAST(fps AS DOUBLE) / CAST(N AS DOUBLE) END, 9) AS fpr,
+    ROUND(CASE WHEN P = 0 THEN 0.0 ELSE CAST(tps AS DOUBLE) / CAST(P AS DOUBLE) END, 9) AS tpr FROM bent WHERE kept
+  UNION ALL SELECT CAST('inf' AS DOUBLE), 0.0, 0.0""")
+def q_roc_points_reduced(spark, sf_dir):
+    """The ROC curve without collinear points."""
+    return E.reduced_roc(_baseline_test(Inputs(spark, sf_dir, share_bronze=True)))
+
+
 @register("pr_points", MODEL_SQL + _CURVE_SQL + " SELECT threshold, precision, tpr AS recall FROM pts")
 def q_pr_points(spark, sf_dir):
     return E.curve_points(_baseline_test(Inputs(spark, sf_dir, share_bronze=True))).select("threshold", "precision", "recall")
