@@ -62,7 +62,15 @@ def test_monthly_volume_keeps_unparsed_dates(spark):
     rows = [ROW, ROW[:4] + ("bad",) + ROW[5:], ROW[:4] + ("15-01-2011 10:00",) + ROW[5:]]
     vol = {r.YearMonth: r["count"] for r in P.monthly_volume(lines(spark, rows)).collect()}
     assert vol == {"2010-12": 1, "2011-01": 1, None: 1}
-    assert P.sample_rows(lines(spark, rows * 50), 0.5, 1).where(F.col("Quantity") > 0).count() > 0
+    many = lines(spark, rows * 50).withColumn("InvoiceNo", F.monotonically_increasing_id().cast("string")).repartition(3)
+    keys = ["InvoiceNo", "StockCode"]
+    half = {r.InvoiceNo for r in P.sample_rows(many, keys, 0.5).collect()}
+    assert 0 < len(half) < many.count() and half == {r.InvoiceNo for r in P.sample_rows(many.coalesce(1), keys, 0.5).collect()}
+    # bottom-k samples of two parts merge into that of the whole
+    part = F.col("InvoiceNo").cast("long") % 2 == 0
+    merged = P.sample_rows_k(many.where(part), keys, 7).unionByName(P.sample_rows_k(many.where(~part), keys, 7))
+    whole = {r.InvoiceNo for r in P.sample_rows_k(many, keys, 7).collect()}
+    assert len(whole) == 7 and {r.InvoiceNo for r in P.sample_rows_k(merged, keys, 7).collect()} == whole
 
 
 def test_numeric_summary_exact_and_approx(spark):

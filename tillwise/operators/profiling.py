@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import days_between, exact_amount, half_up_div
@@ -274,7 +274,21 @@ def scorecard(bronze: DataFrame, p: CleaningParams = CleaningParams(),
     return one.select(F.inline(rows))
 
 
-def sample_rows(df: DataFrame, fraction: float = 0.1, seed: int = 42) -> DataFrame:
-    """Bernoulli row sample (each partition samples its own rows; the
-    fraction is the feature, used for quick looks only)."""
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+def row_hash(keys: Sequence[str]) -> Column:
+    """The first 32 bits of the md5 of the named columns, as a number."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in keys])
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+
+
+def sample_rows(df: DataFrame, keys: Sequence[str], fraction: float = 0.1) -> DataFrame:
+    """Rows whose hashed key is in the lowest ``fraction``: a narrow filter that
+    takes the same rows on every run, partitioning and engine, and whose
+    samples of two tables are the sample of their union."""
+    return df.where(row_hash(keys) < F.lit(int(fraction * (1 << 32))))
+
+
+def sample_rows_k(df: DataFrame, keys: Sequence[str], k: int, ties: Sequence[str] = ()) -> DataFrame:
+    """The ``k`` rows of the smallest hashed key (bottom-k): exactly ``k`` rows
+    if there are so many. Each task keeps its ``k`` smallest, which are merged;
+    samples of two tables merge the same way."""
+    return df.withColumn("_h", row_hash(keys)).orderBy("_h", *keys, *ties).limit(k).drop("_h")

@@ -217,11 +217,28 @@ def q_bronze_csv_ingest(spark, sf_dir):
     return read_invoice_csv(spark, path)
 
 
+LATIN1 = " caf\u00e9 \u00a35 \u00bd \u00ff"
+
+
+@register("bronze_latin1_ingest", O.with_ctes(O.BRONZE) + f" SELECT * REPLACE (Description || '{LATIN1}' AS Description) FROM bronze")
+def q_bronze_latin1_ingest(spark, sf_dir):
+    """The CSV path with characters above 0x7F in every description."""
+    from ..session import forget_at_exit, new_folder
+    from ..sources.bronze import read_invoice_csv
+
+    path = new_folder(spark, "landing")
+    lines = Inputs(spark, sf_dir).bronze.withColumn("Description", F.concat("Description", F.lit(LATIN1)))
+    lines.write.mode("overwrite").option("header", True).option("encoding", "ISO-8859-1").option("escape", '"').csv(path)
+    forget_at_exit(spark, path)
+    return read_invoice_csv(spark, path)
+
+
 _MEDALLION_TABLES = [
     ("online_retail", "bronze", "bronze"), ("stg_transactions", "silver", "silver"),
     ("customers_simulated", "bronze", "profiles"), ("stg_customers", "silver", "stg_customers"),
     ("mart_customer_segments", "gold", "segments"), ("mart_clv_projections", "gold", "clv_inputs"),
-    ("mart_churn_risk", "gold", "churn"),
+    ("mart_churn_risk", "gold", "churn"), ("mart_clv_projections_enriched", "gold", "clv_tiered"),
+    ("mart_customer_segments_enriched", "gold", "segments"), ("mart_churn_risk_scored", "gold", "churn"),
 ]
 
 
@@ -229,13 +246,15 @@ def _medallion_sql() -> str:
     parts = [f"SELECT '{t}' AS table_name, '{schema}' AS schema_name, CAST(COUNT(*) AS BIGINT) AS row_count FROM {cte}"
              for t, schema, cte in _MEDALLION_TABLES]
     parts.append("SELECT 'dq_report', 'default', CAST(COUNT(*) AS BIGINT) FROM (" + O.dq_sql() + ")")
+    # a cluster per centroid, as long as there are so many different customers
+    parts.append("SELECT 'cluster_mapping', 'gold', CAST(LEAST(4, COUNT(*)) AS BIGINT) FROM (SELECT DISTINCT recency_days, frequency, monetary FROM segments)")
     return O.with_ctes(*BRONZE_SILVER, O.PROFILES, O.CUSTOMER_METRICS, O.segments_cte(True), O.CLV_INPUTS,
-                       O.CHURN) + " " + " UNION ALL ".join(parts)
+                       O.CLV_SCORED, O.CHURN) + " " + " UNION ALL ".join(parts)
 
 
 @register("medallion_row_counts", _medallion_sql())
 def q_medallion_row_counts(spark, sf_dir):
-    """Full refresh of bronze, silver, gold and the quality report into a new
+    """Full refresh of all eleven tables and the quality report into a new
     folder under the checkpoint folder; each written table is read back and
     counted (writers, schema routing and upstream reads end to end)."""
     from ..session import forget_at_exit, new_folder
@@ -243,7 +262,7 @@ def q_medallion_row_counts(spark, sf_dir):
     from .medallion import run
 
     root = new_folder(spark, "medallion")
-    paths = run(spark, sf_dir, root, models=False)
+    paths = run(spark, sf_dir, root)
     forget_at_exit(spark, root)
     frames = [spark.read.parquet(path).agg(F.count(F.lit(1)).cast("long").alias("row_count"))
               .select(F.lit(name).alias("table_name"), F.lit(schema_for(LAYERS.get(name), "default")).alias("schema_name"),

@@ -218,6 +218,18 @@ def q_scorecard(spark, sf_dir):
     return P.scorecard(Inputs(spark, sf_dir).bronze)
 
 
-@register("sample_rows")
+SAMPLE_KEYS = ("InvoiceNo", "StockCode", "Quantity", "InvoiceDate", "CustomerID")
+_SAMPLE_HASH = ("CAST('0x' || substr(md5(" + " || '|' || ".join(f"COALESCE(CAST({c} AS VARCHAR), '')" for c in SAMPLE_KEYS)
+                + "), 1, 8) AS BIGINT)")
+
+
+@register("sample_rows", O.with_ctes(O.BRONZE) + f" SELECT * FROM bronze WHERE {_SAMPLE_HASH} < {int(0.1 * (1 << 32))}")
 def q_sample_rows(spark, sf_dir):
-    return P.sample_rows(Inputs(spark, sf_dir).bronze)
+    """A tenth of the raw lines, by the hash of their key."""
+    return P.sample_rows(Inputs(spark, sf_dir).bronze, SAMPLE_KEYS)
+
+
+@register("sample_rows_k", O.with_ctes(O.BRONZE) + f" SELECT * FROM bronze ORDER BY {_SAMPLE_HASH}, {', '.join(SAMPLE_KEYS)}, UnitPrice LIMIT 500")
+def q_sample_rows_k(spark, sf_dir):
+    """The 500 raw lines of the smallest hash."""
+    return P.sample_rows_k(Inputs(spark, sf_dir).bronze, SAMPLE_KEYS, 500, ["UnitPrice"])

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import churn, clustering as C, clv, modeling as M, quality, rfm, silver
 from ..params import Params
-from ..session import prepare, scratch
+from ..session import cut_lineage, prepare, scratch
 from ..sources import bronze as B
 from ..sources.catalog import read_table, save_table
 
@@ -53,8 +53,8 @@ def _run(spark, sf_dir, root, params, models, lines, profiles) -> dict[str, str]
         return out
     save(clv.enriched(clv.clv_heuristic(clv_in, params.clv), params.clv), "mart_clv_projections_enriched")
     features = C.rfm_scaled(segments)
-    clustered = C.kmeans_assign(features, params.cluster)
-    clustered = segments.join(clustered.select("CustomerID", "cluster"), "CustomerID")
+    clustered = cut_lineage(C.lloyd_assign(features, params.cluster).select("CustomerID", "cluster"))
+    clustered = segments.join(clustered, "CustomerID")
     mapping = save(C.cluster_mapping(clustered), "cluster_mapping")
     save(C.enrich_segments(segments, clustered, mapping), "mart_customer_segments_enriched")
     prep = M.prepared(churn_mart, params.model)
