@@ -1,5 +1,6 @@
 """Text operators against brute force: packing, secrets, SimHash, rules, chat."""
 
+import functools
 import hashlib
 import random
 import re
@@ -52,6 +53,9 @@ def key(rows):
 
 # --- packing -------------------------------------------------------------
 
+ENCODER = functools.cache(packing.Encoder)
+
+
 def hf():
     import public_tokenizers
     from tokenizers import Tokenizer
@@ -86,6 +90,54 @@ def test_packing_round_trip(odd, spark):
     assert n <= -(-sum(r.length for r in rows) // 1024) + 1
 
 
+LONG = {"blanks": " " * 2_000_000, "line feeds": "\n" * 1_500_000 + "end", "mixed": " \n\t" * 500_000, "letter": "a" * 400_000,
+        "emoji": "🙂" * 200_000, "words": "of the " * 200_000 + " " * 1_200_000 + "x"}
+
+
+@pytest.mark.parametrize("name", LONG)
+def test_long_runs_are_encoded_as_by_tokenizers(spark, name):
+    """A run of white space that overflows an expression's stack must not end the query."""
+    tok, path = hf()
+    want = tok.encode(LONG[name], add_special_tokens=False).ids
+    assert ENCODER(path).ids(LONG[name]).tolist() == want
+    rows = packing.pack_documents(spark.createDataFrame([(1, LONG[name]), (2, "short")], "doc_id long, text string"), path).collect()
+    assert sum(r.length for r in rows if r.doc_id == 1) == len(want) + 1
+    check_places(rows, 1024)
+
+
+def test_packing_refuses_clashing_names(odd):
+    with pytest.raises(ValueError):
+        packing.tokenize(odd, hf()[1], keep=("doc_id", "length"))
+
+
+KEYED = ["commit {}", "the commit message, {}", "digest=abc;k={}", "123e4567-e89b-12d3-a456-426614174000:{}", "data-integrity-key:{}", "key {}",
+         "For example: {}", "user@example.com:{}", "example_key={}"]
+
+
+@pytest.mark.parametrize("form", KEYED)
+def test_an_allowed_word_beside_a_key_hides_nothing(form):
+    rng = random.Random(form)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    found = 0
+    for _ in range(200):
+        secret = "".join(rng.choice(alphabet) for _ in range(40))
+        text = "see " + form.format(secret) + " now"
+        at = text.index(secret)
+        found += any(s < at + 40 and at < e for s, e, k in secret_scan.scan(text)[1])
+    assert found >= 190
+
+
+def test_allow_list_holds():
+    rng = random.Random(3)
+    digest = "".join(rng.choice("0123456789ABCDEFabcdef") for _ in range(64))
+    for text in (f"sha256:{digest.upper()}", f'integrity="{digest.upper()}"', "id 123E4567-E89B-12D3-A456-426614174000 end",
+                 "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"):
+        assert not [s for s in secret_scan.scan(text)[1] if s[2].startswith("entropy")], text
+    long = "".join(rng.choice("ABCDEFGHIJabcdefghij0123456789+/") for _ in range(5000))
+    size = [sum(e - s for s, e, k in secret_scan.scan(t)[1] if k == "entropy_base64") for t in (long, long[:2500] + "xxxx" + long[2500:])]
+    assert 0 < size[0] - size[1] < 250 < size[0]      # only what stands near the word is spared
+
+
 def test_packing_empty(empty):
     assert packing.pack_documents(empty, hf()[1]).count() == 0
 
@@ -94,7 +146,7 @@ def test_packing_empty(empty):
 @settings(max_examples=150, deadline=None)
 def test_encoder_equals_tokenizers(texts):
     tok, path = hf()
-    ids, offsets = packing._encoder(path).batch(texts)
+    ids, offsets = ENCODER(path).batch(texts)
     for i, t in enumerate(texts):
         assert ids[offsets[i]:offsets[i + 1]].tolist() == tok.encode(t, add_special_tokens=False).ids
 

@@ -26,6 +26,8 @@ sequences. Other columns of ``docs`` are ignored unless named in ``keep``.
 from __future__ import annotations
 
 import json
+import os
+import re
 import zlib
 from dataclasses import dataclass
 
@@ -35,11 +37,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from . import textio
+from . import segments, textio
 
 # the pre-tokenizer's pattern that belongs to the vocabulary file (fixed value)
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+LONG_SPACE = 10_000    # characters of white space in a row that go to ``tokenizers``; both give the same ids
+
 
 @dataclass(frozen=True)
 class Params:
@@ -49,12 +53,18 @@ class Params:
 
 
 class Encoder:
-    """Token ids of a byte-level BPE vocabulary (a tokenizers JSON file)."""
+    """Token ids of a byte-level BPE vocabulary (a ``tokenizers`` JSON file).
+    The same vocabulary through ``tiktoken`` gives the same ids faster, but its
+    expression runs out of stack on very long white space; texts with such a
+    run, or any that it can't take, go to ``tokenizers`` itself."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"   # Spark runs one task per core
         import tiktoken
+        from tokenizers import Tokenizer
 
-        spec = json.load(open(path, encoding="utf-8"))
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
         vocab = spec["model"]["vocab"]
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         # byte-level vocabularies write bytes as printable characters: the printable ones stand for themselves
@@ -62,34 +72,36 @@ class Encoder:
         of = {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(x for x in range(256) if x not in set(own))}
         ranks = {bytes(of[c] for c in token): i for token, i in vocab.items() if token not in special}
         self.bpe = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
+        self.whole = Tokenizer.from_file(path)
+        self.long_space = re.compile(rf"\s{{{LONG_SPACE}}}")
+
+    def ids(self, text: str) -> np.ndarray:
+        if not self.long_space.search(text):
+            try:
+                return self.bpe.encode_to_numpy(text, allowed_special="all")
+            except ValueError:      # its expression gave up
+                pass
+        return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
     def batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and the n + 1 offsets."""
-        ids = [self.bpe.encode_to_numpy(t, allowed_special="all") for t in texts]
+        ids = [self.ids(t) for t in texts]
         offsets = np.zeros(len(ids) + 1, dtype=np.int64)
         np.cumsum([len(x) for x in ids], out=offsets[1:])
         return np.concatenate([*ids, np.zeros(0, np.uint32)]), offsets
 
 
-def _encoder(path: str) -> Encoder:
-    """One per Python worker process, kept beside the library it uses."""
-    import tiktoken
-
-    kept = vars(tiktoken).setdefault("_encoders", {})
-    if path not in kept:
-        kept[path] = Encoder(path)
-    return kept[path]
-
-
 def tokenize(docs: DataFrame, tokenizer: str, params: Params = Params(), keep: tuple[str, ...] = ("doc_id",),
              text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """One row per piece: ``keep``, piece, start, length, ids_crc32 and, on
     request, the ids. A text's ids end with ``end_id``. Only longer ones are
     cut; all pieces but the first hold ``capacity`` ids."""
     cap = params.capacity
+    if clash := set(keep) & {"piece", "start", "length", "ids_crc32", "ids", "sequence_id", "offset"}:
+        raise ValueError(f"{sorted(clash)} are names of the result")
 
     def run(batches):
-        enc = _encoder(tokenizer)
+        enc = segments.of_worker(("packing", tokenizer), lambda: Encoder(tokenizer))
         for b in textio.text_pieces(batches, "_text", 8 << 20):
             ids, offsets = enc.batch(textio.texts_of(b, "_text"))
             at = np.arange(1, len(b) + 1)
