@@ -20,8 +20,9 @@ no other copy can be among the k nearest, ties going to smaller ids.
 Distances are Euclidean, in double precision, on the original vectors.
 
 Edge cases: NULL and zero vectors, vectors with NULL or non-finite components,
-rows without an id and vectors of another length than the most frequent one
-take no part. Repeated rows count once. With fewer than k candidates all are
+and rows without an id take no part. Vectors of each length are searched on
+their own, with a tree of their own. Repeated rows count once; of different
+vectors under one id all are candidates and one is the query. With fewer than k candidates all are
 returned. Other columns are ignored.
 """
 
@@ -141,14 +142,21 @@ def nearest(ids: np.ndarray, x: np.ndarray, own, q: np.ndarray, k: int) -> tuple
     return ids[at], d[at]
 
 
-def calibrate(tree: Tree, x: np.ndarray, p: Params) -> int:
-    """Leaf visits at which ``recall`` is reached on held-back queries."""
+def held_back(x: np.ndarray, p: Params) -> tuple[np.ndarray, np.ndarray]:
+    """(rows to fit on, queries to calibrate with): a fifth at most is held back."""
+    order = np.random.default_rng(p.seed + 1).permutation(len(x))
+    n = min(p.calibration, len(x) // 5)
+    return x[np.sort(order[n:])], x[order[:n]]
+
+
+def calibrate(tree: Tree, x: np.ndarray, queries: np.ndarray, p: Params) -> int:
+    """Leaf visits at which ``recall`` is reached on ``queries``, none of which
+    the tree was fitted on."""
     of = leaf_of(tree, x)
-    rng = np.random.default_rng(p.seed + 1)
     at_visit = []
-    for i in rng.permutation(len(x))[:p.calibration]:
-        want, _ = nearest(np.arange(len(x)), x, i, x[i], p.k)
-        order = {leaf: n for n, leaf in enumerate(best_bin_first(tree, x[i]), 1)}
+    for q in queries:
+        want, _ = nearest(np.arange(len(x)), x, -1, q, p.k)
+        order = {leaf: n for n, leaf in enumerate(best_bin_first(tree, q), 1)}
         at_visit += [order[leaf] for leaf in of[want].tolist()]
     if not at_visit:
         return 1
@@ -170,19 +178,28 @@ def _matrix(col) -> np.ndarray:
 def search(rows: DataFrame, queries: DataFrame, params: Params = Params()) -> DataFrame:
     """``rows`` and ``queries``: vec_id, embedding. Per query its nearest rows
     found: query_id, rank, vec_id, score."""
-    k = params.k
     rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vec"))
     rows = rows.filter(F.col("vec_id").isNotNull() & usable("vec"))
-    common = rows.groupBy(F.size("vec").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    dim = common["n"] if common else 0
+    lengths = [r["n"] for r in rows.select(F.size("vec").alias("n")).distinct().orderBy("n").collect()] or [0]
+    out = None
+    for dim in lengths:                       # no distance exists between vectors of different length
+        found = _search(rows, queries, dim, params)
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def _search(rows: DataFrame, queries: DataFrame, dim: int, params: Params) -> DataFrame:
+    """``search`` among the vectors of ``dim`` components."""
+    k = params.k
     same = Window.partitionBy("vec").orderBy("vec_id")
     kept = cut_lineage(rows.filter(F.size("vec") == dim).withColumn("_no", F.dense_rank().over(same)).filter(F.col("_no") <= k + 1)
                            .drop("_no").dropDuplicates(["vec", "vec_id"]))
     n = kept.count()
     sample = _matrix(textio.bounded_sample(kept.groupBy("vec_id").agg(F.min("vec").alias("vec")), "vec_id", params.max_sample)
                      .orderBy("vec_id").toArrow().column("vec"))
+    sample, held_out = held_back(sample, params)
     tree = fit_tree(sample, max(k, int(params.leaf_rows * len(sample) / max(n, 1))), params)
-    tree.visits = calibrate(tree, sample, params)
+    tree.visits = calibrate(tree, sample, held_out, params)
 
     def place(batches):
         for b in batches:
