@@ -4,10 +4,10 @@ Three base kinds are found by pattern. Beyond them, maximal runs of a
 character class (candidates) are searched with a sliding window: the Shannon
 entropy of the window is kept up to date from incremental character counts
 (one character leaves, one enters), and windows at or above the class's limit
-make up a span. An allow-list suppresses entropy spans: well-known harmless
-shapes (UUIDs, checksums named as such, placeholders, alphabets and counting
-runs, long words). Placeholder words count only inside the span itself, and in
-a URL each path segment is judged alone. Base spans are never suppressed, and
+make up a span. An allow-list suppresses entropy spans: UUIDs that hold the
+span, names of digests that the span starts in or directly follows (behind a
+blank or another sign it is no digest of that name), and what stands near a
+placeholder word of the same value. In a URL each path segment is judged alone. Base spans are never suppressed, and
 an entropy span lying inside a base span adds nothing and is left out.
 
 Texts are read whole. A fast pattern test per batch picks the texts that can
@@ -60,15 +60,16 @@ class Params:
         CharClass("entropy_hex", r"[0-9A-Fa-f]", 24, 3.0, (r"[0-9]", r"[A-Fa-f]")),
         CharClass("entropy_base64", r"[A-Za-z0-9+/_=-]", 20, 3.9, (r"[0-9]", r"[a-z]", r"[A-Z]")),
         CharClass("entropy_lower", r"[a-z0-9]", 20, 3.7, (r"[0-9]", r"[a-z]")),
+        CharClass("entropy_upper", r"[A-Z0-9]", 20, 3.7, (r"[0-9]", r"[A-Z]")),
     )
-    # allowed: the span with what surrounds it in its line of non-space characters
-    allow: tuple[str, ...] = (
-        r"(?i)\b[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\b",
-        r"(?i)(sha(1|224|256|384|512)|md5|crc|digest|checksum|etag|integrity|commit)[-:=\"'(/ ]",
-    )
-    # allowed: a span that holds one of these words itself (in a longer span they occur by chance)
+    # allowed: a span inside a match of one of these
+    covered: tuple[str, ...] = (r"(?i)\b[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\b",)
+    # allowed: a span that starts in or right behind the name of a digest
+    named: str = (r"(?i)(?<![a-z0-9_-])(?:(?:sha(?:1|224|256|384|512)|md5|crc(?:32)?)(?:[-/(]|[:=]\x20?)|"
+                  r"(?:digest|checksum|etag|integrity|commit)[\"']?(?:\(|[:=]\x20?))[\"']?")
+    # allowed: what stands nearer than ``near`` to one of these words in the same value (a name before "=" is another)
     words: str = r"(?i)example|placeholder|dummy|xxxx|0123456789|abcdefgh|changeme"
-    longest_words: int = 128
+    near: int = 32
     # where this is found at the candidate, its path segments are judged one by one
     url: str = r"(?i)^\W*(https?|ftp|s3|gs|file)://[^?=]*$"
 
@@ -126,26 +127,36 @@ def _found(run: str, at: int, c: CharClass, needs: list[re.Pattern]) -> list[tup
     return [(at + s, at + e) for s, e in found if all(n.search(run, s, e) for n in needs)]
 
 
+def _allowed(text: str, s: int, e: int, covered: list[re.Pattern], named: re.Pattern) -> bool:
+    if any(m.start() <= s and e <= m.end() for c in covered for m in c.finditer(text, max(0, s - 40), e + 40)):
+        return True
+    return any(m.start() <= s <= m.end() for m in named.finditer(text, max(0, s - 16), min(e, s + 16)))
+
+
+def _clear(run: str, words: re.Pattern, near: int) -> list[tuple[int, int]]:
+    """The stretches of a run that are not near a placeholder word of the same value."""
+    out, done = [], 0
+    for g in re.finditer("[^=]*=*", run):
+        for m in words.finditer(run, *g.span()):
+            out.append((done, max(done, g.start(), m.start() - near)))
+            done = min(g.end(), m.end() + near)
+    return [x for x in (*out, (done, len(run))) if x[0] < x[1]]
+
+
 def entropy_spans(text: str, p: Params) -> list[tuple[int, int, str]]:
     out = []
-    allow = [re.compile(a) for a in p.allow]
-    words, url = re.compile(p.words), re.compile(p.url)
+    covered = [re.compile(a) for a in p.covered]
+    named, words, url = re.compile(p.named), re.compile(p.words), re.compile(p.url)
     for c in p.classes:
         needs = [re.compile(n) for n in c.needs]
         for m in re.finditer(f"{c.alphabet}{{{c.window},}}", text):
             if not all(n.search(m[0]) for n in needs):
                 continue
-            found = _found(m[0], m.start(), c, needs)
-            around = _around(text, *m.span()) if found else ""
-            if any(a.search(around) for a in allow):
-                continue
-            if found and url.search(around):
-                found = [x for g in re.finditer("[^/]+", m[0]) for x in _found(g[0], m.start() + g.start(), c, needs)]
-            for s, e in found:
-                if e - s > p.longest_words or not words.search(text, s, e):
-                    out.append((s, e, c.kind))
-                else:  # a name before "=" is not part of the value
-                    out += [(*x, c.kind) for g in re.finditer("[^=]+=*", text[s:e]) if not words.search(g[0]) for x in _found(g[0], s + g.start(), c, needs)]
+            parts = [(s, m[0][s:e]) for s, e in _clear(m[0], words, p.near)]
+            found = [x for s, part in parts for x in _found(part, m.start() + s, c, needs)]
+            if found and url.search(_around(text, *m.span())):
+                found = [x for s, part in parts for g in re.finditer("[^/]+", part) for x in _found(g[0], m.start() + s + g.start(), c, needs)]
+            out += [(s, e, c.kind) for s, e in found if not _allowed(text, s, e, covered, named)]
     return out
 
 
