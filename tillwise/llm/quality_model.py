@@ -152,5 +152,7 @@ def labelled(docs: DataFrame, labels: DataFrame, column: str, usable: Column) ->
     y = (labels.select("doc_id", F.col(column).cast("int").alias("label")).filter("doc_id IS NOT NULL AND label IN (0, 1)")
                .groupBy("doc_id").agg(F.max("label").alias("label")))
     x = docs.select("doc_id", "text").filter("doc_id IS NOT NULL").filter(usable)
-    return (x.join(y, "doc_id").groupBy(F.col("doc_id").cast("long").alias("id"))
+    integer = docs.schema["doc_id"].dataType.typeName() in ("byte", "short", "integer", "long")
+    number = F.col("doc_id").cast("long") if integer else F.xxhash64("doc_id")
+    return (x.join(y, "doc_id").groupBy(number.alias("id"))
              .agg(F.max("label").alias("label"), F.min("text").alias("text")))

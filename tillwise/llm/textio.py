@@ -124,12 +124,13 @@ def word_chars(cp: np.ndarray) -> np.ndarray:
     return out
 
 
-def word_hashes(cp: np.ndarray, offsets: np.ndarray, prefixes: tuple[int, ...] = (),
-                longest: int = 16) -> tuple[np.ndarray, dict[int, np.ndarray]]:
+_STEPS = 32  # characters hashed for all words at once; longer words are finished one by one
+
+
+def word_hashes(cp: np.ndarray, offsets: np.ndarray, prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, dict[int, np.ndarray]]:
     """Words are runs of letters and digits inside one text. Returns the start
-    of each word and, by key, its hashes: key 0 the word (its first
-    ``longest`` characters and its length), key p its first p characters
-    (0 where the word is shorter)."""
+    of each word and, by key, its hashes: key 0 the whole word, key p its first
+    p characters (0 where the word is shorter)."""
     inside = word_chars(cp)
     begin = inside.copy()
     begin[1:] &= ~inside[:-1]
@@ -145,13 +146,22 @@ def word_hashes(cp: np.ndarray, offsets: np.ndarray, prefixes: tuple[int, ...] =
     h = np.zeros(len(starts), dtype=np.uint32)
     out: dict[int, np.ndarray] = {}
     live = np.arange(len(starts))
-    for k in range(max(longest, *prefixes, 1)):
+    for k in range(max(_STEPS, *prefixes, 1)):
         live = live[length[live] > k]
+        if not len(live) and k not in [p - 1 for p in prefixes]:
+            continue
         h[live] = h[live] * BASE + cp[starts[live] + k] + np.uint32(1)
         if k + 1 in prefixes:
             p = np.zeros_like(h)
             p[live] = h[live]
             out[k + 1] = p
+    done = max(_STEPS, *prefixes, 1)
+    for w in live[length[live] > done].tolist():      # the same polynomial, the rest of the word in one product
+        rest = cp[starts[w] + done:ends[w]] + np.uint32(1)
+        powers = np.full(len(rest), BASE, dtype=np.uint32)
+        powers[0] = 1
+        powers = np.multiply.accumulate(powers)
+        h[w:w + 1] = h[w:w + 1] * (powers[-1:] * BASE) + (rest[::-1] * powers).sum(dtype=np.uint32)
     out[0] = h * BASE + length.astype(np.uint32)
     return starts, out
 

@@ -8,13 +8,14 @@ later model learns how far an earlier one can be trusted. For scoring, the
 models fitted on all training rows feed each other in the same order.
 
 The default categories are toxicity by language (the languages with the most
-toxic labels first, at most ``max_languages``), each with a vocabulary of its
+toxic labels first, all that have ``min_toxic`` of them in the sample), each with a vocabulary of its
 own and learned from the rows of that language, and last ``toxic`` itself,
 learned from all rows, which decides. The decision threshold maximises F1 of
 the out-of-fold probabilities of the last category.
 
 Features are presence flags (a long text is not diluted) of words and of
-beginnings of 4, 5 and 6 characters, hashed; per category those whose presence
+beginnings of 4, 5 and 6 characters, and of pairs and triples of characters in
+scripts written without blanks, hashed; per category those whose presence
 differs between the classes beyond a log-likelihood-ratio limit are kept.
 Training runs in numpy on a bounded sample of labelled rows that executors
 reduce to hashed features; scoring reads every whole text.
@@ -36,6 +37,7 @@ from pyspark.sql import functions as F
 from . import textio
 
 TARGET = "toxic"
+UNSPACED = 0x0E00    # Thai and what follows it in Unicode: mostly scripts without blanks between words
 
 
 @dataclass(frozen=True)
@@ -43,7 +45,7 @@ class Params:
     prefixes: tuple[int, ...] = (4, 5, 6)
     bits: int = 20
     max_docs: int = 6_000        # bound of the labelled sample
-    max_languages: int = 6
+    min_toxic: int = 1           # toxic labelled documents from which on a language has a link of its own
     folds: int = 5
     min_ratio: float = 14.0      # keep features whose log-likelihood ratio (G2) is above
     max_features: int = 2_000    # per category, the strongest
@@ -77,6 +79,16 @@ def _buckets(texts: list[str], p: Params) -> tuple[np.ndarray, np.ndarray]:
         there = h != 0
         ids.append(textio.bucket(h[there], p.bits, k))
         docs.append(doc[there])
+    # scripts written without blanks: a run of letters is no word, so its pairs and triples of characters count too
+    dense = textio.word_chars(cp) & (cp >= UNSPACED)
+    if dense.any():
+        of = np.searchsorted(offsets, np.arange(len(cp)), side="right") - 1
+        for n in (2, 3):
+            grams, _, _ = textio.ngram_buckets(cp, offsets, n, p.bits)
+            at = np.flatnonzero(np.logical_and.reduce([dense[k:len(cp) - n + 1 + k] for k in range(n)])) if len(cp) >= n else np.zeros(0, np.int64)
+            at = at[of[at] == of[at + n - 1]]
+            ids.append(grams[at])
+            docs.append(of[at])
     return np.concatenate(ids), np.concatenate(docs)
 
 
@@ -214,17 +226,19 @@ def fit(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Chain:
     rows = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("lang").cast("string").alias("lang"))
                 .join(textio.bounded_sample(y, "doc_id", params.max_docs), "doc_id")
                 .groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text"), F.min("lang").alias("lang")))
-    got = features(rows, params, ["doc_id", "toxic", "lang"]).toArrow().sort_by("doc_id")
+    integer = docs.schema["doc_id"].dataType.typeName() in ("byte", "short", "integer", "long")
+    rows = rows.withColumn("key", F.col("doc_id").cast("long") if integer else F.xxhash64("doc_id"))
+    got = features(rows, params, ["doc_id", "key", "toxic", "lang"]).toArrow().sort_by("doc_id")
     if not got.num_rows:
         return Chain(params)
     toxic = np.asarray(got.column("toxic")) == 1
     lang = np.array(got.column("lang").to_pylist(), dtype=object)
-    by = sorted(((-int((toxic & (lang == x)).sum()), x) for x in set(lang) - {None}))[:params.max_languages]
-    categories = {f"{TARGET}_{x}": (toxic, lang == x) for n, x in by if n}
+    by = sorted(((-int((toxic & (lang == x)).sum()), x) for x in set(lang) - {None}))
+    categories = {f"{TARGET}_{x}": (toxic, lang == x) for n, x in by if -n >= params.min_toxic}
     ids = got.column("ids").combine_chunks()
     size = np.diff(np.asarray(ids.offsets))
     rows = Rows(len(ids), np.repeat(np.arange(len(ids), dtype=np.int32), size), np.asarray(ids.flatten()))
-    return train(rows, np.asarray(got.column("doc_id")), categories | {TARGET: (toxic, np.ones(len(toxic), dtype=bool))}, params)
+    return train(rows, np.asarray(got.column("key")).view(np.uint64), categories | {TARGET: (toxic, np.ones(len(toxic), dtype=bool))}, params)
 
 
 def predict(docs: DataFrame, chain: Chain, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
