@@ -47,7 +47,6 @@ class Params:
         ((0.0, 0.5), (0.5, 1.0), (1.0, 1.5)),
         ((0.0, 2.0), (0.25, 1.0), (1.0, 0.5)),
     )
-    max_broadcast: int = 10_000                # sources; above, cutoffs are joined by shuffle
 
 
 def trimmed(text: str) -> Column:
@@ -117,14 +116,14 @@ def position(share: Column, source_no: str, params: Params) -> Column:
 
 
 def mix(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id", text_col: str = "text",
-        source_col: str = "source", tie: Column | None = None) -> DataFrame:
+        source_col: str = "source", tie: Column | None = None, row: str | None = None) -> DataFrame:
     """Per row of ``docs``: id, source, size, source_size, source_no, target,
     taken, ``copies`` (words taken of each copy) and ``position`` of the first
     copy (NULL if none), not sorted. Rows with equal id and size are ordered
-    by ``tie``."""
+    by ``tie``, then by ``row``, a unique number (by default one is made)."""
     sized = cut_lineage(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(text_col).alias("size"),
                                     (F.lit(0) if tie is None else tie).cast("long").alias("_tie"),
-                                    F.monotonically_increasing_id().alias("_no")))
+                                    (F.monotonically_increasing_id() if row is None else F.col(row)).alias("_no")))
     sized = sized.withColumn("_src", _source_key("source")).withColumn("_key", order_key("id"))
     tagged = range_tag(sized, ["_src", "_key", "size", "_tie", "_no"])
     ranges = cut_lineage(tagged.groupBy("_src", "_pid").agg(F.sum("size").alias("_sum"), F.min("source").alias("source")))
@@ -140,7 +139,7 @@ def mix(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id", text
     rows = rows.withColumn("copies", copies)
     first = (F.col("_at") + F.get("copies", F.lit(0)) / 2) / F.col("_aim")
     return rows.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "source_no", "target",
-                       F.aggregate("copies", F.lit(0).cast("long"), lambda a, w: a + w).alias("taken"), "copies", "_key", "_tie", "_aim",
+                       F.aggregate("copies", F.lit(0).cast("long"), lambda a, w: a + w).alias("taken"), "copies", "_at", "_no", "_aim",
                        F.when(F.size("copies") > 0, position(first, "source_no", params)).alias("position"))
 
 
@@ -150,51 +149,17 @@ def in_training_order(mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def take(docs: DataFrame, params: Params = Params()) -> DataFrame:
-    """``docs`` with every row repeated as often as it is taken (a copy cut by
-    the target counts if at least half of it is taken). Rows of a source
-    follow from its whole passes and the place in the order (id, size, row)
-    at which the last pass ends, so texts are not moved to be matched with
-    their counts. Where the pass ends between equal rows, the right number of
-    them is picked by row number."""
-    mixed = (mix(docs, params, tie=row_hash(docs)).withColumn("__mix_src", _source_key("source"))
-             .withColumn("__mix_passes", F.expr("CASE WHEN source_size > 0 THEN _aim div source_size ELSE 0 END"))
-             .withColumn("_more", F.size(F.filter("copies", lambda w: w * 2 >= F.col("size"))) > F.col("__mix_passes"))
-             .withColumn("_place", F.struct("_key", "size", "_tie")).filter("size > 0"))
-    cut = (mixed.groupBy("__mix_src").agg(F.max("__mix_passes").alias("__mix_passes"), F.max(F.when(F.col("_more"), F.col("_place"))).alias("__mix_cut"),
-                                          F.min(F.when(~F.col("_more"), F.col("_place"))).alias("_next"))
-                .withColumn("__mix_split", F.coalesce(F.col("__mix_cut") == F.col("_next"), F.lit(False))).drop("_next"))
-    cut, few = _sized(cut, params)
-    docs_at = docs.withColumn("__mix_src", _source_key("source")).filter(word_count("text") > 0).join(few(cut), "__mix_src")
-    order, size, tie = order_key(), word_count("text"), row_hash(docs)
-    key, long, last = (F.col(f"__mix_cut.{c}") for c in ("_key", "size", "_tie"))
-    same = (order == key) & (size == long)
-    more = (order < key) | (order == key) & (size < long) | same & (tie < last) | same & (tie == last) & ~F.col("__mix_split")
-    times = (F.col("__mix_passes") + F.when(more, 1).otherwise(0)).cast("int")
-    out = (docs_at.withColumn("__mix_times", times).filter("__mix_times > 0")
-                  .withColumn("__mix_copy", F.explode(F.expr("sequence(1, __mix_times)"))).select(*docs.columns))
-    split = cut.filter("__mix_split")
-    if split.isEmpty():
-        return out
-    wanted = (mixed.filter("_more").join(few(split.select("__mix_src", "__mix_cut")), "__mix_src").filter(F.col("_place") == F.col("__mix_cut"))
-                   .groupBy("__mix_src").agg(F.count(F.lit(1)).alias("_wanted")))
-    ties = cut_lineage(docs_at.filter(F.col("__mix_split") & same & (tie == last)).select(*docs.columns, "__mix_src")
-                              .withColumn("__mix_no", F.monotonically_increasing_id()))
-    return out.unionByName(_first_rows(ties, *_sized(wanted, params)).select(*docs.columns))
-
-
-def _sized(table: DataFrame, params: Params):
-    """``table`` (a row per source) written once, and the broadcast hint it gets."""
-    table = cut_lineage(table)
-    return table, F.broadcast if table.count() <= params.max_broadcast else lambda df: df
-
-
-def _first_rows(ties: DataFrame, wanted: DataFrame, few) -> DataFrame:
-    """Per source the first ``_wanted`` rows by ``__mix_no``, whose high bits
-    are the partition: counts per partition, then a rank inside one."""
-    at = ties.select("__mix_src", "__mix_no", F.shiftright("__mix_no", 33).alias("_pid"))
-    count = at.groupBy("__mix_src", "_pid").agg(F.count(F.lit(1)).alias("_n")).join(few(wanted), "__mix_src")
-    count = count.withColumn("_before", F.sum("_n").over(Window.partitionBy("__mix_src").orderBy("_pid")) - F.col("_n"))
-    inside = Window.partitionBy("__mix_src", "_pid").orderBy("__mix_no")
-    end = (at.join(count.filter("_before < _wanted AND _wanted <= _before + _n"), ["__mix_src", "_pid"])
-             .withColumn("_rank", F.row_number().over(inside)).filter("_before + _rank = _wanted").select("__mix_src", F.col("__mix_no").alias("_end")))
-    return ties.join(few(end), "__mix_src").filter("__mix_no <= _end")
+    """``docs`` in training order, every row repeated as often as it is taken
+    (a copy cut by the target counts if at least half of it is taken). Each
+    copy stands at the position that the curriculum gives to the middle of its
+    words; the copies are range-sorted by position, ties by row. Rows are
+    numbered and written once, so that texts and positions are matched by a
+    unique number whatever ids the rows share."""
+    row, at = (next(n for n in (f"__mix_{name}{i}" for i in range(len(docs.columns) + 1)) if n not in docs.columns) for name in ("row", "at"))
+    rows = cut_lineage(docs.withColumn(row, F.monotonically_increasing_id()))
+    mixed = mix(rows, params, tie=row_hash(docs), row=row)
+    copies = (mixed.select("_no", "size", "source_size", "source_no", "_at", "_aim", F.posexplode("copies").alias("_copy", "_words"))
+                   .filter(F.col("_words") * 2 >= F.col("size"))
+                   .select(F.col("_no").alias(row),
+                           position((F.col("_copy") * F.col("source_size") + F.col("_at") + F.col("_words") / 2) / F.col("_aim"), "source_no", params).alias(at)))
+    return rows.join(cut_lineage(copies), row).orderBy(at, row).select(*docs.columns)
