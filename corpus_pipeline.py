@@ -4,24 +4,24 @@ the shared checkpoint folder and reread as the next one's input.
 1. toxicity: documents that the classifier chain rejects go.
 2. near_duplicates: one document of each SimHash group stays, the smallest id.
 3. secrets: spans found by the secret scan are masked in the text.
-4. mixing: each row is repeated as often as the curriculum mix takes it.
+4. mixing: each row is repeated as often as the curriculum mix takes it, the
+   copies in the order of their training positions.
 5. packing: the texts are tokenised and packed into sequences.
 
 Edge cases: rows without a doc_id take part; of a group without any id one row
 stays. Rows that repeat a doc_id count as one document for deduplication. An
 empty table runs through and gives an empty result. Columns beyond those of
-``documents`` are carried along up to the last stage.
+``documents`` are carried along up to the last stage. The table of a stage is
+deleted when the next one is written.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillwise.llm import catalog, mixing, packing, secret_scan, simhash, textio, toxicity
-from tillwise.session import cut_lineage, ensure_checkpoint_dir, prepare
+from tillwise.session import cut_lineage, delete_folder, forget_at_exit, new_folder, prepare
 
 MAX_BROADCAST = 200_000  # ids; longer lists are joined by shuffle
 
@@ -43,11 +43,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     if found.groupBy("doc_id").count().filter("count > 1 OR doc_id IS NULL").isEmpty():
         return docs.join(_sized(found.filter("doc_id <> component_id").select("doc_id")), "doc_id", "left_anti").select(*docs.columns)
     # ids that are missing or repeat don't tell rows apart: the first row of each group stays
-    tagged = cut_lineage(simhash.tagged(docs, "__fp"))
-    of = simhash.classes(tagged.select("doc_id", F.col("__fp").alias("fp")))
-    first = Window.partitionBy("__root").orderBy(F.col("doc_id").asc_nulls_last(), "text")
-    return (tagged.join(of.select(F.col("fp").alias("__fp"), F.col("root").alias("__root")), "__fp").withColumn("__no", F.row_number().over(first))
-                  .filter("__no = 1").select(*docs.columns))
+    fp, root, no = (next(n for n in (f"__{name}{i}" for i in range(len(docs.columns) + 1)) if n not in docs.columns) for name in ("fp", "root", "no"))
+    tagged = cut_lineage(simhash.tagged(docs, fp))
+    of = simhash.classes(tagged.select("doc_id", F.col(fp).alias("fp")))
+    first = Window.partitionBy(root).orderBy(F.col("doc_id").asc_nulls_last(), "text")
+    return (tagged.join(of.select(F.col("fp").alias(fp), F.col("root").alias(root)), fp).withColumn(no, F.row_number().over(first))
+                  .filter(F.col(no) == 1).select(*docs.columns))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,10 +71,15 @@ ORACLE_SQL = None  # classifier, SimHash graph and packing are beyond SQL; the t
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     textio.bounded_batches(prepare(spark))
-    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     docs = textio.read_table(spark, sf_dir, "documents")
-    for i, (name, stage) in enumerate(STAGES):
-        path = f"{folder}/{i}-{name}"
+    written: list[str] = []
+    for name, stage in STAGES:
+        path = new_folder(spark, f"pipeline-{name}")
+        forget_at_exit(spark, path)
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        written.append(path)
+        for old in written[:-1]:       # this stage is written: nothing reads the one before any more
+            delete_folder(spark, old)
+        del written[:-1]
     return docs

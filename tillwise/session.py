@@ -108,6 +108,11 @@ def forget_at_exit(spark: SparkSession, path: str) -> None:
     fs.deleteOnExit(where)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, where = _file_system(spark, path)
+    fs.delete(where, True)
+
+
 @contextmanager
 def scratch(spark: SparkSession):
     """Deletes the intermediate tables written inside the block when it ends;
@@ -120,8 +125,7 @@ def scratch(spark: SparkSession):
     finally:
         _SCOPE.reset(token)
         for path in mine:
-            fs, where = _file_system(spark, path)
-            fs.delete(where, True)
+            delete_folder(spark, path)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
