@@ -445,3 +445,22 @@ def test_unusual_text_pieces():
     parts = list(textio.text_pieces([batch], "text", 20))
     assert [len(p) for p in parts] == [3, 1, 1] or sum(len(p) for p in parts) == 5
     assert [x for p in parts for x in textio.texts_of(p)] == ["a" * 10, "", "", "b" * 50, "c"]
+
+
+def test_rules_with_active_cutoffs_equal_sql(spark):
+    """On limits that the small table can certify, every stratum has cutoffs, and the SQL agrees row by row."""
+    import duckdb
+
+    from tillwise.llm import oracle
+    d = "/root/testdata/sf0.01"
+    p = quality_rules.Params(limit=0.3)
+    docs, labels = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "labels"))
+    got = quality_rules.judge(docs, labels, p).collect()
+    con = duckdb.connect()
+    for t in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{d}/{t}.parquet')")
+    rel = con.execute(oracle.op4(p))
+    at = [c[0] for c in rel.description]
+    assert key(tuple(r[c] for c in at) for r in got) == key(rel.fetchall())
+    rejected = [r for r in got if not r.kept and not r.base_failed]
+    assert len(rejected) > 5

@@ -29,7 +29,7 @@ FROM ends GROUP BY conv_id
 def op4(p: quality_rules.Params = quality_rules.Params()) -> str:
     cutoffs = ", ".join(f"('{r.name}', {j}, CAST({c!r} AS DOUBLE))" for r in p.rules for j, c in enumerate(r.cutoffs))
     pairs = " UNION ALL ".join(f"SELECT row, '{r.name}' AS rule, {r.top} AS top, {r.bottom} AS bottom FROM m" for r in p.rules)
-    alpha, tests = p.limit / len(p.rules), sum(len(r.cutoffs) for r in p.rules)
+    alpha, tests = p.limit / len(p.rules), len(p.rules)
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS row, doc_id, lang, coalesce(text, '') AS text FROM documents),
 w AS (SELECT row, {WORDS} AS w FROM d),

@@ -8,8 +8,9 @@ proof is an exact one-sided binomial test on the labelled rows of the stratum:
 with k of n good documents rejected, the cutoff is certified if
 P(Binomial(n, limit) <= k) <= error, which is the exact (Clopper-Pearson)
 upper confidence bound at ``limit``. The limit of a stratum is divided among
-its rules, and the error among all tests (strata x rules x candidates,
-Bonferroni), so with probability 1 - ``error`` all selected rules together
+its rules, and the error among the rules of all strata (Bonferroni); a rule's
+candidates are tested as a fixed sequence, the loosest first, until one fails,
+which needs no correction, since they are nested. So with probability 1 - ``error`` all selected rules together
 reject at most ``limit`` of the good documents of every stratum. A cutoff must
 also reject ``gain`` times the share of bad documents, else the rule stays off.
 
@@ -128,7 +129,9 @@ def select_cutoffs(labelled: DataFrame, params: Params = Params()) -> DataFrame:
                                   .agg(F.count_if(F.col("quality") == 1).alias("good"), F.count_if(F.col("quality") == 0).alias("bad")))
     # a row that exceeds ``level`` cutoffs is rejected by the strictest ``level`` ones, which come last
     sizes = counted.groupBy("stratum", "rule").agg(F.sum("good").alias("n_good"), F.sum("bad").alias("n_bad"))
-    tests = sizes.count() // max(1, len(params.rules)) * sum(len(r.cutoffs) for r in params.rules)
+    # A rule's candidates are nested, so the bound only grows from the loosest on: testing them in that order until
+    # one fails (a fixed sequence) needs no correction among them, only one for the rules of all strata.
+    tests = sizes.count()
     cutoffs = F.create_map(*[x for r in params.rules for x in (F.lit(r.name), F.array(*[F.lit(c) for c in r.cutoffs]))])
     n = F.size(F.element_at(cutoffs, F.col("rule")))
     per = (counted.filter("level > 0").withColumn("j", F.explode(F.sequence(n - F.col("level") + 1, n)))
