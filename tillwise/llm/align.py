@@ -132,8 +132,8 @@ class Pieces(Side):
         self.in_bytes = self.model.encode("\u00e9", return_type="proto").pieces[-1].end == 2
 
     def spans(self, text, at):
-        found = np.fromiter((x for p in self.model.encode(text, return_type="proto").pieces for x in (p.id, p.begin, p.end)), np.int64)
-        ids, begin, end = found[0::3], found[1::3], found[2::3]
+        pieces = list(self.model.encode(text, return_type="proto").pieces)
+        ids, begin, end = (np.array(x, dtype=np.int64) for x in ([p.id for p in pieces], [p.begin for p in pieces], [p.end for p in pieces]))
         return (ids, begin, end) if self.in_bytes else (ids, at[begin], at[end])
 
 

@@ -15,7 +15,7 @@ import types
 from collections.abc import Callable, Iterable
 
 LONGEST_KEPT = 64      # characters; longer segments are encoded each time they occur
-MOST_KEPT = 400_000    # segments remembered by a Python worker before it starts anew; some 300 bytes each
+MOST_KEPT = 500_000    # segments remembered by a Python worker before it starts anew; some 300 bytes each
 
 # white space beyond the blank and U+0009 to U+000D (fixed values: White_Space of Unicode, and U+001C to U+001F)
 RARE_SPACE = "\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
