@@ -196,6 +196,51 @@ def test_quality_score_is_the_softmax_of_the_mean():
     assert len(set(quality_model.score_texts(one, texts))) == 1
 
 
+def test_quality_training_is_stochastic_gradient_descent():
+    """The vectorised training against one number at a time, in double precision."""
+    p = quality_model.Params(bits=5, dim=2, epochs=3, orders=(2,))
+    texts, label = ["ab cd ab", "xx yy", "ab ab", "", "yy zz yy cd"], [1, 0, 1, 0, 0]
+    bags = []
+    for t in texts:
+        f = np.concatenate([x[s[0]:e[0]] for x, s, e in quality_model._features([t], p)])
+        bags.append(np.unique(f, return_counts=True))
+    m = quality_model.train([b[0] for b in bags], [b[1] for b in bags], np.array(label), p)
+    rng = np.random.default_rng(p.seed)
+    width = 3 << p.bits          # words, bigrams of characters, pairs of words
+    vec = rng.uniform(-1 / p.dim, 1 / p.dim, (width, p.dim)).tolist()
+    bias = np.log(2.5 / 3.5)
+    layer, offset, step = [[0.0, 0.0] for _ in range(p.dim)], [0.0, bias], 0
+    for _ in range(p.epochs):
+        for i in rng.permutation(len(texts)):
+            rate = p.rate * (1 - step / (p.epochs * len(texts)))
+            step += 1
+            ids, n = bags[i]
+            if not len(ids):
+                continue
+            hidden = [sum(c * vec[j][d] for j, c in zip(ids, n)) / n.sum() for d in range(p.dim)]
+            z = [offset[c] + sum(hidden[d] * layer[d][c] for d in range(p.dim)) for c in (0, 1)]
+            err = [np.exp(z[c]) / (np.exp(z[0]) + np.exp(z[1])) - (label[i] == c) for c in (0, 1)]
+            back = [sum(layer[d][c] * err[c] for c in (0, 1)) for d in range(p.dim)]
+            for d in range(p.dim):
+                for c in (0, 1):
+                    layer[d][c] -= rate * hidden[d] * err[c]
+                for j, c in zip(ids, n):
+                    vec[j][d] -= np.sqrt(rate * len(ids)) * c / n.sum() * back[d]
+    want = [sum(vec[j][d] * (layer[d][1] - layer[d][0]) for d in range(p.dim)) for j in range(width)]
+    assert m.bias == pytest.approx(bias)
+    assert np.allclose(m.logit, want, atol=1e-4) and np.abs(m.logit).max() > 1e-3
+
+
+def test_quality_pairs_stay_inside_a_text():
+    p = quality_model.Params(bits=6, orders=())
+    texts = ["a b c", "", "d", "e f"]
+    f, s, e = list(quality_model._features(texts, p))[1]
+    assert (e - s).tolist() == [2, 0, 0, 1]
+    for i, t in enumerate(texts):
+        g, gs, ge = list(quality_model._features([t], p))[1]
+        assert f[s[i]:e[i]].tolist() == g[gs[0]:ge[0]].tolist()
+
+
 def test_toxicity_recall_and_clean_documents(spark):
     # some labelled documents hold nothing but repeated junk, which no model of the text can tell
     rows = {r.doc_id: r for r in catalog.QUERIES["op6_toxicity_chain"](spark, LARGE).collect()}

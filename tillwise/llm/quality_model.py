@@ -1,11 +1,11 @@
 """Quality classifier: supervised subword embeddings (operator 5).
 
-Every word, every character n-gram and every word that repeats or follows
-another one (two marker features) hashes to a learned vector; a document is
-the average of the vectors of all its features, and a softmax layer turns it into class probabilities. Vectors and layer are trained
-together by stochastic gradient descent in numpy on a bounded sample of
-labelled documents, which executors reduce to hashed counts first (at most one
-entry per bucket and document, so the driver never sees a text).
+Every word, every pair of neighbouring words and every character n-gram hashes
+to a learned vector; a document is the average of the vectors of all its
+features, and a softmax layer turns it into class probabilities. Vectors and
+layer are trained together by stochastic gradient descent in numpy on a bounded
+sample of labelled documents, which executors reduce to hashed counts first (at
+most one entry per bucket and document, so the driver never sees a text).
 
 Softmax of an average is linear in the average, so for scoring each bucket's
 vector is multiplied into the layer once; a document's logit is then the mean
@@ -32,7 +32,7 @@ from . import textio
 @dataclass(frozen=True)
 class Params:
     orders: tuple[int, ...] = (2, 3)
-    bits: int = 16             # buckets per feature family (words, each n-gram order)
+    bits: int = 16             # buckets per feature family (words, word pairs, each n-gram order)
     dim: int = 8
     epochs: int = 8
     rate: float = 0.5
@@ -54,9 +54,9 @@ def _features(texts: list[str], p: Params):
     at = np.searchsorted(starts, offsets)
     word = hashes[0]
     yield textio.bucket(word, p.bits, 0).astype(np.int64), at[:-1], at[1:]
-    again = np.zeros(len(word), dtype=np.int64)
-    again[1:] = word[1:] == word[:-1]
-    yield again + ((len(p.orders) + 1) << p.bits), np.minimum(at[:-1] + 1, at[1:]), at[1:]
+    pair = word[:-1] * textio.BASE + word[1:]
+    yield (textio.bucket(pair, p.bits, 1).astype(np.int64) + ((len(p.orders) + 1) << p.bits),
+           at[:-1], np.maximum(at[1:] - 1, at[:-1]))
     for i, n in enumerate(p.orders, 1):
         ids, s, e = textio.ngram_buckets(cp, offsets, n, p.bits)
         yield ids.astype(np.int64) + (i << p.bits), s, e
@@ -86,7 +86,7 @@ def hashed_counts(docs: DataFrame, params: Params, keep: str = "id long, label i
 
 def train(ids: list[np.ndarray], counts: list[np.ndarray], label: np.ndarray, p: Params) -> Model:
     """Plain SGD over documents, learning rate falling linearly to zero."""
-    width = ((len(p.orders) + 1) << p.bits) + 2
+    width = (len(p.orders) + 2) << p.bits
     prior = (label.sum() + 0.5) / (len(label) + 1.0)
     bias = float(np.log(prior / (1 - prior)))
     if len(set(label.tolist())) < 2:
