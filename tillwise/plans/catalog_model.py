@@ -14,7 +14,7 @@ from fractions import Fraction
 
 from pyspark.sql import functions as F
 
-from ..operators import churn, clustering as C, evaluation as E, modeling as M
+from ..operators import churn, clustering as C, evaluation as E, forest as FO, modeling as M
 from ..params import ModelParams
 from ..session import cut_lineage, forget_at_exit, new_folder
 from ..sources.catalog import read_table, save_table
@@ -589,6 +589,39 @@ def q_rf_scores(spark, sf_dir):
     return M.test_scores(_prepared(Inputs(spark, sf_dir, share_bronze=True)), "rf", P)
 
 
+# A small forest, stored: tree, node, feature, threshold, left, right, leaf
+FIXED_FOREST = [
+    (0, 0, 13, 40.5, 1, 4, None), (0, 1, 4, 2.5, 2, 3, None), (0, 2, None, None, None, None, 0.8125),
+    (0, 3, None, None, None, None, 0.625), (0, 4, 1, 25000.0, 5, 6, None), (0, 5, None, None, None, None, 0.375),
+    (0, 6, None, None, None, None, 0.125),
+    (1, 0, 0, 8.5, 1, 2, None), (1, 1, None, None, None, None, 0.75), (1, 2, 12, 2.5, 3, 6, None),
+    (1, 3, 3, 9000.0, 4, 5, None), (1, 4, None, None, None, None, 0.5625), (1, 5, None, None, None, None, 0.4375),
+    (1, 6, None, None, None, None, 0.25),
+    (2, 0, 11, 0.5, 1, 2, None), (2, 1, None, None, None, None, 0.3125), (2, 2, None, None, None, None, 0.6875),
+]
+_NODES = ", ".join("(" + ", ".join("NULL" if v is None else str(v) for v in n) + ")" for n in FIXED_FOREST)
+_STEP = "list_extract([" + ", ".join(f"p.{c}" for c in FEATS) + "], n.feature + 1) <= n.threshold"
+
+
+@register("rf_scores_fixed", MODEL_SQL.replace("WITH ", "WITH RECURSIVE ", 1) + f""",
+  nodes(tree, node, feature, threshold, lft, rgt, leaf) AS (VALUES {_NODES}),
+  walk AS (
+    SELECT CustomerID, tree, 0 AS node FROM prepared CROSS JOIN (SELECT DISTINCT tree FROM nodes)
+    UNION ALL
+    SELECT w.CustomerID, w.tree, CASE WHEN {_STEP} THEN n.lft ELSE n.rgt END
+    FROM walk w JOIN nodes n ON n.tree = w.tree AND n.node = w.node JOIN prepared p ON p.CustomerID = w.CustomerID
+    WHERE n.leaf IS NULL)
+  SELECT w.CustomerID, any_value(p.churn_label) AS label, ROUND(SUM(CAST(n.leaf AS DOUBLE)) / COUNT(*), 9) AS score
+  FROM walk w JOIN nodes n ON n.tree = w.tree AND n.node = w.node AND n.leaf IS NOT NULL
+    JOIN prepared p ON p.CustomerID = w.CustomerID
+  GROUP BY w.CustomerID""")
+def q_rf_scores_fixed(spark, sf_dir):
+    """Every customer's score under a stored forest, walked node by node."""
+    prep = _prepared(Inputs(spark, sf_dir, share_bronze=True))
+    scored = FO.score(prep, spark.createDataFrame(FIXED_FOREST, FO.SCHEMA), FEATS, depth=3)
+    return scored.select("CustomerID", F.col(M.LABEL).alias("label"), "score")
+
+
 @register("cv_auc")
 def q_cv_auc(spark, sf_dir):
     prep = _prepared(Inputs(spark, sf_dir, share_bronze=True))
