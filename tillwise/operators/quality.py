@@ -4,15 +4,16 @@ relationships.
 Failures are counted the way the tests' failing-row queries count them:
 rows for not_null and accepted_range (NULLs never fail a range), distinct
 offending values for accepted_values, duplicated values for unique. All
-row-level tests of one table run in a single aggregate pass; each unique test
-is one partial-aggregated grouping.
+row-level tests of one table run in a single aggregate pass, or, where the
+table is about to be written, ride on the write (``watch``) and cost no scan;
+each unique test is one partial-aggregated grouping.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.rules import SEGMENTS, SUBSCRIPTION_TIERS
@@ -100,12 +101,41 @@ def _row_failure(check: Check):
     raise ValueError(check.kind)
 
 
-def run_checks(df: DataFrame, table: str, checks: list[Check]) -> DataFrame:
+def watch(df: DataFrame, checks: list[Check] = ()) -> tuple[DataFrame, Observation]:
+    """``df`` and an observation of its row count and row-level failures, which
+    fills when the returned frame is written. Each output task counts its own
+    rows once, also where tasks run again, so write the frame as it is (no
+    shuffle or limit behind it)."""
+    seen = Observation()
+    fails = [F.count_if(~F.col(c.column).isin(*c.values)) if c.kind == "accepted_values" else _row_failure(c)
+             for c in _row_checks(checks)]
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *[f.alias(f"_{i}") for i, f in enumerate(fails)]), seen
+
+
+def _row_checks(checks: list[Check]) -> list[Check]:
+    return [c for c in checks if c.kind != "unique"]
+
+
+def _watched_rows(df: DataFrame, table: str, row_checks: list[Check], found: dict) -> DataFrame:
+    """The report's rows from what a write observed. Offending values are told
+    apart by a pass over the written table, only if there are any."""
+    offending = [c for i, c in enumerate(row_checks) if c.kind == "accepted_values" and found[f"_{i}"]]
+    distinct = df.agg(*[_row_failure(c) for c in offending]).first() if offending else ()
+    values = dict(zip(offending, distinct))
+    rows = [(table, c.column, c.kind, c.args, int(values.get(c, found[f"_{i}"]))) for i, c in enumerate(row_checks)]
+    return SparkSession.active().createDataFrame(     # a row per check
+        rows, "table_name string, column_name string, test_name string, test_args string, failures long")
+
+
+def run_checks(df: DataFrame, table: str, checks: list[Check], seen: Observation | None = None) -> DataFrame:
     """One row per check: table_name, column_name, test_name, test_args,
-    failures, passed."""
-    row_checks = [c for c in checks if c.kind != "unique"]
+    failures, passed. ``seen``: the observation of the write of ``df``."""
+    row_checks = _row_checks(checks)
+    found = seen.get if seen is not None and row_checks else {}   # an empty plan may leave nothing observed
     parts = []
-    if row_checks:
+    if found:
+        parts.append(_watched_rows(df, table, row_checks, found))
+    elif row_checks:
         wide = df.agg(*[_row_failure(c).cast("long").alias(f"_{i}") for i, c in enumerate(row_checks)])
         meta = F.array(*[F.struct(F.lit(f"_{i}").alias("k"), F.lit(c.column).alias("column_name"),
                                   F.lit(c.kind).alias("test_name"), F.lit(c.args).alias("test_args"))
@@ -127,13 +157,15 @@ def run_checks(df: DataFrame, table: str, checks: list[Check]) -> DataFrame:
     return out.withColumn("passed", F.col("failures") == 0)
 
 
-def dq_report(tables: dict[str, DataFrame], specs: dict[str, list[Check]] = SPECS) -> DataFrame:
-    """Quality report over several tables (one row per test)."""
+def dq_report(tables: dict[str, DataFrame], specs: dict[str, list[Check]] = SPECS,
+              seen: dict[str, Observation] | None = None) -> DataFrame:
+    """Quality report over several tables (one row per test). ``seen``: what
+    was observed while tables were written (see ``watch``)."""
     out = None
     for name, checks in specs.items():
         if name not in tables:
             continue
-        r = run_checks(tables[name], name, checks)
+        r = run_checks(tables[name], name, checks, (seen or {}).get(name))
         out = r if out is None else out.unionByName(r)
     return out
 

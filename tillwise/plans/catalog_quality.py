@@ -12,22 +12,30 @@ ALL_MODELS = O.with_ctes(O.BRONZE, O.SILVER, O.PROFILES, O.CUSTOMER_METRICS, O.s
                          O.CLV_INPUTS, O.CHURN)
 
 
-def model_tables(i: Inputs) -> dict:
-    """The five tested models, each written once: its row checks and its
-    unique check read stored rows instead of recomputing the model."""
-    customers = cut_lineage(i.customers)
+def model_tables(i: Inputs) -> tuple[dict, dict]:
+    """The five tested models, each written once, and what the row checks
+    observed during the write; the unique check reads stored rows."""
+    seen = {}
+
+    def write(name, df):
+        watched, seen[name] = quality.watch(df, quality.SPECS[name])
+        return cut_lineage(watched)
+
+    lines = i.share_silver(lambda df: write("stg_transactions", df))
+    customers = write("stg_customers", i.customers)
     return {
-        "stg_transactions": i.silver,
+        "stg_transactions": lines,
         "stg_customers": customers,
-        "mart_customer_segments": cut_lineage(i.segments),
-        "mart_clv_projections": cut_lineage(clv.clv_inputs(i.silver)),
-        "mart_churn_risk": cut_lineage(churn.churn_features(i.silver, customers)),
-    }
+        "mart_customer_segments": write("mart_customer_segments", i.segments),
+        "mart_clv_projections": write("mart_clv_projections", clv.clv_inputs(lines)),
+        "mart_churn_risk": write("mart_churn_risk", churn.churn_features(lines, customers)),
+    }, seen
 
 
 @register("dq_report", ALL_MODELS + " " + O.dq_sql())
 def q_dq_report(spark, sf_dir):
-    return quality.dq_report(model_tables(Inputs(spark, sf_dir, share_bronze=True)))
+    tables, seen = model_tables(Inputs(spark, sf_dir, share_bronze=True))
+    return quality.dq_report(tables, seen=seen)
 
 
 @register("referential_integrity", ALL_MODELS + """
@@ -45,7 +53,7 @@ def q_dq_report(spark, sf_dir):
   FROM stg_customers c WHERE c.CustomerID IS NOT NULL AND NOT EXISTS (SELECT 1 FROM silver t WHERE t.CustomerID = c.CustomerID)""")
 def q_referential_integrity(spark, sf_dir):
     i = Inputs(spark, sf_dir, share_bronze=True)
-    t = model_tables(i)
+    t, _ = model_tables(i)
     return (quality.relationships(t["mart_customer_segments"], i.silver, "CustomerID",
                                   child_name="mart_customer_segments", parent_name="stg_transactions")
             .unionByName(quality.relationships(t["mart_churn_risk"], t["stg_customers"], "CustomerID",

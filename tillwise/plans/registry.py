@@ -64,9 +64,13 @@ class Inputs:
         """Clean lines, materialised once: every mart reads them at least
         twice (observation end plus its aggregate), and a lazy chain would
         redo the joins and the dedup shuffle for each read."""
-        from ..operators.silver import stg_transactions
         from ..session import cut_lineage
-        return self._get("silver", lambda: cut_lineage(stg_transactions(self.bronze)))
+        return self.share_silver(cut_lineage)
+
+    def share_silver(self, write: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """Clean lines, materialised by ``write`` unless they already are."""
+        from ..operators.silver import stg_transactions
+        return self._get("silver", lambda: write(stg_transactions(self.bronze)))
 
     @property
     def profiles(self) -> DataFrame:
