@@ -2,18 +2,23 @@
 
 Each model reads its upstream model back from storage, so the silver lines
 (read by three marts) are computed once, and every layer is a restart point
-if executors or the driver are lost.
+if executors or the driver are lost. ``run`` writes into a folder; ``refresh``
+does so in a folder of its own, checks the tables and only then lets readers
+see them.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import churn, clustering as C, clv, modeling as M, quality, rfm, silver
 from ..params import Params
-from ..session import cut_lineage, prepare, scratch
+from ..session import cut_lineage, delete_folder, folders_in, prepare, scratch
 from ..sources import bronze as B
-from ..sources.catalog import read_table, save_table
+from ..sources.catalog import publish, read_table, save_table
 
 
 def run(spark: SparkSession, sf_dir: str | None, root: str, params: Params = Params(),
@@ -26,14 +31,54 @@ def run(spark: SparkSession, sf_dir: str | None, root: str, params: Params = Par
     end."""
     prepare(spark)
     with scratch(spark):
-        return _run(spark, sf_dir, root, params, models, lines, profiles)
+        return _run(spark, sf_dir, root, params, models, lines, profiles)[0]
+
+
+class RefreshRejected(Exception):
+    """A refresh whose tables failed their checks; nothing was published."""
+
+
+def refresh(spark: SparkSession, sf_dir: str | None, root: str, params: Params = Params(), models: bool = True,
+            lines: DataFrame | None = None, profiles: DataFrame | None = None, keep: int = 2) -> dict[str, str]:
+    """A full refresh that readers never see half done; returns table -> catalog
+    name.
+
+    All tables are written into a new folder under ``root``. Where every data
+    test passes and every table reads back with as many rows as were written,
+    the catalog names are pointed at them, one after the other; else
+    ``RefreshRejected`` is raised. A refresh that fails or is rejected leaves
+    the names on the tables they had and deletes its folder. The newest ``keep``
+    published folders stay (at least 2, so that running readers finish). One
+    refresh of a ``root`` at a time."""
+    prepare(spark)
+    version = f"{root.rstrip('/')}/v{time.strftime('%Y%m%dT%H%M%S', time.gmtime())}-{uuid.uuid4().hex[:8]}"
+    try:
+        with scratch(spark):
+            paths, seen = _run(spark, sf_dir, version, params, models, lines, profiles)
+        failed = spark.read.parquet(paths["dq_report"]).where("NOT passed").collect()   # a row per data test at most
+        if failed:
+            raise RefreshRejected("; ".join(f"{r.table_name}.{r.column_name} {r.test_name}: {r.failures}" for r in failed))
+        for name, path in paths.items():
+            rows, wrote = spark.read.parquet(path).count(), seen[name].get.get("rows")
+            if wrote not in (None, rows):
+                raise RefreshRejected(f"{name}: {wrote} rows written, {rows} read back")
+    except BaseException:
+        delete_folder(spark, version)
+        raise
+    names = {name: publish(spark, name, path) for name, path in paths.items()}
+    older = sorted(f for f in folders_in(spark, root) if f.rsplit("/", 1)[-1].startswith("v") and not version.endswith(f.rsplit("/", 1)[-1]))
+    for folder in older[:max(0, len(older) - max(keep, 2) + 1)]:
+        delete_folder(spark, folder)
+    return names
 
 
-def _run(spark, sf_dir, root, params, models, lines, profiles) -> dict[str, str]:
+def _run(spark, sf_dir, root, params, models, lines, profiles):
     out: dict[str, str] = {}
+    seen = {}
 
     def save(df, name, **kw):
-        out[name] = save_table(df, name, root=root, **kw)
+        watched, seen[name] = quality.watch(df, quality.SPECS.get(name, ()))
+        out[name] = save_table(watched, name, root=root, **kw)
         return read_table(spark, name, root=root)
 
     raw = save(B.invoice_lines(spark, sf_dir) if lines is None else lines, "online_retail")
@@ -47,10 +92,10 @@ def _run(spark, sf_dir, root, params, models, lines, profiles) -> dict[str, str]
     churn_mart = save(churn.churn_features(lines, customers, params.churn), "mart_churn_risk")
     report = quality.dq_report({
         "stg_transactions": lines, "stg_customers": customers, "mart_customer_segments": segments,
-        "mart_clv_projections": clv_in, "mart_churn_risk": churn_mart})
-    out["dq_report"] = save_table(report, "dq_report", root=root)
+        "mart_clv_projections": clv_in, "mart_churn_risk": churn_mart}, seen=seen)
+    save(report, "dq_report")
     if not models:
-        return out
+        return out, seen
     save(clv.enriched(clv.clv_heuristic(clv_in, params.clv), params.clv), "mart_clv_projections_enriched")
     features = C.rfm_scaled(segments)
     clustered = cut_lineage(C.lloyd_assign(features, params.cluster).select("CustomerID", "cluster"))
@@ -59,4 +104,4 @@ def _run(spark, sf_dir, root, params, models, lines, profiles) -> dict[str, str]
     save(C.enrich_segments(segments, clustered, mapping), "mart_customer_segments_enriched")
     prep = M.prepared(churn_mart, params.model)
     save(M.risk_scored(churn_mart, prep, params.model), "mart_churn_risk_scored")
-    return out
+    return out, seen

@@ -113,6 +113,13 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     fs.delete(where, True)
 
 
+def folders_in(spark: SparkSession, path: str) -> list[str]:
+    """The folders directly under ``path`` (none if it isn't there)."""
+    fs, where = _file_system(spark, path)
+    found = fs.listStatus(where) if fs.exists(where) else []
+    return [f.getPath().toString() for f in found if f.isDirectory()]
+
+
 @contextmanager
 def scratch(spark: SparkSession):
     """Deletes the intermediate tables written inside the block when it ends;

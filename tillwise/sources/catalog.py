@@ -4,6 +4,10 @@ A table is written either into the session catalog (``saveAsTable``, schema =
 layer) or, when ``root`` is given, as files under ``root/<schema>/<name>``.
 Per-customer tables can be bucketed on the key so later joins on it read
 co-located buckets without a shuffle.
+
+``mode("overwrite")`` deletes a table before it writes the new one. Readers who
+must never see that use ``publish``: every refresh writes files of its own, and
+the catalog name, a view, is pointed at them when they are complete.
 """
 
 from __future__ import annotations
@@ -64,3 +68,15 @@ def read_table(spark: SparkSession, name: str, root: str | None = None, target_s
     if root is not None:
         return spark.read.format(fmt).load(table_path(root, name, target_schema))
     return spark.table(f"{schema_for(LAYERS.get(name), target_schema)}.{name}")
+
+
+def publish(spark: SparkSession, name: str, path: str, target_schema: str = "default", fmt: str = "parquet") -> str:
+    """Point the catalog name of a model at the files under ``path``: one
+    catalog operation that also replaces the schema. Queries that started before
+    go on reading the files they were planned on."""
+    schema = schema_for(LAYERS.get(name), target_schema)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")
+    qualified = f"`{schema}`.`{name}`"
+    place = path.replace("`", "``")
+    spark.sql(f"CREATE OR REPLACE VIEW {qualified} AS SELECT * FROM {fmt}.`{place}`")
+    return qualified
