@@ -246,6 +246,19 @@ def test_stratified_split_sizes(spark):
     assert sorted(s.collect()) == sorted(again.collect())
 
 
+@pytest.mark.parametrize("ones, zeros", [(30, 70), (1, 4), (0, 7), (0, 0), (1, 1)])
+@pytest.mark.parametrize("fraction", [0.8, 0.999, 0.0])
+def test_train_test_cut_equals_the_split(spark, ones, zeros, fraction):
+    rows = [(f"c{i}", 1 if i < ones else 0, i) for i in range(ones + zeros)]
+    df = spark.createDataFrame(rows, "CustomerID string, churn_label int, x int")
+    split = E.stratified_split(df, "churn_label", "CustomerID", 42, fraction, 5).drop("fold")
+    cut = E.train_test_cut(df, "churn_label", "CustomerID", 42, fraction)
+    assert cut.columns == ["CustomerID", "churn_label", "x", "is_train"]
+    assert sorted(cut.collect()) == sorted(split.select(*cut.columns).collect())
+    unlabelled = df.withColumn("churn_label", F.lit(None).cast("int"))
+    assert E.train_test_cut(unlabelled, "churn_label", "CustomerID").collect() == []
+
+
 @pytest.mark.parametrize("hi", [True, False])
 def test_rfm_distributed_equals_window_form(spark, hi):
     from bench import rfm_segments_window

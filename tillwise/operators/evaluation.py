@@ -48,6 +48,33 @@ def stratified_split(df: DataFrame, label: str, key: str, seed: int = 42,
              .drop("_h", "_idx", "_n", "_start", "_nc"))
 
 
+def train_test_cut(df: DataFrame, label: str, key: str, seed: int = 42, train_fraction: float = 0.8) -> DataFrame:
+    """``is_train`` of ``stratified_split`` without its folds: each class is cut
+    at its first test row, which boundary refinement finds, so that no row is
+    sorted, shuffled or written. ``df`` is read a few times: pass a written
+    table. Rows without a label are left out."""
+    test = Fraction(1) - Fraction(str(train_fraction))
+    value, tie = "__cut_value", "__cut_tie"
+    h = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}")))
+    keyed = (df.where(F.col(label).isNotNull()).withColumn(tie, F.concat(h, F.lit("|"), F.col(key).cast("string")))
+               .withColumn(value, F.conv(F.substring(h, 1, 12), 16, 10).cast("double")))     # 48 bits: exact
+    classes = {str(r[0]): r[0] for r in keyed.select(label).distinct().collect()}             # a row per class
+    if not classes:
+        return keyed.drop(value, tie).withColumn("is_train", F.lit(False))
+
+    def first_test(_, n: int) -> list[int]:
+        return [n - -(-n * test.numerator // test.denominator)]
+
+    found = selection.at_ranks(keyed, {name: F.when(F.col(label) == c, F.col(value)) for name, c in classes.items()},
+                               first_test, tie)
+    train = F.lit(True)
+    for name, c in classes.items():
+        for v, k in found[name][1].values():
+            before = (F.col(value) < v) | ((F.col(value) == v) & (F.col(tie) < k))
+            train = F.when(F.col(label) == c, before).otherwise(train)
+    return keyed.withColumn("is_train", train).drop(value, tie)
+
+
 def class_weight_table(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """One row per class: balanced weight n / (2 * n_class)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))

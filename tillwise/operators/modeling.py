@@ -55,6 +55,13 @@ def prepared(churn_mart: DataFrame, p: ModelParams = ModelParams()) -> DataFrame
     return cut_lineage(out)
 
 
+def standardised(churn_mart: DataFrame, p: ModelParams = ModelParams()) -> DataFrame:
+    """``prepared`` without folds and weights, for scorers that need neither:
+    nothing is sorted or written. Pass a written mart."""
+    split = E.train_test_cut(training_set(churn_mart), LABEL, KEY, p.seed, p.train_fraction)
+    return E.apply_standardizer(split, E.fit_standardizer(split.where("is_train"), FEATURES), FEATURES)
+
+
 def _assembled(df: DataFrame, scaled: bool) -> DataFrame:
     cols = SCALED if scaled else FEATURES
     return VectorAssembler(inputCols=cols, outputCol="features").transform(df)

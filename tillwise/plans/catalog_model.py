@@ -340,7 +340,7 @@ def _prepared(i: Inputs):
 
 
 def _baseline_test(i: Inputs):
-    return M.baseline_scores(_prepared(i)).where(~F.col("is_train")).select("label", "score")
+    return M.baseline_scores(M.standardised(_mart(i), P)).where(~F.col("is_train")).select("label", "score")
 
 
 @register("churn_training_set", MODEL_SQL + " SELECT * FROM training_set")
@@ -376,7 +376,7 @@ def q_churn_model_input(spark, sf_dir):
 
 @register("baseline_scores", MODEL_SQL + " SELECT * FROM baseline")
 def q_baseline_scores(spark, sf_dir):
-    return M.baseline_scores(_prepared(Inputs(spark, sf_dir, share_bronze=True)))
+    return M.baseline_scores(M.standardised(_mart(Inputs(spark, sf_dir, share_bronze=True)), P))
 
 
 @register("confusion_metrics", MODEL_SQL + """
@@ -446,7 +446,7 @@ _BASE_RISK = """
 
 def _baseline_scored(i: Inputs):
     mart = _mart(i)
-    s = M.baseline_scores(M.prepared(mart, P)).select("CustomerID", F.col("score").alias("churn_risk_score"))
+    s = M.baseline_scores(M.standardised(mart, P)).select("CustomerID", F.col("score").alias("churn_risk_score"))
     from ..functions import rules
     return mart.join(s, "CustomerID", "left").withColumn("risk_tier", rules.risk_tier(F.col("churn_risk_score")))
 
