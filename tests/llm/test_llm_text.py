@@ -99,7 +99,7 @@ def test_long_runs_are_encoded_as_by_tokenizers(spark, name):
     """A run of white space that overflows an expression's stack must not end the query."""
     tok, path = hf()
     want = tok.encode(LONG[name], add_special_tokens=False).ids
-    assert ENCODER(path).ids(LONG[name]).tolist() == want
+    assert ENCODER(path).batch([LONG[name]])[0].tolist() == want
     rows = packing.pack_documents(spark.createDataFrame([(1, LONG[name]), (2, "short")], "doc_id long, text string"), path).collect()
     assert sum(r.length for r in rows if r.doc_id == 1) == len(want) + 1
     check_places(rows, 1024)

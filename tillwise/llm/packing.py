@@ -25,7 +25,6 @@ sequences. Other columns of ``docs`` are ignored unless named in ``keep``.
 
 from __future__ import annotations
 
-import json
 import os
 import re
 import zlib
@@ -39,10 +38,7 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 from . import segments, textio
 
-# the pre-tokenizer's pattern that belongs to the vocabulary file (fixed value)
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-
-LONG_SPACE = 10_000    # characters of white space in a row that go to ``tokenizers``; both give the same ids
+JOINED = 1 << 17       # characters of missing segments encoded as one text
 
 
 @dataclass(frozen=True)
@@ -53,42 +49,65 @@ class Params:
 
 
 class Encoder:
-    """Token ids of a byte-level BPE vocabulary (a ``tokenizers`` JSON file).
-    The same vocabulary through ``tiktoken`` gives the same ids faster, but its
-    expression runs out of stack on very long white space; texts with such a
-    run, or any that it can't take, go to ``tokenizers`` itself."""
+    """Token ids of a byte-level vocabulary by ``tokenizers``. Texts are cut
+    into segments that no token crosses (see ``segments``), each encoded once
+    per worker. The segments a batch is missing are encoded side by side as one
+    text, whose tokens are told apart by the bytes that they stand for."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"   # Spark runs one task per core
-        import tiktoken
         from tokenizers import Tokenizer
 
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        vocab = spec["model"]["vocab"]
-        special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        # byte-level vocabularies write bytes as printable characters: the printable ones stand for themselves
-        own = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        of = {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(x for x in range(256) if x not in set(own))}
-        ranks = {bytes(of[c] for c in token): i for token, i in vocab.items() if token not in special}
-        self.bpe = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
-        self.whole = Tokenizer.from_file(path)
-        self.long_space = re.compile(rf"\s{{{LONG_SPACE}}}")
+        self.model = Tokenizer.from_file(path)
+        added = self.model.get_added_tokens_decoder()
+        sizes = {i: len(t) for t, i in self.model.get_vocab().items()} | {i: len(t.content.encode()) for i, t in added.items()}
+        self.sizes = np.array([sizes.get(i, 0) for i in range(max(sizes) + 1)], dtype=np.int64)   # one character stands for one byte
+        # an added token with white space could lie across a cut
+        whole = any(t.lstrip or t.rstrip or re.search(r"\s", t.content) for t in added.values())
+        self.pattern = segments.byte_level_pattern("" if whole else segments.COMMON_SPACE)
+        self.known = segments.Remembered(self.codes)
 
     def ids(self, text: str) -> np.ndarray:
-        if not self.long_space.search(text):
-            try:
-                return self.bpe.encode_to_numpy(text, allowed_special="all")
-            except ValueError:      # its expression gave up
-                pass
-        return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+        return np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+
+    def codes(self, segs: list[str]) -> list[bytes]:
+        out = [b""] * len(segs)
+        group: list[int] = []
+        chars = 0
+        for k, s in enumerate(segs):
+            # what begins with a separator and does not end with white space can stand beside others
+            if len(s) <= segments.LONGEST_KEPT and s[0] in segments.COMMON_SPACE and not s[-1].isspace():
+                group.append(k)
+                chars += len(s)
+                if chars > JOINED:
+                    self._joined(segs, group, out)
+                    group, chars = [], 0
+            else:
+                out[k] = self.ids(s).tobytes()
+        self._joined(segs, group, out)
+        return out
+
+    def _joined(self, segs: list[str], group: list[int], out: list[bytes]) -> None:
+        if not group:
+            return
+        ids = self.ids("".join(segs[k] for k in group))
+        ends = np.cumsum(self.sizes[ids])
+        borders = np.cumsum([len(segs[k].encode()) for k in group])
+        last = np.searchsorted(ends, borders)
+        if ends[-1] != borders[-1] or (ends[last] != borders).any():
+            raise ValueError("a token crosses the border of a segment")
+        code, stop = ids.tobytes(), ((last + 1) * 4).tolist()
+        for k, i, j in zip(group, [0, *stop], stop):
+            out[k] = code[i:j]
 
     def batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and the n + 1 offsets."""
-        ids = [self.ids(t) for t in texts]
-        offsets = np.zeros(len(ids) + 1, dtype=np.int64)
-        np.cumsum([len(x) for x in ids], out=offsets[1:])
-        return np.concatenate([*ids, np.zeros(0, np.uint32)]), offsets
+        cut = [self.pattern.findall(t) for t in texts]
+        known = self.known.learn(cut)
+        codes = [b"".join(map(known.__getitem__, c)) for c in cut]
+        offsets = np.zeros(len(codes) + 1, dtype=np.int64)
+        np.cumsum([len(c) // 4 for c in codes], out=offsets[1:])
+        return np.frombuffer(b"".join(codes), dtype="<u4"), offsets
 
 
 def tokenize(docs: DataFrame, tokenizer: str, params: Params = Params(), keep: tuple[str, ...] = ("doc_id",),
