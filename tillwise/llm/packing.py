@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from . import segments, textio
+from .align import LETTERS, SIGNS
 
 JOINED = 1 << 17       # characters of missing segments encoded as one text
 
@@ -62,9 +63,11 @@ class Encoder:
         added = self.model.get_added_tokens_decoder()
         sizes = {i: len(t) for t, i in self.model.get_vocab().items()} | {i: len(t.content.encode()) for i, t in added.items()}
         self.sizes = np.array([sizes.get(i, 0) for i in range(max(sizes) + 1)], dtype=np.int64)   # one character stands for one byte
-        # an added token with white space could lie across a cut
-        whole = any(t.lstrip or t.rstrip or re.search(r"\s", t.content) for t in added.values())
-        self.pattern = segments.byte_level_pattern("" if whole else segments.COMMON_SPACE)
+        # an added token with white space, or with a letter in front, could lie across a cut
+        whole = any(t.lstrip or t.rstrip or re.search(rf"\s|^[{LETTERS}]", t.content) for t in added.values())
+        # the pre-tokenizer always ends a token between a letter and a sign: a word is a segment without the signs behind it
+        stem = f"[{segments.COMMON_SPACE}]*[{LETTERS}]+(?=[{SIGNS}])|"
+        self.pattern = re.compile(("" if whole else stem) + segments.byte_level_pattern("" if whole else segments.COMMON_SPACE).pattern)
         self.known = segments.Remembered(self.codes)
 
     def ids(self, text: str) -> np.ndarray:
