@@ -98,3 +98,22 @@ def test_histograms_share_their_passes(spark):
     for name, values in (("a", [a for a, _ in rows if a is not None]), ("b", [b for _, b in rows if b > 0])):
         want, _ = np.histogram(values, 10)
         assert {r.bin: r["count"] for r in got if r.metric == name} == {i: n for i, n in enumerate(want) if n}
+
+
+def test_lines_are_parsed_once_for_silver_and_profiles(spark):
+    from tillwise.operators import silver
+    from tillwise.plans.registry import Inputs
+    from tillwise.sources import bronze
+
+    i = Inputs(spark, SMALL, share_bronze=True)
+    for df in (i.silver, i.profiles):
+        plan = df._jdf.queryExecution().optimizedPlan().toString().lower()
+        assert "gettimestamp" not in plan and "to_timestamp" not in plan
+    lines = bronze.invoice_lines(spark, SMALL)
+    assert sorted(map(str, i.silver.collect())) == sorted(map(str, silver.stg_transactions(lines).collect()))
+    same = silver.counted_lines(lines)
+    assert same.agg({"copies": "sum"}).first()[0] == lines.where("CustomerID IS NOT NULL").count()
+    assert same.where("copies > 1").count() > 0                      # copies count in the spend of a profile
+    spend = lines.where("CustomerID IS NOT NULL AND Quantity > 0 AND InvoiceDate LIKE '__-__-____ __:__'").selectExpr(
+        "sum(round(cast(Quantity AS decimal(10,0)) * cast(UnitPrice AS decimal(12,4)), 2))").first()[0]
+    assert float(spend) == pytest.approx(i.profiles.agg({"total_spend": "sum"}).first()[0], abs=0.01)

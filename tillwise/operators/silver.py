@@ -30,6 +30,26 @@ def stg_transactions(bronze: DataFrame, p: CleaningParams = CleaningParams()) ->
     """
     dedup = bronze.select(*INVOICE_COLUMNS).distinct()
     parsed = dedup.withColumn("invoice_timestamp", parse_invoice_ts("InvoiceDate", p.timestamp_format))
+    return clean_lines(parsed.withColumn("line_total", line_total("Quantity", "UnitPrice")), p)
+
+
+def counted_lines(bronze: DataFrame, p: CleaningParams = CleaningParams()) -> DataFrame:
+    """The raw lines of known customers, equal ones as one row with their
+    number (``copies``), the parsed date and the line's amount: what silver and
+    the customer profiles both read. Pass it on written: the date is then
+    parsed once per line, where a filter on it would be moved below the
+    grouping and parse it a second time. Lines whose date can't be parsed stay,
+    with NULL."""
+    same = bronze.where(F.col("CustomerID").isNotNull()).groupBy(*INVOICE_COLUMNS).agg(F.count(F.lit(1)).alias("copies"))
+    return same.select(
+        *[c for c in INVOICE_COLUMNS if c != "InvoiceDate"],
+        parse_invoice_ts("InvoiceDate", p.timestamp_format).alias("invoice_timestamp"),
+        line_total("Quantity", "UnitPrice").alias("line_total"), "copies")
+
+
+def clean_lines(parsed: DataFrame, p: CleaningParams = CleaningParams()) -> DataFrame:
+    """Filter and enrich lines that are distinct and parsed, ``counted_lines``
+    among them."""
     kept = parsed.where(
         F.col("CustomerID").isNotNull()
         & ~F.col("InvoiceNo").startswith(p.cancel_prefix)
@@ -39,8 +59,7 @@ def stg_transactions(bronze: DataFrame, p: CleaningParams = CleaningParams()) ->
     )
     return kept.select(
         "InvoiceNo", "StockCode", "Description", "Quantity", "invoice_timestamp",
-        "UnitPrice", "CustomerID", "Country",
-        line_total("Quantity", "UnitPrice").alias("line_total"),
+        "UnitPrice", "CustomerID", "Country", "line_total",
         flag(F.col("Quantity") > p.extreme_quantity).alias("is_extreme_quantity"),
         flag(F.col("UnitPrice") > p.extreme_price).alias("is_extreme_price"),
         flag(F.col("Country") == p.home_country).alias("is_uk_customer"),

@@ -64,7 +64,7 @@ def q_duplicate_keys(spark, sf_dir):
     ON b.InvoiceNo IS NOT DISTINCT FROM t.InvoiceNo AND b.StockCode IS NOT DISTINCT FROM t.StockCode
    AND b.CustomerID IS NOT DISTINCT FROM t.CustomerID""")
 def q_duplicate_example(spark, sf_dir):
-    return P.worst_duplicate_lines(Inputs(spark, sf_dir, share_bronze=True).bronze)
+    return P.worst_duplicate_lines(Inputs(spark, sf_dir).shared_bronze)
 
 
 @register("numeric_summary", B + """,
@@ -193,7 +193,7 @@ _RANGE = "Quantity > 0 AND Quantity < 1000 AND UnitPrice > 0 AND UnitPrice < 100
     _hist_sql("transaction_count", "pcm", "transaction_count"),
 ]))
 def q_histograms(spark, sf_dir):
-    bronze = Inputs(spark, sf_dir, share_bronze=True).bronze
+    bronze = Inputs(spark, sf_dir).shared_bronze
     return P.distribution_histograms(bronze, P.customer_metrics(bronze))
 
 

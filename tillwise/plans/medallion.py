@@ -82,9 +82,12 @@ def _run(spark, sf_dir, root, params, models, lines, profiles):
         return read_table(spark, name, root=root)
 
     raw = save(B.invoice_lines(spark, sf_dir) if lines is None else lines, "online_retail")
-    lines = save(silver.stg_transactions(raw, params.cleaning), "stg_transactions")
-    if profiles is None:
-        profiles = B.profiles(spark, sf_dir, raw, silver.observation_end(lines), params.cleaning)
+    if profiles is None:      # silver and the profiles share the deduplicated, parsed lines
+        counted = cut_lineage(silver.counted_lines(raw, params.cleaning))
+        lines = save(silver.clean_lines(counted, params.cleaning), "stg_transactions")
+        profiles = B.profiles(spark, sf_dir, None, silver.observation_end(lines), params.cleaning, counted=counted)
+    else:
+        lines = save(silver.stg_transactions(raw, params.cleaning), "stg_transactions")
     profiles = save(profiles, "customers_simulated")
     customers = save(silver.stg_customers(profiles, params.cleaning), "stg_customers")
     segments = save(rfm.rfm_segments(lines, params.segments), "mart_customer_segments")

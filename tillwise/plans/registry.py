@@ -38,8 +38,9 @@ class Inputs:
     """Lazily built shared inputs of one query run (bronze, silver, profiles)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, share_bronze: bool = False):
-        """``share_bronze``: the run reads the raw lines twice (silver and the
-        customer profiles), so they are derived once and materialised."""
+        """``share_bronze``: the run reads the raw lines twice. ``silver`` and
+        ``profiles`` then read ``counted``; ``bronze`` is materialised by those
+        who read it several times themselves (``shared_bronze``)."""
         self.spark = prepare(spark)
         self.sf_dir = sf_dir
         self.share_bronze = share_bronze
@@ -52,31 +53,41 @@ class Inputs:
 
     @property
     def bronze(self) -> DataFrame:
+        return self._get("bronze", lambda: invoice_lines(self.spark, self.sf_dir))
+
+    @property
+    def shared_bronze(self) -> DataFrame:
+        """The raw lines, materialised."""
         from ..session import cut_lineage
+        return self._get("shared_bronze", lambda: cut_lineage(self.bronze))
 
-        def build():
-            lines = invoice_lines(self.spark, self.sf_dir)
-            return cut_lineage(lines) if self.share_bronze else lines
-        return self._get("bronze", build)
+    @property
+    def counted(self) -> DataFrame:
+        """Distinct raw lines of known customers with their copies, written
+        once: silver and the profiles both read them."""
+        from ..operators.silver import counted_lines
+        from ..session import cut_lineage
+        return self._get("counted", lambda: cut_lineage(counted_lines(self.bronze)))
 
     @property
     def silver(self) -> DataFrame:
-        """Clean lines, materialised once: every mart reads them at least
-        twice (observation end plus its aggregate), and a lazy chain would
-        redo the joins and the dedup shuffle for each read."""
+        """Clean lines. Every mart reads them at least twice (observation end
+        plus its aggregate), and a lazy chain would redo the joins and the
+        dedup shuffle for each read: they are materialised once, or, where the
+        profiles are needed too, filtered from the counted lines."""
         from ..session import cut_lineage
-        return self.share_silver(cut_lineage)
+        return self.share_silver(lambda df: df if self.share_bronze else cut_lineage(df))
 
     def share_silver(self, write: Callable[[DataFrame], DataFrame]) -> DataFrame:
         """Clean lines, materialised by ``write`` unless they already are."""
-        from ..operators.silver import stg_transactions
-        return self._get("silver", lambda: write(stg_transactions(self.bronze)))
+        from ..operators.silver import clean_lines, stg_transactions
+        return self._get("silver", lambda: write(clean_lines(self.counted) if self.share_bronze else stg_transactions(self.bronze)))
 
     @property
     def profiles(self) -> DataFrame:
         from ..operators.silver import observation_end
-        return self._get("profiles", lambda: profiles(self.spark, self.sf_dir, self.bronze,
-                                                      observation_end(self.silver)))
+        return self._get("profiles", lambda: profiles(self.spark, self.sf_dir, None, observation_end(self.silver),
+                                                      counted=self.counted))
 
     @property
     def segments(self) -> DataFrame:

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.exprs import days_between, line_total
+from ..functions.exprs import days_between
 from ..params import CleaningParams
 
 # Raw schema of the invoice-line table (all nullable, InvoiceDate is text).
@@ -72,39 +72,46 @@ def invoice_lines(spark: SparkSession, sf_dir: str, dirt: DirtSpec = DirtSpec(),
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
 
     cust_nation = cust.join(nation, cust.c_nationkey == nation.n_nationkey)
-    orders_c = orders.join(cust_nation, orders.o_custkey == cust_nation.c_custkey)
+    # What an order settles for all its lines (number, date text, customer,
+    # country) is made once per order, before the lines are joined.
+    key = F.col("o_orderkey")
+    shifted = F.col("o_orderdate") + F.make_dt_interval(
+        F.lit(0), F.lit(0), (key % 1440).cast("int"), F.lit(0))
+    anonymous = key % dirt.anonymous_mod == dirt.anonymous_rem
+    orders_c = orders.join(cust_nation, orders.o_custkey == cust_nation.c_custkey).select(
+        "o_orderkey",
+        F.when(key % dirt.cancel_mod == 0, F.concat(F.lit("C"), key.cast("string")))
+         .otherwise(key.cast("string")).alias("InvoiceNo"),
+        F.when(key % dirt.bad_date_mod == 0, F.date_format(F.col("o_orderdate"), "yyyy/MM/dd"))
+         .otherwise(F.date_format(shifted, "dd-MM-yyyy HH:mm")).alias("InvoiceDate"),
+        F.when(anonymous, F.lit(None).cast("string")).otherwise(F.col("o_custkey").cast("string")).alias("_customer"),
+        (~anonymous & (key % dirt.guest_mod == dirt.guest_rem)).alias("_guest"),
+        _price_divisor(F.col("o_custkey")).alias("_divisor"),
+        F.when(F.col("n_nationkey") < dirt.home_nations, F.lit(home_country))
+         .otherwise(F.col("n_name")).alias("Country"))
     base = (li.join(orders_c, li.l_orderkey == orders_c.o_orderkey)
               .join(part, li.l_partkey == part.p_partkey))
 
     ok, pk, ln = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber")
     qty_int = F.col("l_quantity").cast("int")
-    cancelled = ok % dirt.cancel_mod == 0
-    shifted = F.col("o_orderdate") + F.make_dt_interval(
-        F.lit(0), F.lit(0), (ok % 1440).cast("int"), F.lit(0))
 
     out = base.select(
-        F.when(cancelled, F.concat(F.lit("C"), ok.cast("string")))
-         .otherwise(ok.cast("string")).alias("InvoiceNo"),
+        "InvoiceNo",
         pk.cast("string").alias("StockCode"),
         F.when(pk % dirt.null_description_mod == 0, F.lit(None).cast("string"))
          .otherwise(F.col("p_name")).alias("Description"),
-        F.when(cancelled, -qty_int)
+        F.when(ok % dirt.cancel_mod == 0, -qty_int)
          .when(ok % dirt.bulk_mod == dirt.bulk_rem, qty_int * dirt.bulk_factor)
          .otherwise(qty_int).alias("Quantity"),
-        F.when(ok % dirt.bad_date_mod == 0, F.date_format(F.col("o_orderdate"), "yyyy/MM/dd"))
-         .otherwise(F.date_format(shifted, "dd-MM-yyyy HH:mm")).alias("InvoiceDate"),
+        "InvoiceDate",
         F.when(pk % dirt.free_item_mod == 0, F.lit(0.0))
          .when(pk % dirt.coarse_price_mod == dirt.coarse_price_rem,
                F.floor(F.col("l_extendedprice") / F.col("l_quantity")) / 10)
-         .otherwise(F.floor(F.col("l_extendedprice") / F.col("l_quantity")
-                            / _price_divisor(F.col("o_custkey"))) / 100)
+         .otherwise(F.floor(F.col("l_extendedprice") / F.col("l_quantity") / F.col("_divisor")) / 100)
          .cast("double").alias("UnitPrice"),
-        F.when(ok % dirt.anonymous_mod == dirt.anonymous_rem, F.lit(None).cast("string"))
-         .when(ok % dirt.guest_mod == dirt.guest_rem,
-               F.concat(F.lit("G"), ok.cast("string"), F.lit("-"), ln.cast("string")))
-         .otherwise(F.col("o_custkey").cast("string")).alias("CustomerID"),
-        F.when(F.col("n_nationkey") < dirt.home_nations, F.lit(home_country))
-         .otherwise(F.col("n_name")).alias("Country"),
+        F.when(F.col("_guest"), F.concat(F.lit("G"), ok.cast("string"), F.lit("-"), ln.cast("string")))
+         .otherwise(F.col("_customer")).alias("CustomerID"),
+        "Country",
         ((ok + ln) % dirt.duplicate_mod == 0).alias("_dup"),
     )
     # Exact duplicates without re-running the joins: a narrow generator emits
@@ -145,30 +152,32 @@ TIER_FEE = {"Basic": "9.99", "Standard": "19.99", "Premium": "29.99", "Enterpris
 def profiles(spark: SparkSession, sf_dir: str, bronze: DataFrame | None = None,
              observation_end: DataFrame | None = None,
              cleaning: CleaningParams = CleaningParams(),
-             churn_after_days: int = 90) -> DataFrame:
+             churn_after_days: int = 90, counted: DataFrame | None = None) -> DataFrame:
     """Customer profile table (stand-in for the simulated subscription table).
 
     One row per CustomerID seen on a bronze line with a parseable date
     (cancellations kept): activity dates and counts, spend and items over
     positive quantities, recency and tenure against the silver observation
     end, a subscription tier from the customer dimension, its monthly fee and
-    the churn label ``recency_days > 90``.
+    the churn label ``recency_days > 90``. ``counted``: the raw lines in the
+    form of ``silver.counted_lines``, written; else it is made of ``bronze``.
     """
-    from ..operators.silver import observation_end as obs_end_of, stg_transactions
+    from ..operators.silver import clean_lines, counted_lines, observation_end as obs_end_of
 
-    bronze = bronze if bronze is not None else invoice_lines(spark, sf_dir)
+    if counted is None:
+        counted = counted_lines(bronze if bronze is not None else invoice_lines(spark, sf_dir), cleaning)
     if observation_end is None:
-        observation_end = obs_end_of(stg_transactions(bronze, cleaning))
-    ts = F.try_to_timestamp(F.col("InvoiceDate"), F.lit(cleaning.timestamp_format))
-    lines = (bronze.where(F.col("CustomerID").isNotNull())
-             .withColumn("ts", ts).where(F.col("ts").isNotNull()))
+        observation_end = obs_end_of(clean_lines(counted, cleaning))
+    lines = counted.where(F.col("invoice_timestamp").isNotNull())
+    ts, copies = F.col("invoice_timestamp"), F.col("copies")
     positive = F.col("Quantity") > 0
+    amount = F.col("line_total").cast("decimal(38,2)")
     # Lines become one row per invoice first; distinct counts as aggregates of
     # all lines would expand every line once per count.
     invoices = lines.groupBy("CustomerID", "InvoiceNo").agg(
-        F.min("ts").alias("_first"), F.max("ts").alias("_last"),
-        F.sum(F.when(positive, line_total("Quantity", "UnitPrice"))).alias("_spend"),
-        F.sum(F.when(positive, F.col("Quantity"))).alias("_items"))
+        F.min(ts).alias("_first"), F.max(ts).alias("_last"),
+        F.sum(F.when(positive, F.when(copies == 1, amount).otherwise((amount * copies).cast("decimal(38,2)")))).alias("_spend"),
+        F.sum(F.when(positive, F.col("Quantity") * copies)).alias("_items"))
     agg = invoices.groupBy("CustomerID").agg(
         F.min("_first").alias("first_purchase_date"),
         F.max("_last").alias("last_purchase_date"),
@@ -178,9 +187,11 @@ def profiles(spark: SparkSession, sf_dir: str, bronze: DataFrame | None = None,
     products = (lines.select("CustomerID", "StockCode").distinct()
                 .groupBy("CustomerID").agg(F.count("StockCode").alias("unique_products")))
     # A string MIN buffer would force sort-based aggregation of every line;
-    # the country comes from the (few) distinct customer/country pairs instead.
-    country = (lines.select("CustomerID", "Country").distinct()
-               .groupBy("CustomerID").agg(F.min("Country").alias("country")))
+    # the country comes from the (few) customer/country pairs instead. Their
+    # line counts are used, else the optimizer takes the pairs for redundant.
+    country = (lines.groupBy("CustomerID", "Country").agg(F.sum(copies).alias("_n"))
+               .groupBy("CustomerID").agg(F.min("Country").alias("country"), F.sum("_n").alias("_n"))
+               .where(F.col("_n") > 0).drop("_n"))
     agg = agg.join(products, "CustomerID").join(country, "CustomerID")
     tier_map = F.create_map(*[F.lit(x) for kv in SEGMENT_TIER.items() for x in kv])
     fee_map = F.create_map(*[F.lit(x) for kv in TIER_FEE.items() for x in kv])
