@@ -35,3 +35,23 @@ def test_kmeans_segments(spark):
     assert seg.select("cluster").distinct().count() == 4
     mapping = q["cluster_mapping"](spark, SMALL).collect()
     assert len(mapping) == 4
+
+
+def test_logistic_folds_share_their_jobs_and_agree_with_spark_ml(spark, monkeypatch):
+    import numpy as np
+
+    from tillwise.operators import evaluation as E, modeling as M, newton
+    from tillwise.plans import catalog_model
+    from tillwise.plans.registry import Inputs
+
+    prep = catalog_model._prepared(Inputs(spark, SMALL, share_bronze=True))
+    train = prep.where("is_train")
+    ml = M.fit(train.where("fold <> 0"), "lr")
+    held = M.score(ml, train.where("fold = 0")).select(F.col(M.LABEL).alias("label"), "score")
+    steps, sums = [], newton._sums
+    monkeypatch.setattr(newton, "_sums", lambda *a: steps.append(1) or sums(*a))
+    monkeypatch.delattr(M, "fit")                       # no fold is fitted by itself
+    got = {r.fold: r.auc for r in M.cv_auc(prep, "lr").collect()}
+    assert set(got) == {"0", "1", "2", "3", "4", "mean", "plus_minus"} and len(steps) <= 20
+    assert abs(got["0"] - E.auc_rank(held).first()["auc"]) < 0.002
+    assert np.allclose(M.newton_fit(prep, folds=True)[0][1:], ml.model.coefficients.toArray(), atol=1e-3)
