@@ -55,3 +55,17 @@ def test_logistic_folds_share_their_jobs_and_agree_with_spark_ml(spark, monkeypa
     assert set(got) == {"0", "1", "2", "3", "4", "mean", "plus_minus"} and len(steps) <= 20
     assert abs(got["0"] - E.auc_rank(held).first()["auc"]) < 0.002
     assert np.allclose(M.newton_fit(prep, folds=True)[0][1:], ml.model.coefficients.toArray(), atol=1e-3)
+
+
+def test_forest_with_remembered_nodes_is_the_same_forest(spark):
+    from tillwise.operators import modeling as M
+    from tillwise.params import ModelParams
+    from tillwise.plans import catalog_model
+    from tillwise.plans.registry import Inputs
+
+    train = catalog_model._prepared(Inputs(spark, SMALL, share_bronze=True)).where("is_train")
+    p = ModelParams(rf_trees=8)
+    got = M.fit(train, "rf", p).model
+    assert got.getCacheNodeIds()
+    plain = M.forest_estimator(p).setCacheNodeIds(False).fit(M._assembled(train, False))
+    assert got.toDebugString.split("\n")[1:] == plain.toDebugString.split("\n")[1:]
