@@ -140,3 +140,18 @@ def test_auc_by_group(spark):
         want = sum((a > b) + 0.5 * (a == b) for a in pos for b in neg) / (len(pos) * len(neg))
         assert got[g] == pytest.approx(want)
     assert got[3] is None
+
+
+def test_closest_is_the_row_minimum_of_squares():
+    import numpy as np
+
+    from tillwise.operators import lloyd
+
+    rng = np.random.default_rng(5)
+    x = np.round(rng.normal(size=(3000, 3)), 1)              # rounded: many ties
+    for k in (1, 2, 7):
+        c = np.round(rng.normal(size=(k, 3)), 1)
+        d = lloyd.squares(x, c)
+        near, best = lloyd.closest(x, c)
+        assert (near == d.argmin(axis=1)).all() and (best == d.min(axis=1)).all()
+    assert [len(v) for v in lloyd.closest(x[:0], c)] == [0, 0]

@@ -63,6 +63,22 @@ def squares(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return out
 
 
+def closest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per row the number of the nearest centre (ties: the smaller number) and
+    its squared distance, those of ``squares``. Centre by centre over columns
+    that lie in one piece: no rows x centres table, no search along short rows."""
+    columns = np.ascontiguousarray(x.T)
+    near, best = np.zeros(len(x), dtype=np.int64), np.full(len(x), np.inf)
+    for i, centre in enumerate(centres):
+        d = np.zeros(len(x))
+        for column, at in zip(columns, centre):
+            e = column - at
+            d += e * e
+        near[d < best] = i
+        best = np.minimum(d, best)
+    return near, best
+
+
 def uniforms(features: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """The key and the features, written once. The random number of restart r
     and step t comes from md5(key | seed + r | t)."""
@@ -115,9 +131,8 @@ def _advance(points: DataFrame, columns: list[str], centroids: dict[tuple[int, i
             if not len(x):
                 continue
             for i, (_, c) in enumerate(runs):
-                d = squares(x, c)
-                near = d.argmin(axis=1)                     # ties: the smaller number
-                cost[i] += np.bincount(near, weights=d[np.arange(len(x)), near], minlength=len(c))
+                near, d = closest(x, c)
+                cost[i] += np.bincount(near, weights=d, minlength=len(c))
                 size[i] += np.bincount(near, minlength=len(c))
                 for j in range(len(columns)):
                     total[i][:, j] += np.bincount(near, weights=x[:, j], minlength=len(c))
