@@ -117,3 +117,46 @@ def test_lines_are_parsed_once_for_silver_and_profiles(spark):
     spend = lines.where("CustomerID IS NOT NULL AND Quantity > 0 AND InvoiceDate LIKE '__-__-____ __:__'").selectExpr(
         "sum(round(cast(Quantity AS decimal(10,0)) * cast(UnitPrice AS decimal(12,4)), 2))").first()[0]
     assert float(spend) == pytest.approx(i.profiles.agg({"total_spend": "sum"}).first()[0], abs=0.01)
+
+
+def test_marts_share_one_activity(spark):
+    """Profiles, churn mart and RFM base from the activity that they share, on
+    lines that the fixture lacks: invoices across months, with cancellations or
+    without a number, products without a code, customers without a clean line."""
+    from tillwise.functions.exprs import flag
+    from tillwise.operators import churn, rfm, silver
+    from tillwise.operators.activity import customer_activity, last_clean
+    from tillwise.plans.registry import Inputs
+    from tillwise.sources import bronze
+
+    odd = [("1", "A", None, 2, "31-01-2011 23:59", 600.0, "x", "France"), ("1", "A", None, 2, "31-01-2011 23:59", 600.0, "x", "France"),
+           ("1", "B", None, 200, "01-02-2011 00:01", 0.5, "x", "Belgium"), ("1", "B", None, 1, "01-04-2011 00:01", 0.0, "x", "France"),
+           ("C2", "D", None, -3, "02-03-2011 10:00", 5.0, "x", "France"), (None, "E", "e", 1, "02-05-2011 10:00", 5.0, "x", "France"),
+           ("3", None, "f", 1, "02-01-2011 10:00", 5.0, "x", "France"), ("C4", "A", "a", -1, "02-01-2011 10:00", 5.0, "y", "Spain"),
+           ("5", "A", "a", 1, "2011/01/02", 5.0, "z", "Spain"), ("6", "A", "a", 4, "03-06-2011 10:00", 2.5, "w", "Spain")]
+    lines = spark.createDataFrame(odd, bronze.INVOICE_DDL).unionByName(bronze.invoice_lines(spark, SMALL))
+    counted, clean = silver.counted_lines(lines), silver.stg_transactions(lines)
+    shared = customer_activity(counted, flag(silver.is_clean()))
+    got = {r.CustomerID: r for r in shared.where("CustomerID IN ('w', 'x', 'y', 'z')").collect()}
+    assert set(got) == {"w", "x", "y"}                               # z has no dated line
+    x, y = got["x"], got["y"]
+    assert (x.invoices, x["items"], x.products, x.country, float(x.spend)) == (3, 207, 4, "Belgium", 2510.0)
+    assert (x.clean_lines, x.clean_invoices, x.clean_products, x.clean_months, x.clean_items, float(x.clean_spend)) == (3, 2, 2, 2, 203, 1305.0)
+    assert (x.has_high_value_order, x.has_bulk_purchase, str(x.clean_last)) == (1, 1, "2011-02-01 00:01:00")
+    assert (y.invoices, y.spend, y.clean_lines, y.clean_months) == (1, None, 0, None)
+
+    def same(a, b):
+        assert a.columns == b.columns and sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+    end = silver.observation_end(clean)
+    assert last_clean(shared).first() == end.first()
+    profiles = bronze.profiles(spark, SMALL, lines)
+    same(bronze.profiles(spark, SMALL, None, end, activity=shared), profiles)
+    customers = silver.stg_customers(profiles)
+    same(churn.churn_features(None, customers, activity=shared), churn.churn_features(clean, customers))
+    same(rfm.customer_metrics(None, activity=shared), rfm.customer_metrics(clean))
+
+    i = Inputs(spark, SMALL, share_bronze=True)
+    mart = churn.churn_features(None, i.customers, activity=i.activity)
+    for df in (mart, i.customers):                                   # no line is read again
+        assert "InvoiceNo" not in df._jdf.queryExecution().optimizedPlan().toString()

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules
-from ..functions.exprs import cents, days_between, flag, half_up_div, int_flag
+from ..functions.exprs import cents, days_between, flag, half_up_div
 from ..params import ChurnParams
+from .activity import customer_activity, last_clean
 from .silver import observation_end_value
 
 CHURN_COLUMNS = [
@@ -24,39 +25,19 @@ CHURN_COLUMNS = [
 ]
 
 
-def transaction_features(silver: DataFrame, p: ChurnParams = ChurnParams()) -> DataFrame:
-    """Behaviour per customer.
-
-    Lines are first aggregated per (customer, invoice, month) and, for the
-    product count, deduplicated to (customer, product) pairs; both combine
-    map-side and shuffle on the pair, so a customer with a third of all lines
-    is spread over many tasks, and no line is expanded for a distinct count.
-    """
-    end = observation_end_value(silver)
-    ts = F.col("invoice_timestamp")
-    invoices = silver.groupBy("CustomerID", "InvoiceNo", F.date_trunc("month", ts).alias("_month")).agg(
-        F.sum("line_total").alias("_spend"),
-        F.sum("Quantity").alias("_items"),
-        F.count(F.lit(1)).alias("_lines"),
-        F.max(ts).alias("_last"),
-        F.min(ts).alias("_first"),
-        F.max(int_flag(F.col("line_total") > p.high_value_line)).alias("_high"),
-        F.max(int_flag(F.col("Quantity") > p.bulk_quantity)).alias("_bulk"),
-    )
-    agg = invoices.groupBy("CustomerID").agg(
-        F.count_distinct("InvoiceNo").alias("total_transactions"),
-        F.sum("_spend").alias("_spend"),
-        F.sum("_items").alias("_items"),
-        F.sum("_lines").alias("_lines"),
-        F.max("_last").alias("_last"),
-        F.min("_first").alias("_first"),
-        F.count_distinct("_month").alias("active_months"),
-        F.max("_high").alias("has_high_value_order"),
-        F.max("_bulk").alias("has_bulk_purchase"),
-    )
-    products = (silver.select("CustomerID", "StockCode").distinct()
-                .groupBy("CustomerID").agg(F.count("StockCode").alias("unique_products")))
-    agg = agg.join(products, "CustomerID")
+def transaction_features(silver: DataFrame | None, p: ChurnParams = ChurnParams(), activity: DataFrame | None = None) -> DataFrame:
+    """Behaviour per customer with clean lines: of the lines ``silver``, or of
+    ``activity``, what ``customer_activity`` made of them (written)."""
+    if activity is None:
+        end = observation_end_value(silver)
+        activity = customer_activity(silver, p=p)
+    else:
+        end = last_clean(activity).scalar()
+    agg = activity.where(F.col("clean_lines") > 0).select(
+        "CustomerID", F.col("clean_invoices").alias("total_transactions"), F.col("clean_spend").alias("_spend"),
+        F.col("clean_items").alias("_items"), F.col("clean_lines").alias("_lines"), F.col("clean_last").alias("_last"),
+        F.col("clean_first").alias("_first"), F.col("clean_months").alias("active_months"),
+        "has_high_value_order", "has_bulk_purchase", F.col("clean_products").alias("unique_products"))
     return agg.select(
         "CustomerID",
         F.col("total_transactions").cast("long").alias("total_transactions"),
@@ -74,17 +55,18 @@ def transaction_features(silver: DataFrame, p: ChurnParams = ChurnParams()) -> D
     )
 
 
-def churn_features(silver: DataFrame, customers: DataFrame,
-                   p: ChurnParams = ChurnParams()) -> DataFrame:
+def churn_features(silver: DataFrame | None, customers: DataFrame,
+                   p: ChurnParams = ChurnParams(), activity: DataFrame | None = None) -> DataFrame:
     """Profiles LEFT JOIN behaviour on CustomerID plus ratios, flags, tier code
     and the engagement score. Profiles without clean lines keep NULL
-    behaviour and FALSE flags (reported by the data tests).
+    behaviour and FALSE flags (reported by the data tests). ``activity`` takes
+    the place of the lines (see ``transaction_features``).
 
     Both sides arrive hash-partitioned (the behaviour side by its own
     aggregate), so the join adds at most the profile-side shuffle; AQE turns
     it into a broadcast when a side is measured small, and splits skewed keys.
     """
-    t = transaction_features(silver, p)
+    t = transaction_features(silver, p, activity)
     c = customers.select(
         "CustomerID", "first_purchase_date", "last_purchase_date", "tenure_days",
         "subscription_tier", "monthly_fee", "churn_label", "country", "is_uk_customer")

@@ -10,6 +10,7 @@ from ..functions.exprs import cents, days_between, half_up_div
 from ..params import SegmentParams
 from ..session import cut_lineage
 from . import selection
+from .activity import last_clean
 from .silver import observation_end_value
 
 SEGMENT_COLUMNS = [
@@ -31,20 +32,27 @@ def anchor_value(silver: DataFrame, anchor: str | None) -> Column:
     return F.lit(anchor).cast("timestamp")
 
 
-def customer_metrics(silver: DataFrame, anchor: str | None = None) -> DataFrame:
-    """Per-customer base: one partial-aggregated pass over the silver lines.
+def customer_metrics(silver: DataFrame | None, anchor: str | None = None, activity: DataFrame | None = None) -> DataFrame:
+    """Per-customer base: one partial-aggregated pass over the silver lines, or
+    taken from ``activity``, what ``customer_activity`` made of them (written).
 
     A customer holding a third of all lines costs nothing extra: every
     aggregate is combined map-side before the shuffle on CustomerID.
     """
-    agg = silver.groupBy("CustomerID").agg(
-        F.max("invoice_timestamp").alias("last_purchase_date"),
-        F.min("invoice_timestamp").alias("first_purchase_date"),
-        F.count_distinct("InvoiceNo").alias("frequency"),
-        F.sum("line_total").alias("_spend"),
-        F.count(F.lit(1)).alias("total_line_items"),
-    )
-    at = anchor_value(silver, anchor)
+    if activity is None:
+        agg = silver.groupBy("CustomerID").agg(
+            F.max("invoice_timestamp").alias("last_purchase_date"),
+            F.min("invoice_timestamp").alias("first_purchase_date"),
+            F.count_distinct("InvoiceNo").alias("frequency"),
+            F.sum("line_total").alias("_spend"),
+            F.count(F.lit(1)).alias("total_line_items"),
+        )
+    else:
+        agg = activity.where(F.col("clean_lines") > 0).select(
+            "CustomerID", F.col("clean_last").alias("last_purchase_date"), F.col("clean_first").alias("first_purchase_date"),
+            F.col("clean_invoices").alias("frequency"), F.col("clean_spend").alias("_spend"),
+            F.col("clean_lines").alias("total_line_items"))
+    at = last_clean(activity).scalar() if anchor is None and activity is not None else anchor_value(silver, anchor)
     return (agg
             .select(
                 "CustomerID",
@@ -63,8 +71,8 @@ def _direction(c: str, ascending: bool) -> Column:
     return F.col(c).asc() if ascending else F.col(c).desc()
 
 
-def rfm_segments(silver: DataFrame, p: SegmentParams = SegmentParams(),
-                 max_band: int = selection.MAX_BAND) -> DataFrame:
+def rfm_segments(silver: DataFrame | None, p: SegmentParams = SegmentParams(),
+                 max_band: int = selection.MAX_BAND, activity: DataFrame | None = None) -> DataFrame:
     """RFM scores (NTILE into ``p.buckets``), segment, priority and whale flag.
 
     ``best_is_high=True`` scores the most recent / most frequent / highest
@@ -74,7 +82,7 @@ def rfm_segments(silver: DataFrame, p: SegmentParams = SegmentParams(),
     neither sorted nor shuffled again.
     """
     # read by the selection of the cut rows and by the scoring: written once
-    metrics = cut_lineage(customer_metrics(silver, p.anchor))
+    metrics = cut_lineage(customer_metrics(silver, p.anchor, activity))
     hi = p.best_is_high
     # (score, value, ascending): best_is_high puts the most recent / most
     # frequent / highest spending customers in the last bucket.

@@ -47,17 +47,19 @@ def counted_lines(bronze: DataFrame, p: CleaningParams = CleaningParams()) -> Da
         line_total("Quantity", "UnitPrice").alias("line_total"), "copies")
 
 
+def is_clean(p: CleaningParams = CleaningParams()):
+    """Whether a parsed line is kept (NULL: no)."""
+    return (F.col("CustomerID").isNotNull()
+            & ~F.col("InvoiceNo").startswith(p.cancel_prefix)
+            & (F.col("Quantity") > p.min_quantity_exclusive)
+            & (F.col("UnitPrice") >= p.min_unit_price)
+            & F.col("invoice_timestamp").isNotNull())
+
+
 def clean_lines(parsed: DataFrame, p: CleaningParams = CleaningParams()) -> DataFrame:
     """Filter and enrich lines that are distinct and parsed, ``counted_lines``
     among them."""
-    kept = parsed.where(
-        F.col("CustomerID").isNotNull()
-        & ~F.col("InvoiceNo").startswith(p.cancel_prefix)
-        & (F.col("Quantity") > p.min_quantity_exclusive)
-        & (F.col("UnitPrice") >= p.min_unit_price)
-        & F.col("invoice_timestamp").isNotNull()
-    )
-    return kept.select(
+    return parsed.where(is_clean(p)).select(
         "InvoiceNo", "StockCode", "Description", "Quantity", "invoice_timestamp",
         "UnitPrice", "CustomerID", "Country", "line_total",
         flag(F.col("Quantity") > p.extreme_quantity).alias("is_extreme_quantity"),

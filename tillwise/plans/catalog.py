@@ -32,7 +32,7 @@ def q_customer_profile(spark, sf_dir):
 
 @register("stg_customers", O.with_ctes(*BRONZE_SILVER, O.PROFILES) + " SELECT * FROM stg_customers")
 def q_stg_customers(spark, sf_dir):
-    return Inputs(spark, sf_dir, share_bronze=True).customers
+    return silver.stg_customers(Inputs(spark, sf_dir, share_bronze=True).profiles)
 
 
 @register("observation_end", O.with_ctes(*BRONZE_SILVER) + " SELECT end_date FROM obs")
@@ -100,7 +100,7 @@ def sql_as_double(cols) -> str:
           headline=True)
 def q_churn_features(spark, sf_dir):
     i = Inputs(spark, sf_dir, share_bronze=True)
-    return as_double(churn.churn_features(i.silver, i.customers), NULLABLE_BEHAVIOUR)
+    return as_double(churn.churn_features(None, i.customers, activity=i.activity), NULLABLE_BEHAVIOUR)
 
 
 @register("clv_inputs", O.with_ctes(*BRONZE_SILVER, O.CLV_INPUTS) + " SELECT * FROM clv_inputs",

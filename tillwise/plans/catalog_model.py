@@ -332,7 +332,7 @@ MODEL_SQL = O.with_ctes(*CHURN_CHAIN, MODEL_INPUT)
 
 
 def _mart(i: Inputs):
-    return cut_lineage(churn.churn_features(i.silver, i.customers))  # read more than once by the models
+    return cut_lineage(churn.churn_features(None, i.customers, activity=i.activity))  # read more than once by the models
 
 
 def _prepared(i: Inputs):

@@ -14,9 +14,11 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.exprs import flag
 from ..operators import churn, clustering as C, clv, modeling as M, quality, rfm, silver
+from ..operators.activity import customer_activity, last_clean
 from ..params import Params
-from ..session import cut_lineage, delete_folder, folders_in, prepare, scratch
+from ..session import cut_lineage, delete_folder, folders_in, prefer_hash_joins, prepare, scratch
 from ..sources import bronze as B
 from ..sources.catalog import publish, read_table, save_table
 
@@ -29,7 +31,7 @@ def run(spark: SparkSession, sf_dir: str | None, root: str, params: Params = Par
     two source tables; where they are not given they are derived from the
     star-schema tables in ``sf_dir``. Intermediate tables are deleted at the
     end."""
-    prepare(spark)
+    prefer_hash_joins(prepare(spark))
     with scratch(spark):
         return _run(spark, sf_dir, root, params, models, lines, profiles)[0]
 
@@ -50,7 +52,7 @@ def refresh(spark: SparkSession, sf_dir: str | None, root: str, params: Params =
     the names on the tables they had and deletes its folder. The newest ``keep``
     published folders stay (at least 2, so that running readers finish). One
     refresh of a ``root`` at a time."""
-    prepare(spark)
+    prefer_hash_joins(prepare(spark))
     version = f"{root.rstrip('/')}/v{time.strftime('%Y%m%dT%H%M%S', time.gmtime())}-{uuid.uuid4().hex[:8]}"
     try:
         with scratch(spark):
@@ -85,14 +87,15 @@ def _run(spark, sf_dir, root, params, models, lines, profiles):
     if profiles is None:      # silver and the profiles share the deduplicated, parsed lines
         counted = cut_lineage(silver.counted_lines(raw, params.cleaning))
         lines = save(silver.clean_lines(counted, params.cleaning), "stg_transactions")
-        profiles = B.profiles(spark, sf_dir, None, silver.observation_end(lines), params.cleaning, counted=counted)
+        activity = cut_lineage(customer_activity(counted, flag(silver.is_clean(params.cleaning)), params.churn))
+        profiles = B.profiles(spark, sf_dir, None, last_clean(activity), params.cleaning, activity=activity)
     else:
-        lines = save(silver.stg_transactions(raw, params.cleaning), "stg_transactions")
+        lines, activity = save(silver.stg_transactions(raw, params.cleaning), "stg_transactions"), None
     profiles = save(profiles, "customers_simulated")
     customers = save(silver.stg_customers(profiles, params.cleaning), "stg_customers")
-    segments = save(rfm.rfm_segments(lines, params.segments), "mart_customer_segments")
+    segments = save(rfm.rfm_segments(lines, params.segments, activity=activity), "mart_customer_segments")
     clv_in = save(clv.clv_inputs(lines, params.clv), "mart_clv_projections")
-    churn_mart = save(churn.churn_features(lines, customers, params.churn), "mart_churn_risk")
+    churn_mart = save(churn.churn_features(lines, customers, params.churn, activity), "mart_churn_risk")
     report = quality.dq_report({
         "stg_transactions": lines, "stg_customers": customers, "mart_customer_segments": segments,
         "mart_clv_projections": clv_in, "mart_churn_risk": churn_mart}, seen=seen)

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import prepare
+from ..session import prefer_hash_joins, prepare
 from ..sources.bronze import invoice_lines, profiles
 
 
@@ -41,7 +41,7 @@ class Inputs:
         """``share_bronze``: the run reads the raw lines twice. ``silver`` and
         ``profiles`` then read ``counted``; ``bronze`` is materialised by those
         who read it several times themselves (``shared_bronze``)."""
-        self.spark = prepare(spark)
+        self.spark = prefer_hash_joins(prepare(spark))
         self.sf_dir = sf_dir
         self.share_bronze = share_bronze
         self._cache: dict[str, DataFrame] = {}
@@ -75,13 +75,9 @@ class Inputs:
         plus its aggregate), and a lazy chain would redo the joins and the
         dedup shuffle for each read: they are materialised once, or, where the
         profiles are needed too, filtered from the counted lines."""
-        from ..session import cut_lineage
-        return self.share_silver(lambda df: df if self.share_bronze else cut_lineage(df))
-
-    def share_silver(self, write: Callable[[DataFrame], DataFrame]) -> DataFrame:
-        """Clean lines, materialised by ``write`` unless they already are."""
         from ..operators.silver import clean_lines, stg_transactions
-        return self._get("silver", lambda: write(clean_lines(self.counted) if self.share_bronze else stg_transactions(self.bronze)))
+        from ..session import cut_lineage
+        return self._get("silver", lambda: clean_lines(self.counted) if self.share_bronze else cut_lineage(stg_transactions(self.bronze)))
 
     @property
     def profiles(self) -> DataFrame:
@@ -89,17 +85,39 @@ class Inputs:
         return self._get("profiles", lambda: profiles(self.spark, self.sf_dir, None, observation_end(self.silver),
                                                       counted=self.counted))
 
+    @property
+    def activity(self) -> DataFrame:
+        """What the profiles and the marts need of the lines, per customer,
+        written once. Where nothing else has asked for the lines, they are
+        written without the description, which no mart reads (equal lines are
+        told apart by it all the same)."""
+        from ..functions.exprs import flag
+        from ..operators.activity import customer_activity
+        from ..operators.silver import counted_lines, is_clean
+        from ..session import cut_lineage
+
+        def build():
+            lines = self._cache.get("counted")
+            if lines is None:
+                lines = cut_lineage(counted_lines(self.bronze).drop("Description"))
+            return cut_lineage(customer_activity(lines, flag(is_clean())))
+        return self._get("activity", build)
+
     @property
     def segments(self) -> DataFrame:
         """RFM segments (documented score direction), built once per run."""
         from ..operators.rfm import rfm_segments
         from ..params import SegmentParams
-        return self._get("segments", lambda: rfm_segments(self.silver, SegmentParams(best_is_high=True)))
+        return self._get("segments", lambda: rfm_segments(None, SegmentParams(best_is_high=True), activity=self.activity)
+                         if self.share_bronze else rfm_segments(self.silver, SegmentParams(best_is_high=True)))
 
     @property
     def customers(self) -> DataFrame:
+        """Profiles for the marts, from the activity they share."""
+        from ..operators.activity import last_clean
         from ..operators.silver import stg_customers
-        return self._get("customers", lambda: stg_customers(self.profiles))
+        return self._get("customers", lambda: stg_customers(profiles(
+            self.spark, self.sf_dir, None, last_clean(self.activity), activity=self.activity)))
 
 
 def _load() -> None:

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.exprs import days_between
+from ..functions.exprs import days_between, flag
 from ..params import CleaningParams
 
 # Raw schema of the invoice-line table (all nullable, InvoiceDate is text).
@@ -152,7 +152,8 @@ TIER_FEE = {"Basic": "9.99", "Standard": "19.99", "Premium": "29.99", "Enterpris
 def profiles(spark: SparkSession, sf_dir: str, bronze: DataFrame | None = None,
              observation_end: DataFrame | None = None,
              cleaning: CleaningParams = CleaningParams(),
-             churn_after_days: int = 90, counted: DataFrame | None = None) -> DataFrame:
+             churn_after_days: int = 90, counted: DataFrame | None = None,
+             activity: DataFrame | None = None) -> DataFrame:
     """Customer profile table (stand-in for the simulated subscription table).
 
     One row per CustomerID seen on a bronze line with a parseable date
@@ -161,38 +162,21 @@ def profiles(spark: SparkSession, sf_dir: str, bronze: DataFrame | None = None,
     end, a subscription tier from the customer dimension, its monthly fee and
     the churn label ``recency_days > 90``. ``counted``: the raw lines in the
     form of ``silver.counted_lines``, written; else it is made of ``bronze``.
+    ``activity`` (with ``observation_end``): what ``customer_activity`` made of them.
     """
-    from ..operators.silver import clean_lines, counted_lines, observation_end as obs_end_of
-
-    if counted is None:
-        counted = counted_lines(bronze if bronze is not None else invoice_lines(spark, sf_dir), cleaning)
-    if observation_end is None:
-        observation_end = obs_end_of(clean_lines(counted, cleaning))
-    lines = counted.where(F.col("invoice_timestamp").isNotNull())
-    ts, copies = F.col("invoice_timestamp"), F.col("copies")
-    positive = F.col("Quantity") > 0
-    amount = F.col("line_total").cast("decimal(38,2)")
-    # Lines become one row per invoice first; distinct counts as aggregates of
-    # all lines would expand every line once per count.
-    invoices = lines.groupBy("CustomerID", "InvoiceNo").agg(
-        F.min(ts).alias("_first"), F.max(ts).alias("_last"),
-        F.sum(F.when(positive, F.when(copies == 1, amount).otherwise((amount * copies).cast("decimal(38,2)")))).alias("_spend"),
-        F.sum(F.when(positive, F.col("Quantity") * copies)).alias("_items"))
-    agg = invoices.groupBy("CustomerID").agg(
-        F.min("_first").alias("first_purchase_date"),
-        F.max("_last").alias("last_purchase_date"),
-        F.count("InvoiceNo").alias("transaction_count"),
-        F.sum("_spend").alias("_spend"),
-        F.sum("_items").alias("total_items"))
-    products = (lines.select("CustomerID", "StockCode").distinct()
-                .groupBy("CustomerID").agg(F.count("StockCode").alias("unique_products")))
-    # A string MIN buffer would force sort-based aggregation of every line;
-    # the country comes from the (few) customer/country pairs instead. Their
-    # line counts are used, else the optimizer takes the pairs for redundant.
-    country = (lines.groupBy("CustomerID", "Country").agg(F.sum(copies).alias("_n"))
-               .groupBy("CustomerID").agg(F.min("Country").alias("country"), F.sum("_n").alias("_n"))
-               .where(F.col("_n") > 0).drop("_n"))
-    agg = agg.join(products, "CustomerID").join(country, "CustomerID")
+    from ..operators.activity import customer_activity
+    from ..operators.silver import clean_lines, counted_lines, is_clean, observation_end as obs_end_of
+
+    if activity is None:
+        if counted is None:
+            counted = counted_lines(bronze if bronze is not None else invoice_lines(spark, sf_dir), cleaning)
+        if observation_end is None:
+            observation_end = obs_end_of(clean_lines(counted, cleaning))
+        activity = customer_activity(counted, flag(is_clean(cleaning)), behaviour=False)
+    agg = activity.select(
+        "CustomerID", F.col("first_date").alias("first_purchase_date"), F.col("last_date").alias("last_purchase_date"),
+        F.col("invoices").alias("transaction_count"), F.col("spend").alias("_spend"), F.col("items").alias("total_items"),
+        F.col("products").alias("unique_products"), "country")
     tier_map = F.create_map(*[F.lit(x) for kv in SEGMENT_TIER.items() for x in kv])
     fee_map = F.create_map(*[F.lit(x) for kv in TIER_FEE.items() for x in kv])
     cust = read_table(spark, sf_dir, "customer").select(
