@@ -346,3 +346,27 @@ def test_op13_odd_rows(spark, odd, empty):
     assert runs.with_repeated_tails(clash).columns == clash.columns and runs.with_repeated_tails(clash).count() == 1
     with pytest.raises(ValueError):
         runs.runs(odd.withColumnRenamed("fp", "runs"), keep=("doc_id", "runs"))
+
+
+def test_plain_cuts_and_no_cycle_search():
+    """Texts without rare white space are cut by the simpler pattern, at the
+    same places; the search for cycles is back on behind a batch."""
+    import gc
+    import random
+
+    import public_tokenizers
+    from tillwise.llm import align, segments
+
+    aligner = align.Aligner(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    rng = random.Random(5)
+    plain = 0
+    for _ in range(3000):
+        text = "".join(rng.choices(" \t\n\rab1,\u00e9\u3000\u2028", [6, 2, 2, 2, 5, 5, 2, 2, 2, .3, .3], k=rng.randint(1, 40)))
+        plain += not aligner.held.search(text)
+        assert aligner.cut(text) == aligner.pattern.findall(" " + text)
+    assert 500 < plain < 2900
+    words = [" word", " word,", " word;x", ",", "\u2581", " a\u2581,", " " + "long" * 40 + "!", " word,"]
+    assert aligner.codes(words) == [aligner.codes([w])[0] for w in words]
+    with segments.without_cycle_search():
+        assert not gc.isenabled()
+    assert gc.isenabled()

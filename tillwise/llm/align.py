@@ -148,31 +148,34 @@ class Aligner:
         # a word's letters, if a sign follows which no token of either side joins to them
         self.stem = re.compile(f"[{segments.as_class(self.b.separators & set(segments.COMMON_SPACE))}]*[{LETTERS}]+(?=[{SIGNS}])")
         self.leading = self.b.separators & set(segments.COMMON_SPACE)
+        # texts without the white space that the full pattern is there for
+        self.held = re.compile(f"[{segments.held_space(self.b.separators)}]")
+        self.plain = segments.piece_pattern(self.leading) if self.leading else self.pattern
         self._parts: dict[str, tuple[bytes, bytes] | None] = {}
 
     def cut(self, text: str) -> list[str]:
-        return self.pattern.findall(" " + text) if text else []
-
-    def parts(self, s: str) -> tuple[str, ...]:
-        stem = self.stem.match(s)
-        if stem and s[stem.end() - 1:stem.end() + 1] not in self.b.joins:
-            return s[:stem.end()], s[stem.end():]
-        return s,
+        return (self.pattern if self.held.search(text) else self.plain).findall(" " + text) if text else []
 
     def codes(self, segs: list[str]) -> list[tuple[bytes, bytes] | None]:
-        cut = [self.parts(s) for s in segs]
-        if len(self._parts) > segments.MOST_KEPT:
-            self._parts.clear()
-        missing = list({p for x in cut for p in x if p not in self._parts})
-        self._parts.update(zip(missing, self._encoded(missing)))
-        out = []
-        for x in cut:
-            codes = [self._parts[p] for p in x]
-            out.append(codes[0] if len(x) == 1 else None if None in codes else (codes[0][0] + codes[1][0], codes[0][1] + codes[1][1]))
+        parts, joins, stem = self._parts, self.b.joins, self.stem.match
+        if len(parts) > segments.MOST_KEPT:
+            parts.clear()
+        whole, halves = [], []
+        for s in segs:
+            if (found := stem(s)) and s[(at := found.end()) - 1:at + 1] not in joins:
+                halves.append((s, s[:at], s[at:]))
+            else:
+                whole.append(s)
+        missing = list(set(whole).union(*[h[1:] for h in halves]).difference(parts))
+        parts.update(zip(missing, self._encoded(missing)))
+        out = dict(zip(whole, map(parts.__getitem__, whole)))
+        for s, x, y in halves:
+            a, b = parts[x], parts[y]
+            out[s] = None if a is None or b is None else (a[0] + b[0], a[1] + b[1])
         for p in missing:
             if len(p) > segments.LONGEST_KEPT:
-                del self._parts[p]
-        return out
+                del parts[p]
+        return list(map(out.__getitem__, segs))
 
     def _encoded(self, segs: list[str]) -> list[tuple[bytes, bytes] | None]:
         out: list = [None] * len(segs)
@@ -255,9 +258,10 @@ def align(docs: DataFrame, path_a: str, path_b: str, keep: tuple[str, ...] = ("d
         table = Table(size_a, size_b)
         for batch in textio.text_pieces(batches, "_text"):
             texts = textio.texts_of(batch, "_text")
-            cut = [aligner.cut(t) for t in texts]
-            known.learn(cut)
-            rows = [[known[s] for s in x] for x in cut]
+            with segments.without_cycle_search():
+                cut = [aligner.cut(t) for t in texts]
+                known.learn(cut)
+                rows = [list(map(known.__getitem__, x)) for x in cut]
             rows = [[] if None in x else x for x in rows]
             n = len(texts)
             stop = np.cumsum([1 + len(t.encode("utf-8")) if x else 0 for t, x in zip(texts, rows)])

@@ -9,10 +9,12 @@ Python worker. Segments hold the whole text: nothing is dropped or shortened.
 
 from __future__ import annotations
 
+import gc
 import re
 import sys
 import types
 from collections.abc import Callable, Iterable
+from contextlib import contextmanager
 
 LONGEST_KEPT = 64      # characters; longer segments are encoded each time they occur
 MOST_KEPT = 500_000    # segments remembered by a Python worker before it starts anew; some 300 bytes each
@@ -43,6 +45,12 @@ def piece_pattern(separators: set[str]) -> re.Pattern:
     return re.compile(f"[{both}]*[^{both}]+|[{both}]+" if both else r"(?s).+")
 
 
+def held_space(separators: Iterable[str] = COMMON_SPACE) -> str:
+    """White space (a class) before which there is no cut. In texts without it
+    ``byte_level_pattern`` finds what ``piece_pattern`` does."""
+    return RARE_SPACE + as_class(set(COMMON_SPACE) - set(separators))
+
+
 def byte_level_pattern(separators: Iterable[str] = COMMON_SPACE) -> re.Pattern:
     """Segments for byte-level vocabularies whose pre-tokenizer never joins a
     character with white space after it. Other white space before a separator
@@ -50,7 +58,7 @@ def byte_level_pattern(separators: Iterable[str] = COMMON_SPACE) -> re.Pattern:
     both = as_class(set(COMMON_SPACE) & set(separators))
     if not both:
         return re.compile(r"(?s).+")
-    held = RARE_SPACE + as_class(set(COMMON_SPACE) - set(separators))
+    held = held_space(separators)
     more = f"(?<=[{held}])[{both}]+"
     return re.compile(f"[{both}]*[^{both}]+(?:{more}[^{both}]+)*(?:{more})?|[{both}]+")
 
@@ -70,12 +78,25 @@ class Remembered(dict):
             self.clear()
         for s in self.long:
             self.pop(s, None)
-        missing = list({s for x in texts for s in x if s not in self})
+        missing = list(set().union(*texts).difference(self))
         self.update(zip(missing, self.encode(missing)))
         self.long = [s for s in missing if len(s) > LONGEST_KEPT]
         return self
 
 
+@contextmanager
+def without_cycle_search():
+    """Python's search for reference cycles is off inside: remembered codes are
+    many objects and no cycles, and it walks all of them again and again."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 def of_worker(key: tuple, make: Callable[[], object]):
     """The worker's own object of this key, kept from task to task. Code that
     is shipped by value has no module of its own in the worker, so one is made
