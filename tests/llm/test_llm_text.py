@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -16,7 +17,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tillwise.llm import chat, packing, quality_rules, secret_scan, simhash, textio
+from tillwise.llm import chat, packing, quality_rules, secret_scan, segments, simhash, textio
 
 DOCS = StructType([StructField("doc_id", LongType()), StructField("text", StringType()), StructField("lang", StringType()),
                    StructField("source", StringType()), StructField("n_chars", LongType()),
@@ -151,6 +152,36 @@ def test_encoder_equals_tokenizers(texts):
         assert ids[offsets[i]:offsets[i + 1]].tolist() == tok.encode(t, add_special_tokens=False).ids
 
 
+CUT = "abZé×÷ÀȿɀɏКя漢1'.,<|>_-`~!\"@ \t\n\x0b\x0c\r\x1c\x1f\x85\xa0\u1680\u2000\u200a\u200b\u2028\u202f\u205f\u3000🙂"
+WORDS = [*CUT, "the ", " of", "don't", "<|endoftext|>", " <|endoftext|>", "x<|endoftext|>y", "a<b", "word,", ".\nThe", "  "]
+
+
+@given(st.lists(st.one_of(st.none(), st.lists(st.sampled_from(WORDS), max_size=14).map("".join)), max_size=8), st.integers(0, 3))
+@settings(max_examples=600, deadline=None)
+def test_cuts_change_no_token(texts, skip):
+    """Letters, signs, every kind of white space and added tokens on both sides of a cut and of two texts; slices and NULL."""
+    tok, path = hf()
+    ids, offsets = ENCODER(path).batch(pa.array(texts, pa.string()).slice(min(skip, len(texts))))
+    for i, t in enumerate(texts[skip:]):
+        assert ids[offsets[i]:offsets[i + 1]].tolist() == tok.encode(t or "", add_special_tokens=False).ids
+    assert len(offsets) == len(texts[skip:]) + 1 and offsets[-1] == len(ids)
+
+
+def test_frequent_segments_stay_when_the_memory_is_full(monkeypatch):
+    """A full memory used to be emptied, so frequent words were encoded anew."""
+    for module, name in ((segments, "MOST_KEPT"), (packing, "KEPT")):
+        monkeypatch.setattr(module, name, 100, raising=False)
+    tok, path = hf()
+    encoder = packing.Encoder(path)
+    seen, ids = [], encoder.ids
+    encoder.ids = lambda text: seen.append(text) or ids(text)
+    for k in range(20):
+        text = "start" + "".join(f" common{i}" for i in range(30)) + "".join(f" rare{k}x{i}" for i in range(40))
+        assert encoder.batch([text])[0].tolist() == tok.encode(text, add_special_tokens=False).ids
+    assert "".join(seen).count(" common7") == 1 and "".join(seen).count(" rare7x7") == 1
+    assert len(encoder.known.young) + len(encoder.known.old) <= 2 * (100 + 71)
+
+
 @given(st.dictionaries(st.integers(1, 12), st.integers(1, 9), max_size=8))
 @settings(max_examples=200, deadline=None)
 def test_fillings_use_everything_and_fill_best(counts):

@@ -32,6 +32,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,7 +40,8 @@ from ..session import cut_lineage
 from . import segments, textio
 from .align import LETTERS, SIGNS
 
-JOINED = 1 << 17       # characters of missing segments encoded as one text
+JOINED = 1 << 14       # characters of missing segments encoded as one text
+KEPT = 350_000         # segments in a generation that a Python worker remembers, of two; some 150 bytes each
 
 
 @dataclass(frozen=True)
@@ -49,11 +51,52 @@ class Params:
     rows_per_group: int = 500_000  # aimed at in a (length, salt) group, were all rows of one length
 
 
+class Cutter:
+    """Finds the segments of UTF-8 texts end to end (see ``segments``; what is
+    cut is what ``byte_level_pattern`` cuts), and cuts a word from the signs
+    behind it, as the pre-tokenizer always ends a token between a letter and a
+    sign. Letters are those of LETTERS up to U+023F."""
+
+    def __init__(self):
+        self.space, self.sign, self.letter = (np.array([b < 128 and bool(re.match(f"[{x}]", chr(b))) for b in range(256)])
+                                              for x in (segments.COMMON_SPACE, SIGNS, LETTERS))
+        self.lead = np.zeros(256, dtype=bool)
+        self.lead[0xC3:0xC9] = True                      # of U+00C0 to U+023F, two bytes each
+        held = [c.encode() for c in map(chr, range(0x3001)) if re.match(f"[{segments.RARE_SPACE}]", c)]
+        self.held = {n: [int.from_bytes(c) for c in held if len(c) == n] for n in (1, 2, 3)}
+
+    def _behind_held(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Whether white space before which there is no cut ends at ``at``."""
+        code, out = np.zeros(len(at), dtype=np.int64), np.zeros(len(at), dtype=bool)
+        for n, held in self.held.items():
+            code |= data[np.maximum(at - n, 0)].astype(np.int64) << 8 * (n - 1)
+            out |= np.isin(code, held)
+        return out
+
+    def borders(self, data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Where segments begin, in order, and the end of ``data``. ``ends``:
+        where texts begin, and the end of ``data``."""
+        space, letter = self.space[data], self.letter[data]
+        if len(wide := np.flatnonzero(self.lead[data])):
+            wide = wide[(data[wide] != 0xC3) | (data[wide + 1] & 0xDF != 0x97)]     # U+00D7 and U+00F7 are signs
+            letter[wide] = letter[wide + 1] = True
+        blank = np.flatnonzero(space[1:] & ~space[:-1]) + 1
+        odd = (data[blank - 1] >= 0x80) | (data[blank - 1] < 0x20)
+        blank = np.concatenate([blank[~odd], blank[odd][~self._behind_held(data, blank[odd])]])
+        turn = np.flatnonzero(letter[1:] != letter[:-1]) + 1                       # words begin and end by turns
+        start, stop = (turn[1::2], turn[2::2]) if letter[:1].any() else (turn[0::2], turn[1::2])
+        start = start[:len(stop)]
+        stem = stop[space[start - 1] & self.sign[data[stop]]]                      # no token added to the vocabulary spans it
+        is_cut = np.zeros(len(data) + 1, dtype=bool)
+        is_cut[blank] = is_cut[stem] = is_cut[ends] = True
+        return np.flatnonzero(is_cut)
+
+
 class Encoder:
     """Token ids of a byte-level vocabulary by ``tokenizers``. Texts are cut
-    into segments that no token crosses (see ``segments``), each encoded once
-    per worker. The segments a batch is missing are encoded side by side as one
-    text, whose tokens are told apart by the bytes that they stand for."""
+    into segments that no token crosses, each encoded once per worker. The
+    segments a batch is missing are encoded side by side as one text, whose
+    tokens are told apart by the bytes that they stand for."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"   # Spark runs one task per core
@@ -64,11 +107,9 @@ class Encoder:
         sizes = {i: len(t) for t, i in self.model.get_vocab().items()} | {i: len(t.content.encode()) for i, t in added.items()}
         self.sizes = np.array([sizes.get(i, 0) for i in range(max(sizes) + 1)], dtype=np.int64)   # one character stands for one byte
         # an added token with white space, or with a letter in front, could lie across a cut
-        whole = any(t.lstrip or t.rstrip or re.search(rf"\s|^[{LETTERS}]", t.content) for t in added.values())
-        # the pre-tokenizer always ends a token between a letter and a sign: a word is a segment without the signs behind it
-        stem = f"[{segments.COMMON_SPACE}]*[{LETTERS}]+(?=[{SIGNS}])|"
-        self.pattern = re.compile(("" if whole else stem) + segments.byte_level_pattern("" if whole else segments.COMMON_SPACE).pattern)
-        self.known = segments.Remembered(self.codes)
+        self.whole = any(t.lstrip or t.rstrip or re.search(rf"\s|^[{LETTERS}]", t.content) for t in added.values())
+        self.cutter = Cutter()
+        self.known = segments.Generations(self.codes, KEPT)
 
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
@@ -103,14 +144,25 @@ class Encoder:
         for k, i, j in zip(group, [0, *stop], stop):
             out[k] = code[i:j]
 
-    def batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts end to end, and the n + 1 offsets."""
-        cut = [self.pattern.findall(t) for t in texts]
-        known = self.known.learn(cut)
-        codes = [b"".join(map(known.__getitem__, c)) for c in cut]
-        offsets = np.zeros(len(codes) + 1, dtype=np.int64)
-        np.cumsum([len(c) // 4 for c in codes], out=offsets[1:])
-        return np.frombuffer(b"".join(codes), dtype="<u4"), offsets
+    def batch(self, texts: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, and the n + 1 offsets. NULL is empty."""
+        texts = pa.array(texts, pa.string()) if isinstance(texts, list) else pc.fill_null(texts.cast(pa.string()), "")
+        _, places, content = texts.buffers()
+        ends = np.frombuffer(places, dtype=np.int32)[texts.offset:][:len(texts) + 1] if len(texts) else np.zeros(1, dtype=np.int32)
+        if ends[0] == ends[-1]:
+            return np.zeros(0, dtype="<u4"), np.zeros(len(ends), dtype=np.int64)
+        data = np.frombuffer(content, dtype=np.uint8)[ends[0]:ends[-1]]
+        ends = ends - ends[0]
+        borders = np.unique(ends) if self.whole else self.cutter.borders(data, ends)
+        found = pa.StringArray.from_buffers(len(borders) - 1, pa.py_buffer(borders.astype(np.int32)), pa.py_buffer(data)).dictionary_encode()
+        with segments.without_cycle_search():
+            codes = self.known.codes(found.dictionary.to_pylist())
+        of = np.asarray(found.indices)
+        sizes = np.fromiter(map(len, codes), np.int64, len(codes)) // 4
+        n = sizes[of]
+        last = np.cumsum(n)
+        ids = np.frombuffer(b"".join(codes), dtype="<u4")[np.arange(last[-1]) + np.repeat((np.cumsum(sizes) - sizes)[of] - (last - n), n)]
+        return ids, np.append(0, last)[np.searchsorted(borders, ends)]
 
 
 def tokenize(docs: DataFrame, tokenizer: str, params: Params = Params(), keep: tuple[str, ...] = ("doc_id",),
@@ -125,7 +177,7 @@ def tokenize(docs: DataFrame, tokenizer: str, params: Params = Params(), keep: t
     def run(batches):
         enc = segments.of_worker(("packing", tokenizer), lambda: Encoder(tokenizer))
         for b in textio.text_pieces(batches, "_text", 8 << 20):
-            ids, offsets = enc.batch(textio.texts_of(b, "_text"))
+            ids, offsets = enc.batch(b.column(b.schema.get_field_index("_text")))
             at = np.arange(1, len(b) + 1)
             ids = np.insert(ids, offsets[1:], np.uint32(params.end_id)).astype("<u4")
             first, last = offsets[:-1] + at - 1, offsets[1:] + at

@@ -84,6 +84,34 @@ class Remembered(dict):
         return self
 
 
+class Generations:
+    """segment -> code for two generations of segments. When the young one holds
+    more than ``most`` it becomes the old one, and the old one is forgotten but
+    for what has come back: what occurs again and again stays. ``encode`` sees
+    the missing segments of a batch together."""
+
+    def __init__(self, encode: Callable[[list[str]], list], most: int):
+        self.encode, self.most = encode, most
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def codes(self, segs: list[str]) -> list:
+        """The codes of distinct segments."""
+        if len(self.young) > self.most:
+            self.young, self.old = {}, self.young
+        out = list(map(self.young.get, segs))
+        new = [k for k, code in enumerate(out) if code is None]
+        missing = []
+        for k in new:
+            out[k] = code = self.old.pop(segs[k], None)
+            if code is None:
+                missing.append(k)
+        for k, code in zip(missing, self.encode([segs[k] for k in missing])):
+            out[k] = code
+        self.young.update((segs[k], out[k]) for k in new if len(segs[k]) <= LONGEST_KEPT)
+        return out
+
+
 @contextmanager
 def without_cycle_search():
     """Python's search for reference cycles is off inside: remembered codes are
