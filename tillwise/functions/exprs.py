@@ -71,6 +71,13 @@ def half_up_div(numerator_hundredths: str | Column, denominator: str | Column) -
     return _idiv(n * 2 + d, d * 2).cast("double") / F.lit(100.0)
 
 
+def of_share(share: tuple[int, int] | None, *keys: str) -> Column:
+    """Whether the keys of a row fall to part i of n, ``share`` (i, n); without
+    it all do. Another hash than the one that deals rows in shuffles, so each
+    part reaches all their partitions."""
+    return F.lit(True) if share is None else F.pmod(F.xxhash64(*keys), F.lit(share[1])) == share[0]
+
+
 def clamp(c: Column, lo: float | None = None, hi: float | None = None) -> Column:
     """``clip``: least/greatest around a column."""
     out = c

@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import int_flag
 from ..params import ChurnParams
+from ..session import cut_lineage
 
 
 def customer_activity(lines: DataFrame, clean: Column | None = None, p: ChurnParams = ChurnParams(),
-                      profile: bool = True, behaviour: bool = True) -> DataFrame:
+                      profile: bool = True, behaviour: bool = True, written: bool = False) -> DataFrame:
     """One row per customer with a dated line. ``lines`` are distinct; with
     ``clean`` (never NULL) they are ``silver.counted_lines`` and the columns of
     ``profile`` count all their copies; without it they are the clean lines,
@@ -25,8 +26,11 @@ def customer_activity(lines: DataFrame, clean: Column | None = None, p: ChurnPar
     (customer, month) and (customer, country), each combined map-side and
     shuffled on the pair, so a customer with a third of all lines is spread over
     many tasks, and no row is expanded for a distinct count. Pass it on written
-    where it is read more than once.
+    where it is read more than once. ``written``: what each grouping gives per
+    customer is written before the next one begins, so that their shuffles need
+    not be on disk at the same time.
     """
+    cut = cut_lineage if written else (lambda df: df)
     profile = profile and clean is not None
     kept = F.lit(True) if clean is None else clean
     of_clean = (lambda c: c) if clean is None else (lambda c: F.when(clean, c))
@@ -59,19 +63,19 @@ def customer_activity(lines: DataFrame, clean: Column | None = None, p: ChurnPar
             F.max("_high").alias("has_high_value_order"), F.max("_bulk").alias("has_bulk_purchase")]
         products += [F.count(F.when(F.col("_clean"), F.col("StockCode"))).alias("clean_products")]
 
-    out = lines.groupBy("CustomerID", "InvoiceNo").agg(*per_invoice).groupBy("CustomerID").agg(*per_customer)
-    out = out.join(lines.groupBy("CustomerID", "StockCode").agg(F.max(kept).alias("_clean"))
-                   .groupBy("CustomerID").agg(*products), "CustomerID")
+    out = cut(lines.groupBy("CustomerID", "InvoiceNo").agg(*per_invoice).groupBy("CustomerID").agg(*per_customer))
+    out = out.join(cut(lines.groupBy("CustomerID", "StockCode").agg(F.max(kept).alias("_clean"))
+                       .groupBy("CustomerID").agg(*products)), "CustomerID")
     if profile:
         # A string MIN buffer would force sort-based aggregation of every line;
         # the country comes from the (few) customer/country pairs instead. Their
         # line counts are used, else the optimizer takes the pairs for redundant.
-        out = out.join(lines.groupBy("CustomerID", "Country").agg(F.sum("copies").alias("_n"))
-                       .groupBy("CustomerID").agg(F.min("Country").alias("country"), F.sum("_n").alias("_n"))
-                       .where(F.col("_n") > 0).drop("_n"), "CustomerID")
+        out = out.join(cut(lines.groupBy("CustomerID", "Country").agg(F.sum("copies").alias("_n"))
+                           .groupBy("CustomerID").agg(F.min("Country").alias("country"), F.sum("_n").alias("_n"))
+                           .where(F.col("_n") > 0).drop("_n")), "CustomerID")
     if behaviour:
-        out = out.join(lines.where(kept).groupBy("CustomerID", F.date_trunc("month", ts).alias("_month")).agg(F.count(F.lit(1)).alias("_n"))
-                       .groupBy("CustomerID").agg(F.count_if(F.col("_n") > 0).alias("clean_months")), "CustomerID", "left")
+        out = out.join(cut(lines.where(kept).groupBy("CustomerID", F.date_trunc("month", ts).alias("_month")).agg(F.count(F.lit(1)).alias("_n"))
+                           .groupBy("CustomerID").agg(F.count_if(F.col("_n") > 0).alias("clean_months"))), "CustomerID", "left")
     return out
 
 

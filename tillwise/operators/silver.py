@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import flag, line_total
+from ..functions.exprs import flag, line_total, of_share
 from ..params import CleaningParams
 from ..sources.bronze import INVOICE_COLUMNS
 
@@ -33,14 +35,42 @@ def stg_transactions(bronze: DataFrame, p: CleaningParams = CleaningParams()) ->
     return clean_lines(parsed.withColumn("line_total", line_total("Quantity", "UnitPrice")), p)
 
 
-def counted_lines(bronze: DataFrame, p: CleaningParams = CleaningParams()) -> DataFrame:
+def busy_customers(bronze: DataFrame, share: float = 0.005) -> list[str]:
+    """Customers with at least ``share`` of the lines of known customers, at
+    most ``1 / share``. Three narrow passes over ``bronze``, so pass it written:
+    candidates, among them every such customer, then their counts."""
+    known = bronze.where(F.col("CustomerID").isNotNull()).select("CustomerID")
+    candidates = known.freqItems(["CustomerID"], share).first()[0] or []
+    least = share * known.count()
+    counts = known.where(F.col("CustomerID").isin(candidates)).groupBy("CustomerID").count().collect()   # a row per candidate
+    return sorted(r["CustomerID"] for r in counts if r["count"] >= least)
+
+
+def counted_lines(bronze: DataFrame, p: CleaningParams = CleaningParams(), busy: Sequence[str] | None = None,
+                  share: tuple[int, int] | None = None) -> DataFrame:
     """The raw lines of known customers, equal ones as one row with their
     number (``copies``), the parsed date and the line's amount: what silver and
     the customer profiles both read. Pass it on written: the date is then
     parsed once per line, where a filter on it would be moved below the
     grouping and parse it a second time. Lines whose date can't be parsed stay,
-    with NULL."""
-    same = bronze.where(F.col("CustomerID").isNotNull()).groupBy(*INVOICE_COLUMNS).agg(F.count(F.lit(1)).alias("copies"))
+    with NULL.
+
+    ``busy`` (see ``busy_customers``): the lines of all other customers are
+    dealt by customer for their grouping. Each of those stands in one file then,
+    so what is later grouped by customer and something else is combined before
+    its shuffle. Lines of busy customers are spread as without it. ``share``
+    (i, n): part i of n of the lines, equal ones in the same part, whole
+    customers unless they are busy."""
+    known = bronze.where(F.col("CustomerID").isNotNull()).select(*INVOICE_COLUMNS)
+    spread = of_share(share, "InvoiceNo", "StockCode")
+    if busy is None:
+        parts = [known.where(spread)]
+    else:
+        of_busy = F.col("CustomerID").isin(list(busy))
+        parts = [known.where(~of_busy & of_share(share, "CustomerID")).repartition("CustomerID"),
+                 *([known.where(of_busy & spread)] if busy else [])]
+    counted = [part.groupBy(*INVOICE_COLUMNS).agg(F.count(F.lit(1)).alias("copies")) for part in parts]
+    same = counted[0] if len(counted) == 1 else counted[0].unionByName(counted[1])
     return same.select(
         *[c for c in INVOICE_COLUMNS if c != "InvoiceDate"],
         parse_invoice_ts("InvoiceDate", p.timestamp_format).alias("invoice_timestamp"),

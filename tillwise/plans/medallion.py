@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from types import SimpleNamespace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,10 +19,14 @@ from ..functions.exprs import flag
 from ..operators import churn, clustering as C, clv, modeling as M, quality, rfm, silver
 from ..operators.activity import customer_activity, last_clean
 from ..params import Params
-from ..session import cut_lineage, delete_folder, folders_in, prefer_hash_joins, prepare, scratch
+from ..session import cut_lineage, delete_folder, folders_in, new_folder, prefer_hash_joins, prepare, scratch, small_disk
 from ..sources import bronze as B
 from ..sources.catalog import publish, read_table, save_table
 
+# The widest shuffles (of the raw lines for their joins, of the known lines for
+# their grouping) are made in so many parts, one after the other.
+SHARES = 2
+
 
 def run(spark: SparkSession, sf_dir: str | None, root: str, params: Params = Params(),
         models: bool = True, lines: DataFrame | None = None, profiles: DataFrame | None = None) -> dict[str, str]:
@@ -32,7 +37,7 @@ def run(spark: SparkSession, sf_dir: str | None, root: str, params: Params = Par
     star-schema tables in ``sf_dir``. Intermediate tables are deleted at the
     end."""
     prefer_hash_joins(prepare(spark))
-    with scratch(spark):
+    with scratch(spark), small_disk(spark):
         return _run(spark, sf_dir, root, params, models, lines, profiles)[0]
 
 
@@ -55,7 +60,7 @@ def refresh(spark: SparkSession, sf_dir: str | None, root: str, params: Params =
     prefer_hash_joins(prepare(spark))
     version = f"{root.rstrip('/')}/v{time.strftime('%Y%m%dT%H%M%S', time.gmtime())}-{uuid.uuid4().hex[:8]}"
     try:
-        with scratch(spark):
+        with scratch(spark), small_disk(spark):
             paths, seen = _run(spark, sf_dir, version, params, models, lines, profiles)
         failed = spark.read.parquet(paths["dq_report"]).where("NOT passed").collect()   # a row per data test at most
         if failed:
@@ -83,11 +88,22 @@ def _run(spark, sf_dir, root, params, models, lines, profiles):
         out[name] = save_table(watched, name, root=root, **kw)
         return read_table(spark, name, root=root)
 
-    raw = save(B.invoice_lines(spark, sf_dir) if lines is None else lines, "online_retail")
+    if lines is None:
+        rows = []
+        for i in range(SHARES):
+            raw = save(B.invoice_lines(spark, sf_dir, share=(i, SHARES)), "online_retail", mode="append" if i else "overwrite")
+            rows.append(seen["online_retail"].get.get("rows"))
+        seen["online_retail"] = SimpleNamespace(get={} if None in rows else {"rows": sum(rows)})
+    else:
+        raw = save(lines, "online_retail")
     if profiles is None:      # silver and the profiles share the deduplicated, parsed lines
-        counted = cut_lineage(silver.counted_lines(raw, params.cleaning))
-        lines = save(silver.clean_lines(counted, params.cleaning), "stg_transactions")
-        activity = cut_lineage(customer_activity(counted, flag(silver.is_clean(params.cleaning)), params.churn))
+        kept, busy = new_folder(spark, "cut"), silver.busy_customers(raw)
+        with scratch(spark):  # the counted lines go as soon as silver and the activity are made
+            path = new_folder(spark, "cut")
+            for i in range(SHARES):
+                counted = cut_lineage(silver.counted_lines(raw, params.cleaning, busy, (i, SHARES)), path, "append")
+            activity = cut_lineage(customer_activity(counted, flag(silver.is_clean(params.cleaning)), params.churn, written=True), kept)
+            lines = save(silver.clean_lines(counted, params.cleaning), "stg_transactions")
         profiles = B.profiles(spark, sf_dir, None, last_clean(activity), params.cleaning, activity=activity)
     else:
         lines, activity = save(silver.stg_transactions(raw, params.cleaning), "stg_transactions"), None

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.exprs import days_between, flag
+from ..functions.exprs import days_between, flag, of_share
 from ..params import CleaningParams
 
 # Raw schema of the invoice-line table (all nullable, InvoiceDate is text).
@@ -56,62 +56,60 @@ def _price_divisor(custkey: Column) -> Column:
 
 
 def invoice_lines(spark: SparkSession, sf_dir: str, dirt: DirtSpec = DirtSpec(),
-                  home_country: str = "United Kingdom") -> DataFrame:
+                  home_country: str = "United Kingdom", share: tuple[int, int] | None = None) -> DataFrame:
     """Raw invoice lines (bronze) built from lineitem, orders, part, customer, nation.
 
     Join order keeps the widest input (lineitem) to two shuffles: orders is
     first enriched with the customer's nation (orders-sized join), then joined
     to lineitem on the order key, then to part on the part key. AQE decides
-    from runtime sizes which sides are broadcast.
+    from runtime sizes which sides are broadcast. ``share`` (i, n): part i of
+    n of the orders, so that a writer can take them one after the other.
     """
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice")
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    if share is not None:
+        li, orders = li.where(of_share(share, "l_orderkey")), orders.where(of_share(share, "o_orderkey"))
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name")
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
 
     cust_nation = cust.join(nation, cust.c_nationkey == nation.n_nationkey)
-    # What an order settles for all its lines (number, date text, customer,
-    # country) is made once per order, before the lines are joined.
-    key = F.col("o_orderkey")
-    shifted = F.col("o_orderdate") + F.make_dt_interval(
-        F.lit(0), F.lit(0), (key % 1440).cast("int"), F.lit(0))
-    anonymous = key % dirt.anonymous_mod == dirt.anonymous_rem
+    # Keys and numbers go through the shuffles; texts (number, date, customer,
+    # country) are made of them behind the last join. What an order settles is
+    # made of its own columns alone, so filters on it reach the scan of orders.
+    home = flag(F.col("n_nationkey") < dirt.home_nations)
     orders_c = orders.join(cust_nation, orders.o_custkey == cust_nation.c_custkey).select(
-        "o_orderkey",
-        F.when(key % dirt.cancel_mod == 0, F.concat(F.lit("C"), key.cast("string")))
-         .otherwise(key.cast("string")).alias("InvoiceNo"),
-        F.when(key % dirt.bad_date_mod == 0, F.date_format(F.col("o_orderdate"), "yyyy/MM/dd"))
-         .otherwise(F.date_format(shifted, "dd-MM-yyyy HH:mm")).alias("InvoiceDate"),
-        F.when(anonymous, F.lit(None).cast("string")).otherwise(F.col("o_custkey").cast("string")).alias("_customer"),
-        (~anonymous & (key % dirt.guest_mod == dirt.guest_rem)).alias("_guest"),
-        _price_divisor(F.col("o_custkey")).alias("_divisor"),
-        F.when(F.col("n_nationkey") < dirt.home_nations, F.lit(home_country))
-         .otherwise(F.col("n_name")).alias("Country"))
+        "o_orderkey", "o_custkey", "o_orderdate", home.alias("_home"), F.when(~home, F.col("n_name")).alias("_abroad"))
     base = (li.join(orders_c, li.l_orderkey == orders_c.o_orderkey)
               .join(part, li.l_partkey == part.p_partkey))
 
     ok, pk, ln = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber")
     qty_int = F.col("l_quantity").cast("int")
+    key = F.col("o_orderkey")
+    shifted = F.col("o_orderdate") + F.make_dt_interval(
+        F.lit(0), F.lit(0), (key % 1440).cast("int"), F.lit(0))
 
     out = base.select(
-        "InvoiceNo",
+        F.when(key % dirt.cancel_mod == 0, F.concat(F.lit("C"), key.cast("string")))
+         .otherwise(key.cast("string")).alias("InvoiceNo"),
         pk.cast("string").alias("StockCode"),
         F.when(pk % dirt.null_description_mod == 0, F.lit(None).cast("string"))
          .otherwise(F.col("p_name")).alias("Description"),
         F.when(ok % dirt.cancel_mod == 0, -qty_int)
          .when(ok % dirt.bulk_mod == dirt.bulk_rem, qty_int * dirt.bulk_factor)
          .otherwise(qty_int).alias("Quantity"),
-        "InvoiceDate",
+        F.when(key % dirt.bad_date_mod == 0, F.date_format(F.col("o_orderdate"), "yyyy/MM/dd"))
+         .otherwise(F.date_format(shifted, "dd-MM-yyyy HH:mm")).alias("InvoiceDate"),
         F.when(pk % dirt.free_item_mod == 0, F.lit(0.0))
          .when(pk % dirt.coarse_price_mod == dirt.coarse_price_rem,
                F.floor(F.col("l_extendedprice") / F.col("l_quantity")) / 10)
-         .otherwise(F.floor(F.col("l_extendedprice") / F.col("l_quantity") / F.col("_divisor")) / 100)
+         .otherwise(F.floor(F.col("l_extendedprice") / F.col("l_quantity") / _price_divisor(F.col("o_custkey"))) / 100)
          .cast("double").alias("UnitPrice"),
-        F.when(F.col("_guest"), F.concat(F.lit("G"), ok.cast("string"), F.lit("-"), ln.cast("string")))
-         .otherwise(F.col("_customer")).alias("CustomerID"),
-        "Country",
+        F.when(key % dirt.anonymous_mod == dirt.anonymous_rem, F.lit(None).cast("string"))
+         .when(key % dirt.guest_mod == dirt.guest_rem, F.concat(F.lit("G"), ok.cast("string"), F.lit("-"), ln.cast("string")))
+         .otherwise(F.col("o_custkey").cast("string")).alias("CustomerID"),
+        F.when(F.col("_home"), F.lit(home_country)).otherwise(F.col("_abroad")).alias("Country"),
         ((ok + ln) % dirt.duplicate_mod == 0).alias("_dup"),
     )
     # Exact duplicates without re-running the joins: a narrow generator emits
